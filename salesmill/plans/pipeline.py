@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType
@@ -51,7 +52,7 @@ def load_dimension(wh: Warehouse, table: Table, incoming: DataFrame) -> None:
 
 
 def load_dimensions(wh: Warehouse, src: Mapping[str, DataFrame], load_date: str | None = None) -> None:
-    """All five; those that do not refer to each other are loaded side by side."""
+    """Calendar and all five; those that do not refer to each other are loaded side by side."""
     persons = src["stage_pessoas"]
 
     def regions_then_sellers():
@@ -73,7 +74,7 @@ def load_dimensions(wh: Warehouse, src: Mapping[str, DataFrame], load_date: str
     def offers():
         load_dimension(wh, TABLES["dim_oferta"], dim.build_dim_oferta(src["stage_ofertas"]))
 
-    in_parallel(wh.spark, [regions_then_sellers, customers, products, offers])
+    in_parallel(wh.spark, [partial(load_calendar, wh), regions_then_sellers, customers, products, offers])
 
 
 def with_partition(fact: DataFrame) -> DataFrame:
@@ -140,7 +141,6 @@ def run_pipeline(
     if spark.conf.get("spark.sql.ansi.enabled") != "true":
         raise RuntimeError("spark.sql.ansi.enabled must be on: a value that does not fit must stop the load")
     wh = Warehouse(spark, root)
-    load_calendar(wh)
     src = stage_all(spark, source, f"{root}/staging") if stage else source
     load_dimensions(wh, src, load_date)
     added = load_fact(wh, src["stage_pedidos_detalhe"], src["stage_pedidos_header"], order)
