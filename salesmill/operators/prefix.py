@@ -21,18 +21,20 @@ def range_count(df: DataFrame, wanted: int | None = None) -> int:
 def range_of(value: Column, points: Column, n: int) -> Column:
     """How many of the `n - 1` sorted cut points lie below `value` (0 .. n-1), in log2(n) steps."""
     steps = [1 << k for k in reversed(range(max(n - 1, 1).bit_length()))]
-    return F.aggregate(
+    found = F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
         lambda at, step: F.when(F.get(points, at + step - 1) < value, at + step).otherwise(at),
     )
+    return F.coalesce(found, F.lit(0))
 
 
 def with_ranges(df: DataFrame, order: str, n: int) -> DataFrame:
     """Add `_range`; the cut points are a one-row subquery, so nothing runs until the result is used."""
     if n == 1:
         return df.withColumn("_range", F.lit(0))
-    cuts = df.agg(F.percentile_approx(order, [i / n for i in range(1, n)], 10000)).scalar()
+    shares = [i / n for i in range(1, n)]
+    cuts = df.agg(F.percentile_approx(order, shares, max(10_000, 20 * n))).scalar()
     return df.withColumn("_cuts", cuts).withColumn("_range", range_of(F.col(order), F.col("_cuts"), n)).drop("_cuts")
 
 

@@ -109,12 +109,16 @@ class QualityError(ValueError):
     """A constraint does not hold; nothing was published."""
 
 
-def enforce(df: DataFrame, table: Table) -> None:
-    """Stop unless required columns are filled and texts fit. One pass, two counters a column."""
-    problems = {f"{c} is missing": F.col(c).isNull() for c in table.required}
-    problems |= {f"{c} is longer than {n}": F.length(c) > n for c, n in table.limits.items()}
-    found = df.agg(*[_counter(p).alias(k) for k, p in problems.items()]).first().asDict()
-    bad = {k: n for k, n in found.items() if n}
+def counters(table: Table) -> dict[str, Column]:
+    """Aggregates that count broken constraints of single rows; also the number of rows."""
+    broken = {f"{c} is missing": F.col(c).isNull() for c in table.required}
+    broken |= {f"{c} is longer than {n}": F.length(c) > n for c, n in table.limits.items()}
+    return {"rows": F.count(F.lit(1)), **{label: _counter(found) for label, found in broken.items()}}
+
+
+def enforce(table: Table, counted: Mapping[str, int]) -> None:
+    """Stop if any counter of `counters` other than the row count is above 0."""
+    bad = {label: n for label, n in counted.items() if label != "rows" and n}
     if bad:
         raise QualityError(f"{table.name}: {bad}")
 
@@ -124,9 +128,3 @@ def enforce_reference(df: DataFrame, table: Table, column: str, target: DataFram
     lost = orphans(df, table.name, column, target, name, key).first()["orphans"]
     if lost:
         raise QualityError(f"{table.name}.{column}: {lost} rows without a row in {name}")
-
-
-def enforce_unique(df: DataFrame, table: Table) -> None:
-    found = repeated_keys(df, table.name, table.natural).first()
-    if found["repeated_keys"]:
-        raise QualityError(f"{table.name}: {found['repeated_keys']} keys occur more than once")

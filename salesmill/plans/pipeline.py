@@ -12,9 +12,9 @@ from collections.abc import Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import IntegerType, StructType
 
-from salesmill.operators.quality import enforce, enforce_reference
+from salesmill.operators.quality import counters, enforce, enforce_reference
 from salesmill.operators.staging import stage_all
 from salesmill.operators.upsert import insert_if_empty, reject_duplicates, type1_upsert
 from salesmill.plans import dimensions as dim
@@ -30,8 +30,8 @@ DIMENSIONS = ("dim_tempo", "dim_regiao", "dim_cliente", "dim_produto", "dim_vend
 
 
 def _publish_checked(wh: Warehouse, table: Table, df: DataFrame) -> None:
-    path = wh.prepare(table.name, conform(df, table))
-    enforce(wh.spark.read.schema(table.schema).parquet(path), table)
+    _, counted = wh.prepare(table.name, conform(df, table), counters(table))
+    enforce(table, counted)
     wh.publish(table.name)
 
 
@@ -95,21 +95,14 @@ def load_fact(
     numbered = fresh.hint("rebalance", F.col(FACT_PARTITION)).withColumn(
         "sk_venda", F.lit(last + 1).cast("bigint") + F.monotonically_increasing_id()
     )
-    rows = conform(numbered, FATO_VENDAS).withColumn(FACT_PARTITION, F.expr("sk_tempo div 100").cast("int"))
-    path = wh.prepare(FATO_VENDAS.name, rows, FACT_PARTITION)
-    added = wh.spark.read.parquet(path) if _has_rows(wh, path) else None
-    if added is None:
-        return 0
-    enforce(added, FATO_VENDAS)
-    enforce_reference(added, FATO_VENDAS, "sk_tempo", wh.read("dim_tempo"))
-    wh.publish(FATO_VENDAS.name, ADD)
-    return added.count()
-
-
-def _has_rows(wh: Warehouse, path: str) -> bool:
-    """A partitioned write without rows leaves no partition folder."""
-    folder = wh._path(path)
-    return any(s.isDirectory() for s in wh._files(folder).listStatus(folder))
+    rows = with_partition(conform(numbered, FATO_VENDAS))
+    path, counted = wh.prepare(FATO_VENDAS.name, rows, counters(FATO_VENDAS), FACT_PARTITION)
+    enforce(FATO_VENDAS, counted)
+    if counted["rows"]:
+        added = wh.spark.read.schema(_fact_schema()).parquet(path)
+        enforce_reference(added, FATO_VENDAS, "sk_tempo", wh.read("dim_tempo"))
+        wh.publish(FATO_VENDAS.name, ADD)
+    return counted["rows"]
 
 
 def read_dims(wh: Warehouse) -> dict[str, DataFrame]:
@@ -120,8 +113,12 @@ def read_dims(wh: Warehouse) -> dict[str, DataFrame]:
     }
 
 
+def _fact_schema() -> StructType:
+    return FATO_VENDAS.schema.add(FACT_PARTITION, IntegerType())
+
+
 def read_fact(wh: Warehouse) -> DataFrame:
-    schema = FATO_VENDAS.schema.add(FACT_PARTITION, IntegerType())
+    schema = _fact_schema()
     return wh.read(FATO_VENDAS.name, schema) or wh.spark.createDataFrame([], schema)
 
 

@@ -8,7 +8,9 @@ writer per table at a time is assumed; a second commit of the same version fails
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
 REPLACE, ADD = "replace", "add"
@@ -55,14 +57,21 @@ class Warehouse:
         reader = self.spark.read.schema(schema) if schema else self.spark.read
         return reader.parquet(*folders)
 
-    def prepare(self, table: str, df: DataFrame, partition_by: str | None = None) -> str:
-        """Write the folder of the next version without publishing it. A failed earlier try is replaced."""
+    def prepare(
+        self, table: str, df: DataFrame, counters: Mapping[str, Column], partition_by: str | None = None
+    ) -> tuple[str, dict[str, int]]:
+        """Write the folder of the next version without publishing it. A failed earlier try is replaced.
+
+        Also returns the values of `counters`, taken while the rows are written.
+        """
         path = self.folder(table, self.version(table) + 1)
-        writer = df.write.mode("overwrite")
+        counted = Observation()
+        watched = df.observe(counted, *[c.alias(label) for label, c in counters.items()])
+        writer = watched.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(path)
-        return path
+        return path, counted.get
 
     def publish(self, table: str, kind: str = REPLACE) -> int:
         version = self.version(table) + 1
