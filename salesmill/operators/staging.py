@@ -14,9 +14,9 @@ from salesmill.session import in_parallel
 log = logging.getLogger("salesmill")
 
 
-def stage_table(df: DataFrame, target: str, name: str) -> DataFrame:
+def stage_table(source: Mapping[str, DataFrame], name: str, target: str) -> DataFrame:
     """Replace one staging table. An empty source keeps its real columns."""
-    path = f"{target}/{name}"
+    df, path = source[name], f"{target}/{name}"
     df.write.mode("overwrite").parquet(path)
     staged = df.sparkSession.read.schema(df.schema).parquet(path)
     if staged.isEmpty():
@@ -27,7 +27,7 @@ def stage_table(df: DataFrame, target: str, name: str) -> DataFrame:
 def stage_all(spark: SparkSession, source: Mapping[str, DataFrame], target: str) -> dict[str, DataFrame]:
     """Copy every table of `source`; each is written by its own distributed job."""
     names = list(source.keys())
-    staged = in_parallel(spark, [partial(stage_table, source[n], target, n) for n in names])
+    staged = in_parallel(spark, [partial(stage_table, source, n, target) for n in names])
     return dict(zip(names, staged))
 
 

@@ -47,15 +47,17 @@ class Warehouse:
         return live
 
     def folder(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/data/{version:08d}"
+        return f"{self.root}/{table}/data/v={version}"
 
     def read(self, table: str, schema: StructType | None = None) -> DataFrame | None:
         """The newest version, or None if the table was never published."""
         folders = self.folders(table)
         if not folders:
             return None
-        reader = self.spark.read.schema(schema) if schema else self.spark.read
-        return reader.parquet(*folders)
+        reader = self.spark.read.option("basePath", f"{self.root}/{table}/data")
+        if schema:
+            reader = reader.schema(schema)
+        return reader.parquet(*folders).drop("v")
 
     def prepare(
         self, table: str, df: DataFrame, counters: Mapping[str, Column], partition_by: str | None = None

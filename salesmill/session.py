@@ -23,6 +23,8 @@ def local_session(cpus: int | str | None = None, app: str = "salesmill") -> Spar
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(cpus))
+        # The test tables are a few MB; without this a scan would use half of the cores.
+        .config("spark.sql.files.openCostInBytes", str(1 << 20))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
         .getOrCreate()
