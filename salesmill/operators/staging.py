@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesmill.operators.quality import union_all
 from salesmill.session import in_parallel
+from salesmill.sources.sink import write_table
 
 log = logging.getLogger("salesmill")
 
@@ -17,7 +18,7 @@ log = logging.getLogger("salesmill")
 def stage_table(source: Mapping[str, DataFrame], name: str, target: str) -> DataFrame:
     """Replace one staging table. An empty source keeps its real columns."""
     df, path = source[name], f"{target}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    write_table(df, path)
     staged = df.sparkSession.read.schema(df.schema).parquet(path)
     if staged.isEmpty():
         log.warning("%s is empty", name)

@@ -1,0 +1,176 @@
+"""What must hold on a cluster: pruning, no forced broadcasts, hot keys split, equal results."""
+
+import re
+
+import pytest
+from conftest import SMALL, plan, rows, staged
+from pyspark.sql import Window, functions as F
+
+from salesmill.operators.lookup import look_up
+from salesmill.operators.quality import orphans
+from salesmill.operators.upsert import first_per_key
+from salesmill.plans.fact import build_fact
+from salesmill.plans.kpis import KPIS, kpi4_monthly_trend, kpi10_top_products
+from salesmill.plans.pipeline import read_dims, read_fact
+from salesmill.registry import warehouse
+
+
+@pytest.fixture(scope="module")
+def wh(spark):
+    return warehouse(spark, SMALL)
+
+
+@pytest.fixture
+def no_broadcast(setting):
+    """Sizes as on a cluster: no dimension is small enough to broadcast."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+
+
+@pytest.fixture
+def split_small(setting):
+    """Let adaptive execution treat test-sized partitions as too big."""
+    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20000")
+    setting("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "30000")
+    setting("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+
+
+def executed(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return plan(df)
+
+
+def test_scans_read_needed_columns_and_months_only(spark, wh):
+    fact, dims = read_fact(wh), read_dims(wh)
+    df = kpi10_top_products(fact, dims)
+    reads = re.findall(r"ReadSchema: struct<([^>]*)>", df._jdf.queryExecution().simpleString())
+    assert any("numero_pedido" in r and "custo_total" not in r and "sk_cliente" not in r for r in reads)
+    trend = kpi4_monthly_trend(fact, dims)
+    trend.collect()
+    text = trend._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[isnotnull\(ano_mes#\d+\), \(ano_mes#\d+ >= ", text)
+
+
+@pytest.mark.parametrize("name", list(KPIS))
+def test_reports_without_broadcast_give_the_same_rows(spark, wh, no_broadcast, name):
+    fact, dims = read_fact(wh), read_dims(wh)
+    df = KPIS[name](fact, dims)
+    got = rows(df)
+    text = plan(df)
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    if not name.startswith("kpi5"):  # the curve broadcasts one row per range, or at most 30 rows
+        assert "BroadcastHashJoin" not in text
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    key = lambda r: str(sorted(r.items(), key=str))
+    assert sorted(got, key=key) == sorted(rows(KPIS[name](fact, dims)), key=key)
+
+
+def third_hot(spark, n, hot=7):
+    """n keys; a third of them are the same, the rest are spread."""
+    return spark.range(0, n, 1, 8).select(
+        "id", F.when(F.col("id") % 3 == 0, hot).otherwise(F.pmod(F.xxhash64("id"), F.lit(5000))).alias("fk"),
+        F.repeat(F.lit("x"), 20).alias("pad"),
+    )
+
+
+def test_look_up_splits_a_hot_key(spark, no_broadcast, split_small):
+    left = third_hot(spark, 60_000)
+    dim = spark.range(4000).select(F.col("id").alias("nk"), (F.col("id") + 1).alias("sk"))
+    df = look_up(left, dim, "fk", "nk", ["sk"], ["id"])
+    assert "skew=true" in executed(df)
+    assert df.count() == 60_000
+    assert df.where("(fk < 4000 and sk <> fk + 1) or (fk >= 4000 and sk is not null)").count() == 0
+
+
+def test_look_up_spreads_missing_keys(spark, no_broadcast, setting):
+    """Half of the keys are NULL; they are hashed by another column, so no partition holds them all."""
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    left = spark.range(0, 20_000, 1, 4).select("id", F.when(F.col("id") % 2 == 0, F.col("id")).alias("fk"))
+    dim = spark.range(20_000).select(F.col("id").alias("nk"), F.col("id").alias("sk"))
+    df = look_up(left, dim, "fk", "nk", ["sk"], ["id"])
+    sizes = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    assert sizes < 8_000
+    assert df.where("(fk is null) <> (sk is null) or fk <> sk").count() == 0 and df.count() == 20_000
+
+
+def test_made_up_key_never_matches(spark):
+    """A NULL key whose hash happens to be a real key must still match nothing."""
+    left = spark.createDataFrame([(1, None)], "id bigint, fk bigint")
+    dim = left.select(F.xxhash64("id").alias("nk"), F.lit(5).alias("sk"))
+    assert look_up(left, dim, "fk", "nk", ["sk"], ["id"]).first().sk is None
+
+
+def test_copies_are_dropped_before_the_shuffle(spark):
+    """A third of all rows are copies of one line: few of them cross the exchange."""
+    df = third_hot(spark, 30_000).select("fk", F.lit(1).alias("line"), "pad")
+    text = plan(first_per_key(df, ["fk", "line"]))
+    below = text[text.index("Exchange hashpartitioning(fk"):]
+    assert "partial_min" in below
+    assert first_per_key(df, ["fk", "line"]).count() == df.select("fk").distinct().count()
+
+
+def test_orphans_count_references_before_the_join(spark, no_broadcast):
+    df = orphans(third_hot(spark, 30_000), "t", "fk", spark.range(100), "d", "id")
+    text = plan(df)
+    assert text.index("SortMergeJoin") < text.index("partial_count")
+    want = third_hot(spark, 30_000).where("fk >= 100").count()
+    assert df.first().orphans == want
+
+
+def hot_source(spark, n=40_000):
+    """One order has a third of the lines, one customer a third of the orders, one product a third of the lines."""
+    src = staged(spark)
+    ids = spark.range(0, n, 1, 8)
+    detail = ids.select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("SalesOrderID"),
+        F.col("id").alias("SalesOrderDetailID"), F.lit(2).alias("OrderQty"),
+        F.when(F.col("id") % 3 == 1, 10).otherwise(F.col("id") % 3000).cast("bigint").alias("ProductID"),
+        F.lit(1).cast("bigint").alias("SpecialOfferID"), F.lit(10).cast("decimal(15,4)").alias("UnitPrice"),
+        F.lit(0).cast("decimal(18,4)").alias("UnitPriceDiscount"),
+    )
+    header = ids.select(
+        F.col("id").alias("SalesOrderID"), F.lit("2013-05-06").cast("timestamp_ntz").alias("OrderDate"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 3000).cast("bigint").alias("CustomerID"),
+        F.lit(1).cast("bigint").alias("TerritoryID"), F.when(F.col("id") % 2 == 0, 200).cast("bigint").alias("SalesPersonID"),
+    )
+    key = lambda sk, nk, *extra: spark.range(3000).select((F.col("id") + 1).alias(sk), F.col("id").alias(nk), *extra)
+    dims = {
+        "dim_cliente": key("sk_cliente", "nk_cliente"), "dim_regiao": key("sk_regiao", "nk_regiao"),
+        "dim_produto": key("sk_produto", "nk_produto", F.lit(4).cast("decimal(15,4)").alias("custo_unitario")),
+        "dim_vendedor": key("sk_vendedor", "nk_vendedor"), "dim_oferta": key("sk_oferta", "nk_oferta"),
+    }
+    return detail, header, dims, src
+
+
+def test_fact_with_hot_order_customer_and_product(spark, no_broadcast, split_small):
+    detail, header, dims, _ = hot_source(spark)
+    fact = build_fact(detail, header, dims)
+    text = executed(fact)
+    assert len(set(re.findall(r"SortMergeJoin\(skew=true\) \[(\w+)", text))) >= 2
+    assert any(line for line in text.splitlines() if "SortMergeJoin(skew=true) [SalesOrderID" in line)
+    assert fact.count() == 40_000
+    check = fact.join(detail, (F.col("numero_linha") == F.col("SalesOrderDetailID"))).where(
+        "numero_pedido <> SalesOrderID or sk_produto <> ProductID + 1 or valor_liquido <> 20 or lucro_bruto <> 12")
+    assert check.count() == 0
+
+
+def test_fact_shuffles_lines_once_per_big_join(spark, wh, no_broadcast):
+    """Lines are exchanged for: first line per key, product, offer, header. Look-ups of the order's own
+    keys are made on the headers."""
+    detail, header, dims, _ = hot_source(spark)
+    text = plan(build_fact(detail, header, dims, existing=read_fact(wh)))
+    detail_side = text[: text.rindex("Exchange hashpartitioning(SalesOrderID")]
+    assert "CustomerID" not in detail_side.split("LeftAnti")[1].split("Range")[0]
+    by_line = re.findall(r"Exchange hashpartitioning\((SalesOrderID#\w+, SalesOrderDetailID#\w+), \d+\)", text)
+    assert len(by_line) == 2  # new lines once, for aggregate and anti-join alike; loaded keys once
+
+
+def test_window_is_equal_to_first_per_key(spark):
+    df = third_hot(spark, 5_000).withColumn("v", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(50)))
+    w = Window.partitionBy("fk").orderBy("v", "id", "pad")
+    want = df.withColumn("n", F.row_number().over(w)).where("n = 1").drop("n")
+    got = first_per_key(df, ["fk"], ["v"])
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
