@@ -62,6 +62,8 @@ def dense_rank_by(df: DataFrame, key: str, out: str, start: int = 0, ranges: int
 def running_total_desc(df: DataFrame, value: str, out: str, ranges: int | None = None) -> DataFrame:
     """Sum of `value` over all rows at or above this row's value; rows of equal value share it.
 
+    A row without a value keeps a NULL total.
+
     Equal values are added up first, so however many rows share one value, the ordered part sees
     it once. The join back is a plain equi-join whose hot values adaptive execution can split.
     """
@@ -74,4 +76,4 @@ def running_total_desc(df: DataFrame, value: str, out: str, ranges: int | None =
         .join(F.broadcast(offsets), "_range")
         .select(F.col(value).alias("_value"), (F.col("_inside") + F.coalesce("_before", F.lit(0))).alias(out))
     )
-    return df.join(sums, F.col(value) == F.col("_value")).drop("_value")
+    return df.join(sums, F.col(value) == F.col("_value"), "left").drop("_value")

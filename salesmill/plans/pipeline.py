@@ -36,7 +36,7 @@ def _publish_checked(wh: Warehouse, table: Table, df: DataFrame) -> None:
 
 
 def load_calendar(wh: Warehouse) -> None:
-    existing = wh.read(DIM_TEMPO.name)
+    existing = wh.read(DIM_TEMPO.name, DIM_TEMPO.schema)
     rows = insert_if_empty(existing, build_dim_tempo(wh.spark))
     if rows is not existing:
         _publish_checked(wh, DIM_TEMPO, rows)
@@ -47,7 +47,8 @@ def load_dimension(wh: Warehouse, table: Table, incoming: DataFrame) -> None:
     nk = table.natural[0]
     batch = written(incoming, table.name)
     reject_duplicates(batch, table.natural, table.name)
-    merged = type1_upsert(wh.read(table.name), batch, nk, table.surrogate, table.updates, table.stamp)
+    existing = wh.read(table.name, table.schema)
+    merged = type1_upsert(existing, batch, nk, table.surrogate, table.updates, table.stamp)
     _publish_checked(wh, table, merged)
 
 
@@ -58,7 +59,7 @@ def load_dimensions(wh: Warehouse, src: Mapping[str, DataFrame], load_date: str
     def regions_then_sellers():
         load_dimension(wh, TABLES["dim_regiao"], dim.build_dim_regiao(src["stage_territorios"]))
         sellers = dim.build_dim_vendedor(
-            src["stage_vendedores"], src["stage_funcionarios"], persons, wh.read("dim_regiao")
+            src["stage_vendedores"], src["stage_funcionarios"], persons, wh.read("dim_regiao", TABLES["dim_regiao"].schema)
         )
         load_dimension(wh, TABLES["dim_vendedor"], sellers)
 
@@ -89,9 +90,11 @@ def load_fact(
     Rows are rebalanced by month before the write: few files per month, and a month too big for
     one task is split. `sk_venda` is unique and grows from load to load, and needs no shuffle.
     """
-    existing = wh.read(FATO_VENDAS.name)
+    existing = wh.read(FATO_VENDAS.name, _fact_schema())
     fresh = with_partition(build_fact(detail, header, read_dims(wh), existing, order))
-    last = 0 if existing is None else existing.agg(F.max("sk_venda")).first()[0] or 0
+    # Numbers grow from load to load, so the highest one is among the rows added last.
+    newest = wh.read(FATO_VENDAS.name, _fact_schema(), newest_only=True)
+    last = 0 if newest is None else newest.agg(F.max("sk_venda")).first()[0] or 0
     numbered = fresh.hint("rebalance", F.col(FACT_PARTITION)).withColumn(
         "sk_venda", F.lit(last + 1).cast("bigint") + F.monotonically_increasing_id()
     )
@@ -100,7 +103,7 @@ def load_fact(
     enforce(FATO_VENDAS, counted)
     if counted["rows"]:
         added = wh.spark.read.schema(_fact_schema()).parquet(path)
-        enforce_reference(added, FATO_VENDAS, "sk_tempo", wh.read("dim_tempo"))
+        enforce_reference(added, FATO_VENDAS, "sk_tempo", wh.read("dim_tempo", DIM_TEMPO.schema))
         wh.publish(FATO_VENDAS.name, ADD)
     return counted["rows"]
 

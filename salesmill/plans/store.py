@@ -49,9 +49,14 @@ class Warehouse:
     def folder(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/data/v={version}"
 
-    def read(self, table: str, schema: StructType | None = None) -> DataFrame | None:
-        """The newest version, or None if the table was never published."""
-        folders = self.folders(table)
+    def read(
+        self, table: str, schema: StructType | None = None, newest_only: bool = False
+    ) -> DataFrame | None:
+        """The newest version, or None if the table was never published.
+
+        `newest_only` leaves out what earlier commits had added to the table.
+        """
+        folders = self.folders(table)[-1:] if newest_only else self.folders(table)
         if not folders:
             return None
         reader = self.spark.read.option("basePath", f"{self.root}/{table}/data")

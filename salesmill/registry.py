@@ -28,7 +28,6 @@ from salesmill.plans.pipeline import DIMENSIONS, read_dims, read_fact, run_pipel
 from salesmill.plans.store import Warehouse
 from salesmill.schemas import DIM_TEMPO, FATO_VENDAS, TABLES, V1_UPDATES
 from salesmill.session import scratch_path, written
-from salesmill.sources.extract import extract
 from salesmill.sources.testdata import LINE_ORDER, TestTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +37,7 @@ LOAD_DATE = "2024-01-01"
 EARLIER_LOAD_DATE = "2010-01-01"
 FIRST_DAYS, FIRST_MONTHS, FIRST_YEARS = "2008-01-02", "2008-04-01", "2011-01-01"
 
+_sources: dict[tuple, TestTables] = {}
 _warehouses: dict[tuple, Warehouse] = {}
 
 
@@ -48,14 +48,22 @@ def _fingerprint(spark: SparkSession, base: str) -> tuple:
     return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found))
 
 
+def _key(spark: SparkSession, base: str) -> tuple:
+    return spark.sparkContext.applicationId, base, _fingerprint(spark, base)
+
+
+def _source(spark: SparkSession, base: str) -> TestTables:
+    """The staging shapes of `base`, opened again only if the session or the files changed."""
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    return _sources.setdefault(_key(spark, base), TestTables(spark, base))
+
+
 def warehouse(spark: SparkSession, base: str) -> Warehouse:
     """The warehouse loaded from `base`, loaded again only if the session or the files changed."""
-    key = (spark.sparkContext.applicationId, base, _fingerprint(spark, base))
+    key, source = _key(spark, base), _source(spark, base)
     if key not in _warehouses:
         root = scratch_path(spark, "warehouse")
-        _warehouses[key] = run_pipeline(
-            spark, TestTables(spark, base), root, stage=False, load_date=LOAD_DATE, order=LINE_ORDER
-        )
+        _warehouses[key] = run_pipeline(spark, source, root, stage=False, load_date=LOAD_DATE, order=LINE_ORDER)
     return _warehouses[key]
 
 
@@ -73,10 +81,6 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*[out(f) for f in df.schema.fields])
 
 
-def _source(spark: SparkSession, base: str) -> TestTables:
-    return TestTables(spark, base)
-
-
 def _published(report, spark: SparkSession, base: str) -> DataFrame:
     wh = warehouse(spark, base)
     return report(read_fact(wh), read_dims(wh))
@@ -85,7 +89,7 @@ def _published(report, spark: SparkSession, base: str) -> DataFrame:
 # Staging
 
 def stage_extract(spark, base):
-    return extract(spark, f"{base}/lineitem.parquet")
+    return _source(spark, base).raw("lineitem")
 
 
 def stage_row_counts(spark, base):
@@ -106,7 +110,7 @@ def infer_text(spark, base):
     key = F.col("o_orderkey").cast("string")
     total = F.col("o_totalprice").cast("decimal(15,2)")
     whole = total.cast("bigint").cast("string")
-    text = extract(spark, f"{base}/orders.parquet").select(
+    text = _source(spark, base).raw("orders").select(
         key.alias("chave"),
         total.cast("string").alias("total"),
         F.when(status == "F", whole).otherwise(total.cast("string")).alias("total_misto"),
@@ -450,7 +454,7 @@ def dq_date_range(spark, base):
     """Order dates against the calendar: as loaded, and as they stand in the orders before the shift."""
     wh = warehouse(spark, base)
     days = wh.read("dim_tempo", DIM_TEMPO.schema)
-    raw = extract(spark, f"{base}/orders.parquet").select(
+    raw = _source(spark, base).raw("orders").select(
         fn.date_key(F.col("o_orderdate").cast("date")).alias("sk_tempo")
     )
     return q.union_all([
@@ -464,7 +468,7 @@ def dq_numeric_overflow(spark, base):
     fact = read_fact(warehouse(spark, base))
     stored = {c: (c, kind) for c, kind in FATO_VENDAS.decimals.items()}
     raw = look_up(
-        extract(spark, f"{base}/lineitem.parquet"), _source(spark, base)["stage_produtos"],
+        _source(spark, base).raw("lineitem"), _source(spark, base)["stage_produtos"],
         "l_partkey", "ProductID", ["StandardCost"], ["l_orderkey", "l_linenumber"],
     ).select(
         F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
@@ -480,7 +484,7 @@ def dq_numeric_overflow(spark, base):
 def dq_text_length(spark, base):
     tables = _all_tables(spark, base)
     checks = [q.overlong(df, n, TABLES[n].limits) for n, df in tables.items() if TABLES[n].limits]
-    names = extract(spark, f"{base}/part.parquet")
+    names = _source(spark, base).raw("part")
     return q.union_all([*checks, q.overlong(names, "part", {"p_name": 10, "p_brand": 7})])
 
 
@@ -516,7 +520,7 @@ def scalar_nulls(spark, base):
 
 
 def scalar_case(spark, base):
-    lines = extract(spark, f"{base}/lineitem.parquet")
+    lines = _source(spark, base).raw("lineitem")
     pct = F.col("l_discount").cast("decimal(4,2)") * 500
     flag = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).when(F.col("l_returnflag") == "R", 3)
     return (
@@ -532,7 +536,7 @@ def scalar_case(spark, base):
 def scalar_numeric(spark, base):
     qty, price = F.col("l_quantity").cast("int"), F.col("l_extendedprice").cast("decimal(15,2)")
     discount = F.col("l_discount").cast("decimal(4,2)")
-    return extract(spark, f"{base}/lineitem.parquet").select(
+    return _source(spark, base).raw("lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.round(price * (F.lit(1) - discount) * F.lit("0.5").cast("decimal(2,1)"), 2).cast("decimal(18,2)").alias("metade_liquida"),
         F.round(-price * discount * F.lit("0.05").cast("decimal(3,2)"), 2).cast("decimal(18,2)").alias("negativo"),
@@ -544,7 +548,7 @@ def scalar_numeric(spark, base):
 
 
 def scalar_strings(spark, base):
-    return extract(spark, f"{base}/part.parquet").select(
+    return _source(spark, base).raw("part").select(
         "p_partkey",
         fn.full_name(F.nullif("p_type", F.lit("ECONOMY")), F.col("p_name"), "Produto ", F.col("p_partkey")).alias("nome"),
         fn.seller_code(F.col("p_partkey") * 1000).alias("codigo"),
@@ -574,7 +578,7 @@ def scalar_dates(spark, base):
 
 def scalar_casts(spark, base):
     price = F.col("l_extendedprice").cast("decimal(15,4)")
-    return extract(spark, f"{base}/lineitem.parquet").select(
+    return _source(spark, base).raw("lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.col("l_quantity").cast("int").alias("inteiro"),
         F.col("l_linenumber").cast("smallint").alias("curto"),

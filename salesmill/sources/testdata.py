@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesmill.sources.extract import extract
 
+# Looks a test table up by its name.
+Read = Callable[[str], DataFrame]
+
 # Customers' persons live beside sellers' persons in one table; this keeps their ids apart.
 PERSON_OFFSET = 1_000_000_000
 MONTHS_SHIFT = 156
@@ -17,9 +22,9 @@ LINE_ORDER = (
 )
 
 
-def territories(spark: SparkSession, base: str) -> DataFrame:
-    nation = extract(spark, f"{base}/nation.parquet")
-    region = extract(spark, f"{base}/region.parquet")
+def territories(read: Read) -> DataFrame:
+    nation = read("nation")
+    region = read("region")
     group = (
         F.when(F.col("r_name") == "AMERICA", "North America")
         .when(F.col("r_name") == "EUROPE", "Europe")
@@ -34,8 +39,8 @@ def territories(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def sellers(spark: SparkSession, base: str) -> DataFrame:
-    return extract(spark, f"{base}/supplier.parquet").select(
+def sellers(read: Read) -> DataFrame:
+    return read("supplier").select(
         F.col("s_suppkey").alias("BusinessEntityID"),
         F.col("s_nationkey").cast("bigint").alias("TerritoryID"),
         F.col("s_acctbal").cast("decimal(18,2)").alias("SalesQuota"),
@@ -43,21 +48,21 @@ def sellers(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def employees(spark: SparkSession, base: str) -> DataFrame:
-    return extract(spark, f"{base}/supplier.parquet").select(
+def employees(read: Read) -> DataFrame:
+    return read("supplier").select(
         F.col("s_suppkey").alias("BusinessEntityID"),
         F.date_add(F.lit("2000-01-01").cast("date"), (F.col("s_suppkey") % 365).cast("int")).alias("HireDate"),
     )
 
 
-def persons(spark: SparkSession, base: str) -> DataFrame:
+def persons(read: Read) -> DataFrame:
     after_hash = lambda c: F.substring_index(c, "#", -1)
-    buyers = extract(spark, f"{base}/customer.parquet").select(
+    buyers = read("customer").select(
         (F.col("c_custkey") + PERSON_OFFSET).alias("BusinessEntityID"),
         F.lit("Customer").alias("FirstName"),
         after_hash("c_name").alias("LastName"),
     )
-    staff = extract(spark, f"{base}/supplier.parquet").where(F.col("s_suppkey") % 10 != 0).select(
+    staff = read("supplier").where(F.col("s_suppkey") % 10 != 0).select(
         F.col("s_suppkey").alias("BusinessEntityID"),
         F.lit("Supplier").alias("FirstName"),
         after_hash("s_name").alias("LastName"),
@@ -65,9 +70,9 @@ def persons(spark: SparkSession, base: str) -> DataFrame:
     return buyers.unionByName(staff)
 
 
-def customers(spark: SparkSession, base: str) -> DataFrame:
+def customers(read: Read) -> DataFrame:
     key = F.col("c_custkey")
-    return extract(spark, f"{base}/customer.parquet").select(
+    return read("customer").select(
         key.alias("CustomerID"),
         F.when(key % 3 == 0, key + PERSON_OFFSET).alias("PersonID"),
         F.when(key % 3 == 1, key).alias("StoreID"),
@@ -78,10 +83,10 @@ def _brand_number():
     return F.substring_index("p_brand", "#", -1).cast("bigint")
 
 
-def products(spark: SparkSession, base: str) -> DataFrame:
+def products(read: Read) -> DataFrame:
     key, price = F.col("p_partkey"), F.col("p_retailprice").cast("decimal(15,4)")
     ratio = F.lit("0.50").cast("decimal(4,2)") + F.lit("0.10").cast("decimal(3,2)") * (key % 7).cast("decimal(1,0)")
-    return extract(spark, f"{base}/part.parquet").select(
+    return read("part").select(
         key.alias("ProductID"),
         F.col("p_name").alias("Name"),
         F.concat(F.lit("PN-"), key.cast("string")).alias("ProductNumber"),
@@ -98,8 +103,8 @@ def products(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def subcategories(spark: SparkSession, base: str) -> DataFrame:
-    brands = extract(spark, f"{base}/part.parquet").select(_brand_number().alias("id")).distinct()
+def subcategories(read: Read) -> DataFrame:
+    brands = read("part").select(_brand_number().alias("id")).distinct()
     return brands.select(
         F.col("id").alias("ProductSubcategoryID"),
         (F.col("id") % 5).alias("ProductCategoryID"),
@@ -107,8 +112,8 @@ def subcategories(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def categories(spark: SparkSession, base: str) -> DataFrame:
-    ids = subcategories(spark, base).select("ProductCategoryID").distinct()
+def categories(read: Read) -> DataFrame:
+    ids = subcategories(read).select("ProductCategoryID").distinct()
     return ids.select(
         "ProductCategoryID",
         F.concat(F.lit("Cat "), F.col("ProductCategoryID").cast("string")).alias("Name"),
@@ -119,10 +124,10 @@ def _discount():
     return F.col("l_discount").cast("decimal(4,2)")
 
 
-def offers(spark: SparkSession, base: str) -> DataFrame:
+def offers(read: Read) -> DataFrame:
     """One offer per discount step that really occurs on a line."""
     ids = (
-        extract(spark, f"{base}/lineitem.parquet")
+        read("lineitem")
         .select((_discount() * 100 + 1).cast("bigint").alias("id"))
         .distinct()
     )
@@ -140,9 +145,9 @@ def offers(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def headers(spark: SparkSession, base: str) -> DataFrame:
-    orders = extract(spark, f"{base}/orders.parquet")
-    homes = extract(spark, f"{base}/customer.parquet", columns=["c_custkey", "c_nationkey"])
+def headers(read: Read) -> DataFrame:
+    orders = read("orders")
+    homes = read("customer").select(*["c_custkey", "c_nationkey"])
     key = F.col("o_orderkey")
     return orders.join(homes, F.col("o_custkey") == F.col("c_custkey"), "left").select(
         key.alias("SalesOrderID"),
@@ -153,9 +158,9 @@ def headers(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def details(spark: SparkSession, base: str) -> DataFrame:
-    lines = extract(spark, f"{base}/lineitem.parquet")
-    prices = extract(spark, f"{base}/part.parquet", columns=["p_partkey", "p_retailprice"])
+def details(read: Read) -> DataFrame:
+    lines = read("lineitem")
+    prices = read("part").select(*["p_partkey", "p_retailprice"])
     return lines.join(prices, F.col("l_partkey") == F.col("p_partkey"), "left").select(
         F.col("l_orderkey").alias("SalesOrderID"),
         F.col("l_linenumber").cast("bigint").alias("SalesOrderDetailID"),
@@ -187,15 +192,21 @@ BUILDERS = {
 
 
 class TestTables:
-    """Lazy lookup of the staging shapes over one test data folder."""
+    """Lazy lookup of the staging shapes over one test data folder; each file is opened once."""
 
     __test__ = False
 
     def __init__(self, spark: SparkSession, base: str):
         self._spark, self._base = spark, base
+        self._opened: dict[str, DataFrame] = {}
+
+    def raw(self, table: str) -> DataFrame:
+        if table not in self._opened:
+            self._opened[table] = extract(self._spark, f"{self._base}/{table}.parquet")
+        return self._opened[table]
 
     def __getitem__(self, stage: str) -> DataFrame:
-        return BUILDERS[stage](self._spark, self._base)
+        return BUILDERS[stage](self.raw)
 
     def keys(self):
         return BUILDERS.keys()
