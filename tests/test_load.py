@@ -49,8 +49,9 @@ def test_margin_overflow_stops(spark):
         measured(spark, 1, 10, 0, 200)
 
 
-def load(spark, wh=None, **changed):
-    return run_pipeline(spark, staged(spark, **changed), wh.root if wh else scratch_path(spark, "t"), load_date="2024-01-01")
+def load(spark, wh=None, stage=False, **changed):
+    root = wh.root if wh else scratch_path(spark, "t")
+    return run_pipeline(spark, staged(spark, **changed), root, stage=stage, load_date="2024-01-01")
 
 
 @pytest.fixture
@@ -58,7 +59,8 @@ def wh(spark):
     return load(spark)
 
 
-def test_whole_load(spark, wh):
+def test_whole_load(spark):
+    wh = load(spark, stage=True)
     dims, fact = read_dims(wh), read_fact(wh)
     assert {n: df.count() for n, df in dims.items()} == {
         "dim_tempo": 8401, "dim_regiao": 2, "dim_cliente": 3, "dim_produto": 2, "dim_vendedor": 2, "dim_oferta": 2}
@@ -107,7 +109,7 @@ def test_repeated_headers_do_not_repeat_lines(spark):
         ({"stage_pedidos_detalhe": [(1000, 1, 3, 77, 2, dec(100), dec(0))]}, "sk_produto is missing"),
     ],
 )
-def test_broken_reference_publishes_nothing(spark, wh, changed, message):
+def test_broken_reference_publishes_nothing(spark, changed, message):
     other = Warehouse(spark, scratch_path(spark, "t"))
     with pytest.raises(QualityError, match=message):
         load(spark, other, **changed)
@@ -128,7 +130,7 @@ def test_duplicate_dimension_key_stops(spark):
 
 
 def test_empty_sources(spark, caplog):
-    wh = load(spark, **{n: [] for n in ROWS})
+    wh = load(spark, stage=True, **{n: [] for n in ROWS})
     assert "is empty" in caplog.text
     assert read_fact(wh).count() == 0 and read_dims(wh)["dim_cliente"].columns == [c.name for c in TABLES["dim_cliente"].columns]
 
