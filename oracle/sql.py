@@ -435,10 +435,11 @@ FROM numbered""", numbered=_renumbered("v1_product", "product_id", "early_produc
 Q["fact_header_detail"] = sql("""
 SELECT ord AS numero_pedido, line AS numero_linha, product AS ProductID, qty::BIGINT AS OrderQty, price::DOUBLE AS UnitPrice,
        disc::DOUBLE AS UnitPriceDiscount, offer AS SpecialOfferID, customer AS CustomerID, territory AS TerritoryID,
-       seller AS SalesPersonID, CAST(strftime(moment, '%Y%m%d') AS BIGINT) AS sk_tempo
+       CAST(seller AS DOUBLE) AS SalesPersonID, CAST(strftime(moment, '%Y%m%d') AS BIGINT) AS sk_tempo
 FROM t_detail JOIN t_header h ON h.id = ord""")
 Q["fact_dim_lookup"] = sql("""
-SELECT numero_pedido, numero_linha, sk_tempo, sk_cliente, sk_produto, sk_regiao, sk_vendedor, sk_oferta FROM f_line""")
+SELECT numero_pedido, numero_linha, sk_tempo, sk_cliente, sk_produto, sk_regiao,
+       CAST(sk_vendedor AS DOUBLE) AS sk_vendedor, sk_oferta FROM f_line""")
 _AMOUNTS = ["valor_unitario", "valor_bruto", "valor_desconto", "valor_liquido", "custo_total", "lucro_bruto",
             "percentual_desconto", "margem_contribuicao"]
 Q["fact_measures"] = sql(f"""
@@ -460,7 +461,7 @@ Q["fact_load_stats"] = sql("""
 SELECT count(*) AS total_vendas, sum(valor_liquido)::DOUBLE AS receita, sum(lucro_bruto)::DOUBLE AS lucro FROM f""")
 Q["fact_sales_v1"] = sql("""
 SELECT sk_tempo AS date_key, sk_cliente AS customer_key, sk_produto AS product_key, sk_regiao AS territory_key,
-       sk_vendedor AS sales_person_key, sk_oferta AS promotion_key, numero_pedido AS order_id, numero_linha AS order_line,
+       CAST(sk_vendedor AS DOUBLE) AS sales_person_key, sk_oferta AS promotion_key, numero_pedido AS order_id, numero_linha AS order_line,
        qty::BIGINT AS quantity, cents::DOUBLE AS unit_price, CAST(cents * qty AS DOUBLE) AS extended_price,
        CAST(CAST(cents * qty * disc AS DECIMAL(18,4)) AS DOUBLE) AS discount_amount,
        CAST(CAST(cents * qty * (1 - disc) AS DECIMAL(18,4)) AS DOUBLE) AS total_amount,
@@ -673,7 +674,7 @@ SELECT count(*) AS vendas, min(sk_tempo) AS primeira_data, max(sk_tempo) AS ulti
 # ---- scalar functions
 
 Q["scalar_nulls"] = sql("""
-SELECT id AS CustomerID, coalesce(person, store, -1) AS primeiro_id, nullif(id % 3, 0) AS resto_ou_nulo,
+SELECT id AS CustomerID, coalesce(person, store, -1) AS primeiro_id, CAST(nullif(id % 3, 0) AS DOUBLE) AS resto_ou_nulo,
        person IS NULL AS sem_pessoa, store IS NOT NULL AS com_loja FROM t_customer""")
 Q["scalar_case"] = f"""
 SELECT {_BAND.format('(CAST(l_discount AS DECIMAL(4,2)) * 500)')} AS faixa,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from salesmill.functions import columns as fn
@@ -86,6 +86,11 @@ def _published(report, spark: SparkSession, base: str) -> DataFrame:
     return report(read_fact(wh), read_dims(wh))
 
 
+def _maybe(name: str) -> Column:
+    """A whole number that is often missing leaves as a double; data frames have no missing integer."""
+    return F.col(name).cast("double").alias(name)
+
+
 # Staging
 
 def stage_extract(spark, base):
@@ -334,7 +339,7 @@ def fact_header_detail(spark, base):
         F.col("SalesOrderID").alias("numero_pedido"),
         F.col("SalesOrderDetailID").alias("numero_linha"),
         "ProductID", "OrderQty", "UnitPrice", "UnitPriceDiscount", "SpecialOfferID",
-        "CustomerID", "TerritoryID", "SalesPersonID",
+        "CustomerID", "TerritoryID", _maybe("SalesPersonID"),
         fn.date_key(F.col("OrderDate").cast("date")).alias("sk_tempo"),
     )
 
@@ -346,7 +351,7 @@ def _fact(spark, base):
 
 def fact_dim_lookup(spark, base):
     return _fact(spark, base).select(
-        "numero_pedido", "numero_linha", "sk_tempo", "sk_cliente", "sk_produto", "sk_regiao", "sk_vendedor", "sk_oferta"
+        "numero_pedido", "numero_linha", "sk_tempo", "sk_cliente", "sk_produto", "sk_regiao", _maybe("sk_vendedor"), "sk_oferta"
     )
 
 
@@ -400,7 +405,8 @@ def fact_sales_v1(spark, base):
         batch = build(spark, base).select(F.col(key).alias(nk), *keep)
         dims[name] = written(assign_keys(batch, nk, sk), f"v1-{name}")
     dims["dim_produto"] = dims["dim_produto"].withColumnRenamed("standard_cost", "custo_unitario")
-    return build_fact_sales_v1(detail, header, dims, order=LINE_ORDER)
+    fact = build_fact_sales_v1(detail, header, dims, order=LINE_ORDER)
+    return fact.withColumn("sales_person_key", _maybe("sales_person_key"))
 
 
 def pipeline_summary(spark, base):
@@ -513,7 +519,7 @@ def scalar_nulls(spark, base):
     return _source(spark, base)["stage_clientes"].select(
         "CustomerID",
         F.coalesce("PersonID", "StoreID", F.lit(-1)).alias("primeiro_id"),
-        F.nullif(F.col("CustomerID") % 3, F.lit(0).cast("bigint")).alias("resto_ou_nulo"),
+        F.nullif(F.col("CustomerID") % 3, F.lit(0).cast("bigint")).cast("double").alias("resto_ou_nulo"),
         F.col("PersonID").isNull().alias("sem_pessoa"),
         F.col("StoreID").isNotNull().alias("com_loja"),
     )
