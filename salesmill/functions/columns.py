@@ -2,8 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, functions as F
 
+# Labels and bounds that reports and dimensions must show exactly so.
+NO_DISCOUNT = "Sem Desconto"
+DISCOUNT_BANDS = ((10, "1-10%"), (20, "11-20%"), (30, "21-30%"))
+HIGHEST_DISCOUNT = "Acima de 30%"
+ABC_CLASSES = ((80, "A - Alto Valor"), (95, "B - Médio Valor"))
+LAST_ABC_CLASS = "C - Baixo Valor"
+CUSTOMER_CLASSES = ((50000, "VIP"), (20000, "Premium"), (5000, "Regular"))
+LAST_CUSTOMER_CLASS = "Basico"
+CONTINENTS = (("America", "Américas"), ("Europe", "Europa"), ("Pacific", "Ásia-Pacífico"))
+OTHER_CONTINENT = "Outros"
+PERSON, COMPANY, NEITHER = "Pessoa Física", "Empresa", "Indefinido"
+
 # Weekday names in the order a working week runs; reports sort by it.
 WEEK_ORDER = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
@@ -49,17 +63,17 @@ def full_name(first: Column, last: Column, label: str, key: Column) -> Column:
     return F.coalesce(F.concat(first, F.lit(" "), last), F.concat(F.lit(label), key.cast("string")))
 
 
+def _first_match(cases: Sequence[tuple], test: Callable[[object], Column], otherwise: str) -> Column:
+    """Label of the first case whose test holds; `otherwise` if none does or the value is missing."""
+    return F.coalesce(*[F.when(test(bound), F.lit(label)) for bound, label in cases], F.lit(otherwise))
+
+
 def continent(group: Column) -> Column:
-    return (
-        F.when(group.like("%America%"), "Américas")
-        .when(group.like("%Europe%"), "Europa")
-        .when(group.like("%Pacific%"), "Ásia-Pacífico")
-        .otherwise("Outros")
-    )
+    return _first_match(CONTINENTS, lambda part: group.like(f"%{part}%"), OTHER_CONTINENT)
 
 
 def customer_type(person: Column, store: Column) -> Column:
-    return F.when(person.isNotNull(), "Pessoa Física").when(store.isNotNull(), "Empresa").otherwise("Indefinido")
+    return F.when(person.isNotNull(), PERSON).when(store.isNotNull(), COMPANY).otherwise(NEITHER)
 
 
 def seller_code(key: Column) -> Column:
@@ -76,30 +90,16 @@ def list_margin(price: Column, cost: Column) -> Column:
 
 def discount_band(pct: Column) -> Column:
     """Upper bounds belong to the band; a missing discount falls through to the last one."""
-    return (
-        F.when(pct == 0, "Sem Desconto")
-        .when(pct <= 10, "1-10%")
-        .when(pct <= 20, "11-20%")
-        .when(pct <= 30, "21-30%")
-        .otherwise("Acima de 30%")
-    )
+    band = _first_match(DISCOUNT_BANDS, lambda top: pct <= top, HIGHEST_DISCOUNT)
+    return F.when(pct == 0, NO_DISCOUNT).otherwise(band)
 
 
 def abc_class(cumulative_pct: Column) -> Column:
-    return (
-        F.when(cumulative_pct <= 80, "A - Alto Valor")
-        .when(cumulative_pct <= 95, "B - Médio Valor")
-        .otherwise("C - Baixo Valor")
-    )
+    return _first_match(ABC_CLASSES, lambda top: cumulative_pct <= top, LAST_ABC_CLASS)
 
 
 def customer_class(revenue_each: Column) -> Column:
-    return (
-        F.when(revenue_each >= 50000, "VIP")
-        .when(revenue_each >= 20000, "Premium")
-        .when(revenue_each >= 5000, "Regular")
-        .otherwise("Basico")
-    )
+    return _first_match(CUSTOMER_CLASSES, lambda least: revenue_each >= least, LAST_CUSTOMER_CLASS)
 
 
 def week_position(name: Column) -> Column:

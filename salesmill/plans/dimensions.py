@@ -11,6 +11,14 @@ from salesmill.functions import columns as fn
 from salesmill.operators.lookup import look_up
 
 
+# What stands in for missing source values, and constants of the model.
+UNKNOWN_NAME, UNKNOWN_SURNAME = "Desconhecido", ""
+CUSTOMER_LABEL, SELLER_LABEL = "Cliente ", "Vendedor "
+SEGMENT = "Varejo"
+NO_CATEGORY, NO_SUBCATEGORY, NOT_GIVEN = "Sem Categoria", "Sem Subcategoria", "N/A"
+LEAST_QUANTITY, MOST_QUANTITY = 0, 999999
+
+
 def _today(load_date: str | None) -> Column:
     return F.lit(load_date).cast("date") if load_date else F.current_date()
 
@@ -34,11 +42,11 @@ def build_dim_cliente(customers: DataFrame, persons: DataFrame, load_date: str |
     )
     return named.select(
         F.col("CustomerID").cast("bigint").alias("nk_cliente"),
-        _or_else("FirstName", "Desconhecido").alias("nome_cliente"),
-        _or_else("LastName", "").alias("sobrenome"),
-        fn.full_name(F.col("FirstName"), F.col("LastName"), "Cliente ", F.col("CustomerID")).alias("nome_completo"),
+        _or_else("FirstName", UNKNOWN_NAME).alias("nome_cliente"),
+        _or_else("LastName", UNKNOWN_SURNAME).alias("sobrenome"),
+        fn.full_name(F.col("FirstName"), F.col("LastName"), CUSTOMER_LABEL, F.col("CustomerID")).alias("nome_completo"),
         fn.customer_type(F.col("PersonID"), F.col("StoreID")).alias("tipo_cliente"),
-        F.lit("Varejo").alias("segmento"),
+        F.lit(SEGMENT).alias("segmento"),
         _today(load_date).alias("data_cadastro"),
     ).distinct()
 
@@ -60,11 +68,11 @@ def build_dim_produto(
         F.col("ProductID").cast("bigint").alias("nk_produto"),
         F.col("Name").alias("nome_produto"),
         F.col("ProductNumber").alias("codigo_produto"),
-        _or_else("_cat_name", "Sem Categoria").alias("categoria_produto"),
-        _or_else("_sub_name", "Sem Subcategoria").alias("subcategoria_produto"),
-        _or_else("ProductLine", "N/A").alias("linha_produto"),
-        _or_else("Color", "N/A").alias("cor_produto"),
-        _or_else("Size", "N/A").alias("tamanho"),
+        _or_else("_cat_name", NO_CATEGORY).alias("categoria_produto"),
+        _or_else("_sub_name", NO_SUBCATEGORY).alias("subcategoria_produto"),
+        _or_else("ProductLine", NOT_GIVEN).alias("linha_produto"),
+        _or_else("Color", NOT_GIVEN).alias("cor_produto"),
+        _or_else("Size", NOT_GIVEN).alias("tamanho"),
         _decimal_or_zero("Weight", "decimal(10,2)").alias("peso"),
         _decimal_or_zero("StandardCost", "decimal(15,4)").alias("custo_unitario"),
         _decimal_or_zero("ListPrice", "decimal(15,4)").alias("preco_lista"),
@@ -101,7 +109,7 @@ def build_dim_vendedor(
     key = F.col("BusinessEntityID")
     return placed.select(
         key.cast("bigint").alias("nk_vendedor"),
-        fn.full_name(F.col("FirstName"), F.col("LastName"), "Vendedor ", key).alias("nome_vendedor"),
+        fn.full_name(F.col("FirstName"), F.col("LastName"), SELLER_LABEL, key).alias("nome_vendedor"),
         fn.seller_code(key).alias("codigo_vendedor"),
         "sk_regiao",
         F.col("HireDate").cast("date").alias("data_admissao"),
@@ -119,8 +127,8 @@ def build_dim_oferta(offers: DataFrame) -> DataFrame:
         _decimal_or_zero("DiscountPct", "decimal(5,2)").alias("percentual_desconto"),
         F.col("StartDate").cast("date").alias("data_inicio"),
         F.col("EndDate").cast("date").alias("data_fim"),
-        F.coalesce("MinQty", F.lit(0)).cast("int").alias("quantidade_minima"),
-        F.coalesce("MaxQty", F.lit(999999)).cast("int").alias("quantidade_maxima"),
+        F.coalesce("MinQty", F.lit(LEAST_QUANTITY)).cast("int").alias("quantidade_minima"),
+        F.coalesce("MaxQty", F.lit(MOST_QUANTITY)).cast("int").alias("quantidade_maxima"),
     ).distinct()
 
 

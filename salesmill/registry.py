@@ -54,7 +54,7 @@ def _key(spark: SparkSession, base: str) -> tuple:
 
 def _source(spark: SparkSession, base: str) -> TestTables:
     """The staging shapes of `base`, opened again only if the session or the files changed."""
-    spark.conf.set("spark.sql.ansi.enabled", "true")
+    spark.conf.set("spark.sql.ansi.enabled", "true")  # a load refuses to run without it
     return _sources.setdefault(_key(spark, base), TestTables(spark, base))
 
 

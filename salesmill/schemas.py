@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-# Source table -> staging table.
+# Source table -> staging table.
 STAGING = {
     "Sales.Customer": "stage_clientes",
     "Person.Person": "stage_pessoas",
@@ -67,6 +67,8 @@ class Table:
         return {c.name: c.type for c in self.columns if c.type.startswith("decimal")}
 
 
+# The tables of the model.
+
 DIM_TEMPO = Table(
     "dim_tempo", "sk_tempo", ("data_completa",),
     (
@@ -216,7 +218,7 @@ TABLES = {
     for t in (DIM_TEMPO, DIM_CLIENTE, DIM_PRODUTO, DIM_REGIAO, DIM_VENDEDOR, DIM_OFERTA, FATO_VENDAS)
 }
 
-# Update lists of the older English model, by table.
+# Update lists of the older English model, by table.
 V1_UPDATES = {
     "dim_customer": ("first_name", "last_name", "full_name"),
     "dim_product": (
