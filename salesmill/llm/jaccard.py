@@ -1,20 +1,21 @@
 """Similarity join on word shingles (7): signature trees inside blocks of shared rare shingles.
 
-1. Every text becomes its set of shingle hashes, numbered by a class key: texts with equal sets are
-   one class from here on, however many copies there are.
-2. Shingles are counted over all texts. Those above `hot` times go last in the order in which a
-   class lists its shingles, the rest are ordered by hash. Two sets whose Jaccard reaches the bound
-   share one of their first n - ceil(bound * n) + 1 shingles, so a passage that many texts quote
-   does not bring them together.
+1. Every text becomes its set of shingle hashes; texts with equal sets are one class from here on,
+   however many copies there are. A class has a key, a size and a bitmap of its shingles.
+2. Shingles are counted over all texts. Frequent ones go last in the order in which a class lists its
+   shingles, the rest are ordered by hash. Two sets whose Jaccard reaches the bound share one of
+   their first n - ceil(bound * n) + 1 shingles, so a passage that many texts quote does not bring
+   them together.
 3. Classes that share such a shingle form a block, named by its smallest and largest class; shingles
    with the same name share a block, so a family of near copies meets in a few blocks, not in one for
-   each shingle.
-4. Each class first meets its home block. Large blocks are cut into pages, and the representatives of
-   a page's components go on to the next round until they fit one page.
-5. Blocks that still hold two components are compared in full, page pair by page pair; only pairs of
-   different components count. Nothing is capped: a block may have any number of pages.
-
-Trees prune, exact intersections of whole sets decide. Equal shingles have equal 64-bit hashes.
+   each shingle. A class without a partner of fitting size and position leaves the block.
+4. First round: the trees of each block propose a forest of pairs; exact intersections of whole sets
+   confirm or refuse them. Large blocks are cut into pages, and the representatives of the components
+   found go on to the next round until a block's fit one page. Families are connected by then.
+5. Last round: blocks that still hold two components are compared in full, page pair by page pair.
+   Every pair of different components that the trees cannot exclude is tested exactly.
+
+Nothing is capped: a block may have any number of pages. Equal shingles have equal 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from salesmill.llm.bitmap import bitmap_of, perhaps_in
 from salesmill.llm.components import smallest_reachable
 from salesmill.llm.shipping import ship
-from salesmill.llm.sigtree import connect
+from salesmill.llm.sigtree import alike, bitmap, candidates
 from salesmill.llm.text import NOT_SPACE, byte_slices, find_words, mix, seeded, windows
 from salesmill.session import written
 
@@ -36,7 +37,8 @@ WORDS, PERCENT = 5, 75
 PAGE = 1000
 #: Shingles that may count as frequent: 8 bytes each are sent to every task, 16 MB at most.
 HOT_TABLE = 1 << 21
-LEAST_HOT = 64
+#: A shingle found more often than this is frequent, or than its double, four times, ... if the table is full.
+LEAST_HOT = 8
 #: Stands in for a missing doc_id inside the join.
 NO_ID = -(1 << 63)
 
@@ -78,37 +80,46 @@ def _per_slice(docs: DataFrame, text: str, make, schema: str) -> DataFrame:
 
 
 def classes_of(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, set_id, n): the class of each row, null for a text without words."""
+    """(doc_id, set_id, n, bits): the class of each row, null for a text without words."""
 
     def make(ids, sets):
         sizes = np.array([len(s) for s in sets], np.int64)
         keys = np.array([class_key(s) if len(s) else 0 for s in sets], np.int64)
-        return {"doc_id": pa.array(ids), "set_id": pa.array(keys, mask=sizes == 0), "n": pa.array(sizes)}
+        bits = pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary())
+        return {"doc_id": pa.array(ids), "set_id": pa.array(keys, mask=sizes == 0), "n": pa.array(sizes), "bits": bits}
 
-    return _per_slice(docs, text, make, "doc_id long, set_id long, n long")
+    return _per_slice(docs, text, make, "doc_id long, set_id long, n long, bits binary")
 
 
-def _frequent(docs: DataFrame, text: str, total: int, least_hot: int) -> tuple[np.ndarray, int]:
-    """Sorted leading bits of all shingles above the bound, and how many bits that are.
+def _frequent(docs: DataFrame, text: str, least_hot: int) -> tuple[np.ndarray, int]:
+    """Sorted leading bits of all frequent shingles, and how many bits that are.
 
-    Map tasks count in batches and send each bucket its values packed; buckets grow in number with
-    the session's shuffle partitions. The bound rises with the corpus, so that at most HOT_TABLE
-    shingles can exceed it.
+    Map tasks count in slices and send each bucket its values packed; buckets grow in number with
+    the session's shuffle partitions. Only the order of shingles depends on the counts, so repeats
+    inside a text and shingles that share their leading bits do no harm.
     """
     spark = docs.sparkSession
     bits = max(3, (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
-    bound = max(least_hot, -(-total // HOT_TABLE))
 
     def pack(batches):
         for batch in batches:
-            found = [s >> np.uint64(32 - bits) for part in byte_slices(batch, "text") for s in shingle_sets(part.column(0))]
-            if not found:
+            values, counts = [], []
+            for part in byte_slices(batch, "text"):
+                words = find_words(part.column(0), NOT_SPACE)
+                found = windows(words.hashes(), words.ptr, WORDS)[1] >> np.uint64(32 - bits)
+                found, times = np.unique(found, return_counts=True)
+                values.append(found)
+                counts.append(times)
+            if not values:
                 continue
-            values, counts = np.unique(np.concatenate(found), return_counts=True)
-            bucket = (values >> np.uint64(32)).astype(np.int64)
-            there, first = np.unique(bucket, return_index=True)
+            values, counts = np.concatenate(values), np.concatenate(counts).astype(np.uint32)
+            order = np.argsort(values, kind="stable")
+            values, counts = values[order], counts[order]
+            first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, np.int64)
+            values, counts = values[first], np.add.reduceat(counts, first) if len(first) else counts
+            there, first = np.unique((values >> np.uint64(32)).astype(np.int64), return_index=True)
             cut = np.append(first, len(values))
-            low, counts = values.astype(np.uint32), counts.astype(np.uint32)
+            low = values.astype(np.uint32)
             yield pa.record_batch({
                 "bucket": pa.array(there, pa.int32()),
                 "low": pa.array([low[cut[i] : cut[i + 1]].tobytes() for i in range(len(there))], pa.binary()),
@@ -121,21 +132,28 @@ def _frequent(docs: DataFrame, text: str, total: int, least_hot: int) -> tuple[n
         order = np.argsort(low)
         low, times = low[order], times[order]
         first = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
-        often = np.add.reduceat(times, first) > bound
-        return pd.DataFrame({"lead": (np.int64(key[0]) << 32) | low[first[often]].astype(np.int64)})
+        total = np.add.reduceat(times, first)
+        often = total > least_hot
+        return pd.DataFrame({"lead": (np.int64(key[0]) << 32) | low[first[often]].astype(np.int64), "times": total[often]})
 
     packed = docs.select(F.col(text).alias("text")).mapInArrow(pack, "bucket int, low binary, times binary")
-    found = packed.groupBy("bucket").applyInPandas(count, "lead long").toPandas()
-    return np.sort(found["lead"].to_numpy(np.int64)).astype(np.uint64), bits
+    counted = written(packed.groupBy("bucket").applyInPandas(count, "lead long, times long"), "frequent")
+    doubled = F.floor(F.log2((F.col("times") - 1) / F.lit(least_hot))).cast("int")  # times > least_hot * 2**doubled
+    sizes = {r[0]: r[1] for r in counted.groupBy(doubled).count().collect()}  # one row for each power of two
+    power = 0
+    while sum(n for p, n in sizes.items() if p >= power) > HOT_TABLE:
+        power += 1
+    leads = counted.where(doubled >= power).select("lead").toPandas()["lead"].to_numpy(np.int64)
+    return np.sort(leads).astype(np.uint64), bits
 
 
 def _prefixes(docs: DataFrame, text: str, hot: np.ndarray, bits: int, percent: int) -> DataFrame:
-    """(shingle, set_id, n, hot): the leading shingles of each set, frequent ones last."""
+    """(shingle, set_id, n, place, hot): the leading shingles of each set, frequent ones last."""
     frequent = docs.sparkSession.sparkContext.broadcast(hot)
 
     def make(ids, sets):
         known = frequent.value
-        out = [[], [], [], []]
+        out = [[], [], [], [], []]
         for s in sets:
             if not len(s):
                 continue
@@ -145,40 +163,70 @@ def _prefixes(docs: DataFrame, text: str, hot: np.ndarray, bits: int, percent: i
             often = known[at] == lead if len(known) else np.zeros(len(s), bool)
             length = len(s) - (percent * len(s) + 99) // 100 + 1
             chosen = np.argsort(often, kind="stable")[:length]
-            for column, values in zip(out, (s[chosen], np.full(length, class_key(s)), np.full(length, len(s)), often[chosen])):
+            rows = (s[chosen], np.full(length, class_key(s)), np.full(length, len(s), np.int32),
+                    np.arange(length, dtype=np.int32), often[chosen])
+            for column, values in zip(out, rows):
                 column.append(values)
         if out[0]:
-            shingle, key, n, often = (np.concatenate(c) for c in out)
-            return {"shingle": shingle.view(np.int64), "set_id": key, "n": n, "hot": often}
+            shingle, key, n, place, often = (np.concatenate(c) for c in out)
+            return {"shingle": shingle.view(np.int64), "set_id": key, "n": n, "place": place, "hot": often}
 
-    return _per_slice(docs, text, make, "shingle long, set_id long, n long, hot boolean")
+    return _per_slice(docs, text, make, "shingle long, set_id long, n int, place int, hot boolean")
 
 
-def _blocks(prefixes: DataFrame) -> DataFrame:
+def _partnered(n: np.ndarray, place: np.ndarray, ends: np.ndarray, percent: int) -> np.ndarray:
+    """Rows that may link with another row of their group, if their shingle is the first they share.
+
+    At the first shingle two sets share, the rest of the smaller tail bounds their overlap.
+    """
+    keep = np.zeros(len(n), bool)
+    at = np.arange(len(n))
+    last = np.repeat(ends, np.diff(np.append(0, ends)))
+    for step in range(1, int(np.diff(np.append(0, ends)).max(initial=0))):
+        a = at[at + step < last]
+        b = a + step
+        rest = np.minimum(n[a] - place[a], n[b] - place[b])
+        fits = (100 + percent) * rest >= percent * (n[a] + n[b])
+        fits &= (100 * n[a] >= percent * n[b]) & (100 * n[b] >= percent * n[a])
+        keep[a[fits]] = True
+        keep[b[fits]] = True
+    return keep
+
+
+def _blocks(prefixes: DataFrame, percent: int) -> DataFrame:
     """(low, high, set_id): the classes that share a shingle, under the shingle's smallest and largest."""
 
     def group(batches):
-        parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
+        parts = [[b.column(i).to_numpy() for i in range(4)] for b in batches if b.num_rows]
         if not parts:
             return
-        shingle, key = (np.concatenate(c) for c in zip(*parts))
-        order = np.argsort(shingle)
-        shingle, key = shingle[order], key[order]
+        shingle, key, n, place = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((key, shingle))
+        shingle, key, n, place = shingle[order], key[order], n[order].astype(np.int64), place[order].astype(np.int64)
+        fresh = np.r_[True, (shingle[1:] != shingle[:-1]) | (key[1:] != key[:-1])]  # copies give equal rows
+        shingle, key, n, place = shingle[fresh], key[fresh], n[fresh], place[fresh]
+        change = shingle[1:] != shingle[:-1]
+        alone = np.r_[True, change] & np.r_[change, True]
+        shingle, key, n, place = shingle[~alone], key[~alone], n[~alone], place[~alone]
+        if not len(key):
+            return
+        ends = np.append(np.flatnonzero(shingle[1:] != shingle[:-1]) + 1, len(key))
+        keep = _partnered(n, place, ends, percent)
+        shingle, key = shingle[keep], key[keep]
+        if not len(key):
+            return
         first = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
-        low, high = np.minimum.reduceat(key, first), np.maximum.reduceat(key, first)
-        several = np.repeat(low < high, np.diff(np.append(first, len(key))))
         counts = np.diff(np.append(first, len(key)))
-        rows = np.stack([np.repeat(low, counts), np.repeat(high, counts), key], axis=1)[several]
-        if len(rows):
-            rows = np.unique(rows, axis=0)
-            yield pa.record_batch({"low": rows[:, 0], "high": rows[:, 1], "set_id": rows[:, 2]})
+        low, high = np.minimum.reduceat(key, first), np.maximum.reduceat(key, first)
+        rows = np.unique(np.stack([np.repeat(low, counts), np.repeat(high, counts), key], axis=1), axis=0)
+        yield pa.record_batch({"low": rows[:, 0], "high": rows[:, 1], "set_id": rows[:, 2]})
 
     schema = "low long, high long, set_id long"
-    rare = prefixes.where("not hot").select("shingle", "set_id").repartition("shingle").mapInArrow(group, schema)
+    rare = prefixes.where("not hot").select("shingle", "set_id", "n", "place").repartition("shingle")
     often = prefixes.where("hot").select("shingle", "set_id").distinct()
     named = often.groupBy("shingle").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low < high")
     common = often.join(named, "shingle").select("low", "high", "set_id")
-    return rare.union(common).distinct()
+    return rare.mapInArrow(group, schema).union(common).distinct()
 
 
 def _paged(members: DataFrame, page: int) -> DataFrame:
@@ -193,47 +241,90 @@ def _paged(members: DataFrame, page: int) -> DataFrame:
     )
 
 
-_MEMBERS = "low long, high long, set_id long, root long, several boolean"
-
-
-def _join_page(percent: int):
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("set_id").reset_index(drop=True)
+def _propose(percent: int, spanning: bool):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates("set_id").sort_values("set_id").reset_index(drop=True)
         ids = rows["set_id"].to_numpy(np.int64)
-        place, _ = connect([np.frombuffer(s, np.uint64) for s in rows["shingles"]], percent)
-        return pd.DataFrame({
-            "low": rows["low"], "high": rows["high"], "set_id": ids, "root": ids[place], "several": rows["pages"] > 1,
-        })
+        order = np.array([int.from_bytes(b[:8], "little") & 0xFFFFFFFF for b in rows["bits"]], np.int64)
+        pairs = candidates(
+            list(rows["bits"]), rows["n"].to_numpy(np.int64), order, percent, rows["root"].to_numpy(np.int64), spanning
+        )
+        return pd.DataFrame([sorted((ids[i], ids[j])) for i, j in pairs], columns=["a", "b"], dtype="int64")
 
     return run
 
 
-def _contract(members: DataFrame, sets: DataFrame, percent: int, page: int) -> DataFrame:
-    """(set_id, root) for every class, joined inside its home block."""
-    roots, level, size = None, members, None
+class _Verifier:
+    """Tests proposed pairs on whole sets, which it scans out of the texts of the classes concerned."""
+
+    def __init__(self, docs: DataFrame, text: str, first: DataFrame, percent: int):
+        self.docs, self.text, self.first, self.percent = docs, text, first, percent
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose Jaccard reaches the bound."""
+        percent = self.percent
+        pairs = written(pairs.distinct(), "pairs")
+        asked = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+        asked = written(self.first.join(asked, "set_id"), "asked")
+        shared = self.docs.sparkSession.sparkContext.broadcast(bitmap_of(asked, "doc_id"))
+
+        def sets_of(ids, sets):
+            at = [i for i in np.flatnonzero(perhaps_in(shared.value, ids)) if len(sets[i])]
+            if at:
+                return {
+                    "doc_id": pa.array(ids[at]),
+                    "set_id": pa.array([class_key(sets[i]) for i in at], pa.int64()),
+                    "shingles": pa.array([sets[i].tobytes() for i in at], pa.binary()),
+                }
+
+        def test(batches):
+            for batch in batches:
+                keep = [
+                    alike(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), percent)
+                    for x, y in zip(batch.column(2), batch.column(3))
+                ]
+                yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+        sets = _per_slice(self.docs, self.text, sets_of, "doc_id long, set_id long, shingles binary")
+        # The bitmap lets others pass; this join is exact and leaves one text for each class.
+        sets = sets.join(asked, ["set_id", "doc_id"], "left_semi").select("set_id", "shingles")
+        sets = written(sets.dropDuplicates(["set_id"]), "sets")
+        x = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
+        y = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
+        both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+        return written(both.mapInArrow(test, "a long, b long").distinct(), "links")
+
+
+def _with_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members with the root of their component, by default themselves."""
+    return members.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+
+
+def _roots(links: DataFrame) -> DataFrame:
+    return smallest_reachable(links).select(F.col("node").alias("set_id"), "root")
+
+
+def _connect_families(blocks: DataFrame, classes: DataFrame, verifier: _Verifier, page: int) -> DataFrame:
+    """Links that connect the families of each block, found on pages and then among representatives."""
+    level, links, size = blocks, None, None
+    propose = _propose(verifier.percent, spanning=True)
     while True:
-        ready = _paged(level, page).join(sets, "set_id")
-        found = written(
-            ready.groupBy("low", "high", "page").applyInPandas(_join_page(percent), _MEMBERS), "pages"
-        )
-        step = found.select("set_id", "root")
-        if roots is None:
-            roots = step
-        else:
-            up = step.select(F.col("set_id").alias("root"), F.col("root").alias("upper"))
-            roots = written(
-                roots.join(up, "root", "left").select("set_id", F.coalesce("upper", "root").alias("root")), "roots"
-            )
-        level = found.where("several and set_id = root").select("low", "high", "set_id")
-        left = level.count()
+        level = written(_paged(level, page), "pages")
+        ready = level.join(classes, "set_id").withColumn("root", F.col("set_id"))
+        pairs = ready.groupBy("low", "high", "page").applyInPandas(propose, "a long, b long")
+        found = verifier.links(pairs)
+        links = found if links is None else written(links.union(found), "all-links")
+        large = level.where("pages > 1").select("low", "high", "set_id")
+        left = large.count()
         if left == 0 or (size is not None and left > size // 2):
-            return roots  # one page for each block, or unlike sets that a further round would not join
+            return links  # one page for each block, or unlike sets that a further round would not join
         size = left
+        level = _with_roots(large, _roots(links)).select("low", "high", F.col("root").alias("set_id")).distinct()
 
 
-def _remaining(blocks: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, page: int) -> DataFrame:
-    """Links (a, b) between components that meet in a block, every pair of their classes compared."""
-    members = blocks.join(roots, "set_id")
+def _compare_rest(blocks: DataFrame, classes: DataFrame, roots: DataFrame, verifier: _Verifier, page: int) -> DataFrame:
+    """Links between components that meet in a block, every pair of their classes compared."""
+    members = _with_roots(blocks, roots)
     mixed = members.groupBy("low", "high").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y")
     members = written(members.join(mixed.select("low", "high"), ["low", "high"], "left_semi"), "mixed")
     paged = _paged(members, page)
@@ -259,15 +350,9 @@ def _remaining(blocks: DataFrame, roots: DataFrame, sets: DataFrame, percent: in
     sides = pairs.select("low", "high", "one", "other", F.col("one").alias("page")).union(
         pairs.where("one <> other").select("low", "high", "one", "other", F.col("other").alias("page"))
     )
-    ready = sides.join(paged, ["low", "high", "page"]).join(sets, "set_id")
-
-    def compare(key, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("set_id").reset_index(drop=True)
-        roots_ = rows["root"].to_numpy(np.int64)
-        _, links = connect([np.frombuffer(s, np.uint64) for s in rows["shingles"]], percent, roots_)
-        return pd.DataFrame([(roots_[i], roots_[j]) for i, j in links], columns=["a", "b"], dtype="int64")
-
-    return ready.groupBy("low", "high", "one", "other").applyInPandas(compare, "a long, b long")
+    ready = sides.join(paged, ["low", "high", "page"]).join(classes, "set_id")
+    propose = _propose(verifier.percent, spanning=False)
+    return verifier.links(ready.groupBy("low", "high", "one", "other").applyInPandas(propose, "a long, b long"))
 
 
 def similar_documents(
@@ -280,44 +365,23 @@ def similar_documents(
     that repeat a doc_id give a row each. A row without doc_id joins its neighbours; its own
     component_id is null if no other has one. Other columns of `docs` are ignored.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    classes = written(classes_of(docs, text), "classes")
-    total = classes.agg(F.sum("n")).first()[0] or 0
-    hot, bits = _frequent(docs, text, total, least_hot)
-    blocks = written(_blocks(_prefixes(docs, text, hot, bits, percent)), "blocks")
+    ship(docs.sparkSession)
+    found = written(classes_of(docs, text), "classes")
+    hot, bits = _frequent(docs, text, least_hot)
+    blocks = written(_blocks(_prefixes(docs, text, hot, bits, percent), percent), "blocks")
 
+    first = found.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     wanted = blocks.select("set_id").distinct()
-    first = classes.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     first = written(first.join(wanted, "set_id", "left_semi"), "firsts")
-    bitmap = spark.sparkContext.broadcast(bitmap_of(first, "doc_id"))
-
-    def sets_of(ids, sets):
-        at = [i for i in np.flatnonzero(perhaps_in(bitmap.value, ids)) if len(sets[i])]
-        if at:
-            return {
-                "doc_id": pa.array(ids[at]),
-                "set_id": pa.array([class_key(sets[i]) for i in at], pa.int64()),
-                "shingles": pa.array([sets[i].tobytes() for i in at], pa.binary()),
-            }
-
-    sets = _per_slice(docs, text, sets_of, "doc_id long, set_id long, shingles binary")
-    # The join is exact; rows that repeat a doc_id and a text leave one.
-    sets = sets.join(first, ["doc_id", "set_id"], "left_semi").select("set_id", "shingles").dropDuplicates(["set_id"])
-    sets = written(sets, "sets")
-
-    home = blocks.groupBy("set_id").agg(F.min(F.struct("low", "high")).alias("home"))
-    home = home.select(F.col("home.low").alias("low"), F.col("home.high").alias("high"), "set_id")
-    roots = _contract(home, sets, percent, page)
-    links = written(_remaining(blocks, roots, sets, percent, page), "late-links")
-    upper = smallest_reachable(links)
-    upper = upper.select(F.col("node").alias("root"), F.col("root").alias("upper"))
-    roots = roots.join(upper, "root", "left")
-    roots = roots.select("set_id", F.coalesce("upper", "root").alias("root"))
-
-    parts = written(
-        classes.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id")), "parts"
+    classes = written(
+        found.join(first, ["set_id", "doc_id"], "left_semi").select("set_id", "n", "bits").dropDuplicates(["set_id"]), "signatures"
     )
+    verifier = _Verifier(docs, text, first, percent)
+    links = _connect_families(blocks, classes, verifier, page)
+    late = _compare_rest(blocks, classes, _roots(links), verifier, page)
+    roots = _roots(links.union(late))
+
+    parts = written(_with_roots(found.select("doc_id", "set_id", "n"), roots), "parts")
     known = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
     least = parts.where("root is not null").groupBy("root").agg(F.min(known).alias("least"), F.count(F.lit(1)).alias("rows"))
     least = least.where("rows > 1")  # the others are their own component

@@ -1,9 +1,13 @@
-"""Signature trees: which sets of a block resemble each other, by a dual traversal.
+"""Signature trees: which sets of a block may resemble each other, by a dual traversal.
 
-A leaf holds one set: its size and a bitmap of its members. A node holds the OR of its children's
-bitmaps and the range of their sizes. Two nodes can only lead to a pair of enough overlap if their
-size ranges allow it and if their common bits, plus the members that share a bit inside one set,
-reach the overlap that the smallest sizes require. Pairs of nodes that fail are dropped unopened.
+A leaf stands for one set: its size and a bitmap of its members. A node holds the OR of its
+children's bitmaps and the range of their sizes. Two nodes can only lead to a pair of enough overlap
+if their size ranges allow it and if their common bits, plus the members that share a bit inside one
+set, reach the overlap that the smallest sizes require. Pairs of nodes that fail are dropped
+unopened. No pair of sets that resemble each other is ever dropped.
+
+A bitmap has four to eight bits for each member, a power of two. A larger bitmap is folded before it
+meets a smaller one; sets whose sizes allow a pair differ by one power at most.
 """
 
 from __future__ import annotations
@@ -13,7 +17,8 @@ from dataclasses import dataclass
 import numpy as np
 
 FANOUT = 8
-CHUNK = 8192
+CHUNK = 4096
+MOST_BITS = 1 << 17
 
 
 @dataclass
@@ -51,12 +56,21 @@ class Components:
         return found
 
 
-def _bitmaps(sets: list[np.ndarray]) -> np.ndarray:
-    sizes = np.array([len(s) for s in sets])
-    bits = 1 << int(np.clip(np.ceil(np.log2(2 * np.median(sizes) + 1)), 8, 14))
-    rows = np.zeros((len(sets), bits), bool)
-    rows[np.repeat(np.arange(len(sets)), sizes), (np.concatenate(sets) & np.uint64(bits - 1)).astype(np.int64)] = True
-    return np.packbits(rows, axis=1).view(np.uint64)
+def bitmap(members: np.ndarray) -> bytes:
+    """The bitmap of a set of 64-bit hashes."""
+    bits = min(MOST_BITS, max(64, 1 << (4 * len(members) - 1).bit_length()))
+    flags = np.zeros(bits, bool)
+    flags[(members & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def _rows(bitmaps: list[bytes], bits: int) -> np.ndarray:
+    """Bitmaps as rows of `bits` bits; those of twice the size are folded."""
+    rows = []
+    for b in bitmaps:
+        row = np.frombuffer(b, np.uint64)
+        rows.append(row if 8 * len(b) == bits else row[: len(row) // 2] | row[len(row) // 2 :])
+    return np.stack(rows)
 
 
 def _tree(bits: np.ndarray, sizes: np.ndarray, roots: np.ndarray) -> list[Level]:
@@ -97,61 +111,65 @@ def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
-def connect(sets: list[np.ndarray], percent: int, groups: np.ndarray | None = None) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Join sets (sorted, distinct, not empty) whose Jaccard is at least percent / 100.
+def candidates(
+    bitmaps: list[bytes], sizes: np.ndarray, order_key: np.ndarray, percent: int,
+    groups: np.ndarray | None = None, spanning: bool = False,
+) -> list[tuple[int, int]]:
+    """Pairs of sets whose Jaccard may reach percent / 100, in no particular order.
 
-    `groups` numbers sets that are known to be connected. Returns the component of each set (the
-    place of its first member) and the verified pairs that joined two components: a spanning forest,
-    so a block of n sets gives fewer than n pairs however many resemble each other.
+    `groups` numbers sets known to be connected; pairs inside one are left out. `order_key` puts sets
+    that are alike side by side in the tree. With `spanning`, a pair that is found counts as
+    connected at once, so n sets give fewer than n pairs; without, every possible pair is returned.
     """
-    n = len(sets)
-    sizes = np.array([len(s) for s in sets], np.int64)
-    band = np.floor(np.log(np.maximum(sizes, 1)) / np.log(100 / percent)).astype(np.int64)
-    order = np.lexsort((np.array([s[0] for s in sets], np.uint64), band))
-    sets, sizes = [sets[i] for i in order], sizes[order]
-    start = np.arange(n)
+    width = np.array([8 * len(b) for b in bitmaps], np.int64)
+    start = np.arange(len(bitmaps))
     if groups is not None:
-        _, first, inverse = np.unique(groups[order], return_index=True, return_inverse=True)
+        _, first, inverse = np.unique(groups, return_index=True, return_inverse=True)
         start = first[inverse]
-    parts, links = Components(start), []
-
-    def verify(a, b):
-        for i, j in zip(a.tolist(), b.tolist()):
-            if parts.find(i) != parts.find(j) and alike(sets[i], sets[j], percent):
-                parts.union(i, j)
-                links.append((int(order[i]), int(order[j])))
-
-    bits = _bitmaps(sets)
-    # Neighbours in the tree's order first: what they join need not be opened again.
-    leaf = _tree(bits, sizes, parts.roots())[0]
-    a = np.arange(n - 1)
-    near = _possible(leaf, a, a + 1, percent)
-    verify(a[near], a[near] + 1)
-
-    levels = _tree(bits, sizes, parts.roots())
-    stack = [(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
-    step = np.arange(FANOUT)
-    while stack:
-        depth, a, b = stack.pop()
-        level = levels[depth]
-        if depth == 0:
-            roots = parts.roots()
-            level = Level(level.bits, level.least, level.most, level.spare, roots, roots)
-        keep = _possible(level, a, b, percent)
-        a, b = a[keep], b[keep]
-        if depth == 0:
-            verify(a, b)
+    parts, found = Components(start), []
+    for bits in np.unique(width):
+        mine = np.flatnonzero((width == bits) | (width == 2 * bits))
+        mine = mine[np.lexsort((order_key[mine], np.log2(sizes[mine]).astype(np.int64)))]
+        own = width[mine] == bits
+        if len(mine) < 2:
             continue
-        # Open the children of both nodes; each unordered pair once.
-        x = np.repeat(a[:, None] * FANOUT + step, FANOUT, axis=1).ravel()
-        y = np.tile(b[:, None] * FANOUT + step, FANOUT).ravel()
-        there = len(levels[depth - 1].least)
-        fits = (x < there) & (y < there) & ((x < y) if depth == 1 else (x <= y))
-        x, y = x[fits], y[fits]
-        stack += [(depth - 1, x[i : i + CHUNK], y[i : i + CHUNK]) for i in range(0, len(x), CHUNK)]
-    roots = parts.roots()
-    place = np.empty(n, np.int64)
-    first = np.full(n, n)
-    np.minimum.at(first, roots, order)
-    place[order] = first[roots]
-    return place, links
+        levels = _tree(_rows([bitmaps[i] for i in mine], int(bits)), sizes[mine], parts.roots()[mine])
+
+        def meet(a, b):
+            for i, j in zip(mine[a].tolist(), mine[b].tolist()):
+                if not spanning:
+                    found.append((i, j))
+                elif parts.find(i) != parts.find(j):
+                    parts.union(i, j)
+                    found.append((i, j))
+
+        if spanning:  # neighbours first: what they join need not be opened again
+            a = np.arange(len(mine) - 1)
+            a = a[own[a] | own[a + 1]]
+            near = _possible(levels[0], a, a + 1, percent)
+            meet(a[near], a[near] + 1)
+            levels = _tree(levels[0].bits, sizes[mine], parts.roots()[mine])
+        stack = [(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+        step = np.arange(FANOUT)
+        while stack:
+            depth, a, b = stack.pop()
+            level = levels[depth]
+            if depth == 0:
+                roots = parts.roots()[mine]
+                level = Level(level.bits, level.least, level.most, level.spare, roots, roots)
+            keep = _possible(level, a, b, percent)
+            a, b = a[keep], b[keep]
+            if depth == 0:
+                meet(a, b)
+                continue
+            # Open the children of both nodes; each unordered pair once.
+            x = np.repeat(a[:, None] * FANOUT + step, FANOUT, axis=1).ravel()
+            y = np.tile(b[:, None] * FANOUT + step, FANOUT).ravel()
+            there = len(levels[depth - 1].least)
+            fits = (x < there) & (y < there) & ((x < y) if depth == 1 else (x <= y))
+            x, y = x[fits], y[fits]
+            if depth == 1:  # a pair of two wider bitmaps is met at their own width
+                narrow = own[x] | own[y]
+                x, y = x[narrow], y[narrow]
+            stack += [(depth - 1, x[i : i + CHUNK], y[i : i + CHUNK]) for i in range(0, len(x), CHUNK)]
+    return found

@@ -59,6 +59,14 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One hash for each run of bytes, by differences of one running polynomial."""
+    up, down = _power(len(data) + 1)
+    sums = np.zeros(len(data) + 1, _U)
+    np.cumsum(_BYTES[data] * up[: len(data)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
+
+
 @dataclass
 class Words:
     """Words of a run of texts; those of text i are numbered ptr[i] to ptr[i + 1]."""
@@ -70,11 +78,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """One hash per word: equal words have equal hashes."""
-        up, down = _power(len(self.data) + 1)
-        sums = np.zeros(len(self.data) + 1, _U)
-        np.cumsum(_BYTES[self.data] * up[: len(self.data)], out=sums[1:])
-        lengths = (self.ends - self.starts).astype(_U)
-        return mix((sums[self.ends] - sums[self.starts]) * down[self.starts] + lengths)
+        return span_hashes(self.data, self.starts, self.ends)
 
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
