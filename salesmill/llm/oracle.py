@@ -1,3 +1,31 @@
 """DuckDB statements for the queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+#: Windows of items meet windows of documents of the same length by their text.
+OP6 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, []) AS w FROM documents
+), b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL
+), iw AS (
+  SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS t
+  FROM (SELECT item, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS t
+  FROM (SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+        FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)
+), hit AS (
+  SELECT dw.r, dw.i, dw.n, iw.item FROM dw JOIN iw ON dw.t = iw.t AND dw.n = iw.n
+), items AS (
+  SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS list FROM hit GROUP BY r
+), covered AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + n - 1)) AS p FROM hit) GROUP BY r
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN items USING (r) LEFT JOIN covered USING (r)
+"""
+
+ORACLE: dict[str, str] = {"op6_decontaminate": OP6}

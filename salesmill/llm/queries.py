@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from salesmill.llm import langid
+from salesmill.llm.decontaminate import find_contamination
 from salesmill.llm.jaccard import similar_documents
+from salesmill.llm.packing import matrix_digest, pack_evenly, pack_matrix
+from salesmill.llm.pii import find_personal_data
 from salesmill.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,10 +21,39 @@ def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
+def crc_mod(column: str, modulus: int):
+    """crc32 of a number written as text, modulo `modulus`."""
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
+
+
+def op4_language_id(spark, base):
+    docs = _table(spark, base, "documents")
+    held_out = crc_mod("doc_id", 4) == 2
+    model = langid.fit(docs.select("doc_id", "text", "lang").where(~held_out))
+    return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op5_personal_data(spark, base):
+    return find_personal_data(_table(spark, base, "documents"))
+
+
+def op6_decontaminate(spark, base):
+    found = find_contamination(_table(spark, base, "documents"), _table(spark, base, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op7_jaccard_join(spark, base):
     return similar_documents(_table(spark, base, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op9_pack_matrix(spark, base):
+    return matrix_digest(pack_matrix(_table(spark, base, "documents")))
+
+
+def op10_pack_evenly(spark, base):
+    return pack_evenly(_table(spark, base, "documents"))
+
+
 def build_queries() -> dict[str, Query]:
     import corpus_pipeline
 
