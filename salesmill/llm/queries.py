@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesmill.llm import langid
+from salesmill.llm import langid, lm
 from salesmill.llm.decontaminate import find_contamination
 from salesmill.llm.jaccard import similar_documents
 from salesmill.llm.packing import matrix_digest, pack_evenly, pack_matrix
@@ -46,6 +46,15 @@ def op7_jaccard_join(spark, base):
     return similar_documents(_table(spark, base, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op8_lm_score(spark, base):
+    docs = _table(spark, base, "documents")
+    held_out = crc_mod("doc_id", 7) == 2
+    model, counts = lm.fit(docs.where(~held_out))
+    return lm.score(docs, model, counts).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op9_pack_matrix(spark, base):
     return matrix_digest(pack_matrix(_table(spark, base, "documents")))
 
