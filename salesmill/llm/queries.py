@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesmill.llm import langid, lm
+from salesmill.llm import langid, lm, toxicity
 from salesmill.llm.decontaminate import find_contamination
+from salesmill.llm.html import extract
 from salesmill.llm.jaccard import similar_documents
 from salesmill.llm.packing import matrix_digest, pack_evenly, pack_matrix
 from salesmill.llm.pii import find_personal_data
 from salesmill.llm.shipping import ship
+from salesmill.llm.syncmers import fingerprints
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +28,22 @@ def crc_mod(column: str, modulus: int):
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
 
 
+def op1_html_text(spark, base):
+    return extract(_table(spark, base, "pages"))
+
+
+def op2_syncmers(spark, base):
+    return fingerprints(_table(spark, base, "documents"))
+
+
+def op3_toxicity(spark, base):
+    docs = _table(spark, base, "documents")
+    labels = _table(spark, base, "labels").select("doc_id", F.col("toxic").alias("grade"))
+    model = toxicity.fit(docs, labels, split=True)
+    found = toxicity.predict(docs, model)
+    return found.select("doc_id", "severity", F.get("chances", F.lit(1)).alias("chance_severe"), "toxic")
+
+
 def op4_language_id(spark, base):
     docs = _table(spark, base, "documents")
     held_out = crc_mod("doc_id", 4) == 2
