@@ -24,6 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from salesmill.llm.bitmap import bitmap_of, perhaps_in
 from salesmill.llm.components import smallest_reachable
@@ -358,10 +359,10 @@ def _compare_rest(blocks: DataFrame, classes: DataFrame, roots: DataFrame, verif
 def similar_documents(
     docs: DataFrame, text: str = "text", percent: int = PERCENT, page: int = PAGE, least_hot: int = LEAST_HOT
 ) -> DataFrame:
-    """One row per row of `docs`: (doc_id, n_shingles, set_id, component_id).
+    """One row per row of `docs`: (doc_id, n_shingles, set_id, group_id, component_id).
 
     component_id is the smallest doc_id that links can reach, the row's own included; set_id is
-    shared by texts of equal sets. Null and empty texts have no shingles and link with nothing. Rows
+    shared by texts of equal sets, group_id by texts that links connect. Null and empty texts have no shingles and link with nothing. Rows
     that repeat a doc_id give a row each. A row without doc_id joins its neighbours; its own
     component_id is null if no other has one. Other columns of `docs` are ignored.
     """
@@ -389,5 +390,48 @@ def similar_documents(
         known.alias("doc_id"),
         F.col("n").alias("n_shingles"),
         "set_id",
+        F.col("root").alias("group_id"),
         F.when(F.col("rows").isNotNull(), F.col("least")).otherwise(known).alias("component_id"),
     )
+
+
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of `docs`, all columns, less near duplicates: of each group the smallest doc_id stays.
+
+    Texts without words are in no group and all stay. A group of rows without doc_id keeps one of
+    them; rows that repeat a doc_id and a set of shingles leave one. Only rows whose id may have to go
+    are shuffled.
+    """
+    spark = docs.sparkSession
+    found = written(similar_documents(docs, percent=percent).select("doc_id", "set_id", "group_id"), "groups")
+    found = found.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+    grouped = found.where("group_id is not null")
+    best = F.min(F.struct(F.col("doc_id") == NO_ID, "doc_id", "set_id")).alias("best")
+    keep = written(grouped.groupBy("group_id").agg(best).select("best.doc_id", "best.set_id"), "kept")
+    leaving = grouped.join(keep, ["doc_id", "set_id"], "left_anti").select("doc_id")
+    repeated = grouped.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    bitmap = spark.sparkContext.broadcast(bitmap_of(leaving.union(repeated), "doc_id"))
+
+    def split(perhaps: bool):
+        def run(batches):
+            for batch in batches:
+                for part in byte_slices(batch, "text"):
+                    ids = part.column(part.schema.get_field_index("doc_id")).cast(pa.int64()).fill_null(NO_ID)
+                    chosen = part.filter(pa.array(perhaps_in(bitmap.value, ids.to_numpy()) == perhaps))
+                    if not perhaps:
+                        yield chosen
+                    elif chosen.num_rows:
+                        sets = shingle_sets(chosen.column(chosen.schema.get_field_index("text")))
+                        keys = pa.array([class_key(s) if len(s) else None for s in sets], pa.int64())
+                        yield chosen.append_column("_set_id", keys)
+
+        return run
+
+    certain = docs.mapInArrow(split(False), docs.schema)
+    rows = docs.mapInArrow(split(True), StructType([*docs.schema.fields, StructField("_set_id", LongType())]))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    rows = rows.withColumn("_id", key)
+    keep = keep.select(F.col("doc_id").alias("_id"), F.col("set_id").alias("_set_id"))
+    chosen = rows.join(keep, ["_id", "_set_id"], "left_semi").dropDuplicates(["_id", "_set_id"])
+    wordless = rows.where("_set_id is null")
+    return certain.unionByName(chosen.select(*docs.columns)).unionByName(wordless.select(*docs.columns))
