@@ -97,8 +97,10 @@ _SPELLED = re.compile(
 _RUN = re.compile(rf"(?:\bplus\s{{1,4}})?\b{_NAME}(?:[\s,.·-]{{1,4}}(?:{_NAME}|{_DOT})\b){{3,}}", re.I)
 _PART = re.compile(rf"(?P<plus>plus)|(?P<dot>{_DOT})|(?P<digit>{_NAME})", re.I)
 _LOOKS_DIGIT = re.compile(r"(?<=[0-9])[OoIl](?=[0-9])")
-_ODD = re.compile("[­·Ͱ-ԯ٠-٩۰-۹०-९‐-―​-‏•․‧"
-                  "⁠-⁤−①-⑳➕。﹒﹫﻿！-～\U0001d400-\U0001d7ff]")
+_ODD = re.compile(
+    "[­·Ͱ-ԯ٠-٩۰-۹०-९‐-―​-‏•․‧⁠-⁤"
+    "−①-⑳➕。﹒﹫﻿！-～\U0001d400-\U0001d7ff]"
+)
 _SIGN = re.compile(rf"[(\[{{<]\s{{0,4}}(?:{_AT}|@|{_DOT}|\.)\s{{0,4}}[)\]}}>]|\s(?:{_DOT})\s|\s@\s|[0-9][oil][0-9]|\b{_NAME}[\s,.·-]{{1,4}}{_NAME}\b")
 
 
@@ -123,6 +125,8 @@ class Traced:
             end += self.end[done:a] + [self.end[b - 1]] * len(new)
             changed += self.changed[done:a] + [True] * len(new)
             done = b
+            if not new and done < len(self.text):  # what is taken out shows on the next character
+                self.changed[done] = True
         self.text = "".join(text) + self.text[done:]
         self.start = start + self.start[done:]
         self.end = end + self.end[done:]
