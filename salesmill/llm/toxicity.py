@@ -21,13 +21,15 @@ from salesmill.llm.shipping import ship
 from salesmill.llm.text import WORD, byte_slices, find_words, span_hashes
 from salesmill.session import written
 
-LEADS = (3, 4, 5)
+LEADS = (3, 4, 5, 6, 7, 8)
 FIT_ROWS = 20_000
 MOST_FEATURES = 1 << 14
 #: A feature must be in this share of the graded texts of the sample, this many times as often as in
 #: texts of grade 0, and its log-likelihood ratio against chance must reach this value.
 LEAST_SHARE, LEAST_RATIO, LEAST_EVIDENCE = 0.01, 8.0, 16.0
 STEPS, RATE, DECAY = 400, 0.1, 1e-3
+#: A text is called toxic from this chance of a grade above 0 on.
+LEAST_CHANCE = 0.3
 
 
 @dataclass
@@ -166,9 +168,9 @@ def _train(owner, columns, grades, width: int, top: int) -> tuple[np.ndarray, np
     return weights, low + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
+def predict(docs: DataFrame, model: Model, least: float = LEAST_CHANCE) -> DataFrame:
     """(doc_id, severity, chances, toxic): expected grade, P(grade > j) for each j, and whether P(> 0)
-    is at least one half. One row per row of `docs`; a null or empty text has no features."""
+    is at least `least`. One row per row of `docs`; a null or empty text has no features."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -184,7 +186,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 chance = 1 / (1 + np.exp(-np.clip(score[:, None] - m.thresholds, -30, 30)))
                 yield pa.record_batch([
                     part.column(0), pa.array(chance.sum(axis=1)), pa.array(chance.tolist(), pa.list_(pa.float64())),
-                    pa.array(chance[:, 0] >= 0.5),
+                    pa.array(chance[:, 0] >= least),
                 ], ["doc_id", "severity", "chances", "toxic"])
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
