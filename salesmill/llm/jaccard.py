@@ -29,7 +29,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from salesmill.llm.bitmap import bitmap_of, perhaps_in
 from salesmill.llm.components import smallest_reachable
 from salesmill.llm.shipping import ship
-from salesmill.llm.sigtree import alike, bitmap, candidates
+from salesmill.llm.sigtree import FANOUT, alike, bitmap, candidates, few_candidates
 from salesmill.llm.text import NOT_SPACE, byte_slices, find_words, mix, seeded, windows
 from salesmill.session import written
 
@@ -127,7 +127,7 @@ def _frequent(docs: DataFrame, text: str, least_hot: int) -> tuple[np.ndarray, i
                 "times": pa.array([counts[cut[i] : cut[i + 1]].tobytes() for i in range(len(there))], pa.binary()),
             })
 
-    def count(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def count(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         low = np.frombuffer(b"".join(rows["low"]), np.uint32)
         times = np.frombuffer(b"".join(rows["times"]), np.uint32).astype(np.int64)
         order = np.argsort(low)
@@ -242,17 +242,37 @@ def _paged(members: DataFrame, page: int) -> DataFrame:
     )
 
 
-def _propose(percent: int, spanning: bool):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("set_id").sort_values("set_id").reset_index(drop=True)
-        ids = rows["set_id"].to_numpy(np.int64)
-        order = np.array([int.from_bytes(b[:8], "little") & 0xFFFFFFFF for b in rows["bits"]], np.int64)
-        pairs = candidates(
-            list(rows["bits"]), rows["n"].to_numpy(np.int64), order, percent, rows["root"].to_numpy(np.int64), spanning
-        )
-        return pd.DataFrame([sorted((ids[i], ids[j])) for i, j in pairs], columns=["a", "b"], dtype="int64")
+def _propose(members: DataFrame, keys: list[str], percent: int, spanning: bool) -> DataFrame:
+    """Pairs (a, b) that the trees of each group of `members` (keys, set_id, n, bits, root) propose."""
 
-    return run
+    def pairs_of(group):
+        ids, sizes, bits, roots = zip(*group)
+        if len(ids) <= FANOUT:
+            found = few_candidates(bits, sizes, percent, roots, spanning)
+        else:
+            lead = np.array([int.from_bytes(b[:4], "little") for b in bits])
+            found = candidates(list(bits), np.array(sizes), lead, percent, np.array(roots), spanning)
+        return [(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in found]
+
+    def run(batches):
+        # Rows come sorted by key; a group has two pages at most.
+        key, group = None, []
+        for batch in batches:
+            out = []
+            columns = [c.to_pylist() for c in batch.columns]
+            for row in zip(*columns):
+                if row[: len(keys)] != key:
+                    if len(group) > 1:
+                        out += pairs_of(group)
+                    key, group = row[: len(keys)], []
+                group.append(row[len(keys) :])
+            if out:
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+        if len(group) > 1 and (out := pairs_of(group)):
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+
+    rows = members.select(*keys, "set_id", "n", "bits", "root").repartition(*keys)
+    return rows.sortWithinPartitions(*keys, "set_id").mapInArrow(run, "a long, b long")
 
 
 class _Verifier:
@@ -308,12 +328,10 @@ def _roots(links: DataFrame) -> DataFrame:
 def _connect_families(blocks: DataFrame, classes: DataFrame, verifier: _Verifier, page: int) -> DataFrame:
     """Links that connect the families of each block, found on pages and then among representatives."""
     level, links, size = blocks, None, None
-    propose = _propose(verifier.percent, spanning=True)
     while True:
         level = written(_paged(level, page), "pages")
         ready = level.join(classes, "set_id").withColumn("root", F.col("set_id"))
-        pairs = ready.groupBy("low", "high", "page").applyInPandas(propose, "a long, b long")
-        found = verifier.links(pairs)
+        found = verifier.links(_propose(ready, ["low", "high", "page"], verifier.percent, spanning=True))
         links = found if links is None else written(links.union(found), "all-links")
         large = level.where("pages > 1").select("low", "high", "set_id")
         left = large.count()
@@ -352,8 +370,7 @@ def _compare_rest(blocks: DataFrame, classes: DataFrame, roots: DataFrame, verif
         pairs.where("one <> other").select("low", "high", "one", "other", F.col("other").alias("page"))
     )
     ready = sides.join(paged, ["low", "high", "page"]).join(classes, "set_id")
-    propose = _propose(verifier.percent, spanning=False)
-    return verifier.links(ready.groupBy("low", "high", "one", "other").applyInPandas(propose, "a long, b long"))
+    return verifier.links(_propose(ready, ["low", "high", "one", "other"], verifier.percent, spanning=False))
 
 
 def similar_documents(

@@ -111,6 +111,29 @@ def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
+def few_candidates(
+    bitmaps: list[bytes], sizes: list[int], percent: int, groups: list[int], spanning: bool = False
+) -> list[tuple[int, int]]:
+    """`candidates` for sets that fit one node, whose children are its leaves: plain integers do."""
+    found, group = [], list(groups)
+    bits = [int.from_bytes(b, "little") for b in bitmaps]
+    spare = [n - b.bit_count() for n, b in zip(sizes, bits)]
+    for j in range(1, len(sizes)):
+        for i in range(j):
+            if group[i] == group[j] or 100 * min(sizes[i], sizes[j]) < percent * max(sizes[i], sizes[j]):
+                continue
+            x, y, a, b = bits[i], bits[j], spare[i], spare[j]
+            if len(bitmaps[i]) != len(bitmaps[j]):
+                half = 8 * min(len(bitmaps[i]), len(bitmaps[j]))
+                x, y = (w >> half | w & ((1 << half) - 1) for w in (x, y))
+                a, b = sizes[i] - x.bit_count(), sizes[j] - y.bit_count()
+            if (100 + percent) * ((x & y).bit_count() + min(a, b)) >= percent * (sizes[i] + sizes[j]):
+                found.append((i, j))
+                if spanning:
+                    group = [group[i] if g == group[j] else g for g in group]
+    return found
+
+
 def candidates(
     bitmaps: list[bytes], sizes: np.ndarray, order_key: np.ndarray, percent: int,
     groups: np.ndarray | None = None, spanning: bool = False,
