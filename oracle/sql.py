@@ -199,6 +199,12 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber::BIGINT AS l_linenumber, l
        l_tax, l_returnflag, l_linestatus, CAST(l_shipdate AS VARCHAR) AS l_shipdate
 FROM lineitem"""
 
+Q["stage_typed_orders"] = """
+SELECT o_orderkey AS chave, CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS DOUBLE) AS total, o_orderpriority AS prioridade,
+       o_orderstatus = 'F' AS fechado, strftime(o_orderdate, '%Y-%m-%d') AS dia,
+       'bigint' AS tipo_chave, 'decimal(18,4)' AS tipo_total, 'string' AS tipo_prioridade, 'timestamp_ntz' AS tipo_momento,
+       'boolean' AS tipo_fechado
+FROM orders"""
 Q["stage_row_counts"] = sql("""
 SELECT 'stage_clientes' AS "table", count(*) AS "rows" FROM t_customer
 UNION ALL SELECT 'stage_pessoas', count(*) FROM t_person
@@ -418,7 +424,7 @@ FROM numbered""", numbered=_renumbered("d_regiao", "nk_regiao", "first_territory
 Q["scd1_upsert_vendedor"] = sql("""
 SELECT sk AS sk_vendedor, nk_vendedor, nome_vendedor, codigo_vendedor, sk_regiao,
        CAST(data_admissao AS VARCHAR) AS data_admissao, CAST(meta_anual AS DOUBLE) AS meta_anual,
-       CAST(comissao_percentual AS DOUBLE) AS comissao_percentual
+       CAST(comissao_percentual AS DOUBLE) AS comissao_percentual, TRUE AS status_ativo
 FROM numbered""", numbered=_renumbered("d_vendedor", "nk_vendedor", "early_seller"))
 Q["scd1_upsert_oferta"] = sql("""
 SELECT sk AS sk_oferta, nk_oferta, descricao_oferta, CASE WHEN early THEN 'Old' ELSE tipo_oferta END AS tipo_oferta,
@@ -573,8 +579,9 @@ Q["dq_row_counts"] = sql("\nUNION ALL ".join(
 
 _BAND = """CASE WHEN {0} = 0 THEN 'Sem Desconto' WHEN {0} <= 10 THEN '1-10%' WHEN {0} <= 20 THEN '11-20%'
             WHEN {0} <= 30 THEN '21-30%' ELSE 'Acima de 30%' END"""
-_ABC = "CASE WHEN {0} > 95 THEN 'C - Baixo Valor' WHEN {0} > 80 THEN 'B - Médio Valor' ELSE 'A - Alto Valor' END"
-_CLASS = """CASE WHEN {0} < 5000 THEN 'Basico' WHEN {0} < 20000 THEN 'Regular' WHEN {0} < 50000 THEN 'Premium' ELSE 'VIP' END"""
+# Classes and their bounds, in the order the model states them.
+_ABC = "CASE WHEN {0} <= 80 THEN 'A - Alto Valor' WHEN {0} <= 95 THEN 'B - Médio Valor' ELSE 'C - Baixo Valor' END"
+_CLASS = """CASE WHEN {0} >= 50000 THEN 'VIP' WHEN {0} >= 20000 THEN 'Premium' WHEN {0} >= 5000 THEN 'Regular' ELSE 'Basico' END"""
 _ORDERS = "count(DISTINCT numero_pedido)"
 _NET, _PROFIT = "sum(valor_liquido)", "sum(lucro_bruto)"
 _MARGIN = dbl(avg2("margem_contribuicao"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-
 from pyspark.sql import Column, functions as F
 
 # Labels and bounds that reports and dimensions must show exactly so.
@@ -21,7 +19,7 @@ PERSON, COMPANY, NEITHER = "Pessoa Física", "Empresa", "Indefinido"
 # Weekday names in the order a working week runs; reports sort by it.
 WEEK_ORDER = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
-# Room for sums over 10^12 lines, and still 14 digits after the point in a quotient of two.
+# Room for sums up to 10^20, and still 14 digits after the point in a quotient of two.
 _SUM = "decimal(24,4)"
 
 
@@ -63,13 +61,14 @@ def full_name(first: Column, last: Column, label: str, key: Column) -> Column:
     return F.coalesce(F.concat(first, F.lit(" "), last), F.concat(F.lit(label), key.cast("string")))
 
 
-def _first_match(cases: Sequence[tuple], test: Callable[[object], Column], otherwise: str) -> Column:
-    """Label of the first case whose test holds; `otherwise` if none does or the value is missing."""
-    return F.coalesce(*[F.when(test(bound), F.lit(label)) for bound, label in cases], F.lit(otherwise))
-
-
 def continent(group: Column) -> Column:
-    return _first_match(CONTINENTS, lambda part: group.like(f"%{part}%"), OTHER_CONTINENT)
+    (america, first), (europe, second), (pacific, third) = CONTINENTS
+    return (
+        F.when(group.like(f"%{america}%"), first)
+        .when(group.like(f"%{europe}%"), second)
+        .when(group.like(f"%{pacific}%"), third)
+        .otherwise(OTHER_CONTINENT)
+    )
 
 
 def customer_type(person: Column, store: Column) -> Column:
@@ -90,16 +89,29 @@ def list_margin(price: Column, cost: Column) -> Column:
 
 def discount_band(pct: Column) -> Column:
     """Upper bounds belong to the band; a missing discount falls through to the last one."""
-    band = _first_match(DISCOUNT_BANDS, lambda top: pct <= top, HIGHEST_DISCOUNT)
-    return F.when(pct == 0, NO_DISCOUNT).otherwise(band)
+    (low, first), (middle, second), (high, third) = DISCOUNT_BANDS
+    return (
+        F.when(pct == 0, NO_DISCOUNT)
+        .when(pct <= low, first)
+        .when(pct <= middle, second)
+        .when(pct <= high, third)
+        .otherwise(HIGHEST_DISCOUNT)
+    )
 
 
 def abc_class(cumulative_pct: Column) -> Column:
-    return _first_match(ABC_CLASSES, lambda top: cumulative_pct <= top, LAST_ABC_CLASS)
+    (high, first), (middle, second) = ABC_CLASSES
+    return F.when(cumulative_pct <= high, first).when(cumulative_pct <= middle, second).otherwise(LAST_ABC_CLASS)
 
 
 def customer_class(revenue_each: Column) -> Column:
-    return _first_match(CUSTOMER_CLASSES, lambda least: revenue_each >= least, LAST_CUSTOMER_CLASS)
+    (most, first), (more, second), (some, third) = CUSTOMER_CLASSES
+    return (
+        F.when(revenue_each >= most, first)
+        .when(revenue_each >= more, second)
+        .when(revenue_each >= some, third)
+        .otherwise(LAST_CUSTOMER_CLASS)
+    )
 
 
 def week_position(name: Column) -> Column:

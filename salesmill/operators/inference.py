@@ -8,6 +8,11 @@ from pyspark.sql import types as T
 BOOLEAN, INTEGER, DOUBLE = "BOOLEAN", "INTEGER", "DOUBLE PRECISION"
 NUMERIC, TIMESTAMP, TEXT = "NUMERIC(18,4)", "TIMESTAMP", "TEXT"
 
+#: What a staged column of each type is in Spark.
+SPARK_TYPES = {
+    BOOLEAN: "boolean", INTEGER: "bigint", DOUBLE: "double", NUMERIC: "decimal(18,4)", TIMESTAMP: "timestamp_ntz", TEXT: "string",
+}
+
 # Written forms of values in an untyped text extract.
 TEXT_FORMS = {
     BOOLEAN: r"^(?:[Tt]rue|[Ff]alse)$",
@@ -71,10 +76,15 @@ def infer_column_types(
     lines = []
     for field in df.schema.fields:
         value = F.col(f"`{field.name}`")
-        kind = _found(value, field.dataType, parse_text, date_as_timestamp)
-        if null_as_text:
-            kind = F.coalesce(kind, F.lit(TEXT))
-        lines.append(F.struct(F.lit(field.name).alias("column"), F.collect_set(kind).alias("kinds")))
+        if parse_text and isinstance(field.dataType, T.StringType):
+            kind = _found(value, field.dataType, parse_text, date_as_timestamp)
+            kinds = F.collect_set(F.coalesce(kind, F.lit(TEXT)) if null_as_text else kind)
+        else:  # the declared type; what is left to learn is whether values are there, and whether some are not
+            there = F.when(F.max(value.isNotNull()), F.array(F.lit(_declared(field.dataType, date_as_timestamp))))
+            gone = F.when(F.max(value.isNull()) & F.lit(null_as_text), F.array(F.lit(TEXT)))
+            none = F.array().cast("array<string>")
+            kinds = F.array_union(F.coalesce(there, none), F.coalesce(gone, none))
+        lines.append(F.struct(F.lit(field.name).alias("column"), kinds.alias("kinds")))
     return (
         df.agg(F.array(*lines).alias("_lines"))
         .select(F.inline("_lines"))

@@ -123,6 +123,14 @@ def enforce(table: Table, counted: Mapping[str, int]) -> None:
         raise QualityError(f"{table.name}: {bad}")
 
 
+def enforce_unique(df: DataFrame, table: Table) -> None:
+    """Stop if the surrogate or the natural key of `df` repeats."""
+    for keys in ([table.surrogate], list(table.natural)):
+        found = repeated_keys(df, table.name, keys).first()
+        if found["repeated_keys"]:
+            raise QualityError(f"{table.name}: {found['repeated_keys']} values of {found['key']} come more than once")
+
+
 def enforce_reference(df: DataFrame, table: Table, column: str, target: DataFrame) -> None:
     name, key = table.references[column]
     lost = orphans(df, table.name, column, target, name, key).first()["orphans"]

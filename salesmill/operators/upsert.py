@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -14,10 +14,12 @@ class DuplicateKeyError(ValueError):
 
 
 def reject_duplicates(incoming: DataFrame, keys: Sequence[str], table: str) -> None:
-    """Stop if a natural key comes more than once; names up to ten of them."""
-    twice = incoming.groupBy(*keys).count().where("count > 1").drop("count").orderBy(*keys).limit(10).collect()
-    if twice:
-        raise DuplicateKeyError(f"{table}: key comes more than once: {[tuple(r) for r in twice]}")
+    """Stop if a natural key comes more than once; says how many do and names the first ten."""
+    twice = incoming.groupBy(*keys).count().where("count > 1").drop("count")
+    total = twice.count()
+    if total:
+        first = [tuple(r) for r in twice.orderBy(*keys).limit(10).collect()]
+        raise DuplicateKeyError(f"{table}: {total} keys come more than once, the first are {first}")
 
 
 def assign_keys(new: DataFrame, natural: str, surrogate: str, existing: DataFrame | None = None) -> DataFrame:
@@ -35,12 +37,14 @@ def type1_upsert(
     surrogate: str,
     updates: Sequence[str],
     stamp: str | None = None,
+    defaults: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Insert new natural keys and overwrite only `updates` on known ones.
 
     `incoming` has each natural key once (see `reject_duplicates`). An existing row keeps its
     surrogate key and every column not listed, even if the incoming value differs. A listed column
     takes the incoming value also when that is NULL. `stamp` is set to the current time on update.
+    A new row takes for a column that `incoming` lacks the SQL expression in `defaults`, or NULL.
     """
     if stamp and stamp not in incoming.columns:
         incoming = incoming.withColumn(stamp, F.current_timestamp())
@@ -64,7 +68,9 @@ def type1_upsert(
     updated = matched.select(*[kept(c) for c in existing.columns])
     unknown = incoming.join(existing.select(natural), natural, "left_anti")
     added = assign_keys(unknown, natural, surrogate, existing)
-    return updated.unionByName(added, allowMissingColumns=True).select(*existing.columns)
+    absent = [c for c in existing.columns if c not in added.columns]
+    added = added.withColumns({c: F.expr((defaults or {}).get(c, "null")) for c in absent})
+    return updated.unionByName(added.select(*existing.columns))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:

@@ -25,10 +25,14 @@ _AMOUNT, _PERCENT = "decimal(18,4)", "decimal(5,2)"
 Dims = Mapping[str, DataFrame]
 
 
-def header_detail(detail: DataFrame, header: DataFrame) -> DataFrame:
-    """Order lines with their headers; lines without an order are dropped."""
-    lines = detail.where("SalesOrderID is not null and SalesOrderDetailID is not null")
-    return lines.join(header.where("SalesOrderID is not null"), "SalesOrderID")
+def known_lines(detail: DataFrame) -> DataFrame:
+    """Lines that name their order and their number in it."""
+    return detail.where("SalesOrderID is not null and SalesOrderDetailID is not null")
+
+
+def header_detail(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Order lines with what is known of their orders; lines without an order are dropped."""
+    return lines.join(orders.where("SalesOrderID is not null"), "SalesOrderID")
 
 
 def order_keys(header: DataFrame, dims: Dims) -> DataFrame:
@@ -88,14 +92,14 @@ def build_fact(
     price_type: str = PRICE,
 ) -> DataFrame:
     """The fact rows to add: one per (order, line), none that `existing` already holds."""
-    lines = detail.where("SalesOrderID is not null and SalesOrderDetailID is not null")
+    lines = known_lines(detail)
     loaded = None
     if existing is not None:
         loaded = existing.select(
             F.col("numero_pedido").alias("SalesOrderID"), F.col("numero_linha").alias("SalesOrderDetailID")
         )
     fresh = insert_if_absent(loaded, lines, LINE_KEY, order)
-    joined = line_keys(fresh, dims).join(order_keys(header, dims), "SalesOrderID")
+    joined = header_detail(line_keys(fresh, dims), order_keys(header, dims))
     return joined.select(
         "sk_tempo", "sk_cliente", "sk_produto", "sk_regiao", "sk_vendedor", "sk_oferta",
         F.col("SalesOrderID").cast("bigint").alias("numero_pedido"),
@@ -112,7 +116,7 @@ def fact_load_stats(fact: DataFrame) -> DataFrame:
     )
 
 
-# Column names of the older English fact, and what they hold here.
+# Column names of the older English fact, and what they hold here.
 V1_FACT_COLUMNS = {
     "date_key": "sk_tempo",
     "customer_key": "sk_cliente",

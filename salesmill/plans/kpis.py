@@ -1,8 +1,8 @@
 """The ten KPI reports over the published fact and dimensions.
 
-Descending sorts put NULL first, and the group key breaks ties. Shares of a total divide by a
-scalar subquery over the fact alone: the references are checked on load, so an inner join to a
-dimension drops only the rows whose key is NULL, and no window over all rows is needed.
+Descending sorts put NULL first, and the group key breaks ties. Shares divide by the total of the
+joined rows, which is the total of the report's own groups: the fact is read once. Reports that count
+orders and customers first sum the lines of an order, so that only orders are counted.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from salesmill.functions import columns as fn
 from salesmill.operators.prefix import running_total_desc
 from salesmill.schemas import FACT_PARTITION
-from salesmill.session import written
 
 Dims = Mapping[str, DataFrame]
 
@@ -27,17 +26,42 @@ def _orders() -> Column:
     return F.countDistinct("numero_pedido")
 
 
-def _grand_total(fact: DataFrame, key: str) -> Column:
-    return fact.where(F.col(key).isNotNull()).agg(F.sum("valor_liquido")).scalar()
+def _total_of(groups_column: str) -> Column:
+    """Total over a report's groups: a row for each member of a dimension's attribute, not for each line."""
+    return F.sum(groups_column).over(Window.partitionBy())
+
+
+def _by_order(joined: DataFrame, keys: list[str], *amounts: str, means: tuple[str, ...] = ()) -> DataFrame:
+    """Lines summed by group, order and customer; for each of `means` also its sum and count."""
+    sums = [F.sum(a).alias(a) for a in amounts]
+    sums += [x for m in means for x in (F.sum(m).alias(f"{m}_sum"), F.count(m).alias(f"{m}_n"))]
+    return joined.groupBy(*keys, "numero_pedido", "sk_cliente").agg(*sums)
+
+
+def _mean_of(name: str) -> Column:
+    return fn.per(F.sum(f"{name}_sum"), F.sum(f"{name}_n"))
+
+
+def _named_alike(products: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(sk_produto, _group) and (_group, names): one number for all products of the same names.
+
+    Counting orders by that number moves two numbers a line instead of names.
+    """
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    groups = products.groupBy(*keys).agg(F.min("sk_produto").alias("_group"))
+    renamed = groups.select("_group", *[F.col(k).alias(f"_{k}") for k in keys])
+    return products.join(renamed, same).select("sk_produto", "_group"), groups
 
 
 def kpi1_product_margin(fact: DataFrame, dims: Dims) -> DataFrame:
     keys = ["categoria_produto", "subcategoria_produto", "nome_produto"]
-    products = dims["dim_produto"].select("sk_produto", *keys)
+    numbers, names = _named_alike(dims["dim_produto"].select("sk_produto", *keys), keys)
     return (
         fact.where("valor_liquido > 0")
-        .join(products, "sk_produto")
-        .groupBy(*keys)
+        .join(numbers, "sk_produto")
+        .groupBy("_group")
         .agg(
             _orders().alias("total_pedidos"),
             F.sum("quantidade_vendida").alias("quantidade_total_vendida"),
@@ -47,6 +71,11 @@ def kpi1_product_margin(fact: DataFrame, dims: Dims) -> DataFrame:
         )
         .where("receita_liquida > 1000")
         .withColumn("rentabilidade_pct", fn.percent(F.col("lucro_bruto"), F.col("receita_liquida")))
+        .join(names, "_group")
+        .select(
+            *keys, "total_pedidos", "quantidade_total_vendida", "receita_liquida", "lucro_bruto",
+            "margem_contribuicao_media_pct", "rentabilidade_pct",
+        )
         .orderBy(_down("margem_contribuicao_media_pct"), *keys)
         .limit(20)
     )
@@ -102,10 +131,11 @@ def kpi4_monthly_trend(fact: DataFrame, dims: Dims) -> DataFrame:
     since = newest.agg(F.min(FACT_PARTITION)).scalar()
     days = dims["dim_tempo"].select("sk_tempo", "ano", "mes", "nome_mes")
     net, profit = F.sum("valor_liquido"), F.sum("lucro_bruto")
+    keys = ["ano", "mes", "nome_mes"]
+    joined = fact.where(F.col(FACT_PARTITION) >= since).join(days, "sk_tempo")
     return (
-        fact.where(F.col(FACT_PARTITION) >= since)
-        .join(days, "sk_tempo")
-        .groupBy("ano", "mes", "nome_mes")
+        _by_order(joined, keys, "valor_liquido", "lucro_bruto")
+        .groupBy(*keys)
         .agg(
             fn.money(net).alias("receita_mensal"),
             fn.money(profit).alias("lucro_mensal"),
@@ -119,13 +149,17 @@ def kpi4_monthly_trend(fact: DataFrame, dims: Dims) -> DataFrame:
     )
 
 
-def product_revenue(fact: DataFrame) -> DataFrame:
-    """Revenue and units per product, written once: the curve reads it for total, order and rows."""
+def product_revenue(fact: DataFrame, dims: Dims) -> DataFrame:
+    """Revenue and units of every product of the dimension that was sold.
+
+    The curve reads it for total, order and rows; adaptive execution runs the aggregation of the fact
+    once for all of them.
+    """
     per_product = fact.groupBy("sk_produto").agg(
         F.sum("valor_liquido").cast("decimal(28,4)").alias("receita_produto"),
         F.sum("quantidade_vendida").alias("quantidade_vendida"),
     )
-    return written(per_product, "product-revenue")
+    return per_product.join(dims["dim_produto"].select("sk_produto"), "sk_produto", "left_semi")
 
 
 def _abc_columns(ranked: DataFrame, dims: Dims) -> DataFrame:
@@ -152,7 +186,7 @@ def _total(revenue: DataFrame) -> Column:
 def kpi5_abc_top30(fact: DataFrame, dims: Dims) -> DataFrame:
     """First 30 rows of the curve. They have at most 30 distinct revenues, so the running total
     needs only the 30 highest distinct revenues, each with the sum of all products that have it."""
-    revenue = product_revenue(fact)
+    revenue = product_revenue(fact, dims)
     top = revenue.orderBy(F.col("receita_produto").desc(), "sk_produto").limit(30)
     highest = (
         revenue.groupBy("receita_produto")
@@ -169,7 +203,7 @@ def kpi5_abc_top30(fact: DataFrame, dims: Dims) -> DataFrame:
 
 def kpi5_abc_all(fact: DataFrame, dims: Dims, ranges: int | None = None) -> DataFrame:
     """The whole curve, one row per product, unordered."""
-    revenue = product_revenue(fact)
+    revenue = product_revenue(fact, dims)
     ranked = running_total_desc(revenue, "receita_produto", "receita_acumulada", ranges)
     return _abc_report(_abc_columns(ranked.withColumn("receita_total", _total(revenue)), dims))
 
@@ -178,8 +212,9 @@ def kpi6_geography(fact: DataFrame, dims: Dims) -> DataFrame:
     keys = ["continente", "grupo_regional", "nome_territorio"]
     regions = dims["dim_regiao"].select("sk_regiao", *keys)
     net = F.sum("valor_liquido")
+    amounts = ("quantidade_vendida", "valor_liquido", "lucro_bruto")
     return (
-        fact.join(regions, "sk_regiao")
+        _by_order(fact.join(regions, "sk_regiao"), keys, *amounts, means=("margem_contribuicao",))
         .groupBy(*keys)
         .agg(
             F.countDistinct("sk_cliente").alias("total_clientes"),
@@ -187,10 +222,10 @@ def kpi6_geography(fact: DataFrame, dims: Dims) -> DataFrame:
             F.sum("quantidade_vendida").alias("unidades_vendidas"),
             fn.money(net).alias("receita_total"),
             fn.money(F.sum("lucro_bruto")).alias("lucro_total"),
-            fn.mean("margem_contribuicao").alias("margem_media_pct"),
+            _mean_of("margem_contribuicao").alias("margem_media_pct"),
             net.alias("_net"),
         )
-        .withColumn("participacao_receita_pct", fn.percent(F.col("_net"), _grand_total(fact, "sk_regiao")))
+        .withColumn("participacao_receita_pct", fn.percent(F.col("_net"), _total_of("_net")))
         .withColumn("ticket_medio_regiao", fn.per(F.col("_net"), F.col("total_pedidos")))
         .drop("_net")
         .orderBy(_down("receita_total"), *keys)
@@ -217,9 +252,7 @@ def kpi7_category(fact: DataFrame, dims: Dims) -> DataFrame:
         )
         .withColumn("receita_media_produto", fn.per(F.col("_net"), F.col("total_produtos_categoria")))
         .withColumn("giro_medio_produto", F.expr("unidades_vendidas div nullif(total_produtos_categoria, 0)"))
-        .withColumn(
-            "participacao_receita_total_pct", fn.percent(F.col("_net"), _grand_total(fact, "sk_produto"))
-        )
+        .withColumn("participacao_receita_total_pct", fn.percent(F.col("_net"), _total_of("_net")))
         .drop("_net")
         .orderBy(_down("receita_categoria"), "categoria_produto")
     )
@@ -227,15 +260,16 @@ def kpi7_category(fact: DataFrame, dims: Dims) -> DataFrame:
 
 def kpi8_customer_value(fact: DataFrame, dims: Dims) -> DataFrame:
     customers = dims["dim_cliente"].select("sk_cliente", "tipo_cliente", "segmento")
+    keys = ["tipo_cliente", "segmento"]
     groups = (
-        fact.join(customers, "sk_cliente")
-        .groupBy("tipo_cliente", "segmento")
+        _by_order(fact.join(customers, "sk_cliente"), keys, "lucro_bruto", means=("valor_liquido",))
+        .groupBy(*keys)
         .agg(
             F.countDistinct("sk_cliente").alias("total_clientes"),
-            F.sum("valor_liquido").alias("_net"),
+            F.sum("valor_liquido_sum").alias("_net"),
             F.sum("lucro_bruto").alias("_profit"),
             _orders().alias("_orders"),
-            fn.mean("valor_liquido").alias("ticket_medio"),
+            _mean_of("valor_liquido").alias("ticket_medio"),
         )
     )
     clients = F.col("total_clientes")
@@ -274,11 +308,11 @@ def kpi9_seasonality(fact: DataFrame, dims: Dims) -> DataFrame:
 def kpi10_top_products(fact: DataFrame, dims: Dims) -> DataFrame:
     """Products of one name and category count as one."""
     keys = ["categoria_produto", "nome_produto"]
-    products = dims["dim_produto"].select("sk_produto", *keys)
+    numbers, names = _named_alike(dims["dim_produto"].select("sk_produto", *keys), keys)
     net, units = F.sum("valor_liquido"), F.sum("quantidade_vendida")
     return (
-        fact.join(products, "sk_produto")
-        .groupBy(*keys)
+        fact.join(numbers, "sk_produto")
+        .groupBy("_group")
         .agg(
             _orders().alias("total_pedidos"),
             units.alias("quantidade_vendida"),
@@ -287,6 +321,11 @@ def kpi10_top_products(fact: DataFrame, dims: Dims) -> DataFrame:
             fn.mean("margem_contribuicao").alias("margem_media_pct"),
             fn.per(net, units).alias("preco_medio_unitario"),
         )
+        .join(names, "_group")
+        .select(
+            *keys, "total_pedidos", "quantidade_vendida", "receita_total", "lucro_total", "margem_media_pct",
+            "preco_medio_unitario",
+        )
         .orderBy(_down("receita_total"), *keys)
         .limit(10)
     )
@@ -307,11 +346,19 @@ KPIS = {
 }
 
 
-def show_report(name: str, report: DataFrame) -> bool:
-    """Print one KPI report; says so if it has no rows."""
-    if report.isEmpty():
-        print(f"{name}: no rows")
-        return False
-    print(name)
-    report.show(100, truncate=False)
-    return True
+def show_report(name: str, report: DataFrame, page: int = 1000) -> bool:
+    """Print one KPI report with its number of rows; says so if it has none.
+
+    All rows are printed, a partition at a time, so a report of any length passes through the driver
+    in parts; the column names are repeated every `page` rows.
+    """
+    total = 0
+    for row in report.toLocalIterator(prefetchPartitions=True):
+        if total == 0:
+            print(name)
+        if total % page == 0:
+            print(" | ".join(report.columns))
+        print(" | ".join("NULL" if v is None else str(v) for v in row))
+        total += 1
+    print(f"{total} rows" if total else f"{name}: no rows")
+    return total > 0

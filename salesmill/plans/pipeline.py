@@ -14,7 +14,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructType
 
-from salesmill.operators.quality import counters, enforce, enforce_reference
+from salesmill.operators.quality import counters, enforce, enforce_reference, enforce_unique
 from salesmill.operators.staging import stage_all
 from salesmill.operators.upsert import insert_if_empty, reject_duplicates, type1_upsert
 from salesmill.plans import dimensions as dim
@@ -29,10 +29,25 @@ log = logging.getLogger("salesmill")
 DIMENSIONS = ("dim_tempo", "dim_regiao", "dim_cliente", "dim_produto", "dim_vendedor", "dim_oferta")
 
 
-def _publish_checked(wh: Warehouse, table: Table, df: DataFrame) -> None:
-    _, counted = wh.prepare(table.name, conform(df, table), counters(table))
+def _enforce_references(wh: Warehouse, table: Table, rows: DataFrame) -> None:
+    for column, (target, _) in table.references.items():
+        found = wh.read(target, TABLES[target].schema)
+        enforce_reference(rows, table, column, wh.spark.createDataFrame([], TABLES[target].schema) if found is None else found)
+
+
+def _publish_checked(wh: Warehouse, table: Table, df: DataFrame, existing: DataFrame | None = None) -> None:
+    """Write, check every constraint on what was written, publish; a table that did not change is left."""
+    prepared, counted = wh.prepare(table.name, conform(df, table), counters(table))
     enforce(table, counted)
-    wh.publish(table.name)
+    written_rows = wh.read_prepared(prepared, table.schema)
+    enforce_unique(written_rows, table)
+    _enforce_references(wh, table, written_rows)
+    # An update stamps its row, so a stamped table always changes.
+    if existing is not None and not table.stamp and existing.count() == counted["rows"]:
+        if written_rows.exceptAll(existing).isEmpty():
+            wh.discard(prepared)
+            return
+    wh.publish(prepared)
 
 
 def load_calendar(wh: Warehouse) -> None:
@@ -48,8 +63,8 @@ def load_dimension(wh: Warehouse, table: Table, incoming: DataFrame) -> None:
     batch = written(incoming, table.name)
     reject_duplicates(batch, table.natural, table.name)
     existing = wh.read(table.name, table.schema)
-    merged = type1_upsert(existing, batch, nk, table.surrogate, table.updates, table.stamp)
-    _publish_checked(wh, table, merged)
+    merged = type1_upsert(existing, batch, nk, table.surrogate, table.updates, table.stamp, table.defaults)
+    _publish_checked(wh, table, merged, existing)
 
 
 def load_dimensions(wh: Warehouse, src: Mapping[str, DataFrame], load_date: str | None = None) -> None:
@@ -99,15 +114,24 @@ def load_fact(
         "sk_venda", F.lit(last + 1).cast("bigint") + F.monotonically_increasing_id()
     )
     rows = with_partition(conform(numbered, FATO_VENDAS))
-    path, counted = wh.prepare(FATO_VENDAS.name, rows, counters(FATO_VENDAS), FACT_PARTITION)
+    prepared, counted = wh.prepare(FATO_VENDAS.name, rows, counters(FATO_VENDAS), FACT_PARTITION)
     enforce(FATO_VENDAS, counted)
-    if counted["rows"]:
-        added = wh.spark.read.schema(_fact_schema()).parquet(path)
-        enforce_reference(added, FATO_VENDAS, "sk_tempo", wh.read("dim_tempo", DIM_TEMPO.schema))
-        wh.publish(FATO_VENDAS.name, ADD)
+    if not counted["rows"]:
+        wh.discard(prepared)
+        return 0
+    # Lines that earlier loads brought were dropped, so a key can only repeat among the added rows.
+    added = wh.read_prepared(prepared, _fact_schema())
+    enforce_unique(added, FATO_VENDAS)
+    _enforce_references(wh, FATO_VENDAS, added)
+    wh.publish(prepared, ADD)
     return counted["rows"]
 
 
+def merge_fact(wh: Warehouse) -> int:
+    """Write the folders that many loads have added as one version; months stay partitions."""
+    return wh.merge(FATO_VENDAS.name, _fact_schema(), FACT_PARTITION)
+
+
 def read_dims(wh: Warehouse) -> dict[str, DataFrame]:
     """Published dimensions; one never loaded reads as an empty table of its schema."""
     return {

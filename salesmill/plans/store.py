@@ -1,24 +1,42 @@
 """Published tables as Parquet folders under one root.
 
-A load writes a new folder that nobody reads yet, checks it, and publishes it by creating one empty
-file in `commits/`. A commit either replaces the table or adds to it, so adding rows never rewrites
-old ones. Folders are never changed once published: a reader keeps the version it resolved. One
-writer per table at a time is assumed; a second commit of the same version fails.
+A load writes a folder of its own that nobody reads yet, checks it, and publishes it by creating the
+next file in `commits/`, which names the folder. A commit either replaces the table or adds to it, so
+adding rows never rewrites old ones. Folders are never changed once published: a reader keeps the
+version it resolved. Of two writers that prepare the same version the first to publish wins; the
+other fails and leaves the table as it is. `merge` and `remove_unread` bound what many loads leave.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql.functions import col, count, lit
 from pyspark.sql.types import StructType
 
 REPLACE, ADD = "replace", "add"
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """A written folder that waits to be published as `version`."""
+
+    table: str
+    version: int
+    path: str
+
+
+class VersionTakenError(RuntimeError):
+    """Another writer has published the version that this one prepared."""
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._named: dict[str, str] = {}  # folder named by each commit file; neither ever changes
 
     def _path(self, text: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(text)
@@ -26,29 +44,43 @@ class Warehouse:
     def _files(self, path):
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _commits(self, table: str) -> list[tuple[int, str]]:
+    def _commits(self, table: str) -> list[tuple[int, str, str]]:
+        """(version, kind, data folder) of every commit, oldest first."""
         folder = self._path(f"{self.root}/{table}/commits")
         files = self._files(folder)
         if not files.exists(folder):
             return []
-        names = [s.getPath().getName().split(".") for s in files.listStatus(folder)]
-        return sorted((int(n[0]), n[1]) for n in names if len(n) == 2 and n[1] in (REPLACE, ADD))
+        found = []
+        for status in files.listStatus(folder):
+            name = status.getPath().getName()
+            if name.isdigit() and (line := self._line(files, status.getPath())):
+                kind, data = line.split()
+                found.append((int(name), kind, f"{self.root}/{table}/data/{data}"))
+        return sorted(found)
+
+    def _line(self, files, path) -> str | None:
+        """What a commit file says; None while its writer has not finished it."""
+        key = path.toString()
+        if key not in self._named:
+            stream = files.open(path)
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            stream.close()
+            if not text.endswith("\n"):
+                return None
+            self._named[key] = text.strip()
+        return self._named[key]
 
     def version(self, table: str) -> int:
         """Number of the newest published version, 0 if there is none."""
-        return max((v for v, _ in self._commits(table)), default=0)
+        return max((v for v, _, _ in self._commits(table)), default=0)
 
     def folders(self, table: str) -> list[str]:
         """Folders that make up the newest version."""
         live: list[str] = []
-        for version, kind in self._commits(table):
-            path = self.folder(table, version)
+        for _, kind, path in self._commits(table):
             live = [path] if kind == REPLACE else [*live, path]
         return live
 
-    def folder(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/data/v={version}"
-
     def read(
         self, table: str, schema: StructType | None = None, newest_only: bool = False
     ) -> DataFrame | None:
@@ -66,22 +98,60 @@ class Warehouse:
 
     def prepare(
         self, table: str, df: DataFrame, counters: Mapping[str, Column], partition_by: str | None = None
-    ) -> tuple[str, dict[str, int]]:
-        """Write the folder of the next version without publishing it. A failed earlier try is replaced.
+    ) -> tuple[Prepared, dict[str, int]]:
+        """Write a folder of the next version without publishing it.
 
         Also returns the values of `counters`, taken while the rows are written.
         """
-        path = self.folder(table, self.version(table) + 1)
+        version = self.version(table) + 1
+        path = f"{self.root}/{table}/data/v={version}-{uuid.uuid4().hex}"
         counted = Observation()
         watched = df.observe(counted, *[c.alias(label) for label, c in counters.items()])
-        writer = watched.write.mode("overwrite")
+        writer = watched.write
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(path)
-        return path, counted.get
+        return Prepared(table, version, path), counted.get
+
+    def read_prepared(self, prepared: Prepared, schema: StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(prepared.path)
+
+    def publish(self, prepared: Prepared, kind: str = REPLACE) -> int:
+        """Make the prepared folder the table's next version, or fail if that version is taken."""
+        mark = self._path(f"{self.root}/{prepared.table}/commits/{prepared.version:08d}")
+        files = self._files(mark)
+        if files.exists(mark):
+            raise VersionTakenError(f"{prepared.table}: version {prepared.version} is published already")
+        try:
+            out = files.create(mark, False)
+        except Exception as error:
+            raise VersionTakenError(f"{prepared.table}: version {prepared.version} is published already") from error
+        out.writeBytes(f"{kind} {prepared.path.rsplit('/', 1)[1]}\n")
+        out.close()
+        return prepared.version
+
+    def discard(self, prepared: Prepared) -> None:
+        """Delete a folder that will not be published."""
+        path = self._path(prepared.path)
+        self._files(path).delete(path, True)
+
+    def merge(self, table: str, schema: StructType | None = None, partition_by: str | None = None) -> int:
+        """Write all that many additions have left as one folder and publish it as one version."""
+        rows = self.read(table, schema)
+        if partition_by:
+            rows = rows.hint("rebalance", col(partition_by))
+        prepared, _ = self.prepare(table, rows, {"rows": count(lit(1))}, partition_by)
+        return self.publish(prepared)
 
-    def publish(self, table: str, kind: str = REPLACE) -> int:
-        version = self.version(table) + 1
-        mark = self._path(f"{self.root}/{table}/commits/{version:08d}.{kind}")
-        self._files(mark).create(mark, False).close()
-        return version
+    def remove_unread(self, table: str) -> list[str]:
+        """Delete the folders that are no part of the newest version, those of failed loads included.
+
+        Call it only when no reader holds an older version and no writer is at work; nothing here does.
+        """
+        live = {p.rsplit("/", 1)[1] for p in self.folders(table)}
+        data = self._path(f"{self.root}/{table}/data")
+        files = self._files(data)
+        old = [s.getPath() for s in files.listStatus(data) if s.getPath().getName() not in live] if files.exists(data) else []
+        for path in old:
+            files.delete(path, True)
+        return [p.getName() for p in old]

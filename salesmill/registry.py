@@ -7,7 +7,7 @@ booleans, so that another engine's rows can be compared with them.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -17,14 +17,14 @@ from salesmill.functions import columns as fn
 from salesmill.operators import quality as q
 from salesmill.operators.inference import infer_column_types
 from salesmill.operators.lookup import look_up
-from salesmill.operators.staging import staged_rows
+from salesmill.operators.staging import stage_all, stage_table, staged_rows
 from salesmill.operators.upsert import assign_keys, type1_upsert
 from salesmill.plans import dimensions as dim
 from salesmill.plans.calendar import build_dim_date_v1, build_dim_tempo, day_series
-from salesmill.plans.fact import build_fact, build_fact_sales_v1, fact_load_stats, header_detail, measures
+from salesmill.plans.fact import build_fact, build_fact_sales_v1, fact_load_stats, header_detail, known_lines, measures
 from salesmill.plans.headlines import HEADLINES
 from salesmill.plans.kpis import KPIS
-from salesmill.plans.pipeline import DIMENSIONS, read_dims, read_fact, run_pipeline
+from salesmill.plans.pipeline import DIMENSIONS, load_dimension, read_dims, read_fact, run_pipeline
 from salesmill.plans.store import Warehouse
 from salesmill.schemas import DIM_TEMPO, FATO_VENDAS, TABLES, V1_UPDATES
 from salesmill.session import scratch_path, written
@@ -54,7 +54,8 @@ def _key(spark: SparkSession, base: str) -> tuple:
 
 def _source(spark: SparkSession, base: str) -> TestTables:
     """The staging shapes of `base`, opened again only if the session or the files changed."""
-    spark.conf.set("spark.sql.ansi.enabled", "true")  # a load refuses to run without it
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise RuntimeError("spark.sql.ansi.enabled must be on: a value that does not fit must stop the load")
     return _sources.setdefault(_key(spark, base), TestTables(spark, base))
 
 
@@ -98,7 +99,7 @@ def stage_extract(spark, base):
 
 
 def stage_row_counts(spark, base):
-    return staged_rows(_source(spark, base))
+    return staged_rows(stage_all(spark, _source(spark, base), scratch_path(spark, "staging")))
 
 
 def _inferred(spark, base, **rules):
@@ -109,6 +110,22 @@ def _inferred(spark, base, **rules):
     )
 
 
+def stage_typed_orders(spark, base):
+    """An extract of the orders in which every column is text, staged with the types it is written in."""
+    text = _source(spark, base).raw("orders").select(
+        F.col("o_orderkey").cast("string").alias("chave"),
+        F.col("o_totalprice").cast("decimal(15,2)").cast("string").alias("total"),
+        F.col("o_orderpriority").alias("prioridade"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("momento"),
+        (F.col("o_orderstatus") == "F").cast("string").alias("fechado"),
+    )
+    staged = stage_table({"orders": text}, "orders", scratch_path(spark, "typed"), infer=True)
+    return staged.select(
+        "chave", "total", "prioridade", "fechado", F.date_format("momento", "yyyy-MM-dd").alias("dia"),
+        *[F.lit(kind).alias(f"tipo_{name}") for name, kind in staged.dtypes],
+    )
+
+
 def infer_text(spark, base):
     """An untyped extract of the orders: every column is text, one is always empty."""
     status = F.col("o_orderstatus")
@@ -244,12 +261,14 @@ def surrogate_key_assign(spark, base):
     return before.unionByName(added)
 
 
-def _upserted(table: str, earlier: DataFrame, now: DataFrame) -> DataFrame:
-    """Load `earlier` into an empty table, then `now` into the result."""
-    t = TABLES[table]
-    nk = t.natural[0]
-    first = written(type1_upsert(None, written(earlier, table), nk, t.surrogate, t.updates, t.stamp), table)
-    both = type1_upsert(first, written(now, table), nk, t.surrogate, t.updates, t.stamp)
+def _upserted(table: str, earlier: DataFrame, now: DataFrame, others: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Load `earlier` into an empty warehouse (after `others`), then `now`, and read what is published."""
+    t, wh = TABLES[table], Warehouse(now.sparkSession, scratch_path(now.sparkSession, "upsert"))
+    for name, rows in (others or {}).items():
+        load_dimension(wh, TABLES[name], rows)
+    for batch in (earlier, now):
+        load_dimension(wh, t, batch)
+    both = wh.read(table, t.schema)
     return both.drop(t.stamp) if t.stamp else both
 
 
@@ -301,7 +320,7 @@ def scd1_upsert_vendedor(spark, base):
     )
     regions = assign_keys(dim_regiao(spark, base), "nk_regiao", "sk_regiao")
     earlier = dim.build_dim_vendedor(plain, employees, persons, regions)
-    return _upserted("dim_vendedor", earlier, dim_vendedor(spark, base))
+    return _upserted("dim_vendedor", earlier, dim_vendedor(spark, base), {"dim_regiao": dim_regiao(spark, base)})
 
 
 def scd1_upsert_oferta(spark, base):
@@ -335,7 +354,7 @@ def _orders_and_lines(spark, base):
 
 def fact_header_detail(spark, base):
     header, detail = _orders_and_lines(spark, base)
-    return header_detail(detail, header).select(
+    return header_detail(known_lines(detail), header).select(
         F.col("SalesOrderID").alias("numero_pedido"),
         F.col("SalesOrderDetailID").alias("numero_linha"),
         "ProductID", "OrderQty", "UnitPrice", "UnitPriceDiscount", "SpecialOfferID",
@@ -603,6 +622,7 @@ def build_queries() -> dict[str, Query]:
         "infer_column_types": _inferred,
         "infer_column_types_strict_null": partial(_inferred, null_as_text=True, date_as_timestamp=True),
         "infer_column_types_text": infer_text,
+        "stage_typed_orders": stage_typed_orders,
         "calendar_series": calendar_series,
         "dim_tempo": dim_tempo,
         "dim_date_v1": dim_date_v1,

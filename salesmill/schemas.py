@@ -62,6 +62,10 @@ class Table:
     def limits(self) -> dict[str, int]:
         return {c.name: c.limit for c in self.columns if c.limit}
 
+    @property
+    def defaults(self) -> dict[str, str]:
+        return {c.name: f"cast({c.default} as {c.type})" for c in self.columns if c.default}
+
     @property
     def decimals(self) -> dict[str, str]:
         return {c.name: c.type for c in self.columns if c.type.startswith("decimal")}

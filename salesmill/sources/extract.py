@@ -31,9 +31,15 @@ def jdbc_options(
     high: int | None = None,
     parts: int | None = None,
     fetch_size: int = 10_000,
+    small: bool = False,
     **extra: str,
 ) -> dict[str, str]:
-    """Options for a JDBC extract; with a split column the table is read by `parts` tasks at once."""
+    """Options for a JDBC extract that `parts` tasks read at once, cut by ranges of the split column.
+
+    Only a table declared `small` may be read by one task.
+    """
+    if split_column is None and not small:
+        raise ValueError(f"{table}: give a split column with low, high and parts, or declare the table small")
     opts = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **extra}
     if split_column is not None:
         if None in (low, high, parts):

@@ -142,6 +142,53 @@ def test_headlines(spark):
     assert h.top_product(fact, dims).first().nome_produto == "a"
 
 
+def test_shares_divide_by_the_joined_rows(spark):
+    """A key that no dimension row has, as an orphan: its revenue is in no share and in no total."""
+    dims = regions(spark) | products(spark, "a", "b")
+    fact = sales(spark, [
+        {"sk_regiao": 1, "sk_produto": 1, "valor_liquido": dec(75)}, {"sk_regiao": 2, "sk_produto": 2, "valor_liquido": dec(25)},
+        {"sk_regiao": 99, "sk_produto": 99, "valor_liquido": dec(900)}])
+    got = rows(k.kpi6_geography(fact, dims), "nome_territorio")
+    assert [r["participacao_receita_pct"] for r in got] == [dec("75.00"), dec("25.00")]
+    assert rows(k.kpi7_category(fact, dims))[0]["participacao_receita_total_pct"] == dec("100.00")
+    for report in (k.kpi5_abc_all, k.kpi5_abc_top30):
+        got = {r["nome_produto"]: r["percentual_acumulado"] for r in rows(report(fact, dims))}
+        assert got == {"a": dec("75.00"), "b": dec("100.00")}
+
+
+def test_reports_read_the_fact_once_and_do_not_copy_lines(spark, tmp_path):
+    dims = regions(spark) | products(spark, "a", "b") | {"dim_tempo": build_dim_tempo(spark), "dim_cliente": published(
+        spark, "dim_cliente", [{"sk_cliente": 1, "nk_cliente": 1, "tipo_cliente": "P", "segmento": "V"}])}
+    sales(spark, [{"sk_regiao": 1, "valor_liquido": dec(75)}]).write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    for report in (k.kpi6_geography, k.kpi7_category, k.kpi8_customer_value):
+        assert plan(report(fact, dims)).count("valor_liquido") and plan(report(fact, dims)).count("FileScan parquet") == 1
+    for report in (k.kpi4_monthly_trend, k.kpi6_geography, k.kpi8_customer_value):
+        text = plan(report(fact, dims))
+        below = text[text.index("Expand") :] if "Expand" in text else ""
+        assert below.count("HashAggregate") >= 2  # orders are summed before they are copied
+    for report in (k.kpi1_product_margin, k.kpi10_top_products):
+        assert "hashpartitioning(_group" in plan(report(fact, dims)).replace("#", " ").replace("_group ", "_group")
+
+
+def test_types_of_the_reports(spark):
+    """The reports' own types, before anything is made portable."""
+    dims = regions(spark) | products(spark, "a")
+    fact = sales(spark, [{"sk_regiao": 1, "valor_liquido": dec(75), "lucro_bruto": dec(5)}])
+    kinds = dict(k.kpi6_geography(fact, dims).dtypes)
+    assert kinds["receita_total"] == "decimal(20,2)" and kinds["participacao_receita_pct"] == "decimal(18,2)"
+    assert dict(k.kpi10_top_products(fact, dims).dtypes)["receita_total"] == "decimal(20,2)"
+    assert dict(k.kpi5_abc_all(fact, dims).dtypes)["percentual_acumulado"] == "decimal(18,2)"
+    assert dict(fact.dtypes)["sk_venda"] == "bigint"
+
+
+def test_show_report_prints_every_row_and_their_number(spark, capsys):
+    assert k.show_report("r", spark.range(101).repartition(3), page=50) is True
+    lines = capsys.readouterr().out.splitlines()
+    assert lines[0] == "r" and lines[-1] == "101 rows" and lines.count("id") == 3
+    assert sorted(int(x) for x in lines if x.isdigit()) == list(range(101))
+
+
 def test_show_report_tells_an_empty_result(spark, capsys):
     assert k.show_report("kpi2", k.kpi2_discount_bands(sales(spark, [{}]))) is True
     assert k.show_report("kpi2", k.kpi2_discount_bands(sales(spark, [{}]).where("false"))) is False

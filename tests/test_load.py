@@ -1,13 +1,15 @@
 """Fact measures, the whole load, the store, and what a broken constraint does."""
 
 import pytest
-from conftest import MONDAY, ROWS, SMALL, day, dec, rows, sales, staged, values
+from conftest import MONDAY, ROWS, SMALL, day, dec, published, rows, staged, values
 from pyspark.sql import functions as F
 
 from salesmill.operators.quality import QualityError
 from salesmill.plans.fact import build_fact, fact_load_stats, measures
-from salesmill.plans.pipeline import DIMENSIONS, load_dimension, load_fact, read_dims, read_fact, run_pipeline
-from salesmill.plans.store import ADD, Warehouse
+from salesmill.operators.staging import stage_table
+from salesmill.operators.upsert import DuplicateKeyError, reject_duplicates
+from salesmill.plans.pipeline import DIMENSIONS, load_dimension, merge_fact, read_dims, read_fact, run_pipeline
+from salesmill.plans.store import ADD, VersionTakenError, Warehouse
 from salesmill.schemas import TABLES
 from salesmill.session import scratch_path
 from salesmill.sources.testdata import LINE_ORDER, TestTables
@@ -155,24 +157,92 @@ def test_store_versions(spark):
     assert wh.read("t") is None and wh.version("t") == 0
     _, counted = wh.prepare("t", spark.range(3), n)
     assert counted == {"rows": 3} and wh.read("t") is None  # written, not published
-    wh.prepare("t", spark.range(4), n)  # a second try replaces the first
-    assert wh.publish("t") == 1
+    again, _ = wh.prepare("t", spark.range(4), n)  # a second try stands beside the first
+    assert wh.publish(again) == 1
     first = wh.read("t")
-    wh.prepare("t", spark.range(10, 12), n)
-    wh.publish("t", ADD)
+    wh.publish(wh.prepare("t", spark.range(10, 12), n)[0], ADD)
     assert wh.read("t").count() == 6 and len(wh.folders("t")) == 2
-    wh.prepare("t", spark.range(1), n)
-    wh.publish("t")
+    assert wh.merge("t") == 3 and wh.read("t").count() == 6 and len(wh.folders("t")) == 1
+    wh.publish(wh.prepare("t", spark.range(1), n)[0])
     assert wh.read("t").count() == 1 and first.count() == 4  # a reader keeps its version
+    assert len(wh.remove_unread("t")) == 4 and wh.remove_unread("t") == [] and wh.read("t").count() == 1
 
 
-def test_two_commits_of_one_version_clash(spark):
-    wh = Warehouse(spark, scratch_path(spark, "store"))
-    wh.publish("t")
-    stale = Warehouse(spark, wh.root)
-    stale.version = lambda table: 0
-    with pytest.raises(Exception, match="exist"):
-        stale.publish("t")
+def test_of_two_writers_the_first_to_publish_wins(spark):
+    one = Warehouse(spark, scratch_path(spark, "store"))
+    other = Warehouse(spark, one.root)
+    n = {"rows": F.count(F.lit(1))}
+    a, _ = one.prepare("t", spark.range(3), n)
+    b, _ = other.prepare("t", spark.range(100, 105), n)
+    assert (a.version, b.version) == (1, 1)
+    assert one.publish(a) == 1
+    with pytest.raises(VersionTakenError, match="version 1"):
+        other.publish(b)
+    for wh in (one, other, Warehouse(spark, one.root)):
+        assert sorted(values(wh.read("t"), "id")) == [0, 1, 2] and wh.version("t") == 1
+    c, _ = other.prepare("t", spark.range(100, 105), n)
+    assert other.publish(c, ADD) == 2 and one.read("t").count() == 8
+
+
+def test_a_seller_added_later_takes_the_defaults(spark, wh):
+    assert set(values(wh.read("dim_vendedor"), "status_ativo")) == {True}
+    more = [*ROWS["stage_vendedores"], (202, 1, dec(5), None)]
+    load(spark, wh, stage_vendedores=more)
+    got = rows(wh.read("dim_vendedor"), "nk_vendedor")
+    assert [(r["nk_vendedor"], r["status_ativo"]) for r in got] == [(200, True), (201, True), (202, True)]
+
+
+def test_unchanged_dimensions_are_not_published_again(spark, wh):
+    names = ("dim_regiao", "dim_produto", "dim_vendedor", "dim_oferta")
+    before = {n: wh.version(n) for n in names}
+    load(spark, wh)
+    assert {n: wh.version(n) for n in names} == before
+    load(spark, wh, stage_territorios=[(1, "Northwest", "US", "North America"), (2, "Gaul", "FR", "Europe")])
+    assert wh.version("dim_regiao") == before["dim_regiao"] + 1
+
+
+def test_loads_merge_into_one_folder(spark, wh):
+    load(spark, wh, stage_pedidos_detalhe=[*ROWS["stage_pedidos_detalhe"], (1001, 2, 1, 11, 1, dec(10), dec(0))])
+    before = rows(read_fact(wh), "sk_venda")
+    assert len(wh.folders("fato_vendas")) == 2
+    merge_fact(wh)
+    assert len(wh.folders("fato_vendas")) == 1 and rows(read_fact(wh), "sk_venda") == before
+    assert len(wh.remove_unread("fato_vendas")) == 2 and rows(read_fact(wh), "sk_venda") == before
+
+
+@pytest.mark.parametrize("column, message", [("sk_regiao", "nk_regiao|sk_regiao"), ("nk_regiao", "nk_regiao")])
+def test_repeated_keys_publish_nothing(spark, column, message):
+    from salesmill.plans.pipeline import _publish_checked
+
+    wh = Warehouse(spark, scratch_path(spark, "t"))
+    twice = published(spark, "dim_regiao", [{"sk_regiao": i, "nk_regiao": i, "nome_territorio": "N"} for i in (1, 2)])
+    twice = twice.withColumn(column, F.lit(1).cast("bigint"))
+    with pytest.raises(QualityError, match=message):
+        _publish_checked(wh, TABLES["dim_regiao"], twice)
+    assert wh.version("dim_regiao") == 0
+
+
+def test_a_seller_without_its_region_publishes_nothing(spark):
+    from salesmill.plans.pipeline import _publish_checked
+
+    wh = Warehouse(spark, scratch_path(spark, "t"))
+    lost = published(spark, "dim_vendedor", [{"sk_vendedor": 1, "nk_vendedor": 1, "nome_vendedor": "A", "sk_regiao": 9}])
+    with pytest.raises(QualityError, match="sk_regiao: 1 rows"):
+        _publish_checked(wh, TABLES["dim_vendedor"], lost)
+    assert wh.version("dim_vendedor") == 0
+
+
+def test_duplicate_error_tells_how_many(spark):
+    twice = spark.createDataFrame([(i % 11,) for i in range(22)], "k bigint")
+    with pytest.raises(DuplicateKeyError, match="t: 11 keys"):
+        reject_duplicates(twice, ["k"], "t")
+
+
+def test_text_columns_are_staged_by_what_they_hold(spark):
+    text = spark.createDataFrame([("1", "1.5", "x", "true", None), ("-20", "3", "7", "false", None)], "a string, b string, c string, d string, e string")
+    typed = stage_table({"t": text}, "t", scratch_path(spark, "typed"), infer=True)
+    assert dict(typed.dtypes) == {"a": "bigint", "b": "decimal(18,4)", "c": "string", "d": "boolean", "e": "string"}
+    assert rows(typed, "a")[0] == {"a": -20, "b": dec(3), "c": "7", "d": False, "e": None}
 
 
 def test_dimension_load_alone(spark):

@@ -109,6 +109,9 @@ def test_jdbc_options():
     assert got["partitionColumn"] == "CustomerID" and got["numPartitions"] == "8"
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "t", "id")
+    with pytest.raises(ValueError, match="declare the table small"):
+        jdbc_options("jdbc:x", "t")
+    assert "numPartitions" not in jdbc_options("jdbc:x", "t", small=True)
     assert jdbc_sink_options("jdbc:x", "t")["batchsize"] == "500"
 
 
