@@ -353,7 +353,7 @@ FROM d_tempo LEFT JOIN per_day ON per_day.day = sk_tempo WHERE ano <= 2025""", p
 Q["dim_cliente"] = sql(f"SELECT * EXCLUDE (sk_cliente), '{LOAD_DATE}' AS data_cadastro FROM d_cliente")
 Q["dim_customer_v1"] = sql(f"""
 SELECT c.id AS customer_id, first AS first_name, last AS last_name, first || ' ' || last AS full_name,
-       CAST(NULL AS VARCHAR) AS email, '{LOAD_DATE}' AS create_date
+       CAST(NULL AS VARCHAR) AS email, '{LOAD_DATE}' AS create_date, CAST(NULL AS VARCHAR) AS update_date
 FROM t_customer c LEFT JOIN t_person p ON p.id = c.person""")
 _PRODUCT_OUT = """categoria_produto, subcategoria_produto, linha_produto, cor_produto, tamanho, CAST(0 AS DOUBLE) AS peso,
        CAST(custo_unitario AS DOUBLE) AS custo_unitario, CAST(preco_lista AS DOUBLE) AS preco_lista,
@@ -415,7 +415,8 @@ SELECT sk AS sk_cliente, nk_cliente, nome_cliente, sobrenome, nome_completo, tip
 FROM numbered""", numbered=_renumbered("d_cliente", "nk_cliente", "early_customer"))
 Q["scd1_upsert_produto"] = sql(f"""
 SELECT sk AS sk_produto, nk_produto, nome_produto, codigo_produto,
-       {_PRODUCT_OUT.replace('tamanho,', "CASE WHEN early THEN 'N/A' ELSE tamanho END AS tamanho,")}
+       {_PRODUCT_OUT.replace('tamanho,', "CASE WHEN early THEN 'N/A' ELSE tamanho END AS tamanho,")},
+       CAST(NULL AS VARCHAR) AS data_fim_vigencia
 FROM numbered""", numbered=_renumbered("d_produto", "nk_produto", "early_product"))
 Q["scd1_upsert_regiao"] = sql("""
 SELECT sk AS sk_regiao, nk_regiao, nome_territorio, codigo_pais, nome_pais,
@@ -435,6 +436,25 @@ SELECT sk AS product_key, product_id, product_name, category, subcategory, model
        CAST(standard_cost AS DOUBLE) AS standard_cost, CAST(list_price AS DOUBLE) AS list_price,
        CASE WHEN early THEN '{EARLIER_LOAD_DATE}' ELSE '{LOAD_DATE}' END AS start_date
 FROM numbered""", numbered=_renumbered("v1_product", "product_id", "early_product"))
+Q["scd1_upsert_v1_customer"] = sql(f"""
+SELECT sk AS customer_key, id AS customer_id, first AS first_name, last AS last_name, first || ' ' || last AS full_name,
+       CAST(NULL AS VARCHAR) AS email, CASE WHEN early THEN '{EARLIER_LOAD_DATE}' ELSE '{LOAD_DATE}' END AS create_date,
+       early AS updated
+FROM numbered""", numbered=_renumbered(
+    "(SELECT c.id, first, last FROM t_customer c LEFT JOIN t_person p ON p.id = c.person)", "id", "early_customer"))
+Q["scd1_upsert_v1_territory"] = sql("""
+SELECT sk AS territory_key, id AS territory_id, name AS territory_name, code AS country_region, grp AS group_name
+FROM numbered""", numbered=_renumbered("t_territory", "id", "first_territory"))
+Q["scd1_upsert_v1_sales_person"] = sql("""
+SELECT sk AS sales_person_key, id AS sales_person_id, first || ' ' || last AS full_name, sk_regiao AS territory_key,
+       CAST(hired AS VARCHAR) AS hire_date, CAST(quota AS DOUBLE) AS quota
+FROM numbered""", numbered=_renumbered(
+    "(SELECT s.id, first, last, sk_regiao, hired, quota FROM t_seller s LEFT JOIN t_person p ON p.id = s.id "
+    "LEFT JOIN d_regiao ON nk_regiao = territory)", "id", "early_seller"))
+Q["scd1_upsert_v1_promotion"] = sql("""
+SELECT sk AS promotion_key, nk_oferta AS promotion_id, descricao_oferta AS promotion_name,
+       CAST(percentual_desconto AS DOUBLE) AS discount_pct, data_inicio AS start_date, data_fim AS end_date
+FROM numbered""", numbered=_renumbered("d_oferta", "nk_oferta", "first_offer"))
 
 # ---- fact
 

@@ -43,7 +43,8 @@ def type1_upsert(
 
     `incoming` has each natural key once (see `reject_duplicates`). An existing row keeps its
     surrogate key and every column not listed, even if the incoming value differs. A listed column
-    takes the incoming value also when that is NULL. `stamp` is set to the current time on update.
+    takes the incoming value also when that is NULL. `stamp` is set to the current time on update; new
+    rows have it too, unless `incoming` brings a value of its own, NULL included.
     A new row takes for a column that `incoming` lacks the SQL expression in `defaults`, or NULL.
     """
     if stamp and stamp not in incoming.columns:
@@ -62,7 +63,8 @@ def type1_upsert(
         if c in updates:
             return F.when(F.col("_seen"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
         if c == stamp:
-            return F.when(F.col("_seen"), F.current_timestamp()).otherwise(F.col(c)).alias(c)
+            now = F.current_timestamp().cast(existing.schema[c].dataType)
+            return F.when(F.col("_seen"), now).otherwise(F.col(c)).alias(c)
         return F.col(c)
 
     updated = matched.select(*[kept(c) for c in existing.columns])

@@ -143,6 +143,7 @@ def build_dim_customer_v1(customers: DataFrame, persons: DataFrame, load_date: s
         F.concat("FirstName", F.lit(" "), "LastName").alias("full_name"),
         F.lit(None).cast("string").alias("email"),
         _today(load_date).alias("create_date"),
+        F.lit(None).cast("date").alias("update_date"),
     )
 
 

@@ -336,13 +336,64 @@ def scd1_upsert_oferta(spark, base):
     return _upserted("dim_oferta", dim.build_dim_oferta(old), dim_oferta(spark, base))
 
 
+def _upserted_v1(table: str, key: str, surrogate: str, earlier: DataFrame, now: DataFrame, stamp: str | None = None) -> DataFrame:
+    """Two loads of a table of the older model."""
+    updates = V1_UPDATES[table]
+    first = written(type1_upsert(None, written(earlier, table), key, surrogate, updates, stamp), table)
+    return type1_upsert(first, written(now, table), key, surrogate, updates, stamp)
+
+
 def scd1_upsert_v1(spark, base):
     src = _source(spark, base)
     _, lines = _sold_before(spark, base, FIRST_MONTHS)
     earlier = dim.build_dim_product_v1(_cheaper_products(src, lines), *_hierarchy(src), EARLIER_LOAD_DATE)
-    updates = V1_UPDATES["dim_product"]
-    first = written(type1_upsert(None, written(earlier, "p"), "product_id", "product_key", updates), "p")
-    return type1_upsert(first, written(dim_product_v1(spark, base), "p"), "product_id", "product_key", updates)
+    return _upserted_v1("dim_product", "product_id", "product_key", earlier, dim_product_v1(spark, base))
+
+
+def scd1_upsert_v1_customer(spark, base):
+    """First load: customers of the first months, nameless; `updated` tells who has an update date."""
+    src = _source(spark, base)
+    early, _ = _sold_before(spark, base, FIRST_MONTHS)
+    unlinked = _only(src["stage_clientes"], "CustomerID", early, "CustomerID").withColumn("PersonID", F.lit(None).cast("bigint"))
+    earlier = dim.build_dim_customer_v1(unlinked, src["stage_pessoas"], EARLIER_LOAD_DATE)
+    both = _upserted_v1("dim_customer", "customer_id", "customer_key", earlier, dim_customer_v1(spark, base), "update_date")
+    return both.withColumn("updated", F.col("update_date").isNotNull()).drop("update_date")
+
+
+def scd1_upsert_v1_territory(spark, base):
+    """First load: territories of the first days, in one old group."""
+    src = _source(spark, base)
+    early, _ = _sold_before(spark, base, FIRST_DAYS)
+    moved = _only(src["stage_territorios"], "TerritoryID", early, "TerritoryID").withColumn("Group", F.lit("Old"))
+    earlier = dim.build_dim_territory_v1(moved)
+    return _upserted_v1("dim_territory", "territory_id", "territory_key", earlier, dim_territory_v1(spark, base))
+
+
+def scd1_upsert_v1_sales_person(spark, base):
+    """First load: sellers of the first months, without quota and territory."""
+    src = _source(spark, base)
+    early, _ = _sold_before(spark, base, FIRST_MONTHS)
+    sellers, employees, persons = _staff(src)
+    plain = (
+        _only(sellers, "BusinessEntityID", early, "SalesPersonID")
+        .withColumn("SalesQuota", F.lit(None).cast("decimal(18,2)"))
+        .withColumn("TerritoryID", F.lit(None).cast("bigint"))
+    )
+    territories = assign_keys(dim_territory_v1(spark, base), "territory_id", "territory_key")
+    earlier = dim.build_dim_sales_person_v1(plain, employees, persons, territories)
+    return _upserted_v1("dim_sales_person", "sales_person_id", "sales_person_key", earlier, dim_sales_person_v1(spark, base))
+
+
+def scd1_upsert_v1_promotion(spark, base):
+    """First load: offers of the first days, under an older name and without discount."""
+    src = _source(spark, base)
+    _, lines = _sold_before(spark, base, FIRST_DAYS)
+    old = (
+        _only(src["stage_ofertas"], "SpecialOfferID", lines, "SpecialOfferID")
+        .withColumn("Description", F.concat(F.lit("Old "), "Description"))
+        .withColumn("DiscountPct", F.lit(None).cast("decimal(18,4)"))
+    )
+    return _upserted_v1("dim_promotion", "promotion_id", "promotion_key", dim.build_dim_promotion_v1(old), dim_promotion_v1(spark, base))
 
 
 # Fact
@@ -643,6 +694,10 @@ def build_queries() -> dict[str, Query]:
         "scd1_upsert_vendedor": scd1_upsert_vendedor,
         "scd1_upsert_oferta": scd1_upsert_oferta,
         "scd1_upsert_v1": scd1_upsert_v1,
+        "scd1_upsert_v1_customer": scd1_upsert_v1_customer,
+        "scd1_upsert_v1_territory": scd1_upsert_v1_territory,
+        "scd1_upsert_v1_sales_person": scd1_upsert_v1_sales_person,
+        "scd1_upsert_v1_promotion": scd1_upsert_v1_promotion,
         "fact_header_detail": fact_header_detail,
         "fact_dim_lookup": fact_dim_lookup,
         "fact_measures": fact_measures,
