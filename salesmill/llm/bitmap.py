@@ -38,8 +38,8 @@ def bitmap_of(ids: DataFrame, column: str) -> np.ndarray:
     found = (
         ids.select(column).mapInArrow(words, "word long, bits long")
         .groupBy("word").agg(F.bit_or("bits").alias("bits"))
-        .toPandas()
+        .toArrow()
     )
     bitmap = np.zeros(1 << (BITS - 6), np.uint64)
-    bitmap[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    bitmap[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return bitmap.view(np.uint8)

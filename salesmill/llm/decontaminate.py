@@ -57,7 +57,7 @@ def _blocks(windows_: DataFrame, block: int):
     """Read the windows in blocks of about `block` at most, by the hash of their words."""
     parts = -(-windows_.count() // block) or 1
     for k in range(parts):
-        rows = windows_.where(F.pmod(F.xxhash64("words"), F.lit(parts)) == k).toPandas()
+        rows = windows_.where(F.pmod(F.xxhash64("words"), F.lit(parts)) == k).toArrow().to_pandas()
         grouped = rows.groupby("words")["item"].agg(lambda s: tuple(sorted(s)))
         words = [bytes(w) for w in grouped.index]
         found = find_words(pa.array([w.decode() for w in words], pa.string()), WORD)

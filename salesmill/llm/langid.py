@@ -116,7 +116,7 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     counted = known.mapInArrow(count, "lang string, bucket long, times long")
     counts = counted.groupBy("lang", "bucket").agg(F.sum("times").alias("times"))
     # A row for each language and bucket: bounded by the model, not by the corpus.
-    found = counts.toPandas()
+    found = counts.toArrow().to_pandas()
     langs = sorted(found["lang"].unique())
     if len(langs) > MAX_LANGS:
         raise ValueError(f"{len(langs)} languages; a model holds {MAX_LANGS}")

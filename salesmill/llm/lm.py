@@ -168,12 +168,32 @@ def _triples(training: DataFrame, classes: Classes) -> np.ndarray:
             yield pa.record_batch({"cell": at.astype(np.int32), "times": total[at]})
 
     rows = training.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "cell int, times long")
-    found = rows.groupBy("cell").agg(F.sum("times").alias("times")).toPandas()  # bounded by `cells`
+    found = rows.groupBy("cell").agg(F.sum("times").alias("times")).toArrow()  # bounded by `cells`
     total = np.zeros(cells, np.int64)
     total[found["cell"].to_numpy()] = found["times"].to_numpy()
     return total
 
 
+def _most_frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, and counts of the most frequent words, TABLE at most.
+
+    Words are taken down to a count that leaves no more; eighths of a power of two give the steps.
+    """
+    step = F.floor(8 * F.log2("times")).cast("int")
+    sizes = sorted((tuple(r) for r in counts.groupBy(step.alias("step")).count().collect()), reverse=True)  # 500 at most
+    least, taken = None, 0
+    for at, n in sizes:
+        if taken + n > TABLE:
+            break
+        least, taken = at, taken + n
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    table = counts.where(step >= least).select("word", "times").toArrow()
+    words, times = table["word"].to_numpy().view(np.uint64), table["times"].to_numpy()
+    order = np.argsort(words)
+    return words[order], times[order]
+
+
 def train(cells: np.ndarray, steps: int = STEPS, seed: int = 5) -> tuple[np.ndarray, ...]:
     """Embeddings, matrices and biases from class-triple counts, by noise-contrastive estimation."""
     rng = np.random.default_rng(seed)
@@ -230,12 +250,8 @@ def fit(training: DataFrame) -> tuple[Model, DataFrame]:
     class_total = np.zeros(CLASSES)
     for c, n, v in sizes.collect():  # a row for each class
         class_total[c] = np.log10(n + v + 1)
-    table = counts.orderBy(F.desc("times"), "word").limit(TABLE).select("word", "times").toPandas()
-    words = table["word"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(words)
-    model = Model(
-        classes, *train(cells), class_total, words[order], table["times"].to_numpy(np.int64)[order], int(tokens), int(vocabulary)
-    )
+    words, times = _most_frequent(counts)
+    model = Model(classes, *train(cells), class_total, words, times, int(tokens), int(vocabulary))
     return model, counts
 
 

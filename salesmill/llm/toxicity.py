@@ -99,7 +99,7 @@ def _select(sample: DataFrame) -> np.ndarray:
         .where(evidence >= LEAST_EVIDENCE)
         .orderBy(F.desc("bad"), "feature").limit(MOST_FEATURES)
     )
-    return np.sort(counted.select("feature").toPandas()["feature"].to_numpy(np.int64).view(np.uint64))
+    return np.sort(counted.select("feature").toArrow()["feature"].to_numpy().view(np.uint64))
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, split: bool = False) -> Model:
@@ -118,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, split: boo
         named = named.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) < F.lit(int((fit_rows << 20) / total)))
     known = written(docs.select("doc_id", "text").join(F.broadcast(named), "doc_id").select("grade", "text"), "sample")
     chosen = _select(known)
-    found = _rows(known, chosen).toPandas()  # the sample's rows, only chosen features
+    found = _rows(known, chosen).toArrow().to_pandas()  # the sample's rows, only chosen features
     grades = found["grade"].to_numpy(np.int64)
     top = int(grades.max(initial=0))
     if not len(chosen) or not top:
