@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from salesmill.llm.shipping import ship
-from salesmill.llm.text import NOT_SPACE, byte_slices, find_words, mix
+from salesmill.llm.text import NOT_SPACE, SLICE_BYTES, byte_slices, find_words
 from salesmill.session import written
 
 CLASSES, SINGLES = 128, 64
@@ -159,7 +159,7 @@ def _triples(training: DataFrame, classes: Classes) -> np.ndarray:
     def run(batches):
         total = np.zeros(cells, np.int64)
         for batch in batches:
-            for part in byte_slices(batch, "text"):
+            for part in byte_slices(batch, "text", 8 * SLICE_BYTES):  # each slice adds up all cells
                 hashes, shapes, ptr = _tokens(part.column(0))
                 own = shared.value.of(hashes, shapes)
                 total += np.bincount(_contexts(own, ptr) * CLASSES + own, minlength=cells)

@@ -1,6 +1,6 @@
 """Words of many texts at once: byte arrays in, word positions and 64-bit hashes out.
 
-The operators hand whole texts to Python in Arrow batches and work on slices of a few MB, so memory
+The operators hand whole texts to Python in Arrow batches and work on slices of half a MB, so memory
 depends on the slice and the longest single text. Words are found on UTF-8 bytes, which is exact for
 classes that hold either all or none of the bytes from 0x80 on. Only A-Z are lower-cased.
 """
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 _U = np.uint64
 
 
@@ -130,8 +130,9 @@ def byte_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) ->
     """Cut a batch into runs of rows whose texts together stay near `limit` bytes (one text at least)."""
     if not batch.num_rows:
         return
-    column_data = batch.column(batch.schema.get_field_index(column)).fill_null("").cast(pa.large_string())
-    offsets = np.frombuffer(column_data.buffers()[1], np.int64)[column_data.offset :][: batch.num_rows + 1]
+    texts = batch.column(batch.schema.get_field_index(column))
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    offsets = np.frombuffer(texts.buffers()[1], width)[texts.offset :][: batch.num_rows + 1].astype(np.int64)
     begin = 0
     while begin < batch.num_rows:
         end = int(np.searchsorted(offsets, offsets[begin] + limit, side="right")) - 1
