@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from salesmill.llm.shipping import ship
-from salesmill.llm.text import WORD, byte_slices, find_words, span_hashes
+from salesmill.llm.text import WORD, byte_slices, find_words, mix, span_hashes
 from salesmill.session import written
 
 LEADS = (3, 4, 5, 6, 7, 8)
@@ -39,8 +39,8 @@ class Model:
     thresholds: np.ndarray  # one less than there are grades
 
 
-def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct feature hashes of each text in a row, and where each text's begin."""
+def _all_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Feature hashes of all texts and the text of each, repeats included, in no order."""
     words = find_words(texts, WORD)
     owner, hashes = words.owner(), [words.hashes()]
     owners = [owner]
@@ -49,8 +49,31 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         starts = words.starts[long]
         hashes.append(span_hashes(words.data, starts, starts + lead) ^ np.uint64(lead))
         owners.append(owner[long])
-    found = np.unique(np.stack([np.concatenate(owners).astype(np.uint64), np.concatenate(hashes)], axis=1), axis=0)
-    return found[:, 1], np.searchsorted(found[:, 0], np.arange(len(texts) + 1).astype(np.uint64))
+    return np.concatenate(hashes), np.concatenate(owners)
+
+
+def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct feature hashes of each text in a row, and where each text's begin."""
+    hashes, owner = _all_features(texts)
+    _, first = np.unique(mix(hashes + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)
+    first = first[np.argsort(owner[first], kind="stable")]
+    return hashes[first], np.searchsorted(owner[first], np.arange(len(texts) + 1))
+
+
+def known_features(texts: pa.Array, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, place in `known`) of each text's distinct known features, by text; `known` is sorted."""
+    if not len(known):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    hashes, owner = _all_features(texts)
+    mask = np.uint64((1 << 20) - 1)  # a small table tells most others apart before the search
+    there = np.zeros(1 << 20, bool)
+    there[(known & mask).astype(np.int64)] = True
+    perhaps = np.flatnonzero(there[(hashes & mask).astype(np.int64)])
+    at = np.searchsorted(known, hashes[perhaps])
+    at[at == len(known)] = 0
+    real = known[at] == hashes[perhaps]
+    found = np.unique(owner[perhaps[real]] * len(known) + at[real])
+    return found // len(known), found % len(known)
 
 
 def _rows(sample: DataFrame, known: np.ndarray | None) -> DataFrame:
@@ -63,9 +86,8 @@ def _rows(sample: DataFrame, known: np.ndarray | None) -> DataFrame:
                 found, cut = features(part.column(1))
                 size = np.diff(cut)
                 if shared.value is not None:
-                    at, inside = _places(shared.value, found)
-                    cut = np.concatenate([[0], np.cumsum(inside)])[cut]
-                    found = at[inside].astype(np.uint64)
+                    owner, found = known_features(part.column(1), shared.value)
+                    cut = np.searchsorted(owner, np.arange(part.num_rows + 1))
                 yield pa.record_batch([
                     part.column(0), pa.array(size),
                     pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(found.view(np.int64))),
@@ -75,12 +97,6 @@ def _rows(sample: DataFrame, known: np.ndarray | None) -> DataFrame:
     return rows.mapInArrow(run, "grade int, size long, features array<long>")
 
 
-def _places(known: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.searchsorted(known, found)
-    at[at == len(known)] = 0
-    return at, (known[at] == found if len(known) else np.zeros(len(found), bool))
-
-
 def _select(sample: DataFrame) -> np.ndarray:
     rows = _rows(sample, None)
     graded, clean = rows.agg(F.expr("count_if(grade > 0)"), F.expr("count_if(grade = 0)")).first()
@@ -179,10 +195,8 @@ def predict(docs: DataFrame, model: Model, least: float = LEAST_CHANCE) -> DataF
         for batch in batches:
             for part in byte_slices(batch, "text"):
                 m: Model = shared.value
-                found, cut = features(part.column(1))
-                at, inside = _places(m.features, found)
-                owner = np.repeat(np.arange(part.num_rows), np.diff(cut))[inside]
-                score = np.bincount(owner, m.weights[at[inside]] if len(m.weights) else None, minlength=part.num_rows)
+                owner, at = known_features(part.column(1), m.features)
+                score = np.bincount(owner, m.weights[at], minlength=part.num_rows)
                 chance = 1 / (1 + np.exp(-np.clip(score[:, None] - m.thresholds, -30, 30)))
                 yield pa.record_batch([
                     part.column(0), pa.array(chance.sum(axis=1)), pa.array(chance.tolist(), pa.list_(pa.float64())),
