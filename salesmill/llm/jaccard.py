@@ -40,6 +40,8 @@ PAGE = 1000
 HOT_TABLE = 1 << 21
 #: A shingle found more often than this is frequent, or than its double, four times, ... if the table is full.
 LEAST_HOT = 8
+#: Text whose shingles are counted together before they are sent on.
+PACKED_BYTES = 2 << 20
 #: Stands in for a missing doc_id inside the join.
 NO_ID = -(1 << 63)
 
@@ -104,28 +106,18 @@ def _frequent(docs: DataFrame, text: str, least_hot: int) -> tuple[np.ndarray, i
 
     def pack(batches):
         for batch in batches:
-            values, counts = [], []
-            for part in byte_slices(batch, "text"):
+            for part in byte_slices(batch, "text", PACKED_BYTES):
                 words = find_words(part.column(0), NOT_SPACE)
                 found = windows(words.hashes(), words.ptr, WORDS)[1] >> np.uint64(32 - bits)
                 found, times = np.unique(found, return_counts=True)
-                values.append(found)
-                counts.append(times)
-            if not values:
-                continue
-            values, counts = np.concatenate(values), np.concatenate(counts).astype(np.uint32)
-            order = np.argsort(values, kind="stable")
-            values, counts = values[order], counts[order]
-            first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, np.int64)
-            values, counts = values[first], np.add.reduceat(counts, first) if len(first) else counts
-            there, first = np.unique((values >> np.uint64(32)).astype(np.int64), return_index=True)
-            cut = np.append(first, len(values))
-            low = values.astype(np.uint32)
-            yield pa.record_batch({
-                "bucket": pa.array(there, pa.int32()),
-                "low": pa.array([low[cut[i] : cut[i + 1]].tobytes() for i in range(len(there))], pa.binary()),
-                "times": pa.array([counts[cut[i] : cut[i + 1]].tobytes() for i in range(len(there))], pa.binary()),
-            })
+                there, first = np.unique((found >> np.uint64(32)).astype(np.int64), return_index=True)
+                cut = np.append(first, len(found))
+                low, times = found.astype(np.uint32), times.astype(np.uint32)
+                yield pa.record_batch({
+                    "bucket": pa.array(there, pa.int32()),
+                    "low": pa.array([low[cut[i] : cut[i + 1]].tobytes() for i in range(len(there))], pa.binary()),
+                    "times": pa.array([times[cut[i] : cut[i + 1]].tobytes() for i in range(len(there))], pa.binary()),
+                })
 
     def count(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         low = np.frombuffer(b"".join(rows["low"]), np.uint32)
@@ -144,7 +136,7 @@ def _frequent(docs: DataFrame, text: str, least_hot: int) -> tuple[np.ndarray, i
     power = 0
     while sum(n for p, n in sizes.items() if p >= power) > HOT_TABLE:
         power += 1
-    leads = counted.where(doubled >= power).select("lead").toPandas()["lead"].to_numpy(np.int64)
+    leads = counted.where(doubled >= power).select("lead").toArrow()["lead"].to_numpy()
     return np.sort(leads).astype(np.uint64), bits
 
 
