@@ -1,16 +1,20 @@
 """Language-model scoring (8): a log-bilinear model trained with noise-contrastive estimation.
 
-Words fall into CLASSES: the most frequent words are classes of their own, the rest are told apart by
-their last two bytes. The model predicts a word's class from the classes of the two words before it,
-and the word from its class:
+Words fall into classes, `class_count` of them: the most frequent words, half as many, are classes of
+their own, the rest are told apart by their last two bytes. The model predicts a word's class from the
+classes of the two words before it, and the word from its class:
 
     P(word | h) = P(class | h) * (c + 1) / (N_class + V_class + 1)
 
 where c, N and V are training counts and the last 1 is the share of words never seen in that class.
 P(class | h) is log-bilinear: each context position has a matrix that maps the embedding of its class,
-their sum predicts the embedding of the next one. It is trained on the counts of all class triples of
-the corpus, at most (CLASSES + 1)**2 * CLASSES numbers however large the corpus is, by telling true
-triples from noise drawn by class frequency; scoring normalises by products over all contexts at once.
+their sum predicts the embedding of the next one. The sum over classes that normalises it is one
+product of two matrices for all contexts at once.
+
+It is trained on the counts of all class triples (cells) of the corpus, which stay in Spark, by telling
+true triples from noise drawn by class frequency. In each of ROUNDS rounds every task goes over all of
+its cells, each weighted by its count, from the same parameters; what the tasks arrive at is averaged
+by the counts they saw. Small corpora are gone over more often, so that each has STEPS steps.
 
 Counts of words cover all training texts and stay in Spark. The TABLE most frequent words travel to
 the scoring tasks (4 MB); the counts of the others are joined, summed up before the shuffle.
@@ -18,23 +22,31 @@ the scoring tasks (4 MB); the counts of the others are joined, summed up before
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from salesmill.llm.shipping import ship
 from salesmill.llm.text import NOT_SPACE, SLICE_BYTES, byte_slices, find_words
 from salesmill.session import written
 
-CLASSES, SINGLES = 128, 64
+#: The least number of classes; `class_count` has the number for a vocabulary.
+CLASSES = 128
 TABLE = 1 << 18
-WIDTH, NOISE, BATCH, STEPS = 24, 64, 2048, 1200
+WIDTH, NOISE, BATCH, STEPS, ROUNDS = 24, 64, 2048, 1200, 4
+#: Cells that a training task holds at once.
+HELD = 1 << 18
 END = np.uint64(0x5EED)
 END_SHAPE = 0
-_START = CLASSES
+
+
+def class_count(vocabulary: int) -> int:
+    """160 classes for 10,000 words, 1,006 for a million, 2,524 for ten million, and so on without end."""
+    return max(CLASSES, 2 * math.ceil(2 * vocabulary**0.4))
 
 
 @dataclass
@@ -42,6 +54,7 @@ class Classes:
     words: np.ndarray  # sorted hashes of the words that are classes of their own
     of_word: np.ndarray  # their classes
     of_shape: np.ndarray  # class of each of 65,536 pairs of last bytes
+    size: int = CLASSES
 
     def of(self, hashes: np.ndarray, shapes: np.ndarray) -> np.ndarray:
         found = self.of_shape[shapes]
@@ -66,16 +79,28 @@ class Model:
     tokens: int
     vocabulary: int
 
+    def log_norms(self) -> np.ndarray:
+        """log of the sum over classes, for each last-but-one and last class of a context."""
+        before = self.context @ self.first @ self.target.T
+        last = self.context @ self.second @ self.target.T + self.bias
+        high, top = before.max(axis=1, keepdims=True), last.max(axis=1, keepdims=True)
+        total = np.exp(before - high) @ np.exp(last - top).T
+        with np.errstate(divide="ignore"):
+            norms = np.log(total) + high + top.T
+        for i, j in np.argwhere(total < 1e-200):  # peaks too far apart for a product
+            both = before[i] + last[j]
+            norms[i, j] = both.max() + np.log(np.exp(both - both.max()).sum())
+        return norms.astype(np.float32)
+
     def log_probabilities(self) -> np.ndarray:
-        """log10 P(class | context) for all contexts: rows last-but-one * (CLASSES + 1) + last."""
-        before = self.context @ self.first
-        last = self.context @ self.second
-        out = np.empty(((CLASSES + 1) ** 2, CLASSES), np.float32)
-        for i in range(CLASSES + 1):
-            scores = (before[i] + last) @ self.target.T + self.bias
-            scores -= scores.max(axis=1, keepdims=True)
-            scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
-            out[i * (CLASSES + 1) : (i + 1) * (CLASSES + 1)] = scores / np.log(10)
+        """log10 P(class | context) for all contexts: rows last-but-one * (classes + 1) + last."""
+        n = len(self.target)
+        before, last = self.context @ self.first, self.context @ self.second
+        norms = self.log_norms()
+        out = np.empty(((n + 1) ** 2, n), np.float32)
+        for i in range(n + 1):
+            scores = (before[i] + last) @ self.target.T + self.bias - norms[i][:, None]
+            out[i * (n + 1) : (i + 1) * (n + 1)] = scores / np.log(10)
         return out
 
 
@@ -93,15 +118,21 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, all_shapes, ptr
 
 
-def _contexts(classes: np.ndarray, ptr: np.ndarray) -> np.ndarray:
-    """For each token the row of its context in Model.log_probabilities."""
-    last, before = np.full(len(classes), _START), np.full(len(classes), _START)
+def _context_pairs(classes: np.ndarray, ptr: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each token the classes of the token before the last and of the last; n where a text begins."""
+    last, before = np.full(len(classes), n), np.full(len(classes), n)
     last[1:], before[2:] = classes[:-1], classes[:-2]
     begins = ptr[:-1]
-    last[begins] = before[begins] = _START
+    last[begins] = before[begins] = n
     second = begins + 1
-    before[second[second < len(classes)]] = _START
-    return before * (CLASSES + 1) + last
+    before[second[second < len(classes)]] = n
+    return before, last
+
+
+def _contexts(classes: np.ndarray, ptr: np.ndarray, n: int = CLASSES) -> np.ndarray:
+    """For each token the row of its context in Model.log_probabilities."""
+    before, last = _context_pairs(classes, ptr, n)
+    return before * (n + 1) + last
 
 
 def count_words(training: DataFrame) -> DataFrame:
@@ -130,48 +161,45 @@ def count_words(training: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.min("shape").alias("shape"), F.sum("times").alias("times"))
 
 
-def _choose_classes(counts: DataFrame) -> Classes:
-    top = counts.orderBy(F.desc("times"), "word").limit(SINGLES).toPandas()
+def _choose_classes(counts: DataFrame, vocabulary: int) -> Classes:
+    size = class_count(vocabulary)
+    top = counts.orderBy(F.desc("times"), "word").limit(size // 2).toPandas()
     single = top["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(single)
-    others = counts.where(~F.col("word").isin([int(w) for w in top["word"]])) if len(top) else counts
+    known = counts.sparkSession.createDataFrame([(int(w),) for w in top["word"]], "word long")
+    others = counts.join(F.broadcast(known), "word", "left_anti")
     shapes = others.groupBy("shape").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "shape")
-    shapes = shapes.limit(CLASSES - SINGLES - 1).toPandas()["shape"].to_numpy(np.int64)
-    of_shape = np.full(1 << 16, CLASSES - 1, np.int64)
-    of_shape[shapes] = SINGLES + np.arange(len(shapes))
-    return Classes(single[order], np.arange(len(single))[order], of_shape)
+    shapes = shapes.limit(size - size // 2 - 1).toPandas()["shape"].to_numpy(np.int64)
+    of_shape = np.full(1 << 16, size - 1, np.int64)
+    of_shape[shapes] = size // 2 + np.arange(len(shapes))
+    return Classes(single[order], np.arange(len(single))[order], of_shape, size)
 
 
-def _class_column(classes: Classes) -> Column:
-    """The class of a (word, shape) row, as an expression."""
-    single = F.create_map(*[x for w, c in zip(classes.words.view(np.int64), classes.of_word) for x in (F.lit(int(w)), F.lit(int(c)))])
-    shapes = np.flatnonzero(classes.of_shape < CLASSES - 1)
-    shape = F.create_map(*[x for s in shapes for x in (F.lit(int(s)), F.lit(int(classes.of_shape[s])))])
-    found = F.try_element_at(shape, F.col("shape")) if len(shapes) else F.lit(None)
-    return F.coalesce(F.try_element_at(single, F.col("word")), found, F.lit(CLASSES - 1)).cast("int")
+def _with_class(counts: DataFrame, classes: Classes) -> DataFrame:
+    """Word counts with the class of each word; the tables joined have a row for each class at most."""
+    spark = counts.sparkSession
+    words = [(int(w), int(c)) for w, c in zip(classes.words.view(np.int64), classes.of_word)]
+    shapes = [(int(s), int(classes.of_shape[s])) for s in np.flatnonzero(classes.of_shape < classes.size - 1)]
+    rows = counts.join(F.broadcast(spark.createDataFrame(words, "word long, single int")), "word", "left")
+    rows = rows.join(F.broadcast(spark.createDataFrame(shapes, "shape int, shaped int")), "shape", "left")
+    return rows.withColumn("class", F.coalesce("single", "shaped", F.lit(classes.size - 1))).drop("single", "shaped")
 
 
-def _triples(training: DataFrame, classes: Classes) -> np.ndarray:
-    """Counts of all (context, class) cells over the training texts."""
+def _triples(training: DataFrame, classes: Classes) -> DataFrame:
+    """(cell, times): counts of all (context, class) cells over the training texts, those that occur."""
     shared = training.sparkSession.sparkContext.broadcast(classes)
-    cells = (CLASSES + 1) ** 2 * CLASSES
+    size = classes.size
 
     def run(batches):
-        total = np.zeros(cells, np.int64)
         for batch in batches:
-            for part in byte_slices(batch, "text", 8 * SLICE_BYTES):  # each slice adds up all cells
+            for part in byte_slices(batch, "text", 8 * SLICE_BYTES):
                 hashes, shapes, ptr = _tokens(part.column(0))
                 own = shared.value.of(hashes, shapes)
-                total += np.bincount(_contexts(own, ptr) * CLASSES + own, minlength=cells)
-        at = np.flatnonzero(total)
-        if len(at):
-            yield pa.record_batch({"cell": at.astype(np.int32), "times": total[at]})
+                found, times = np.unique(_contexts(own, ptr, size) * size + own, return_counts=True)
+                yield pa.record_batch({"cell": found, "times": times})
 
-    rows = training.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "cell int, times long")
-    found = rows.groupBy("cell").agg(F.sum("times").alias("times")).toArrow()  # bounded by `cells`
-    total = np.zeros(cells, np.int64)
-    total[found["cell"].to_numpy()] = found["times"].to_numpy()
-    return total
+    rows = training.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "cell long, times long")
+    return rows.groupBy("cell").agg(F.sum("times").alias("times"))
 
 
 def _most_frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -194,49 +222,135 @@ def _most_frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return words[order], times[order]
 
 
-def train(cells: np.ndarray, steps: int = STEPS, seed: int = 5) -> tuple[np.ndarray, ...]:
-    """Embeddings, matrices and biases from class-triple counts, by noise-contrastive estimation."""
+def _begin(frequency: np.ndarray, seed: int) -> list[np.ndarray]:
+    """Parameters before training: embeddings, matrices, biases; then the squares of their gradients."""
     rng = np.random.default_rng(seed)
-    context = rng.normal(0, 0.1, (CLASSES + 1, WIDTH))
-    target = rng.normal(0, 0.1, (CLASSES, WIDTH))
-    first, second = 0.5 * np.eye(WIDTH), np.eye(WIDTH)
+    n = len(frequency)
+    params = [rng.normal(0, 0.1, (n + 1, WIDTH)), 0.5 * np.eye(WIDTH), np.eye(WIDTH), rng.normal(0, 0.1, (n, WIDTH)),
+              np.log(frequency / frequency.sum())]
+    return params + [np.full(p.shape, 1e-8) for p in params]
+
+
+def _sums(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of `values` by their place `at`, n places."""
+    order = np.argsort(at, kind="stable")
+    first = np.flatnonzero(np.r_[True, at[order][1:] != at[order][:-1]])
+    out = np.zeros((n, *values.shape[1:]))
+    out[at[order][first]] = np.add.reduceat(values[order], first, axis=0)
+    return out
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def _learn(state: list[np.ndarray], noise: np.ndarray, cells: np.ndarray, times: np.ndarray, mean: float, passes: int, rate: float, rng) -> None:
+    """Go over all cells `passes` times, in batches, and change `state`. A cell weighs its count; one of
+    more than `mean` is dealt over several batches in equal shares.
+    """
+    context, first, second, target, bias = params = state[:5]
+    n = len(target)
+    copies = np.ceil(times / mean).astype(np.int64)
+    entry, weight = np.repeat(cells, copies), np.repeat(times / copies / mean, copies)
+    offset = np.log(NOISE * noise)
+    share = np.cumsum(noise)
+    for _ in range(passes):
+        order = rng.permutation(len(entry))
+        for begin in range(0, len(order), BATCH):
+            drawn = order[begin : begin + BATCH]
+            w = weight[drawn][:, None]
+            row, wanted = entry[drawn] // n, entry[drawn] % n
+            i, j = row // (n + 1), row % (n + 1)
+            ri, rj = context[i], context[j]
+            predicted = ri @ first + rj @ second
+            false = np.minimum(np.searchsorted(share, rng.random(NOISE)), n - 1)
+            # Gradients of the log-likelihood that true triples are true and noise is noise.
+            good = w[:, 0] * (1 - _sigmoid((predicted * target[wanted]).sum(axis=1) + bias[wanted] - offset[wanted]))
+            bad = -w * _sigmoid(predicted @ target[false].T + bias[false] - offset[false])
+            d_predicted = good[:, None] * target[wanted] + bad @ target[false]
+            d_target = _sums(np.r_[wanted, false], np.r_[good[:, None] * predicted, bad.T @ predicted], n)
+            d_bias = _sums(np.r_[wanted, false], np.r_[good, bad.sum(axis=0)], n)
+            d_context = _sums(np.r_[i, j], np.r_[d_predicted @ first.T, d_predicted @ second.T], n + 1)
+            for p, s, d in zip(params, state[5:], (d_context, ri.T @ d_predicted, rj.T @ d_predicted, d_target, d_bias)):
+                d = d / len(drawn)
+                s += d * d
+                p += rate * d / np.sqrt(s)
+
+
+def _passes(cells: int, steps: int) -> int:
+    """Passes of a round over so many cells, so that all rounds make `steps` steps at least."""
+    return max(1, -(-steps // (ROUNDS * max(1, cells // BATCH))))
+
+
+def _rate(round_: int) -> float:
+    return 0.1 * (1 - 0.9 * round_ / ROUNDS)
+
+
+def train(cells: np.ndarray, steps: int = STEPS, seed: int = 5) -> tuple[np.ndarray, ...]:
+    """Embeddings, matrices and biases from an array of class-triple counts of CLASSES classes."""
     frequency = cells.reshape(-1, CLASSES).sum(axis=0) + 1.0
-    noise = frequency / frequency.sum()
-    bias = np.log(noise)
+    state = _begin(frequency, seed)
     used = np.flatnonzero(cells)
-    if not len(used):
-        return context, first, second, target, bias
-    steep = np.cumsum(cells[used]) / cells.sum()
-    params = [context, first, second, target, bias]
-    squares = [np.full(p.shape, 1e-8) for p in params]
-    offset = np.log(NOISE * noise)
-    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-    for step in range(steps):
-        drawn = used[np.minimum(np.searchsorted(steep, rng.random(BATCH)), len(used) - 1)]
-        row, wanted = drawn // CLASSES, drawn % CLASSES
-        i, j = row // (CLASSES + 1), row % (CLASSES + 1)
-        ri, rj = context[i], context[j]
-        predicted = ri @ first + rj @ second
-        false = rng.choice(CLASSES, NOISE, p=noise)
-        # Gradients of the log-likelihood that true triples are true and noise is noise.
-        good = 1 - sigmoid((predicted * target[wanted]).sum(axis=1) + bias[wanted] - offset[wanted])
-        bad = -sigmoid(predicted @ target[false].T + bias[false] - offset[false])
-        d_predicted = good[:, None] * target[wanted] + bad @ target[false]
-        d_target, d_bias = np.zeros_like(target), np.zeros_like(bias)
-        np.add.at(d_target, wanted, good[:, None] * predicted)
-        np.add.at(d_target, false, bad.T @ predicted)
-        np.add.at(d_bias, wanted, good)
-        np.add.at(d_bias, false, bad.sum(axis=0))
-        d_context = np.zeros_like(context)
-        np.add.at(d_context, i, d_predicted @ first.T)
-        np.add.at(d_context, j, d_predicted @ second.T)
-        steps_ = [d_context, ri.T @ d_predicted, rj.T @ d_predicted, d_target, d_bias]
-        rate = 0.1 * (1 - 0.9 * step / steps)
-        for p, s, d in zip(params, squares, steps_):
-            d = d / BATCH
-            s += d * d
-            p += rate * d / np.sqrt(s)
-    return tuple(params)
+    if len(used):
+        for k in range(ROUNDS):
+            _learn(state, frequency / frequency.sum(), used, cells[used], cells.sum() / len(used), _passes(len(used), steps), _rate(k),
+                   np.random.default_rng((seed, k)))
+    return tuple(state[:5])
+
+
+def train_in_tasks(cells: DataFrame, frequency: np.ndarray, steps: int = STEPS, seed: int = 5) -> tuple[np.ndarray, ...]:
+    """The same from (cell, times) rows of any number, in Spark tasks; `frequency` is that of the classes."""
+    spark = cells.sparkSession
+    frequency = frequency + 1.0
+    state, noise = _begin(frequency, seed), frequency / frequency.sum()
+    count, total = cells.agg(F.count(F.lit(1)), F.sum("times")).first()
+    if not count:
+        return tuple(state[:5])
+    mean, passes = total / count, _passes(count, steps)
+    groups = max(1, math.isqrt(cells.rdd.getNumPartitions()))
+    shapes = [p.shape for p in state]
+
+    for k in range(ROUNDS):
+        shared, rate = spark.sparkContext.broadcast(state), _rate(k)
+
+        def run(batches, shared=shared, rate=rate, k=k):
+            task = TaskContext.get().partitionId()
+            rng = np.random.default_rng((seed, k, task))
+            own, seen, held = [p.copy() for p in shared.value], 0, []
+
+            def learn():
+                cell, times = (np.concatenate(c) for c in zip(*held))
+                _learn(own, noise, cell, times, mean, passes, rate, rng)
+                held.clear()
+                return int(times.sum())
+
+            for batch in batches:
+                if batch.num_rows:
+                    held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+                    if sum(len(c) for c, _ in held) >= HELD:
+                        seen += learn()
+            if held:
+                seen += learn()
+            if seen:
+                flat = np.concatenate([p.ravel() for p in own]) * seen
+                yield pa.record_batch({"part": pa.array([task % groups], pa.int32()), "seen": pa.array([seen], pa.int64()),
+                                       "state": pa.array([flat.tobytes()], pa.binary())})
+
+        def add(batches):
+            seen, flat = 0, 0.0
+            for batch in batches:
+                for n, one in zip(batch.column(1).to_pylist(), batch.column(2)):
+                    seen, flat = seen + n, flat + np.frombuffer(one.as_buffer(), np.float64)
+            if seen:
+                yield pa.record_batch({"seen": pa.array([seen], pa.int64()), "state": pa.array([flat.tobytes()], pa.binary())})
+
+        found = cells.select("cell", "times").mapInArrow(run, "part int, seen long, state binary")
+        sums = found.repartition(groups, "part").mapInArrow(add, "seen long, state binary").collect()  # a row for each group at most
+        flat = sum(np.frombuffer(r.state, np.float64) for r in sums) / sum(r.seen for r in sums)
+        cuts = np.cumsum([math.prod(x) for x in shapes])[:-1]
+        state = [p.reshape(x).copy() for p, x in zip(np.split(flat, cuts), shapes)]
+        shared.unpersist()
+    return tuple(state[:5])
 
 
 def fit(training: DataFrame) -> tuple[Model, DataFrame]:
@@ -244,14 +358,14 @@ def fit(training: DataFrame) -> tuple[Model, DataFrame]:
     ship(training.sparkSession)
     counts = written(count_words(training), "counts")
     tokens, vocabulary = counts.agg(F.coalesce(F.sum("times"), F.lit(0)), F.count(F.lit(1))).first()
-    classes = _choose_classes(counts)
-    cells = _triples(training, classes)
-    sizes = counts.groupBy(_class_column(classes).alias("class")).agg(F.sum("times").alias("n"), F.count(F.lit(1)).alias("v"))
-    class_total = np.zeros(CLASSES)
-    for c, n, v in sizes.collect():  # a row for each class
-        class_total[c] = np.log10(n + v + 1)
+    classes = _choose_classes(counts, vocabulary)
+    cells = written(_triples(training, classes), "cells")
+    sizes = _with_class(counts, classes).groupBy("class").agg(F.sum("times").alias("n"), F.count(F.lit(1)).alias("v"))
+    class_total, frequency = np.zeros(classes.size), np.zeros(classes.size)
+    for c, n, v in sizes.select("class", "n", "v").collect():  # a row for each class
+        class_total[c], frequency[c] = np.log10(n + v + 1), n
     words, times = _most_frequent(counts)
-    model = Model(classes, *train(cells), class_total, words, times, int(tokens), int(vocabulary))
+    model = Model(classes, *train_in_tasks(cells, frequency), class_total, words, times, int(tokens), int(vocabulary))
     return model, counts
 
 
@@ -266,13 +380,15 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(model)
+    shared, norms = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(model.log_norms())
     kind = docs.schema["doc_id"].dataType.simpleString()
     each = float(np.log10(model.tokens + model.vocabulary + 1))
 
     def run(batches):
         m: Model = shared.value
-        log = m.log_probabilities()
+        size, each_norm = m.classes.size, norms.value
+        before, last = ((m.context @ x).astype(np.float32) for x in (m.first, m.second))
+        target, bias = m.target.astype(np.float32), m.bias
         weight = np.log10(m.table_counts + 1.0)
         context = TaskContext.get()
         row = (context.partitionId() if context else 0) << 40
@@ -280,7 +396,9 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
             for part in byte_slices(batch, "text"):
                 hashes, shapes, ptr = _tokens(part.column(1))
                 own = m.classes.of(hashes, shapes)
-                modelled = log[_contexts(own, ptr), own].astype(float) - m.class_total[own]
+                i, j = _context_pairs(own, ptr, size)
+                fitted = np.einsum("ij,ij->i", before[i] + last[j], target[own]) + bias[own] - each_norm[i, j]
+                modelled = fitted / math.log(10) - m.class_total[own]
                 at = np.searchsorted(m.table_words, hashes)
                 at[at == len(m.table_words)] = 0
                 known = m.table_words[at] == hashes if len(m.table_words) else np.zeros(len(hashes), bool)

@@ -91,3 +91,38 @@ def test_held_out_texts_are_likelier_than_by_frequency(spark):
     model, counts = lm.fit(docs.where("doc_id % 7 <> 2"))
     total = lm.score(docs.where("doc_id % 7 = 2"), model, counts).agg({"score": "sum", "base_score": "sum"}).first()
     assert total["sum(score)"] > 0.97 * total["sum(base_score)"]
+
+
+def test_classes_and_cells_grow_with_the_vocabulary(documents):
+    rng = np.random.default_rng(1)
+    rows = [(k, " ".join(f"w{int(x)}" for x in rng.integers(0, 20_000, 400))) for k in range(200)]
+    model, _ = lm.fit(documents(rows))
+    assert model.vocabulary > 15_000 and model.classes.size == lm.class_count(model.vocabulary) > lm.CLASSES
+    assert len(model.classes.words) == model.classes.size // 2 and len(model.target) == model.classes.size
+    assert lm.class_count(10**7) > 2 * lm.class_count(10**6) > 4 * lm.class_count(10**5)
+
+
+def test_training_reads_every_cell_by_its_count(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lm, "BATCH", 64)
+    learn = lm._sums
+    monkeypatch.setattr(lm, "_sums", lambda at, values, n: seen.append(at) or learn(at, values, n))
+    cells, times = np.arange(1000) * 131, np.arange(1000) % 90 + 1
+    state = lm._begin(np.ones(lm.CLASSES), 1)
+    lm._learn(state, np.full(lm.CLASSES, 1 / lm.CLASSES), cells, times, times.mean(), 1, 0.1, np.random.default_rng(1))
+    wanted = np.concatenate([s[: -lm.NOISE] for s in seen[::3]])
+    assert len(wanted) == np.ceil(times / times.mean()).sum() and set(wanted) == set(cells % lm.CLASSES)
+
+
+def test_tasks_learn_what_one_process_learns(spark):
+    n = lm.CLASSES
+    cells = np.zeros(((n + 1) ** 2, n), np.int64)
+    for last in range(20):
+        for before in range(20):
+            cells[before * (n + 1) + last, (last + 1) % 20] = 50
+    used = np.flatnonzero(cells)
+    rows = spark.createDataFrame([(int(c), int(cells.ravel()[c])) for c in used], "cell long, times long").repartition(4)
+    params = lm.train_in_tasks(rows, cells.sum(axis=0), steps=400)
+    log = lm.Model(None, *params, None, None, None, 0, 0).log_probabilities()
+    frequency = cells.sum(axis=0) / cells.sum()
+    assert (cells * log).sum() > 0.5 * (cells * np.log10(np.maximum(frequency, 1e-12))).sum()
