@@ -1,7 +1,8 @@
 """Document fingerprints (2): closed syncmers, in Spark's own functions only.
 
-A text is cut into tokens: runs of up to TOKEN characters that are not white space. Its k-mers are runs
-of four tokens, their inner substrings pairs of tokens. A k-mer is an anchor if the smallest of its
+A text is cut into tokens: runs of up to TOKEN characters that are not white space. In a run of more than
+WORD characters, or one of a script written without spaces, a token of TOKEN characters begins at every
+character instead, so that where the run begins does not matter. Its k-mers are runs of four tokens, their inner substrings pairs of tokens. A k-mer is an anchor if the smallest of its
 three pairs, by hash, lies at an edge. That depends on the k-mer alone, so a passage has the same
 anchors wherever it stands. The fingerprint holds the smallest SKETCH anchor hashes; two fingerprints
 are alike by the share of the smallest hashes of both that they have in common.
@@ -13,11 +14,21 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from salesmill.operators.prefix import range_count, with_ranges
 
-TOKEN, SKETCH = 8, 128
+TOKEN, WORD, SKETCH = 8, 16, 128
+_SCRIPTS = "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Bopomofo", "Yi", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
+_UNSPACED = rf"\S{{{WORD + 1}}}|[{_SCRIPTS}]"
 
 
 def _tokens(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(rf"(\S{{1,{TOKEN}}})"), F.lit(1))
+    def cut(part: Column) -> Column:
+        return F.regexp_extract_all(part, F.lit(rf"(\S{{1,{TOKEN}}})"), F.lit(1))
+
+    def run_tokens(run: Column) -> Column:
+        each = F.regexp_extract_all(run, F.lit(rf"(?=(\S{{{TOKEN}}}))\S"), F.lit(1))
+        return F.when(run.rlike(_UNSPACED) & (F.char_length(run) > TOKEN), each).otherwise(cut(run))
+
+    runs = F.regexp_extract_all(text, F.lit(r"(\S+)"), F.lit(1))
+    return F.when(text.rlike(_UNSPACED), F.flatten(F.transform(runs, run_tokens))).otherwise(cut(text))
 
 
 def anchors(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

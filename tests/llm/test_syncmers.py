@@ -76,3 +76,18 @@ def test_no_python_in_the_plan(documents, tmp_path, spark):
     documents([(1, "a b c d e f"), (2, "x")]).write.parquet(str(tmp_path / "docs"))
     plan = fingerprints(spark.read.parquet(str(tmp_path / "docs")))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("EvalPython|InArrow|InPandas|PythonUDF|CartesianProduct|NestedLoop", plan)
+
+
+@pytest.mark.parametrize("passage", [
+    "吾輩は猫である名前はまだ無いどこで生れたかとんと見当がつかぬ何でも薄暗いじめじめした所でニャーニャー泣いていた事だけは記憶している",
+    "ประเทศไทยเป็นประเทศที่ตั้งอยู่ในเอเชียตะวันออกเฉียงใต้มีพรมแดนติดกับลาว",
+    "function(a,b){return(a&&b)||document.getElementById('x').innerHTML.split(/,/g)}",
+])
+def test_unspaced_passages_keep_their_anchors_behind_any_prefix(documents, passage):
+    rows = [(k, "甲乙丙丁戊己庚辛"[:k] + passage) for k in range(9)]
+    at = {k: {} for k in range(9)}
+    for r in anchors(documents(rows)).collect():
+        at[r.doc_id][r.position] = r.anchor
+    assert len(at[0]) > 20
+    for k in range(1, 9):
+        assert {p - k: a for p, a in at[k].items() if p >= k} == at[0]
