@@ -4,8 +4,9 @@ A text is cut into tokens: runs of up to TOKEN characters that are not white spa
 WORD characters, or one of a script written without spaces, a token of TOKEN characters begins at every
 character instead, so that where the run begins does not matter. Its k-mers are runs of four tokens, their inner substrings pairs of tokens. A k-mer is an anchor if the smallest of its
 three pairs, by hash, lies at an edge. That depends on the k-mer alone, so a passage has the same
-anchors wherever it stands. The fingerprint holds the smallest SKETCH anchor hashes; two fingerprints
-are alike by the share of the smallest hashes of both that they have in common.
+anchors wherever it stands. Two texts are alike by the share of all their distinct anchors that both
+have, and aligned by the anchors that stand in both at one and the same shift of positions. The sketch,
+an extra, holds the smallest SKETCH anchor hashes only.
 """
 
 from __future__ import annotations
@@ -66,31 +67,60 @@ def _all_anchors(pairs: str, tokens: str) -> Column:
     return F.when(n < 4, short).otherwise(F.transform(p, kmer))
 
 
-def _sketch(pairs: str, tokens: str) -> Column:
-    """The smallest anchor hashes, distinct, as 32-bit numbers in order."""
-    kept = F.transform(F.array_compact(_all_anchors(pairs, tokens)), lambda a: a.bitwiseAND(F.lit(0xFFFFFFFF)))
-    return F.slice(F.sort_array(F.array_distinct(kept)), 1, SKETCH)
+def _distinct(places: Column) -> Column:
+    return F.array_distinct(F.array_compact(places))
 
 
-def _written(sketch: Column) -> Column:
+def _written_sketch(places: Column) -> Column:
+    """The smallest anchor hashes, distinct, as 32-bit numbers in order, in hexadecimal."""
+    kept = F.transform(F.array_compact(places), lambda a: a.bitwiseAND(F.lit(0xFFFFFFFF)))
+    sketch = F.slice(F.sort_array(F.array_distinct(kept)), 1, SKETCH)
     return F.array_join(F.transform(sketch, lambda a: F.lpad(F.lower(F.hex(a)), 8, "0")), "")
 
 
-def likeness(x: Column, y: Column) -> Column:
-    """Share of the smallest hashes of two sketches that both have; 1 if both are empty."""
-    both = F.slice(F.sort_array(F.array_union(x, y)), 1, SKETCH)
-    common = F.size(F.array_intersect(F.array_intersect(both, x), y))
-    return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(common / F.size(both))
+def _likeness(x: str, y: str, common: str) -> Column:
+    """Share of the distinct anchors of two texts that both have; 1 if both have none."""
+    n = F.size(common)
+    total = F.size(x) + F.size(y) - n
+    return F.when(total == 0, F.lit(1.0)).otherwise(n / total)
 
 
-def with_fingerprint(docs: DataFrame, text: str, out: str) -> DataFrame:
-    """Add the sketch of `text` as an array `out`."""
-    return _with_pairs(docs, text, "_fp").withColumn(out, _sketch("_pairs_fp", "_tokens_fp")).drop("_pairs_fp", "_tokens_fp")
+def _with_match(rows: DataFrame, x: str, y: str, common: str, out: str) -> DataFrame:
+    """Add the most anchors of `x` that stand in `y` at one shift of positions. An anchor that repeats
+    is matched from its last place in `x` to its first in `y`.
+    """
+
+    def at(places: str, side: int) -> Column:
+        return F.transform(places, lambda a, i: F.struct(a.alias("anchor"), F.lit(side).alias("side"), i.alias("place")))
+
+    both = F.filter(F.concat(at(x, 0), at(y, 1)), lambda e: e["anchor"].isNotNull())
+    none = F.array().cast("array<struct<anchor:bigint,side:int,place:int>>")
+    rows = rows.withColumn("_both", F.when(F.size(common) > 0, F.sort_array(both)).otherwise(none))
+
+    def shift(e: Column, following: Column) -> Column:
+        meet = (e["anchor"] == following["anchor"]) & (e["side"] < following["side"])
+        return F.when(meet, following["place"] - e["place"])
+
+    after = F.slice("_both", 2, F.greatest(F.size("_both"), F.lit(1)))
+    rows = rows.withColumn("_shifts", F.sort_array(F.array_compact(F.zip_with("_both", after, shift))))
+
+    def count(seen: Column, value: Column) -> Column:
+        run = F.when(seen["value"] == value, seen["run"] + 1).otherwise(F.lit(1))
+        return F.struct(value.alias("value"), run.alias("run"), F.greatest(seen["best"], run).alias("best"))
+
+    start = F.struct(F.lit(None).cast("int").alias("value"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+    best = F.aggregate("_shifts", start, count, lambda seen: seen["best"].cast("long"))
+    return rows.withColumn(out, best).drop("_both", "_shifts")
+
+
+def with_anchors(docs: DataFrame, text: str, out: str) -> DataFrame:
+    """Add an array `out` with an entry for each place of `text`: the anchor that begins there, or null."""
+    return _with_pairs(docs, text, "_fp").withColumn(out, _all_anchors("_pairs_fp", "_tokens_fp")).drop("_pairs_fp", "_tokens_fp")
 
 
 def _with_next(docs: DataFrame) -> DataFrame:
-    """Add `next_text` and `next_sketch`, those of the next row by descending doc_id; the last row's
-    next is the first. Rows without doc_id come last; rows that share one are in the order of their
+    """Add `places`, the anchors of the row, and `next_text` and `next_places`, those of the next row by
+    descending doc_id; the last row's next is the first. Rows without doc_id come last; rows that share one are in the order of their
     texts.
 
     Rows are dealt into ranges of doc_id by value. The first row of every range also stands, as a
@@ -106,7 +136,7 @@ def _with_next(docs: DataFrame) -> DataFrame:
     # The first row of each range: at most MAX_RANGES of them, found on ids and then on equal ids only.
     tops = ranged.groupBy("range").agg(F.max("doc_id").alias("top")).orderBy(F.desc("range")).collect()
     if not tops:
-        return ranged.withColumns({"next_text": F.col("text"), "sketch": F.array().cast("array<bigint>"), "next_sketch": F.array().cast("array<bigint>")})
+        return ranged.withColumns({"next_text": F.col("text"), "places": F.array().cast("array<bigint>"), "next_places": F.array().cast("array<bigint>")})
     before = {tops[i]["range"]: tops[i - 1]["range"] for i in range(len(tops))}
     host = F.create_map(*[x for r, b in before.items() for x in (F.lit(r), F.lit(b))])
     heads = spark.createDataFrame([(r["range"], r["top"]) for r in tops], f"range int, top {docs.schema['doc_id'].dataType.simpleString()}")
@@ -116,10 +146,10 @@ def _with_next(docs: DataFrame) -> DataFrame:
         .select(F.element_at(host, F.col("range")).alias("range"), "first.doc_id", "first.text", F.lit(True).alias("guest"))
     )
     rows = ranged.select("range", "doc_id", "text", F.lit(False).alias("guest")).unionByName(firsts).repartition("range")
-    rows = with_fingerprint(rows, "text", "sketch")
+    rows = with_anchors(rows, "text", "places")
     along = Window.partitionBy("range").orderBy("guest", *order)
     return rows.withColumns({
-        "next_text": F.lead("text").over(along), "next_sketch": F.lead("sketch").over(along),
+        "next_text": F.lead("text").over(along), "next_places": F.lead("places").over(along),
     }).where("not guest").drop("guest", "range")
 
 
@@ -132,20 +162,34 @@ def edited_text(text: Column, following: Column) -> Column:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """One row per row of `docs`: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next.
+    near_edited, near_next, aligned_edited, aligned_next, anchors, edited_anchors.
 
-    A null text is empty; an empty text has an empty fingerprint. A single row is its own next. Other
-    columns are ignored.
+    `anchors` holds all distinct anchors, in the order of the text; near_* and aligned_* are computed from
+    all of them. `fingerprint` is their sketch. A null text is empty; an empty text has no anchors. A single
+    row is its own next. Other columns are ignored.
     """
     rows = _with_next(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     rows = rows.withColumn("edited", edited_text(F.col("text"), F.col("next_text")))
-    rows = with_fingerprint(rows.drop("next_text"), "edited", "edited_sketch")
-    return rows.select(
-        "doc_id",
+    rows = with_anchors(rows.drop("next_text"), "edited", "edited_places")
+    rows = rows.select(
+        "doc_id", "places", "next_places", "edited_places",
         F.char_length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        _written(F.col("sketch")).alias("fingerprint"),
-        _written(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        _distinct(F.col("places")).alias("anchors"),
+        _distinct(F.col("next_places")).alias("next_anchors"),
+        _distinct(F.col("edited_places")).alias("edited_anchors"),
+    )
+    rows = rows.withColumns({
+        "common_edited": F.array_intersect("anchors", "edited_anchors"),
+        "common_next": F.array_intersect("anchors", "next_anchors"),
+    })
+    rows = _with_match(rows, "places", "edited_places", "common_edited", "aligned_edited")
+    rows = _with_match(rows, "places", "next_places", "common_next", "aligned_next")
+    return rows.select(
+        "doc_id", "n_chars", "edited_sha256",
+        _written_sketch(F.col("places")).alias("fingerprint"),
+        _written_sketch(F.col("edited_places")).alias("edited_fingerprint"),
+        _likeness("anchors", "edited_anchors", "common_edited").alias("near_edited"),
+        _likeness("anchors", "next_anchors", "common_next").alias("near_next"),
+        "aligned_edited", "aligned_next", "anchors", "edited_anchors",
     )

@@ -91,3 +91,23 @@ def test_unspaced_passages_keep_their_anchors_behind_any_prefix(documents, passa
     assert len(at[0]) > 20
     for k in range(1, 9):
         assert {p - k: a for p, a in at[k].items() if p >= k} == at[0]
+
+
+def test_a_short_shared_passage_in_long_texts_shows(documents):
+    passage = " ".join(f"q{k}" for k in range(60))
+    first, second = (" ".join(f"{c}{k}" for k in range(5000)) for c in "ab")
+    rows = [(2, first + " " + passage), (1, second[:7000] + " " + passage + second[7000:])]
+    r = {r.doc_id: r for r in fingerprints(documents(rows)).collect()}[2]
+    own, other = ({a.anchor: a.position for a in anchors(documents([row])).collect()} for row in rows)
+    shared = {p - other[a] for a, p in own.items() if a in other}
+    common = len(own.keys() & other.keys())
+    assert len(shared) == 1 and common > 25
+    assert r.aligned_next == common and r.near_next == common / len(own.keys() | other.keys())
+    assert set(r.anchors) == set(own) and len(r.anchors) > 10 * SKETCH
+
+
+def test_a_word_changed_in_a_long_text_shows(documents):
+    words = [f"a{k}" for k in range(6000)]
+    rows = [(2, " ".join(words)), (1, " ".join([*words[:3000], "changed", *words[3001:]]))]
+    r = {r.doc_id: r for r in fingerprints(documents(rows)).collect()}[2]
+    assert 0.99 < r.near_next < 1 and r.aligned_next > 3000
