@@ -3,8 +3,9 @@
 Base matches are found on the text as it stands. Then three transducers rewrite disguises, keeping for
 every character of the result the source characters it came from:
 1. homoglyphs and invisible characters become the ASCII characters they imitate, or nothing;
-2. "(at)", "[dot]", " at ", " dot " and their German, French and Spanish forms become @ and full stops;
-3. runs of spelled digits become digits.
+2. spelled digits next to another digit, spelled or not, become digits;
+3. "(at)", "[dot]", " at ", " dot " and their German, French and Spanish forms become @ and full stops,
+   " at " if a dotted domain follows it; after such an @, spaced full stops lose their spaces.
 The same detectors run on the result. A match that covers rewritten characters and does not lie
 inside a base match of its kind is added, at its source position. Only texts with a sign of a disguise are rewritten.
 """
@@ -88,20 +89,40 @@ _AT, _DOT = "at|ät|arobase|arroba|klammeraffe", "dot|punkt|point|punto"
 
 _NAME = "(?:" + "|".join(sorted(_NUMBER, key=len, reverse=True)) + ")"
 _OPEN, _CLOSE = r"\s{0,4}[(\[{<]\s{0,4}", r"\s{0,4}[)\]}>]\s{0,4}"
+_DOTTED = rf"[a-z0-9-]{{1,63}}(?:(?:\.|\s{{1,4}}(?:{_DOT})\s{{1,4}})[a-z0-9-]{{1,63}}){{0,8}}"
+_LAST = r"(?-i:[a-z]{2,24}|[A-Z]{2,24})(?![a-z0-9-])"
+# Fixed value: words that stand before " at " and a site's name in plain sentences.
+_BEFORE_AT = frozenset(
+    "a about account and are as at available be blog buy by check code come contact data demo details download email find follow for found "
+    "free from get go guide he help her here him home hosted in info information is it join located look looked looking looks me meet more "
+    "name news now of official on one online only or order out page people post posted project published read register released see she shop "
+    "sign site source started starting stay still store story team that the them there they this time today up us version video visit was "
+    "watch we web website were work worked working works writes you".split()
+)
+_WORD_BEFORE = re.compile(r"[a-z]+\Z", re.I)
 _SPELLED = re.compile(
     rf"(?P<at>{_OPEN}(?:{_AT}|@){_CLOSE}|(?<=[a-z0-9])\s{{1,4}}(?:{_AT})\s{{1,4}}(?=[a-z0-9-]{{1,63}}\s{{1,4}}(?:{_DOT})\s{{1,4}}[a-z])"
+    rf"|(?P<bare>(?<=[a-z0-9])\s{{1,4}}(?:{_AT})\s{{1,4}}(?={_DOTTED}(?:\.|\s{{1,4}}(?:{_DOT})\s{{1,4}}){_LAST}))"
     rf"|(?<=[a-z0-9])\s{{1,4}}@\s{{1,4}}(?=[a-z0-9]))"
     rf"|(?P<dot>{_OPEN}(?:{_DOT}|\.){_CLOSE}|(?<=[a-z0-9])\s{{1,4}}(?:{_DOT})\s{{1,4}}(?=[a-z0-9]))",
     re.I,
 )
-_RUN = re.compile(rf"(?:\bplus\s{{1,4}})?\b{_NAME}(?:[\s,.·-]{{1,4}}(?:{_NAME}|{_DOT})\b){{3,}}", re.I)
+_RUN = re.compile(rf"(?:\bplus\s{{1,4}})?\b{_NAME}(?:[\s,.·-]{{1,4}}(?:(?:{_DOT})[\s,.·-]{{1,4}})?{_NAME}\b)*(?![^\W_])", re.I)
+_PLUS = re.compile(rf"\bplus\s{{1,4}}(?=[0-9]{{1,3}}[\s-]{{1,4}}{_NAME}\b)", re.I)
+_DIGIT_BEFORE = re.compile(rf"[0-9](?:\)?[\s-]{{1,4}}|\.|\s{{1,4}}(?:{_DOT})\s{{1,4}})\Z", re.I)
+_DIGIT_AFTER = re.compile(rf"(?:[\s-]{{1,4}}\(?|\.|\s{{1,4}}(?:{_DOT})\s{{1,4}})[0-9]", re.I)
+#: Names of digits that are words of every kind of text.
+_AMBIGUOUS = frozenset("one un uno oh null".split())
+_SPACED_DOMAIN = re.compile(rf"[a-z0-9-]{{1,63}}(?:\s{{1,4}}\.\s{{0,4}}[a-z0-9-]{{1,63}}){{0,8}}\s{{1,4}}\.\s{{0,4}}{_LAST}", re.I)
+_SPACED_DOT = re.compile(r"\s{1,4}\.\s{0,4}")
 _PART = re.compile(rf"(?P<plus>plus)|(?P<dot>{_DOT})|(?P<digit>{_NAME})", re.I)
 _LOOKS_DIGIT = re.compile(r"(?<=[0-9])[OoIl](?=[0-9])")
 _ODD = re.compile(
     "[­·Ͱ-ԯ٠-٩۰-۹०-९‐-―​-‏•․‧⁠-⁤"
     "−①-⑳➕。﹒﹫﻿！-～\U0001d400-\U0001d7ff]"
 )
-_SIGN = re.compile(rf"[(\[{{<]\s{{0,4}}(?:{_AT}|@|{_DOT}|\.)\s{{0,4}}[)\]}}>]|\s(?:{_DOT})\s|\s@\s|[0-9][oil][0-9]|\b{_NAME}[\s,.·-]{{1,4}}{_NAME}\b")
+_SIGN = re.compile(rf"[(\[{{<]\s{{0,4}}(?:{_AT}|@|{_DOT}|\.)\s{{0,4}}[)\]}}>]|\s(?:{_DOT})\s|\s@\s|[0-9][oil][0-9]|\b{_NAME}[\s,.·-]{{1,4}}(?:{_NAME}\b|\(?[0-9])"
+                   rf"|[0-9](?:\)?[\s-]{{1,4}}|\.){_NAME}\b|\s(?:{_AT})\s{{1,4}}[a-z0-9-]{{1,63}}\.[a-z0-9]")
 
 
 class Traced:
@@ -150,10 +171,26 @@ def normalise(text: str) -> Traced:
     traced.replace([(m.start(), m.end(), p) for m in _ODD.finditer(text) if (p := _plain(m[0])) != m[0]])
     runs = []
     for m in _RUN.finditer(traced.text):
-        new = "".join("+" if p["plus"] else "." if p["dot"] else _NUMBER[p[0].lower()] for p in _PART.finditer(m[0]))
-        runs.append((m.start(), m.end(), new))
-    traced.replace(runs)
-    traced.replace([(m.start(), m.end(), "@" if m["at"] else ".") for m in _SPELLED.finditer(traced.text)])
+        names = sum(bool(p["digit"]) for p in _PART.finditer(m[0]))
+        beside = _DIGIT_BEFORE.search(traced.text, max(0, m.start() - 16), m.start()) or _DIGIT_AFTER.match(traced.text, m.end())
+        if names > 1 or beside:
+            new = "".join("+" if p["plus"] else "." if p["dot"] else _NUMBER[p[0].lower()] for p in _PART.finditer(m[0]))
+            runs.append((m.start(), m.end(), new))
+    runs += [(m.start(), m.end(), "+") for m in _PLUS.finditer(traced.text)]
+    traced.replace(sorted(runs))
+    edits = []
+    for m in _SPELLED.finditer(traced.text):
+        before = _WORD_BEFORE.search(traced.text, max(0, m.start() - 64), m.start()) if m["bare"] else None
+        if not before or before[0].lower() not in _BEFORE_AT:
+            edits.append((m.start(), m.end(), "@" if m["at"] else "."))
+    traced.replace(edits)
+    spaced = []
+    at = traced.text.find("@")
+    while at >= 0:
+        domain = _SPACED_DOMAIN.match(traced.text, at + 1) if traced.changed[at] else None
+        spaced += [(d.start(), d.end(), ".") for d in _SPACED_DOT.finditer(traced.text, at + 1, domain.end())] if domain else []
+        at = traced.text.find("@", at + 1)
+    traced.replace(spaced)
     traced.replace([(m.start(), m.end(), "0" if m[0] in "Oo" else "1") for m in _LOOKS_DIGIT.finditer(traced.text)])
     return traced
 
@@ -166,6 +203,11 @@ def _valid(kind: str, found: str) -> bool:
     return True
 
 
+def _only_a_word(rest: str, start: int, base_start: int) -> bool:
+    """Whether a match goes beyond a base match by one name of a digit that may well be a plain word."""
+    return start == base_start and rest.strip(" ,.-").lower() in _AMBIGUOUS
+
+
 def find_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Base spans, and all spans, each by kind and start; code points, end exclusive."""
     base = base_spans(text)
@@ -177,7 +219,7 @@ def find_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, i
     for kind, start, end in base_spans(traced.text):
         if any(traced.changed[start:end]) and _valid(kind, traced.text[start:end]):
             a, b = min(traced.start[start:end]), max(traced.end[start:end])
-            if not any(k == kind and s <= a and b <= e for k, s, e in base):
+            if not any(k == kind and s <= a and (b <= e or _only_a_word(text[e:b], a, s)) for k, s, e in base):
                 added.append((kind, a, b))
     if not added:
         return base, base

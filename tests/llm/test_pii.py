@@ -96,3 +96,38 @@ def test_counts_and_lists(documents):
 def test_long_runs_take_linear_time():
     for text in ("a" * 200_000 + "@", "1" * 200_000, "+" + "1 " * 100_000, "(" * 100_000, "one " * 50_000, "a " * 100_000 + "@"):
         find_spans(text)
+
+
+@pytest.mark.parametrize("text, kind, found", [
+    ("call +1 four one five 555 2671 now", "phone", "+1 four one five 555 2671"),
+    ("call +1 555 one two three 4567 now", "phone", "+1 555 one two three 4567"),
+    ("call +1 (415) five 55 2671 now", "phone", "+1 (415) five 55 2671"),
+    ("call plus 1 four one five 555 2671 now", "phone", "plus 1 four one five 555 2671"),
+    ("call +1 415 555 26 seven one now", "phone", "+1 415 555 26 seven one"),
+    ("card 4539 one 488 0343 6467 ok", "card", "4539 one 488 0343 6467"),
+    ("card four 539 1488 0343 646 seven ok", "card", "four 539 1488 0343 646 seven"),
+    ("ip one nine two dot 168 dot 0 dot one.", "ip", "one nine two dot 168 dot 0 dot one"),
+    ("write jane at example.com please", "email", "jane at example.com"),
+    ("write jane at mail.example dot com please", "email", "jane at mail.example dot com"),
+    ("write jane.doe at mail dot example.org please", "email", "jane.doe at mail dot example.org"),
+    ("write jane @ example . com please", "email", "jane @ example . com"),
+    ("write jane [at] mail . example .com please", "email", "jane [at] mail . example .com"),
+])
+def test_mixed_and_spaced_disguises_are_found(text, kind, found):
+    start = text.index(found)
+    assert (kind, start, start + len(found)) in find_spans(text)[1]
+    assert f"[{kind}]" in redacted(text) and found not in redacted(text)
+
+
+@pytest.mark.parametrize("text", [
+    "look at github.com for more", "we are at example.org now", "they met at 10.30 and left", "he arrived at noon.Then it rained",
+    "1. One of the 2 is 3 or four", "in 2019 one of 7 had six of 12", "chapter 4 two three", "1.2.3. One can go on", "it rose 3.5 six times",
+    "he paid 5 @ 3 . Then he left",
+])
+def test_more_clean_texts_stay(text):
+    assert find_spans(text) == ([], []) and redacted(text) == text
+
+
+def test_a_word_after_a_number_is_no_digit():
+    text = "+1 415 555 2671 one of us answers"
+    assert find_spans(text) == ([("phone", 0, 15)], [("phone", 0, 15)])
