@@ -31,11 +31,15 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][\w:.-]*+)\s*+(?:=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"']++)))?")
 _WATCHED = re.compile(r"\b(?:class|id|role|hidden|style|aria-hidden|itemprop)\b", re.I)
+#: A last attribute without quotes: a slash at its end belongs to it.
+_UNQUOTED = re.compile(r"=\s*+[^\s\"'>]+/\Z")
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title noscript noembed noframes iframe xmp template svg math".split())
+_RAW = frozenset("script style textarea title noscript noembed noframes iframe xmp template svg".split())
+#: Elements of other languages; only these and what is in them can close themselves.
+_FOREIGN = frozenset({"svg", "math"})
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead "
@@ -49,7 +53,7 @@ _ENDS = {
     "option": ({"option"}, {"select"}),
 }
 _DROPPED = frozenset(
-    "script style noscript noembed noframes template svg math iframe object embed applet canvas head title nav footer aside "
+    "script style noscript noembed noframes template svg iframe object embed applet canvas head title nav footer aside "
     "form button select input textarea option dialog menu audio video map".split()
 )
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
@@ -75,7 +79,7 @@ def parse(page: str) -> Node:
     """A tree of elements and decoded text; unclosed and misnested tags are mended as browsers do."""
     root = Node("html", None)
     at, here = 0, root
-    lower = None
+    lower, open_svg = None, False
     while at < len(page):
         m = _TOKEN.search(page, at)
         text = page[at : m.start()] if m else page[at:]
@@ -99,10 +103,15 @@ def parse(page: str) -> Node:
                 here = _child(here, tag, attrs)
         else:
             here = _open(here, tag, attrs)
-            if tag in _RAW:
+            if tag in _FOREIGN and attrs.endswith("/") and not _UNQUOTED.search(attrs):  # it has no content
+                here = here.parent
+            elif tag in _RAW:
                 lower = lower or page.lower()
                 lower = lower if len(lower) == len(page) else page
-                end = lower.find(f"</{tag}", at)
+                end = -1 if tag == "svg" and open_svg else lower.find(f"</{tag}", at)
+                if end < 0 and tag == "svg":  # never closed: what follows is not inside
+                    open_svg, here = True, here.parent
+                    continue
                 end = len(page) if end < 0 else end
                 # What is inside is no markup, and none of these elements holds article text.
                 at, here = end, here

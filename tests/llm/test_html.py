@@ -64,3 +64,19 @@ def test_given_pages(spark):
         article = re.split("</article>|<footer", r.html.split("<article>")[1])[0]
         blocks = [re.sub(r"\s+", " ", html.unescape(re.sub("<[^>]*>", " ", b))).strip() for b in re.split("</?p>|</?h1>", article)]
         assert r.text == "\n\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<article><p><svg class='i' viewBox='0 0 1 1'/>{LONG}</p><p>{OTHER}</p></article>", ARTICLE),
+    (f"<article><p><svg/>{LONG}</p><p>{OTHER}</p><svg><title>no</title><path d='M0'/></svg></article><footer>x</footer>", ARTICLE),
+    (f"<article><p><svg><text>no</text></svg>{LONG}</p><p>{OTHER}</p></article>", ARTICLE),
+    (f"<article><p><svg width=1/><text>no</text></svg>{LONG}</p><p>{OTHER}</p></article>", ARTICLE),
+    (f"<article><p><svg class=i>{LONG}</p><p>{OTHER}</p></article>", ARTICLE),
+    (f"<article><p><math/>{LONG}</p><p>{OTHER}</p></article>", ARTICLE),
+    ("<article><p>so <math><mi>a</mi><mo>+</mo><mn>1</mn></math> is it</p></article>", "so a+1 is it"),
+    ("<article><p>so <math><mi>a</mi><mspace/><mprescripts/><mn>1</mn></math> is it</p><p>b</p></article>", "so a1 is it\n\nb"),
+    ("<article><p>so <math><mi>a</mi><mspace width='1em'/><mi>b</mi></math> is</p></article><footer>no</footer>", "so ab is"),
+    ("<body><div><p>x <math><mi>a</math> y</p></div></body>", "x a y"),
+])
+def test_inline_svg_and_math(page, text):
+    assert main_text(page) == text
