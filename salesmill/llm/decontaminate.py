@@ -3,7 +3,8 @@
 Every run of `size` consecutive words of a benchmark item is a window; an item of fewer words is one
 window. The hashes of all windows are broadcast, as a sorted array, in blocks of at most BLOCK
 windows (24 MB); hits of a scan are verified word by word. A benchmark of more windows takes one
-scan per block, and Spark merges what the scans found for a document.
+scan per block, of the untouched texts; the driver holds one block at a time, blocks name windows by
+number, and Spark merges what the scans found for a document and looks up the items of each window.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ class Windows:
     lengths: list[int]
     hashes: np.ndarray
     words: list[bytes]
-    items: list[tuple[str, ...]]
+    items: list[tuple]  # items, or the number of the window
 
 
 def _item_windows(items: DataFrame, size: int) -> DataFrame:
@@ -53,6 +54,11 @@ def _item_windows(items: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(run, "item string, words binary, length int").distinct()
 
 
+def _numbered(windows_: DataFrame) -> DataFrame:
+    """(item, words): each distinct window once, with a number in the place of its items."""
+    return written(windows_.select("words").distinct().select(F.monotonically_increasing_id().alias("item"), "words"), "numbered-windows")
+
+
 def _blocks(windows_: DataFrame, block: int):
     """Read the windows in blocks of about `block` at most, by the hash of their words."""
     parts = -(-windows_.count() // block) or 1
@@ -120,35 +126,45 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE,
     ship(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text")
-    blocks = list(_blocks(written(_item_windows(benchmark, size), "windows"), block))
-    if len(blocks) == 1:
-        return _one_scan(rows, blocks[0], kind)
-    # Several blocks: every scan names the words it hit, and the union is counted once.
+    windows_ = written(_item_windows(benchmark, size), "windows")
+    if windows_.count() <= block:
+        return _one_scan(rows, next(_blocks(windows_, block)), kind)
+    # Several blocks: every scan numbers the windows it hit, and the union is counted once.
     rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
-    found = None
-    for one in blocks:
-        scan = written(_spans(rows, one, kind), "hits")
-        found = scan if found is None else found.union(scan)
+    numbered = _numbered(windows_)
+    found = _scans(rows, numbered, block, kind)
 
     def merge(key, part):
         import pandas as pd
 
         first = part.iloc[0]
         spans = {(int(s), int(e)) for flat in part["spans"] for s, e in zip(flat[::2], flat[1::2])}
-        items = {i for some in part["items"] for i in some}
-        hit = _covered(spans)
-        return pd.DataFrame([{
-            "doc_id": first["doc_id"], "n_words": first["n_words"], "n_hit": hit, "n_items": len(items),
-            "items_sha256": _digest(items), "contaminated": hit > 0, "items": sorted(items),
-        }])
+        return pd.DataFrame([{"row": first["row"], "doc_id": first["doc_id"], "n_words": first["n_words"], "n_hit": _covered(spans)}])
 
     # A group is one row of docs and has one row per block.
-    return found.groupBy("row").applyInPandas(merge, f"doc_id {kind}, {_RESULT}")
+    counted = found.groupBy("row").applyInPandas(merge, f"row long, doc_id {kind}, n_words long, n_hit long")
+    of_window = windows_.join(numbered.withColumnRenamed("item", "number"), "words").select("number", "item")
+    hits = found.select("row", F.explode("items").alias("number")).distinct()
+    items = hits.join(of_window, "number").groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    listed = F.coalesce("items", F.array().cast("array<string>"))
+    return counted.join(items, "row", "left").withColumn("items", listed).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "items",
+    )
+
+
+def _scans(rows: DataFrame, numbered: DataFrame, block: int, kind: str) -> DataFrame:
+    """What the scans of all blocks found on (doc_id, text, row) rows: a row for each row and block."""
+    found = None
+    for one in _blocks(numbered, block):
+        shared = rows.sparkSession.sparkContext.broadcast(one)
+        scan = written(_spans(rows, shared, kind), "hits")
+        shared.unpersist()
+        found = scan if found is None else found.union(scan)
+    return found
 
 
-def _spans(rows: DataFrame, block: Windows, kind: str) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(block)
-
+def _spans(rows: DataFrame, shared, kind: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in byte_slices(batch, "text"):
@@ -158,10 +174,10 @@ def _spans(rows: DataFrame, block: Windows, kind: str) -> DataFrame:
                     part.column(2), part.column(0), pa.array(words.counts()),
                     pa.array([[x for s, k, _ in hits.get(i, ()) for x in (s, s + k)] for i in range(n)], pa.list_(pa.int64())),
                     pa.array([sorted({x for h in hits.get(i, ()) for x in shared.value.items[h[2]]}) for i in range(n)],
-                             pa.list_(pa.string())),
+                             pa.list_(pa.int64())),
                 ], ["row", "doc_id", "n_words", "spans", "items"])
 
-    return rows.mapInArrow(run, f"row long, doc_id {kind}, n_words long, spans array<long>, items array<string>")
+    return rows.mapInArrow(run, f"row long, doc_id {kind}, n_words long, spans array<long>, items array<long>")
 
 
 def _one_scan(rows: DataFrame, block: Windows, kind: str) -> DataFrame:
@@ -190,7 +206,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE,
     """The rows of `docs`, all columns, in which no benchmark window occurs; a scan for each block."""
     spark = docs.sparkSession
     ship(spark)
-    for one in _blocks(written(_item_windows(benchmark, size), "windows"), block):
+    for one in _blocks(_numbered(_item_windows(benchmark, size)), block):
         docs = _without(docs, spark.sparkContext.broadcast(one))
     return docs
 
@@ -210,33 +226,60 @@ def _without(docs: DataFrame, shared) -> DataFrame:
 def remove_spans(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, block: int = BLOCK) -> DataFrame:
     """The rows of `docs`, all columns, without the passages that benchmark windows cover.
 
-    A passage goes from the first character of its first word to the last of its last. Later blocks
-    see the text that earlier ones left.
+    A passage goes from the first character of its first word to the last of its last. All passages are
+    found in the text as it is and cut at once, however many blocks the benchmark has.
     """
     spark = docs.sparkSession
     ship(spark)
-    for one in _blocks(written(_item_windows(benchmark, size), "windows"), block):
-        docs = _cut(docs, spark.sparkContext.broadcast(one))
-    return docs
-
+    numbered = _numbered(_item_windows(benchmark, size))
+    if numbered.count() <= block:
+        shared = spark.sparkContext.broadcast(next(_blocks(numbered, block)))
+
+        def scan(batches):
+            for batch in batches:
+                for part in byte_slices(batch, "text"):
+                    words, hits = _find(shared.value, part.column(part.schema.get_field_index("text")))
+                    yield _cut(part, words, {i: [(s, s + n) for s, n, _ in found] for i, found in hits.items()})
+
+        return docs.mapInArrow(scan, docs.schema)
+    row, spans = _new_name("row", docs), _new_name("spans", docs)
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    scanned = rows.select(F.lit(None).cast("int").alias("doc_id"), "text", F.col(row).alias("row"))
+    found = _scans(scanned, numbered, block, "int").where(F.size("spans") > 0)
+    merged = found.groupBy(F.col("row").alias(row)).agg(F.flatten(F.collect_list("spans")).alias(spans))
 
-def _cut(docs: DataFrame, shared) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in byte_slices(batch, "text"):
-                at = part.schema.get_field_index("text")
-                words, hits = _find(shared.value, part.column(at))
-                texts = part.column(at).to_pylist()
-                begins = raw_bytes(part.column(at))[1]
-                for i, found in hits.items():
-                    raw, kept, reached = texts[i].encode(), [], 0
-                    first = int(words.ptr[i])
-                    for start, n, _ in sorted(found):
-                        a = int(words.starts[first + start] - begins[i])
-                        b = int(words.ends[first + start + n - 1] - begins[i])
-                        kept.append(raw[reached : max(a, reached)])
-                        reached = max(reached, b)
-                    texts[i] = b"".join([*kept, raw[reached:]]).decode()
-                yield part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type)) if hits else part
-
-    return docs.mapInArrow(run, docs.schema)
+                lists = part.column(part.num_columns - 1).to_pylist()
+                part = part.select(range(part.num_columns - 1))
+                words = find_words(part.column(part.schema.get_field_index("text")), WORD)
+                yield _cut(part, words, {i: list(zip(flat[::2], flat[1::2])) for i, flat in enumerate(lists) if flat})
+
+    return rows.join(merged, row, "left").select(*docs.columns, spans).mapInArrow(run, docs.schema)
+
+
+def _new_name(name: str, docs: DataFrame) -> str:
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
+def _cut(part: pa.RecordBatch, words, spans: dict[int, list[tuple[int, int]]]) -> pa.RecordBatch:
+    """The batch without the given spans (first word, word after the last) of its texts."""
+    if not spans:
+        return part
+    at = part.schema.get_field_index("text")
+    begins = raw_bytes(part.column(at))[1]
+    texts = part.column(at).to_pylist()
+    for i, found in spans.items():
+        raw, kept, reached = texts[i].encode(), [], 0
+        first = int(words.ptr[i])
+        for start, end in sorted(found):
+            a = int(words.starts[first + start] - begins[i])
+            b = int(words.ends[first + end - 1] - begins[i])
+            kept.append(raw[reached : max(a, reached)])
+            reached = max(reached, b)
+        texts[i] = b"".join([*kept, raw[reached:]]).decode()
+    return part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type))

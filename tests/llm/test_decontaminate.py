@@ -79,3 +79,28 @@ def test_removes_documents_or_passages(documents, items):
     cut = d.remove_spans(docs, items([(1, PASSAGE)]))
     texts = {r.doc_id: r.text for r in cut.collect()}
     assert words(texts[1]) == words(prose(1, 40)) + words(prose(2, 20)) and texts[2] == DOCS[1][1] and texts[7] is None
+
+
+def test_passages_are_cut_the_same_in_any_number_of_blocks(documents, items):
+    rows = [(k, prose(20 + k, 15) + " " + PASSAGE[:30 + 9 * k] + " " + prose(40 + k, 15) + " " + PASSAGE) for k in range(9)]
+    docs = documents([*rows, *DOCS], extra=True)
+    whole, cut = (d.remove_spans(docs, items(ITEMS[:4]), block=b) for b in (d.BLOCK, 3))
+    assert cut.columns == docs.columns and cut.schema == docs.schema
+    assert sorted(map(tuple, cut.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+
+
+def test_one_block_at_a_time_and_windows_of_many_items(documents, items, monkeypatch):
+    many = [(k, PASSAGE) for k in range(200)] + ITEMS
+    held, blocks = [], d._blocks
+
+    def watched(*args):
+        for one in blocks(*args):
+            held.append((len(held), max(len(x) for x in one.items) if one.items else 0))
+            yield one
+            scans.append(len(held))
+
+    scans = []
+    monkeypatch.setattr(d, "_blocks", watched)
+    found = d.find_contamination(documents(DOCS), items(many), block=20)
+    assert len(held) > 1 and scans == [k + 1 for k, _ in held] and max(n for _, n in held) == 1
+    assert got(found) == expected(DOCS, many)
