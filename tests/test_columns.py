@@ -1,7 +1,7 @@
 """Expressions on hand-computed values."""
 
 import pytest
-from conftest import dec, values
+from helpers import dec, values
 from pyspark.sql import functions as F
 
 from salesmill.functions import columns as fn

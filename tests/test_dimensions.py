@@ -3,7 +3,7 @@
 import datetime
 
 import pytest
-from conftest import dec, rows, staged, values
+from helpers import dec, rows, staged, values
 from pyspark.sql import functions as F
 
 from salesmill.operators.upsert import (

@@ -1,6 +1,6 @@
 """Reports on hand-made facts."""
 
-from conftest import dec, plan, published, rows, sales, values
+from helpers import dec, plan, published, rows, sales, values
 from pyspark.sql import Window, functions as F
 
 from salesmill.plans import headlines as h, kpis as k

@@ -1,7 +1,7 @@
 """Fact measures, the whole load, the store, and what a broken constraint does."""
 
 import pytest
-from conftest import MONDAY, ROWS, SMALL, day, dec, published, rows, staged, values
+from helpers import MONDAY, ROWS, SMALL, day, dec, published, rows, staged, values
 from pyspark.sql import functions as F
 
 from salesmill.operators.quality import QualityError

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SMALL, plan
+from helpers import SMALL, plan
 
 import compare
 from __spark_entry__ import entry

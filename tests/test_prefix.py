@@ -1,7 +1,7 @@
 """Range-wise running totals and numbering against the plain window."""
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 

@@ -4,7 +4,7 @@ import datetime
 from types import SimpleNamespace
 
 import pytest
-from conftest import SMALL, dec, rows, values
+from helpers import SMALL, dec, rows, values
 from pyspark.sql import functions as F
 
 from salesmill.operators import quality as q

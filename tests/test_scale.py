@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SMALL, plan, rows, staged
+from helpers import SMALL, plan, rows, staged
 from pyspark.sql import Window, functions as F
 
 from salesmill.operators.lookup import look_up
