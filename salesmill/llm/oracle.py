@@ -28,4 +28,37 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM d LEFT JOIN items USING (r) LEFT JOIN covered USING (r)
 """
 
-ORACLE: dict[str, str] = {"op6_decontaminate": OP6}
+#: CRC-32 of a list of bytes: a table of 256 entries, made by the polynomial's rule, and one step a byte.
+_CRC_TABLE = """crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t
+)"""
+
+
+def _crc32(table: str, data: str) -> str:
+    """CRC-32 of `data`, a list of numbers 0 to 255."""
+    return (f"xor(list_reduce({data}, lambda c, b: xor({table}.t[xor(c & 255, b) + 1], c >> 8), 4294967295::BIGINT), "
+            "4294967295)")
+
+
+_TEXT_BYTES = "list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)"
+_BID = "1.0 / -ln((('0x' || substr(md5(k || '/' || s), 1, 13))::BIGINT + 0.5) / 4503599627370496.0)"
+
+#: Equal rows are interchangeable, so any order among them gives the same rows.
+OP11 = f"""
+WITH {_CRC_TABLE}, d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS k,
+         strlen(coalesce(text, '')) + 1 AS size, {_crc32("crc", _TEXT_BYTES)} AS crc
+  FROM documents, crc
+), bids AS (
+  SELECT r, s, {_BID} AS bid FROM d, (SELECT unnest(range(17)) AS s)
+), homes AS (
+  SELECT r, arg_max(s, (bid, -s)) FILTER (WHERE s < 16) AS shard, arg_max(s, (bid, -s)) AS grown FROM bids GROUP BY r
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY md5(concat_ws('/', k, size, crc, 0))) - 1 AS slot,
+       CAST(grown AS INTEGER) AS grown_shard
+FROM d JOIN homes USING (r)
+"""
+
+ORACLE: dict[str, str] = {"op6_decontaminate": OP6, "op11_rendezvous_shards": OP11}

@@ -12,6 +12,7 @@ from salesmill.llm.html import extract
 from salesmill.llm.jaccard import similar_documents
 from salesmill.llm.packing import matrix_digest, pack_evenly, pack_matrix
 from salesmill.llm.pii import find_personal_data
+from salesmill.llm.sharding import slots
 from salesmill.llm.shipping import ship
 from salesmill.llm.syncmers import fingerprints
 
@@ -81,6 +82,10 @@ def op10_pack_evenly(spark, base):
     return pack_evenly(_table(spark, base, "documents"))
 
 
+def op11_rendezvous_shards(spark, base):
+    return slots(_table(spark, base, "documents"))
+
+
 def build_queries() -> dict[str, Query]:
     import corpus_pipeline
 
