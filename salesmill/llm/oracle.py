@@ -61,4 +61,40 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32,
 FROM d JOIN homes USING (r)
 """
 
-ORACLE: dict[str, str] = {"op6_decontaminate": OP6, "op11_rendezvous_shards": OP11}
+_DIGITS = "list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)"
+
+#: Every beginning of every rebuilt conversation is a row; subtrees are found by pairs of beginnings.
+OP13 = f"""
+WITH {_CRC_TABLE}, t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT c, list({{'id': md5(length(role) || ':' || role || text), 'n': length(text)}}
+                 ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS w
+  FROM t GROUP BY c
+), h AS (
+  SELECT c, w, CAST({_crc32("crc", _DIGITS)} % 6 AS INTEGER) AS h FROM own, crc
+), rebuilt AS (
+  SELECT h.c, list_concat(coalesce(l.w[1:h.h], []), h.w[h.h + 1:]) AS w FROM h LEFT JOIN own l ON l.c = h.c - h.c % 100
+), b AS (
+  SELECT c, d, len(w) AS n, md5(list_aggregate([''] || list_transform(w[1:d], lambda x: x.id), 'string_agg', '/')) AS k,
+         CASE WHEN d > 0 THEN w[d].n ELSE 0 END AS chars
+  FROM (SELECT c, w, unnest(range(len(w) + 1)) AS d FROM rebuilt)
+), node AS (
+  SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars, max(n) = d AS childless,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends
+  FROM b GROUP BY d, k
+), below AS (
+  SELECT DISTINCT u.d, u.k, v.d AS vd, v.k AS vk FROM b u JOIN b v ON u.c = v.c AND v.d >= u.d
+), sums AS (
+  SELECT below.d, below.k, count(*) FILTER (WHERE vd = below.d + 1) AS n_children, count(*) FILTER (WHERE childless) AS n_leaves,
+         sum((n_convs - 1) * chars) AS saved
+  FROM below JOIN node ON node.d = vd AND node.k = vk GROUP BY below.d, below.k
+), up AS (
+  SELECT DISTINCT v.d, v.k, u.k AS pk FROM b v JOIN b u ON u.c = v.c AND u.d = v.d - 1
+)
+SELECT node.conv_id, CAST(node.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, node.n_convs, n_children, n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, node.ends AS ends_sha256
+FROM node JOIN sums USING (d, k) LEFT JOIN up USING (d, k) LEFT JOIN node p ON p.d = node.d - 1 AND p.k = up.pk
+"""
+
+ORACLE: dict[str, str] = {"op6_decontaminate": OP6, "op11_rendezvous_shards": OP11, "op13_prefix_trie": OP13}

@@ -15,6 +15,8 @@ from salesmill.llm.pii import find_personal_data
 from salesmill.llm.sharding import slots
 from salesmill.llm.shipping import ship
 from salesmill.llm.syncmers import fingerprints
+from salesmill.llm.trie import prefix_trie, turn_paths, with_lent_beginnings
+from salesmill.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,6 +88,11 @@ def op11_rendezvous_shards(spark, base):
     return slots(_table(spark, base, "documents"))
 
 
+def op13_prefix_trie(spark, base):
+    paths = written(turn_paths(_table(spark, base, "conversations")), "turn-paths")
+    return prefix_trie(with_lent_beginnings(paths))
+
+
 def build_queries() -> dict[str, Query]:
     import corpus_pipeline
 
