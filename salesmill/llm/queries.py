@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesmill.llm import langid, lm, toxicity
+from salesmill.llm.alignment import aligned_documents
 from salesmill.llm.decontaminate import find_contamination
 from salesmill.llm.html import extract
 from salesmill.llm.jaccard import similar_documents
@@ -88,6 +89,10 @@ def op11_rendezvous_shards(spark, base):
     return slots(_table(spark, base, "documents"))
 
 
+def op12_token_alignment(spark, base):
+    return aligned_documents(_table(spark, base, "documents"))
+
+
 def op13_prefix_trie(spark, base):
     paths = written(turn_paths(_table(spark, base, "conversations")), "turn-paths")
     return prefix_trie(with_lent_beginnings(paths))

@@ -4,7 +4,8 @@ The vocabulary's rule first cuts a text into pieces, and each piece has its ids
 Texts of ASCII and Latin-1 letters without apostrophes are cut in numpy, many at once, and ids of a
 piece come from a bounded table by the piece's 64-bit hash; the encoder sees a piece only when it is
 new. Other texts go to the encoder whole. The ids are those of the `tokenizers` library for the same
-file without special tokens: a special token's name inside a text is ordinary text.
+file, which adds no special token of its own but reads the name of one inside a text as that token;
+with `special=False` such a name is ordinary text.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
+from tokenizers import Tokenizer
 
 from salesmill.llm.text import byte_class, raw_bytes, span_hashes
 
@@ -69,7 +71,9 @@ def _pieces(data: np.ndarray, kind: np.ndarray, offsets: np.ndarray) -> np.ndarr
 
 class Encoder:
     def __init__(self, path: str):
-        ranks = _ranks(path)
+        ranks, names = _ranks(path), _special_names(path)
+        self.special = [name.encode() for name in names]
+        self.tokenizer = Tokenizer.from_file(path) if names else None
         self.whole = tiktoken.Encoding("whole", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.piece = tiktoken.Encoding("piece", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
         self._forget()
@@ -90,6 +94,11 @@ class Encoder:
         order = np.argsort(known, kind="stable")
         self.known, self.slot = known[order], slot[order]
 
+    def _slow(self, text: str, named: bool) -> list[int]:
+        if named:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.whole.encode_ordinary(text)
+
     def _encode_plain(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces in a row, and the number of ids of each piece."""
         ends = np.append(starts[1:], len(data))
@@ -110,12 +119,24 @@ class Encoder:
         source = np.repeat(self.first[slot] - (total - counts), counts) + np.arange(total[-1] if len(total) else 0)
         return self.pool[source], counts
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def _named(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Which texts hold the name of a special token."""
+        found, raw = np.zeros(len(offsets) - 1, bool), data.tobytes()
+        for name in self.special:
+            at = raw.find(name)
+            while at >= 0:
+                text = int(np.searchsorted(offsets, at, side="right")) - 1
+                found[text] |= at + len(name) <= offsets[text + 1]
+                at = raw.find(name, at + 1)
+        return found
+
+    def encode(self, texts: pa.Array, special: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's ids begin; a null text has none."""
         data, offsets = raw_bytes(texts)
         kind = _kinds(data)
         odd = np.concatenate([[0], np.cumsum(kind == _ODD)])
-        plain = odd[offsets[1:]] == odd[offsets[:-1]]
+        named = self._named(data, offsets) if special and self.special else np.zeros(len(texts), bool)
+        plain = (odd[offsets[1:]] == odd[offsets[:-1]]) & ~named
         sizes = np.diff(offsets)
         counts = np.zeros(len(texts), np.int64)
         if plain.all():
@@ -129,7 +150,9 @@ class Encoder:
         cut = np.concatenate([[0], np.cumsum(per_piece)])[np.searchsorted(starts, kept_offsets)]
         counts[plain] = np.diff(cut)
         if not plain.all():
-            others = [np.array(self.whole.encode_ordinary(texts[int(i)].as_py()), np.uint32) for i in np.flatnonzero(~plain)]
+            others = [
+                np.array(self._slow(texts[int(i)].as_py(), bool(named[i])), np.uint32) for i in np.flatnonzero(~plain)
+            ]
             counts[~plain] = [len(o) for o in others]
             parts, fast, slow = [], 0, iter(others)
             for i, easy in enumerate(plain.tolist()):
@@ -142,11 +165,27 @@ class Encoder:
         return ids, np.concatenate([[0], np.cumsum(counts)])
 
 
+def _vocabulary(path: str) -> dict:
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
+
+
+def _special_names(path: str) -> list[str]:
+    return [t["content"] for t in _vocabulary(path).get("added_tokens", [])]
+
+
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of every id below the highest of a byte-level BPE file; special tokens have their names."""
+    ranks = _ranks(path) | {t["content"].encode(): t["id"] for t in _vocabulary(path).get("added_tokens", [])}
+    out = [b""] * (max(ranks.values()) + 1)
+    for token, i in ranks.items():
+        out[i] = token
+    return out
+
+
 def _ranks(path: str) -> dict[bytes, int]:
     """Token bytes and ranks of a byte-level BPE file, whose ids follow the order of its merges."""
-    with open(path, encoding="utf-8") as file:
-        vocabulary = json.load(file)
-    special = {t["content"] for t in vocabulary.get("added_tokens", [])}
+    vocabulary, special = _vocabulary(path), set(_special_names(path))
     # Byte-level vocabularies write a byte as itself if printable, else as the next character from 256 on.
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     hidden = [b for b in range(256) if b not in shown]
