@@ -18,6 +18,7 @@ import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -205,7 +206,7 @@ def align(texts: pa.Array, byte_path: str, piece_path: str) -> Aligned:
     model, pool, first = _piece_model(piece_path)
     lists = model.encode(texts.to_pylist(), num_threads=1)
     cut_b = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
-    ids_b = np.fromiter((i for x in lists for i in x), np.int64, cut_b[-1])
+    ids_b = np.fromiter(chain.from_iterable(lists), np.int64, cut_b[-1])
 
     text_a = np.repeat(np.arange(len(sizes)), np.diff(cut_a))
     text_b = np.repeat(np.arange(len(sizes)), np.diff(cut_b))
@@ -226,19 +227,27 @@ def align(texts: pa.Array, byte_path: str, piece_path: str) -> Aligned:
     return Aligned(ids_a, ids_b, text_a, text_b, *groups_of(ends_a, ends_b), ends_a, ends_b)
 
 
-def written_groups(found: Aligned, n: int) -> list[str]:
-    """Per text its groups as `a1,a2|b1;a3|b2,b3`; '' without tokens."""
-    def joined(ids, groups) -> list[str]:
-        ends = np.flatnonzero(np.append(groups[1:] != groups[:-1], True)) if len(ids) else np.zeros(0, int)
-        names = list(map(str, ids.tolist()))
-        cuts = [0, *(ends + 1).tolist()]
-        return [",".join(names[x:y]) for x, y in zip(cuts, cuts[1:])]
-
-    a, b = joined(found.ids_a, found.group_a), joined(found.ids_b, found.group_b)
-    first = np.flatnonzero(np.append(True, found.group_a[1:] != found.group_a[:-1])) if len(a) else np.zeros(0, int)
-    cut = np.searchsorted(found.text_a[first], np.arange(n + 1)).tolist()
-    both = [x + "|" + y for x, y in zip(a, b)]
-    return [";".join(both[x:y]) for x, y in zip(cut, cut[1:])]
+@cache
+def _decimals(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """`i,` for every i below n in a row, and where each begins."""
+    return _pool([b"%d," % i for i in range(n)])
+
+
+def written_groups(found: Aligned, n: int) -> list[bytes]:
+    """Per text its groups as `a1,a2|b1;a3|b2,b3`; empty without tokens."""
+    na, nb = len(found.ids_a), len(found.ids_b)
+    if not na:
+        return [b""] * n
+    # A group's tokens of A, then those of B.
+    at_a = np.arange(na) + np.searchsorted(found.group_b, found.group_a, side="left")
+    at_b = np.arange(nb) + np.searchsorted(found.group_a, found.group_b, side="right")
+    ids, text = np.empty(na + nb, np.int64), np.empty(na + nb, np.int64)
+    ids[at_a], ids[at_b], text[at_a], text[at_b] = found.ids_a, found.ids_b, found.text_a, found.text_b
+    line, ends = _spelled(ids, *_decimals(1 << int(ids.max()).bit_length()))
+    for at, group, mark in ((at_a, found.group_a, b"|"), (at_b, found.group_b, b";")):
+        line[ends[at[np.append(group[1:] != group[:-1], True)]] - 1] = mark[0]
+    cut = np.concatenate([[0], ends])[np.searchsorted(text, np.arange(n + 1))].tolist()
+    return [line[x : y - 1].tobytes() if y > x else b"" for x, y in zip(cut, cut[1:])]
 
 
 _DOCS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs binary, times binary"
@@ -299,7 +308,7 @@ def _links(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
                     "n_a": np.bincount(found.text_a, minlength=n), "n_b": np.bincount(found.text_b, minlength=n),
                     "n_groups": np.bincount(text_of, minlength=n),
                     "n_links": np.bincount(links[0], links[2], n).astype(np.int64),
-                    "groups_sha256": [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in written_groups(found, n)],
+                    "groups_sha256": [hashlib.sha256(g).hexdigest() if g else "" for g in written_groups(found, n)],
                 }
                 slices.append((columns, *links))
                 size += part.column(1).nbytes

@@ -42,10 +42,11 @@ def brute_force(rows) -> list[tuple]:
             bytes_b = [piece(i) for i in ids_b]
             if b"".join(bytes_a) == b"".join(bytes_b) == (" " + text).encode():
                 ends_a, ends_b = np.cumsum([len(x) for x in bytes_a]).tolist(), np.cumsum([len(x) for x in bytes_b]).tolist()
-                low = 0
+                x = y = 0
                 for end in sorted(set(ends_a) & set(ends_b)):
-                    groups.append(([i for i, e in zip(ids_a, ends_a) if low < e <= end], [i for i, e in zip(ids_b, ends_b) if low < e <= end]))
-                    low = end
+                    to_x, to_y = ends_a.index(end, x) + 1, ends_b.index(end, y) + 1
+                    groups.append((ids_a[x:to_x], ids_b[y:to_y]))
+                    x, y = to_x, to_y
         links = Counter((a, b) for x, y in groups for a in x for b in y)
         counts.update(links.keys())
         docs.append((doc, groups, links))
@@ -89,10 +90,7 @@ def test_many_blocks_give_the_same(documents, monkeypatch):
 
 
 def test_odd_rows(odd, none):
-    rows = [r[:2] for r in ODD if r[0] != 9]
-    got = [r for r in found(aligned_documents(odd)) if r[0] != 9]
-    want = {r[0]: r for r in brute_force([r[:2] for r in ODD if not (r[1] or "").startswith("x" * 9)])}
-    assert len(got) == len(rows) and all(r[1:5] == want[r[0]][1:5] and r[7] == want[r[0]][7] for r in got)
+    assert found(aligned_documents(odd)) == brute_force([r[:2] for r in ODD])
     assert aligned_documents(none).collect() == []
 
 
