@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from salesmill.schemas import Table
 
@@ -123,16 +124,46 @@ def enforce(table: Table, counted: Mapping[str, int]) -> None:
         raise QualityError(f"{table.name}: {bad}")
 
 
-def enforce_unique(df: DataFrame, table: Table) -> None:
-    """Stop if the surrogate or the natural key of `df` repeats."""
-    for keys in ([table.surrogate], list(table.natural)):
-        found = repeated_keys(df, table.name, keys).first()
-        if found["repeated_keys"]:
-            raise QualityError(f"{table.name}: {found['repeated_keys']} values of {found['key']} come more than once")
+def _key_value(df: DataFrame, number: int, columns: Sequence[str]) -> Column:
+    """A key as (check, a, b, text), for one column of all keys; check is NULL if the key is not complete."""
+    whole = len(columns) < 3 and all(isinstance(df.schema[c].dataType, IntegralType) for c in columns)
+    complete = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in columns])
+    a, b = [F.col(c).cast("bigint") if whole else F.lit(None).cast("bigint") for c in (columns[0], columns[-1])]
+    text = F.lit(None).cast("string") if whole else F.concat_ws("\x01", *[F.col(c).cast("string") for c in columns])
+    return F.struct(F.when(complete, F.lit(number)).alias("check"), a.alias("a"), b.alias("b"), text.alias("text"))
 
 
-def enforce_reference(df: DataFrame, table: Table, column: str, target: DataFrame) -> None:
-    name, key = table.references[column]
-    lost = orphans(df, table.name, column, target, name, key).first()["orphans"]
-    if lost:
-        raise QualityError(f"{table.name}.{column}: {lost} rows without a row in {name}")
+def key_faults(df: DataFrame, table: Table, targets: Mapping[str, DataFrame]) -> DataFrame:
+    """(check, values, lost): repeated keys and references without target, in one pass over `df`.
+
+    Checks 0 and 1 are the surrogate and the natural key, `values` how many of their values come more than
+    once; the next are the table's references in order, `lost` their rows without a row in the target. Every
+    row gives its keys and references as values; equal values are counted before they are shuffled, and
+    only repeated keys and distinct references reach the join.
+    """
+    keys = [[table.surrogate], list(table.natural)]
+    checked = [*keys, *[[c] for c in table.references]]
+    values = F.array(*[_key_value(df, i, columns) for i, columns in enumerate(checked)])
+    counted = df.select(F.inline(values)).where("check is not null").groupBy("check", "a", "b", "text").agg(F.count(F.lit(1)).alias("n"))
+    counted = counted.where(f"check >= {len(keys)} or n > 1")
+    if not table.references:
+        return counted.groupBy("check").agg(F.count(F.lit(1)).alias("values"), F.lit(0).cast("bigint").alias("lost"))
+    known = union_all(
+        targets[name].select(F.lit(len(keys) + i).alias("check"), F.col(key).cast("bigint").alias("a"), F.lit(True).alias("known"))
+        for i, (name, key) in enumerate(table.references.values())
+    )
+    return counted.join(known, ["check", "a"], "left").groupBy("check").agg(
+        F.count(F.lit(1)).alias("values"),
+        F.coalesce(F.sum(F.when(F.col("known").isNull() & (F.col("check") >= len(keys)), F.col("n"))), F.lit(0)).alias("lost"),
+    )
+
+
+def enforce_keys(df: DataFrame, table: Table, targets: Mapping[str, DataFrame]) -> None:
+    """Stop if the surrogate or the natural key of `df` repeats, or if a reference has no target."""
+    keys, references = [[table.surrogate], list(table.natural)], list(table.references.items())
+    for r in key_faults(df, table, targets).orderBy("check").collect():  # a row a check
+        if r["check"] < len(keys):
+            raise QualityError(f"{table.name}: {r['values']} values of {'+'.join(keys[r['check']])} come more than once")
+        column, (name, _) = references[r["check"] - len(keys)]
+        if r["lost"]:
+            raise QualityError(f"{table.name}.{column}: {r['lost']} rows without a row in {name}")

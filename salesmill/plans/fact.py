@@ -26,8 +26,9 @@ Dims = Mapping[str, DataFrame]
 
 
 def known_lines(detail: DataFrame) -> DataFrame:
-    """Lines that name their order and their number in it."""
-    return detail.where("SalesOrderID is not null and SalesOrderDetailID is not null")
+    """Lines that name their order and their number in it, both as BIGINT like the stored keys."""
+    named = detail.where("SalesOrderID is not null and SalesOrderDetailID is not null")
+    return named.withColumns({k: F.col(k).cast("bigint") for k in LINE_KEY})
 
 
 def header_detail(lines: DataFrame, orders: DataFrame) -> DataFrame:

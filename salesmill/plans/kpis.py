@@ -7,6 +7,7 @@ orders and customers first sum the lines of an order, so that only orders are co
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from salesmill.functions import columns as fn
 from salesmill.operators.prefix import running_total_desc
 from salesmill.schemas import FACT_PARTITION
+from salesmill.session import written
 
 Dims = Mapping[str, DataFrame]
 
@@ -38,8 +40,38 @@ def _by_order(joined: DataFrame, keys: list[str], *amounts: str, means: tuple[st
     return joined.groupBy(*keys, "numero_pedido", "sk_cliente").agg(*sums)
 
 
-def _mean_of(name: str) -> Column:
-    return fn.per(F.sum(f"{name}_sum"), F.sum(f"{name}_n"))
+def _groups(by_order: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    """Rows of `_by_order` summed by group, with `_orders` and `_customers`.
+
+    Customers are counted by exact bitmaps over their surrogate keys, which are dense: a bit for each key, a
+    bitmap for each 32,768 of them. So one group and bitmap at a time are summed, and no row is copied as
+    several distinct counts would. `more` are aggregates that can be summed up again.
+    """
+    key = F.col("sk_cliente")
+    blocks = by_order.groupBy(*keys, F.bitmap_bucket_number(key).alias("_block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("_bits"), F.count("numero_pedido").alias("_orders"), *more
+    )
+    kept = [c for c in blocks.columns if c not in (*keys, "_block", "_bits")]
+    return blocks.groupBy(*keys).agg(
+        F.sum(F.when(F.col("_block").isNotNull(), F.bitmap_count("_bits")).otherwise(0)).alias("_customers"),
+        *[F.sum(c).alias(c) for c in kept],
+    )
+
+
+def _mean_in(name: str) -> Column:
+    return fn.per(F.col(f"{name}_sum"), F.col(f"{name}_n"))
+
+
+def newest_months(fact: DataFrame, months: int) -> int | None:
+    """The first of the newest `months` values of the partition column.
+
+    Read from the names of the fact's folders, so nothing is scanned; a fact that is not in files is asked.
+    """
+    found = {int(m) for f in fact.inputFiles() for m in re.findall(rf"/{FACT_PARTITION}=(\d+)/", f)}
+    if not found:
+        newest = fact.select(FACT_PARTITION).distinct().orderBy(F.col(FACT_PARTITION).desc_nulls_last()).limit(months)
+        found = {r[0] for r in newest.collect() if r[0] is not None}
+    return min(sorted(found)[-months:], default=None)
 
 
 def _named_alike(products: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -122,27 +154,23 @@ def kpi3_seller_quota(fact: DataFrame, dims: Dims) -> DataFrame:
 
 
 def kpi4_monthly_trend(fact: DataFrame, dims: Dims) -> DataFrame:
-    """The newest twelve months that have sales.
-
-    The months are found from the partition column alone; the bound then prunes the fact's
-    partitions, so older months are not read.
-    """
-    newest = fact.select(FACT_PARTITION).distinct().orderBy(F.col(FACT_PARTITION).desc()).limit(12)
-    since = newest.agg(F.min(FACT_PARTITION)).scalar()
+    """The newest twelve months that have sales; the fact's folders of older months are not read."""
+    since = newest_months(fact, 12)
     days = dims["dim_tempo"].select("sk_tempo", "ano", "mes", "nome_mes")
-    net, profit = F.sum("valor_liquido"), F.sum("lucro_bruto")
+    net, profit, orders = F.col("valor_liquido"), F.col("lucro_bruto"), F.col("_orders")
     keys = ["ano", "mes", "nome_mes"]
-    joined = fact.where(F.col(FACT_PARTITION) >= since).join(days, "sk_tempo")
+    joined = fact.where(F.col(FACT_PARTITION) >= F.lit(since)).join(days, "sk_tempo")
+    amounts = ("valor_liquido", "lucro_bruto")
     return (
-        _by_order(joined, keys, "valor_liquido", "lucro_bruto")
-        .groupBy(*keys)
-        .agg(
+        _groups(_by_order(joined, keys, *amounts), keys, *[F.sum(a).alias(a) for a in amounts])
+        .select(
+            *keys,
             fn.money(net).alias("receita_mensal"),
             fn.money(profit).alias("lucro_mensal"),
             fn.percent(profit, net).alias("margem_lucro_pct"),
-            _orders().alias("pedidos_mes"),
-            F.countDistinct("sk_cliente").alias("clientes_unicos"),
-            fn.per(net, _orders()).alias("ticket_medio"),
+            orders.alias("pedidos_mes"),
+            F.col("_customers").alias("clientes_unicos"),
+            fn.per(net, orders).alias("ticket_medio"),
         )
         .orderBy(_down("ano"), _down("mes"))
         .limit(12)
@@ -150,11 +178,7 @@ def kpi4_monthly_trend(fact: DataFrame, dims: Dims) -> DataFrame:
 
 
 def product_revenue(fact: DataFrame, dims: Dims) -> DataFrame:
-    """Revenue and units of every product of the dimension that was sold.
-
-    The curve reads it for total, order and rows; adaptive execution runs the aggregation of the fact
-    once for all of them.
-    """
+    """Revenue and units of every product of the dimension that was sold."""
     per_product = fact.groupBy("sk_produto").agg(
         F.sum("valor_liquido").cast("decimal(28,4)").alias("receita_produto"),
         F.sum("quantidade_vendida").alias("quantidade_vendida"),
@@ -202,8 +226,12 @@ def kpi5_abc_top30(fact: DataFrame, dims: Dims) -> DataFrame:
 
 
 def kpi5_abc_all(fact: DataFrame, dims: Dims, ranges: int | None = None) -> DataFrame:
-    """The whole curve, one row per product, unordered."""
-    revenue = product_revenue(fact, dims)
+    """The whole curve, one row per product, unordered.
+
+    Total, ranges, offsets and rows all need the products' revenues, so these are written once, a row per
+    product, and the fact is read once.
+    """
+    revenue = written(product_revenue(fact, dims), "abc-revenue")
     ranked = running_total_desc(revenue, "receita_produto", "receita_acumulada", ranges)
     return _abc_report(_abc_columns(ranked.withColumn("receita_total", _total(revenue)), dims))
 
@@ -211,49 +239,61 @@ def kpi5_abc_all(fact: DataFrame, dims: Dims, ranges: int | None = None) -> Data
 def kpi6_geography(fact: DataFrame, dims: Dims) -> DataFrame:
     keys = ["continente", "grupo_regional", "nome_territorio"]
     regions = dims["dim_regiao"].select("sk_regiao", *keys)
-    net = F.sum("valor_liquido")
+    net, orders = F.col("valor_liquido"), F.col("_orders")
     amounts = ("quantidade_vendida", "valor_liquido", "lucro_bruto")
+    by_order = _by_order(fact.join(regions, "sk_regiao"), keys, *amounts, means=("margem_contribuicao",))
+    sums = [F.sum(c).alias(c) for c in (*amounts, "margem_contribuicao_sum", "margem_contribuicao_n")]
     return (
-        _by_order(fact.join(regions, "sk_regiao"), keys, *amounts, means=("margem_contribuicao",))
-        .groupBy(*keys)
-        .agg(
-            F.countDistinct("sk_cliente").alias("total_clientes"),
-            _orders().alias("total_pedidos"),
-            F.sum("quantidade_vendida").alias("unidades_vendidas"),
+        _groups(by_order, keys, *sums)
+        .select(
+            *keys,
+            F.col("_customers").alias("total_clientes"),
+            orders.alias("total_pedidos"),
+            F.col("quantidade_vendida").alias("unidades_vendidas"),
             fn.money(net).alias("receita_total"),
-            fn.money(F.sum("lucro_bruto")).alias("lucro_total"),
-            _mean_of("margem_contribuicao").alias("margem_media_pct"),
-            net.alias("_net"),
+            fn.money(F.col("lucro_bruto")).alias("lucro_total"),
+            _mean_in("margem_contribuicao").alias("margem_media_pct"),
+            fn.percent(net, _total_of("valor_liquido")).alias("participacao_receita_pct"),
+            fn.per(net, orders).alias("ticket_medio_regiao"),
         )
-        .withColumn("participacao_receita_pct", fn.percent(F.col("_net"), _total_of("_net")))
-        .withColumn("ticket_medio_regiao", fn.per(F.col("_net"), F.col("total_pedidos")))
-        .drop("_net")
         .orderBy(_down("receita_total"), *keys)
         .limit(15)
     )
 
 
 def kpi7_category(fact: DataFrame, dims: Dims) -> DataFrame:
-    """Turnover per product divides whole numbers and drops the remainder."""
+    """Turnover per product divides whole numbers and drops the remainder.
+
+    Orders are counted by a sum by order, products by exact bitmaps over their surrogate keys; that second
+    pass reads one column of the fact and moves a bitmap for each category and 32,768 products.
+    """
     products = dims["dim_produto"].select("sk_produto", "categoria_produto")
-    net, profit = F.sum("valor_liquido"), F.sum("lucro_bruto")
+    net, profit, units, count = (F.col(c) for c in ("valor_liquido", "lucro_bruto", "quantidade_vendida", "total_produtos_categoria"))
+    amounts = ("quantidade_vendida", "valor_liquido", "custo_total", "lucro_bruto")
+    sums = [F.sum(a).alias(a) for a in amounts]
+    lines = fact.join(products, "sk_produto")
+    by_order = lines.groupBy("categoria_produto", "numero_pedido").agg(*sums)
+    groups = by_order.groupBy("categoria_produto").agg(F.count("numero_pedido").alias("_orders"), *sums)
+    key = F.col("sk_produto")
+    blocks = lines.select("categoria_produto", "sk_produto").groupBy(
+        F.col("categoria_produto").alias("_category"), F.bitmap_bucket_number(key).alias("_block")
+    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("_bits"))
+    sold = blocks.groupBy("_category").agg(F.sum(F.bitmap_count("_bits")).alias("total_produtos_categoria"))
     return (
-        fact.join(products, "sk_produto")
-        .groupBy("categoria_produto")
-        .agg(
-            F.countDistinct("sk_produto").alias("total_produtos_categoria"),
-            _orders().alias("total_transacoes"),
-            F.sum("quantidade_vendida").alias("unidades_vendidas"),
+        groups.join(sold, F.col("categoria_produto").eqNullSafe(F.col("_category")))
+        .select(
+            "categoria_produto",
+            "total_produtos_categoria",
+            F.col("_orders").alias("total_transacoes"),
+            units.alias("unidades_vendidas"),
             fn.money(net).alias("receita_categoria"),
-            fn.money(F.sum("custo_total")).alias("custo_categoria"),
+            fn.money(F.col("custo_total")).alias("custo_categoria"),
             fn.money(profit).alias("lucro_categoria"),
             fn.percent(profit, net).alias("margem_lucro_pct"),
-            net.alias("_net"),
+            fn.per(net, count).alias("receita_media_produto"),
+            F.expr("quantidade_vendida div nullif(total_produtos_categoria, 0)").alias("giro_medio_produto"),
+            fn.percent(net, _total_of("valor_liquido")).alias("participacao_receita_total_pct"),
         )
-        .withColumn("receita_media_produto", fn.per(F.col("_net"), F.col("total_produtos_categoria")))
-        .withColumn("giro_medio_produto", F.expr("unidades_vendidas div nullif(total_produtos_categoria, 0)"))
-        .withColumn("participacao_receita_total_pct", fn.percent(F.col("_net"), _total_of("_net")))
-        .drop("_net")
         .orderBy(_down("receita_categoria"), "categoria_produto")
     )
 
@@ -261,29 +301,20 @@ def kpi7_category(fact: DataFrame, dims: Dims) -> DataFrame:
 def kpi8_customer_value(fact: DataFrame, dims: Dims) -> DataFrame:
     customers = dims["dim_cliente"].select("sk_cliente", "tipo_cliente", "segmento")
     keys = ["tipo_cliente", "segmento"]
-    groups = (
-        _by_order(fact.join(customers, "sk_cliente"), keys, "lucro_bruto", means=("valor_liquido",))
-        .groupBy(*keys)
-        .agg(
-            F.countDistinct("sk_cliente").alias("total_clientes"),
-            F.sum("valor_liquido_sum").alias("_net"),
-            F.sum("lucro_bruto").alias("_profit"),
-            _orders().alias("_orders"),
-            _mean_of("valor_liquido").alias("ticket_medio"),
-        )
-    )
-    clients = F.col("total_clientes")
+    by_order = _by_order(fact.join(customers, "sk_cliente"), keys, "lucro_bruto", means=("valor_liquido",))
+    groups = _groups(by_order, keys, *[F.sum(c).alias(c) for c in ("lucro_bruto", "valor_liquido_sum", "valor_liquido_n")])
+    clients, net = F.col("_customers"), F.col("valor_liquido_sum")
     return groups.select(
         "tipo_cliente",
         "segmento",
-        "total_clientes",
-        fn.money(F.col("_net")).alias("receita_total"),
-        fn.money(F.col("_profit")).alias("lucro_total"),
-        fn.per(F.col("_net"), clients).alias("receita_media_por_cliente"),
-        fn.per(F.col("_profit"), clients).alias("lucro_medio_por_cliente"),
+        clients.alias("total_clientes"),
+        fn.money(net).alias("receita_total"),
+        fn.money(F.col("lucro_bruto")).alias("lucro_total"),
+        fn.per(net, clients).alias("receita_media_por_cliente"),
+        fn.per(F.col("lucro_bruto"), clients).alias("lucro_medio_por_cliente"),
         fn.per(F.col("_orders"), clients).alias("pedidos_por_cliente"),
-        "ticket_medio",
-        fn.customer_class(fn.quotient(F.col("_net"), clients)).alias("categoria_segmento"),
+        _mean_in("valor_liquido").alias("ticket_medio"),
+        fn.customer_class(fn.quotient(net, clients)).alias("categoria_segmento"),
     ).orderBy(_down("receita_total"), "tipo_cliente", "segmento")
 
 

@@ -14,14 +14,14 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructType
 
-from salesmill.operators.quality import counters, enforce, enforce_reference, enforce_unique
+from salesmill.operators.quality import counters, enforce, enforce_keys
 from salesmill.operators.staging import stage_all
-from salesmill.operators.upsert import insert_if_empty, reject_duplicates, type1_upsert
+from salesmill.operators.upsert import insert_if_empty, part_of, reject_duplicates, type1_upsert, upsert_changes
 from salesmill.plans import dimensions as dim
 from salesmill.plans.calendar import build_dim_tempo
 from salesmill.plans.fact import build_fact, fact_load_stats
-from salesmill.plans.store import ADD, Warehouse
-from salesmill.schemas import DIM_TEMPO, FACT_PARTITION, FATO_VENDAS, TABLES, Table, conform
+from salesmill.plans.store import PART, LoadedKeys, Warehouse
+from salesmill.schemas import DIM_TEMPO, FACT_PARTITION, FATO_VENDAS, TABLES, Table, conform, with_stored_types
 from salesmill.session import in_parallel, written
 
 log = logging.getLogger("salesmill")
@@ -29,25 +29,29 @@ log = logging.getLogger("salesmill")
 DIMENSIONS = ("dim_tempo", "dim_regiao", "dim_cliente", "dim_produto", "dim_vendedor", "dim_oferta")
 
 
-def _enforce_references(wh: Warehouse, table: Table, rows: DataFrame) -> None:
-    for column, (target, _) in table.references.items():
-        found = wh.read(target, TABLES[target].schema)
-        enforce_reference(rows, table, column, wh.spark.createDataFrame([], TABLES[target].schema) if found is None else found)
+#: Rows of a dimension that share a part; only parts with changes are written again.
+PART_ROWS = 1 << 22
 
 
-def _publish_checked(wh: Warehouse, table: Table, df: DataFrame, existing: DataFrame | None = None) -> None:
-    """Write, check every constraint on what was written, publish; a table that did not change is left."""
-    prepared, counted = wh.prepare(table.name, conform(df, table), counters(table))
+def _enforce_keys(wh: Warehouse, table: Table, rows: DataFrame) -> None:
+    targets = {}
+    for name, _ in table.references.values():
+        found = wh.read(name, TABLES[name].schema)
+        targets[name] = wh.spark.createDataFrame([], TABLES[name].schema) if found is None else found
+    enforce_keys(rows, table, targets)
+
+
+def _prepare_checked(wh: Warehouse, table: Table, df: DataFrame, partition_by: str | None = None):
+    """Write rows of a table and check every constraint on what was written; nothing is published yet."""
+    prepared, counted = wh.prepare(table.name, df, counters(table), partition_by)
     enforce(table, counted)
-    written_rows = wh.read_prepared(prepared, table.schema)
-    enforce_unique(written_rows, table)
-    _enforce_references(wh, table, written_rows)
-    # An update stamps its row, so a stamped table always changes.
-    if existing is not None and not table.stamp and existing.count() == counted["rows"]:
-        if written_rows.exceptAll(existing).isEmpty():
-            wh.discard(prepared)
-            return
-    wh.publish(prepared)
+    _enforce_keys(wh, table, wh.read_prepared(prepared, table.schema))
+    return prepared
+
+
+def _publish_checked(wh: Warehouse, table: Table, df: DataFrame) -> None:
+    prepared = _prepare_checked(wh, table, conform(df, table))
+    wh.publish(table.name, [prepared.name])
 
 
 def load_calendar(wh: Warehouse) -> None:
@@ -58,13 +62,37 @@ def load_calendar(wh: Warehouse) -> None:
 
 
 def load_dimension(wh: Warehouse, table: Table, incoming: DataFrame) -> None:
-    """The batch is written once; the duplicate check, the numbering and the merge then read the copy."""
-    nk = table.natural[0]
-    batch = written(incoming, table.name)
-    reject_duplicates(batch, table.natural, table.name)
-    existing = wh.read(table.name, table.schema)
-    merged = type1_upsert(existing, batch, nk, table.surrogate, table.updates, table.stamp, table.defaults)
-    _publish_checked(wh, table, merged, existing)
+    """Upsert a batch, writing only the parts of the table that change.
+
+    Rows are dealt into parts by a hash of their natural key. One comparison of both sides tells which
+    parts have new or changed keys; the others, and a table without any, are left as they are. Parts
+    become more when the table has outgrown them, which writes it anew.
+    """
+    nk, now = table.natural[0], wh.pointer(table.name)
+    batch = written(with_stored_types(incoming, table), table.name)
+    parts, last, concerned, existing = now.notes.get("parts", 0), 0, None, None
+    if now.version:
+        stored = wh.read(table.name, table.schema)
+        found = upsert_changes(stored, batch, nk, table.surrogate, table.updates, table.stamp, parts).first()
+        rows, last, concerned, repeated = found["rows"], found["last"], set(found["parts"]), found["repeated"]
+        if not concerned and not repeated:
+            return
+    else:
+        rows, repeated = batch.count(), 1
+    if repeated:  # also unknown before the first load
+        reject_duplicates(batch, table.natural, table.name)
+    wanted = max(1, -(-rows // PART_ROWS))
+    if wanted > 2 * parts:
+        parts, concerned = wanted, None
+    if now.version:
+        existing = wh.read(table.name, table.schema, concerned)
+    if concerned is not None:
+        batch = batch.where(part_of(nk, parts).isin(list(concerned)))
+    merged = type1_upsert(existing, batch, nk, table.surrogate, table.updates, table.stamp, table.defaults, last)
+    dealt = conform(merged, table).withColumn(PART, part_of(nk, parts))
+    prepared = _prepare_checked(wh, table, dealt, PART)
+    kept = [] if concerned is None else [f for f in now.folders if int(f.rsplit("=", 1)[1]) not in concerned]
+    wh.publish(table.name, [*kept, *wh.parts_of(prepared)], {"parts": parts})
 
 
 def load_dimensions(wh: Warehouse, src: Mapping[str, DataFrame], load_date: str | None = None) -> None:
@@ -102,34 +130,38 @@ def load_fact(
 ) -> int:
     """Add the lines not loaded yet; returns their number.
 
-    Rows are rebalanced by month before the write: few files per month, and a month too big for
-    one task is split. `sk_venda` is unique and grows from load to load, and needs no shuffle.
+    Loaded keys are joined where they lie; only the batch is shuffled. Rows are rebalanced by month before
+    the write: few files per month, and a month too big for one task is split. `sk_venda` is unique and grows
+    from load to load, and needs no shuffle.
     """
-    existing = wh.read(FATO_VENDAS.name, _fact_schema())
-    fresh = with_partition(build_fact(detail, header, read_dims(wh), existing, order))
-    # Numbers grow from load to load, so the highest one is among the rows added last.
-    newest = wh.read(FATO_VENDAS.name, _fact_schema(), newest_only=True)
-    last = 0 if newest is None else newest.agg(F.max("sk_venda")).first()[0] or 0
+    now = wh.pointer(FATO_VENDAS.name)
+    keys = loaded_keys(wh)
+    loaded = keys.read(now.folders) if now.folders else None
+    fresh = with_partition(build_fact(detail, header, read_dims(wh), loaded, order))
+    last = now.notes.get("last", 0)
     numbered = fresh.hint("rebalance", F.col(FACT_PARTITION)).withColumn(
         "sk_venda", F.lit(last + 1).cast("bigint") + F.monotonically_increasing_id()
     )
     rows = with_partition(conform(numbered, FATO_VENDAS))
-    prepared, counted = wh.prepare(FATO_VENDAS.name, rows, counters(FATO_VENDAS), FACT_PARTITION)
+    counts = {**counters(FATO_VENDAS), "last": F.max("sk_venda")}
+    prepared, counted = wh.prepare(FATO_VENDAS.name, rows, counts, FACT_PARTITION)
+    last = counted.pop("last")
     enforce(FATO_VENDAS, counted)
     if not counted["rows"]:
         wh.discard(prepared)
         return 0
     # Lines that earlier loads brought were dropped, so a key can only repeat among the added rows.
     added = wh.read_prepared(prepared, _fact_schema())
-    enforce_unique(added, FATO_VENDAS)
-    _enforce_references(wh, FATO_VENDAS, added)
-    wh.publish(prepared, ADD)
+    # Keys of a folder that fails its check are never read.
+    in_parallel(wh.spark, [partial(_enforce_keys, wh, FATO_VENDAS, added), partial(keys.add, prepared.name, added)])
+    wh.publish(FATO_VENDAS.name, [*now.folders, prepared.name], {"last": last, "buckets": keys.buckets})
     return counted["rows"]
 
 
-def merge_fact(wh: Warehouse) -> int:
-    """Write the folders that many loads have added as one version; months stay partitions."""
-    return wh.merge(FATO_VENDAS.name, _fact_schema(), FACT_PARTITION)
+def loaded_keys(wh: Warehouse) -> LoadedKeys:
+    """The keys of all loaded lines; they keep the number of buckets they got first."""
+    buckets = wh.pointer(FATO_VENDAS.name).notes.get("buckets") or int(wh.spark.conf.get("spark.sql.shuffle.partitions"))
+    return LoadedKeys(wh.spark, f"{wh.root}/{FATO_VENDAS.name}_keys-{buckets}", FATO_VENDAS.natural, buckets)
 
 
 def read_dims(wh: Warehouse) -> dict[str, DataFrame]:

@@ -1,42 +1,47 @@
-"""Published tables as Parquet folders under one root.
+"""Published tables: Parquet folders under one root, and for each table one pointer to the folders in use.
 
-A load writes a folder of its own that nobody reads yet, checks it, and publishes it by creating the
-next file in `commits/`, which names the folder. A commit either replaces the table or adds to it, so
-adding rows never rewrites old ones. Folders are never changed once published: a reader keeps the
-version it resolved. Of two writers that prepare the same version the first to publish wins; the
-other fails and leaves the table as it is. `merge` and `remove_unread` bound what many loads leave.
+Spark's own committer writes every folder. A load writes a new one, checks it, and publishes it by
+renaming a small new pointer file over the old one; before that nobody reads the folder. Folders in use are
+never changed, so a reader keeps what it has resolved, and adding rows never rewrites old ones. A table has
+one loading job at a time.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql.functions import col, count, lit
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-REPLACE, ADD = "replace", "add"
+#: Folder level of a table whose rows are dealt by a hash of their natural key.
+PART = "parte"
+
+
+@dataclass(frozen=True)
+class Pointer:
+    """What the newest version of a table consists of."""
+
+    version: int = 0
+    folders: tuple[str, ...] = ()  # below the table's folder
+    notes: dict = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """A written folder that waits to be published as `version`."""
+    """A written folder that nobody reads yet."""
 
     table: str
-    version: int
+    name: str
     path: str
 
 
-class VersionTakenError(RuntimeError):
-    """Another writer has published the version that this one prepared."""
-
-
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self._named: dict[str, str] = {}  # folder named by each commit file; neither ever changes
 
     def _path(self, text: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(text)
@@ -44,114 +49,99 @@ class Warehouse:
     def _files(self, path):
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _commits(self, table: str) -> list[tuple[int, str, str]]:
-        """(version, kind, data folder) of every commit, oldest first."""
-        folder = self._path(f"{self.root}/{table}/commits")
-        files = self._files(folder)
-        if not files.exists(folder):
-            return []
-        found = []
-        for status in files.listStatus(folder):
-            name = status.getPath().getName()
-            if name.isdigit() and (line := self._line(files, status.getPath())):
-                kind, data = line.split()
-                found.append((int(name), kind, f"{self.root}/{table}/data/{data}"))
-        return sorted(found)
-
-    def _line(self, files, path) -> str | None:
-        """What a commit file says; None while its writer has not finished it."""
-        key = path.toString()
-        if key not in self._named:
-            stream = files.open(path)
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-            stream.close()
-            if not text.endswith("\n"):
-                return None
-            self._named[key] = text.strip()
-        return self._named[key]
+    def pointer(self, table: str) -> Pointer:
+        path = self._path(f"{self.root}/{table}/current")
+        files = self._files(path)
+        if not files.exists(path):
+            return Pointer()
+        stream = files.open(path)
+        said = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        stream.close()
+        return Pointer(said["version"], tuple(said["folders"]), said["notes"])
 
     def version(self, table: str) -> int:
-        """Number of the newest published version, 0 if there is none."""
-        return max((v for v, _, _ in self._commits(table)), default=0)
+        """How often the table was published."""
+        return self.pointer(table).version
 
     def folders(self, table: str) -> list[str]:
-        """Folders that make up the newest version."""
-        live: list[str] = []
-        for _, kind, path in self._commits(table):
-            live = [path] if kind == REPLACE else [*live, path]
-        return live
-
-    def read(
-        self, table: str, schema: StructType | None = None, newest_only: bool = False
-    ) -> DataFrame | None:
-        """The newest version, or None if the table was never published.
-
-        `newest_only` leaves out what earlier commits had added to the table.
-        """
-        folders = self.folders(table)[-1:] if newest_only else self.folders(table)
-        if not folders:
+        return [f"{self.root}/{table}/{name}" for name in self.pointer(table).folders]
+
+    def read(self, table: str, schema: StructType | None = None, parts: Sequence[int] | None = None) -> DataFrame | None:
+        """The newest version, or None if the table was never published; `parts` reads these parts only."""
+        now = self.pointer(table)
+        if not now.version:
             return None
-        reader = self.spark.read.option("basePath", f"{self.root}/{table}/data")
+        wanted = [f for f in now.folders if parts is None or int(f.rsplit("=", 1)[1]) in parts]
+        if not wanted:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.option("basePath", f"{self.root}/{table}")
         if schema:
             reader = reader.schema(schema)
-        return reader.parquet(*folders).drop("v")
+        return reader.parquet(*[f"{self.root}/{table}/{f}" for f in wanted]).drop("v", PART)
 
     def prepare(
         self, table: str, df: DataFrame, counters: Mapping[str, Column], partition_by: str | None = None
     ) -> tuple[Prepared, dict[str, int]]:
-        """Write a folder of the next version without publishing it.
-
-        Also returns the values of `counters`, taken while the rows are written.
-        """
-        version = self.version(table) + 1
-        path = f"{self.root}/{table}/data/v={version}-{uuid.uuid4().hex}"
+        """Write a new folder without publishing it; also returns `counters`, taken while rows are written."""
+        name = f"v={uuid.uuid4().hex}"
+        path = f"{self.root}/{table}/{name}"
         counted = Observation()
         watched = df.observe(counted, *[c.alias(label) for label, c in counters.items()])
         writer = watched.write
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(path)
-        return Prepared(table, version, path), counted.get
+        return Prepared(table, name, path), counted.get
 
     def read_prepared(self, prepared: Prepared, schema: StructType) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(prepared.path)
-
-    def publish(self, prepared: Prepared, kind: str = REPLACE) -> int:
-        """Make the prepared folder the table's next version, or fail if that version is taken."""
-        mark = self._path(f"{self.root}/{prepared.table}/commits/{prepared.version:08d}")
-        files = self._files(mark)
-        if files.exists(mark):
-            raise VersionTakenError(f"{prepared.table}: version {prepared.version} is published already")
-        try:
-            out = files.create(mark, False)
-        except Exception as error:
-            raise VersionTakenError(f"{prepared.table}: version {prepared.version} is published already") from error
-        out.writeBytes(f"{kind} {prepared.path.rsplit('/', 1)[1]}\n")
+        return self.spark.read.schema(schema).parquet(prepared.path).drop(PART)
+
+    def parts_of(self, prepared: Prepared) -> list[str]:
+        """Folders of the parts that a prepared folder has rows of."""
+        path = self._path(prepared.path)
+        found = [s.getPath().getName() for s in self._files(path).listStatus(path)]
+        return [f"{prepared.name}/{f}" for f in found if f.startswith(f"{PART}=")]
+
+    def publish(self, table: str, folders: Sequence[str], notes: Mapping | None = None) -> int:
+        """Make `folders` the table's newest version."""
+        now = self.pointer(table)
+        text = json.dumps({"version": now.version + 1, "folders": list(folders), "notes": {**now.notes, **(notes or {})}})
+        path, fresh = self._path(f"{self.root}/{table}/current"), self._path(f"{self.root}/{table}/current.{uuid.uuid4().hex}")
+        out = self._files(fresh).create(fresh, False)
+        out.write(bytearray(text.encode()))
         out.close()
-        return prepared.version
+        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
+        options = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), self.spark._jsc.hadoopConfiguration())
+        context.rename(fresh, path, options)
+        return now.version + 1
 
     def discard(self, prepared: Prepared) -> None:
         """Delete a folder that will not be published."""
         path = self._path(prepared.path)
         self._files(path).delete(path, True)
 
-    def merge(self, table: str, schema: StructType | None = None, partition_by: str | None = None) -> int:
-        """Write all that many additions have left as one folder and publish it as one version."""
-        rows = self.read(table, schema)
-        if partition_by:
-            rows = rows.hint("rebalance", col(partition_by))
-        prepared, _ = self.prepare(table, rows, {"rows": count(lit(1))}, partition_by)
-        return self.publish(prepared)
-
-    def remove_unread(self, table: str) -> list[str]:
-        """Delete the folders that are no part of the newest version, those of failed loads included.
-
-        Call it only when no reader holds an older version and no writer is at work; nothing here does.
-        """
-        live = {p.rsplit("/", 1)[1] for p in self.folders(table)}
-        data = self._path(f"{self.root}/{table}/data")
-        files = self._files(data)
-        old = [s.getPath() for s in files.listStatus(data) if s.getPath().getName() not in live] if files.exists(data) else []
-        for path in old:
-            files.delete(path, True)
-        return [p.getName() for p in old]
+
+class LoadedKeys:
+    """The keys of all loaded rows, bucketed by themselves, so that a batch joins them where they lie.
+
+    Rows carry the folder that brought them; keys of a folder that was never published do not count.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, columns: Sequence[str], buckets: int):
+        self.spark, self.columns, self.buckets = spark, list(columns), buckets
+        self.name = f"salesmill_keys_{hashlib.md5(path.encode()).hexdigest()}"
+        fields = ", ".join(f"{c} bigint" for c in self.columns)
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name} ({fields}, v string) USING parquet "
+            f"CLUSTERED BY ({', '.join(self.columns)}) INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+
+    def add(self, folder: str, rows: DataFrame) -> None:
+        """One file per bucket for each load."""
+        keys = rows.select(*self.columns).repartition(self.buckets, *self.columns).withColumn("v", F.lit(folder))
+        keys.write.format("parquet").mode("append").bucketBy(self.buckets, *self.columns).saveAsTable(self.name)
+
+    def read(self, folders: Sequence[str]) -> DataFrame:
+        return self.spark.table(self.name).where(F.col("v").isin(list(folders))).select(*self.columns)

@@ -247,3 +247,9 @@ def conform(df: DataFrame, table: Table) -> DataFrame:
         return F.expr(c.default or "null").cast(c.type).alias(c.name)
 
     return df.select(*[pick(c) for c in table.columns])
+
+
+def with_stored_types(df: DataFrame, table: Table) -> DataFrame:
+    """Cast the columns that `df` shares with `table` to the types they are stored in; the others stay."""
+    kinds = {c.name: c.type for c in table.columns}
+    return df.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])

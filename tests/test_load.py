@@ -1,15 +1,15 @@
 """Fact measures, the whole load, the store, and what a broken constraint does."""
 
 import pytest
-from helpers import MONDAY, ROWS, SMALL, day, dec, published, rows, staged, values
+from helpers import MONDAY, ROWS, SMALL, day, dec, plan, published, rows, staged, values
 from pyspark.sql import functions as F
 
 from salesmill.operators.quality import QualityError
 from salesmill.plans.fact import build_fact, fact_load_stats, measures
 from salesmill.operators.staging import stage_table
 from salesmill.operators.upsert import DuplicateKeyError, reject_duplicates
-from salesmill.plans.pipeline import DIMENSIONS, load_dimension, merge_fact, read_dims, read_fact, run_pipeline
-from salesmill.plans.store import ADD, VersionTakenError, Warehouse
+from salesmill.plans.pipeline import DIMENSIONS, load_dimension, loaded_keys, read_dims, read_fact, run_pipeline
+from salesmill.plans.store import Warehouse
 from salesmill.schemas import TABLES
 from salesmill.session import scratch_path
 from salesmill.sources.testdata import LINE_ORDER, TestTables
@@ -151,37 +151,85 @@ def test_gross_is_net_plus_discount(spark):
     assert fact.where("abs(valor_bruto - valor_liquido - valor_desconto) > 0.0001").count() == 0
 
 
-def test_store_versions(spark):
+def test_a_folder_counts_once_the_pointer_names_it(spark):
     wh = Warehouse(spark, scratch_path(spark, "store"))
     n = {"rows": F.count(F.lit(1))}
     assert wh.read("t") is None and wh.version("t") == 0
-    _, counted = wh.prepare("t", spark.range(3), n)
+    one, counted = wh.prepare("t", spark.range(3), n)
     assert counted == {"rows": 3} and wh.read("t") is None  # written, not published
-    again, _ = wh.prepare("t", spark.range(4), n)  # a second try stands beside the first
-    assert wh.publish(again) == 1
+    two, _ = wh.prepare("t", spark.range(10, 12), n)
+    assert wh.publish("t", [one.name], {"last": 3}) == 1
     first = wh.read("t")
-    wh.publish(wh.prepare("t", spark.range(10, 12), n)[0], ADD)
-    assert wh.read("t").count() == 6 and len(wh.folders("t")) == 2
-    assert wh.merge("t") == 3 and wh.read("t").count() == 6 and len(wh.folders("t")) == 1
-    wh.publish(wh.prepare("t", spark.range(1), n)[0])
-    assert wh.read("t").count() == 1 and first.count() == 4  # a reader keeps its version
-    assert len(wh.remove_unread("t")) == 4 and wh.remove_unread("t") == [] and wh.read("t").count() == 1
+    assert wh.publish("t", [one.name, two.name]) == 2
+    assert sorted(values(Warehouse(spark, wh.root).read("t"), "id")) == [0, 1, 2, 10, 11] and wh.pointer("t").notes == {"last": 3}
+    assert first.count() == 3  # a reader keeps what it has resolved
+    assert wh.publish("t", [two.name]) == 3 and sorted(values(wh.read("t"), "id")) == [10, 11]
 
 
-def test_of_two_writers_the_first_to_publish_wins(spark):
-    one = Warehouse(spark, scratch_path(spark, "store"))
-    other = Warehouse(spark, one.root)
-    n = {"rows": F.count(F.lit(1))}
-    a, _ = one.prepare("t", spark.range(3), n)
-    b, _ = other.prepare("t", spark.range(100, 105), n)
-    assert (a.version, b.version) == (1, 1)
-    assert one.publish(a) == 1
-    with pytest.raises(VersionTakenError, match="version 1"):
-        other.publish(b)
-    for wh in (one, other, Warehouse(spark, one.root)):
-        assert sorted(values(wh.read("t"), "id")) == [0, 1, 2] and wh.version("t") == 1
-    c, _ = other.prepare("t", spark.range(100, 105), n)
-    assert other.publish(c, ADD) == 2 and one.read("t").count() == 8
+def test_keys_of_a_load_that_was_not_published_do_not_count(spark, wh):
+    lost = spark.createDataFrame([(1001, 2)], "numero_pedido bigint, numero_linha bigint")
+    loaded_keys(wh).add("v=failed", lost)
+    load(spark, wh, stage_pedidos_detalhe=[*ROWS["stage_pedidos_detalhe"], (1001, 2, 1, 11, 1, dec(10), dec(0))])
+    assert read_fact(wh).count() == 4
+    keys = loaded_keys(wh)
+    assert rows(keys.read(wh.pointer("fato_vendas").folders).distinct(), "numero_pedido", "numero_linha") == rows(
+        read_fact(wh).select("numero_pedido", "numero_linha"), "numero_pedido", "numero_linha")
+
+
+def test_only_parts_with_changes_are_written_again(spark, monkeypatch):
+    from salesmill.plans import pipeline
+
+    monkeypatch.setattr(pipeline, "PART_ROWS", 4)
+    table = TABLES["dim_regiao"]
+    wh = Warehouse(spark, scratch_path(spark, "t"))
+
+    def batch(names):
+        return spark.createDataFrame([(i, n, "US", "United States", "Europe", "Europa") for i, n in names.items()],
+                                     "nk_regiao bigint, nome_territorio string, codigo_pais string, nome_pais string, grupo_regional string, continente string")
+
+    names = {i: f"T{i}" for i in range(40)}
+    load_dimension(wh, table, batch(names))
+    before = wh.pointer("dim_regiao")
+    assert before.notes["parts"] == 10 and len(before.folders) == 10
+    keys = {r["nk_regiao"]: r["sk_regiao"] for r in rows(wh.read("dim_regiao"))}
+    load_dimension(wh, table, batch(names))
+    assert wh.pointer("dim_regiao") == before
+    names |= {7: None, 50: "new"}
+    load_dimension(wh, table, batch({i: names[i] for i in (7, 8, 50)}))
+    after = wh.pointer("dim_regiao")
+    assert 8 <= len(set(after.folders) & set(before.folders)) <= 9
+    got = {r["nk_regiao"]: r for r in rows(wh.read("dim_regiao"))}
+    assert {i: r["nome_territorio"] for i, r in got.items()} == names
+    assert {i: r["sk_regiao"] for i, r in got.items()} == keys | {50: 41}
+    load_dimension(wh, table, batch({i: f"T{i}" for i in range(100, 160)}))  # outgrown: written anew in more parts
+    assert wh.pointer("dim_regiao").notes["parts"] == 26 and wh.read("dim_regiao").count() == 101
+    assert len(set(values(wh.read("dim_regiao"), "sk_regiao"))) == 101
+
+
+def test_comparing_a_batch_reads_each_side_once(spark, wh):
+    from salesmill.operators.upsert import upsert_changes
+
+    table = TABLES["dim_regiao"]
+    stored = wh.read("dim_regiao", table.schema)
+    batch = stored.withColumn("nome_territorio", F.when(F.col("nk_regiao") == 1, None).otherwise(F.col("nome_territorio")))
+    found = upsert_changes(stored, batch, "nk_regiao", "sk_regiao", table.updates, None, 1)
+    assert found.first().asDict() == {"repeated": 0, "added": 0, "changed": 1, "rows": 2, "last": 2, "parts": [0]}
+    assert plan(found).count("FileScan parquet") == 2
+    assert upsert_changes(stored, stored, "nk_regiao", "sk_regiao", table.updates, None, 1).first()["changed"] == 0
+
+
+def test_keys_and_references_are_checked_in_one_pass(spark, wh):
+    from salesmill.operators.quality import key_faults
+
+    fact, dims = read_fact(wh), read_dims(wh)
+    faults = key_faults(fact, TABLES["fato_vendas"], dims)
+    text = plan(faults)
+    assert text.count("sk_venda") and len([x for x in text.splitlines() if "FileScan" in x and "sk_venda" in x]) == 1
+    assert text.count("FileScan parquet") == 1 + 6
+    assert all(r["values"] >= 1 and not r["lost"] and r["check"] >= 2 for r in rows(faults))
+    twice = fact.unionByName(fact.where("numero_linha = 2").withColumn("sk_oferta", F.lit(99).cast("bigint")))
+    found = {r["check"]: (r["values"], r["lost"]) for r in rows(key_faults(twice, TABLES["fato_vendas"], dims))}
+    assert found[0] == found[1] == (1, 0) and found[7][1] == 1
 
 
 def test_a_seller_added_later_takes_the_defaults(spark, wh):
@@ -201,15 +249,6 @@ def test_unchanged_dimensions_are_not_published_again(spark, wh):
     assert wh.version("dim_regiao") == before["dim_regiao"] + 1
 
 
-def test_loads_merge_into_one_folder(spark, wh):
-    load(spark, wh, stage_pedidos_detalhe=[*ROWS["stage_pedidos_detalhe"], (1001, 2, 1, 11, 1, dec(10), dec(0))])
-    before = rows(read_fact(wh), "sk_venda")
-    assert len(wh.folders("fato_vendas")) == 2
-    merge_fact(wh)
-    assert len(wh.folders("fato_vendas")) == 1 and rows(read_fact(wh), "sk_venda") == before
-    assert len(wh.remove_unread("fato_vendas")) == 2 and rows(read_fact(wh), "sk_venda") == before
-
-
 @pytest.mark.parametrize("column, message", [("sk_regiao", "nk_regiao|sk_regiao"), ("nk_regiao", "nk_regiao")])
 def test_repeated_keys_publish_nothing(spark, column, message):
     from salesmill.plans.pipeline import _publish_checked

@@ -11,8 +11,9 @@ from salesmill.operators.quality import orphans
 from salesmill.operators.upsert import first_per_key
 from salesmill.plans.fact import build_fact
 from salesmill.plans.kpis import KPIS, kpi4_monthly_trend, kpi10_top_products
-from salesmill.plans.pipeline import read_dims, read_fact
+from salesmill.plans.pipeline import loaded_keys, read_dims, read_fact
 from salesmill.registry import warehouse
+from salesmill.sources.testdata import TestTables
 
 
 @pytest.fixture(scope="module")
@@ -104,14 +105,21 @@ def test_made_up_key_never_matches(spark):
 
 
 def test_copies_are_dropped_before_the_shuffle(spark):
-    """A third of all rows are copies of one line: few of them cross the exchange."""
+    """A third of all rows are copies of one line: their rows meet on the map side, and no other row is sorted."""
     df = third_hot(spark, 30_000).select("fk", F.lit(1).alias("line"), "pad")
     text = plan(first_per_key(df, ["fk", "line"]))
-    below = text[text.index("Exchange hashpartitioning(fk"):]
-    assert "partial_min" in below
+    compared = text[text.index("partial_min"):]
+    assert "LeftSemi" in compared and "partial_min" not in text[: text.index("LeftAnti")]
+    assert "partial_count" in text and "LeftAnti" in text
     assert first_per_key(df, ["fk", "line"]).count() == df.select("fk").distinct().count()
 
 
+def test_lines_without_copies_are_not_sorted(spark):
+    df = spark.range(5_000).select("id", (F.col("id") % 7).alias("line"), F.lit("x").alias("pad"))
+    firsts = first_per_key(df, ["id", "line"])
+    assert "SortAggregate" not in executed(firsts).split("== Initial Plan ==")[0] and firsts.count() == 5_000
+
+
 def test_orphans_count_references_before_the_join(spark, no_broadcast):
     df = orphans(third_hot(spark, 30_000), "t", "fk", spark.range(100), "d", "id")
     text = plan(df)
@@ -157,15 +165,21 @@ def test_fact_with_hot_order_customer_and_product(spark, no_broadcast, split_sma
     assert check.count() == 0
 
 
-def test_fact_shuffles_lines_once_per_big_join(spark, wh, no_broadcast):
-    """Lines are exchanged for: first line per key, product, offer, header. Look-ups of the order's own
-    keys are made on the headers."""
+def test_only_incoming_lines_are_shuffled_to_the_loaded_keys(spark, wh, no_broadcast):
+    """Stored keys are joined where they lie. Look-ups of the order's own keys are made on the headers."""
     detail, header, dims, _ = hot_source(spark)
-    text = plan(build_fact(detail, header, dims, existing=read_fact(wh)))
+    keys = loaded_keys(wh)
+    assert keys.buckets == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    loaded = keys.read(wh.pointer("fato_vendas").folders)
+    text = plan(build_fact(detail, header, dims, existing=loaded))
+    stored = [x for x in text.splitlines() if "FileScan" in x and "salesmill_keys" in x]
+    assert len(stored) == 1 and "Bucketed: true" in stored[0]
+    above = text[: text.index("salesmill_keys")]
+    assert "Exchange" not in above[above.rindex("+- Sort ["):]  # from the join down to the scan
     detail_side = text[: text.rindex("Exchange hashpartitioning(SalesOrderID")]
     assert "CustomerID" not in detail_side.split("LeftAnti")[1].split("Range")[0]
-    by_line = re.findall(r"Exchange hashpartitioning\((SalesOrderID#\w+, SalesOrderDetailID#\w+), \d+\)", text)
-    assert len(by_line) == 2  # new lines once, for aggregate and anti-join alike; loaded keys once
+    again = build_fact(TestTables(spark, SMALL)["stage_pedidos_detalhe"], TestTables(spark, SMALL)["stage_pedidos_header"], read_dims(wh), loaded)
+    assert again.count() == 0
 
 
 def test_window_is_equal_to_first_per_key(spark):
