@@ -264,23 +264,25 @@ def kpi6_geography(fact: DataFrame, dims: Dims) -> DataFrame:
 def kpi7_category(fact: DataFrame, dims: Dims) -> DataFrame:
     """Turnover per product divides whole numbers and drops the remainder.
 
-    Orders are counted by a sum by order, products by exact bitmaps over their surrogate keys; that second
-    pass reads one column of the fact and moves a bitmap for each category and 32,768 products.
+    Lines are summed by order, which also gathers the order's products. These are then counted by exact
+    bitmaps over their surrogate keys; an order's sums go with its first product.
     """
     products = dims["dim_produto"].select("sk_produto", "categoria_produto")
     net, profit, units, count = (F.col(c) for c in ("valor_liquido", "lucro_bruto", "quantidade_vendida", "total_produtos_categoria"))
     amounts = ("quantidade_vendida", "valor_liquido", "custo_total", "lucro_bruto")
     sums = [F.sum(a).alias(a) for a in amounts]
-    lines = fact.join(products, "sk_produto")
-    by_order = lines.groupBy("categoria_produto", "numero_pedido").agg(*sums)
-    groups = by_order.groupBy("categoria_produto").agg(F.count("numero_pedido").alias("_orders"), *sums)
-    key = F.col("sk_produto")
-    blocks = lines.select("categoria_produto", "sk_produto").groupBy(
-        F.col("categoria_produto").alias("_category"), F.bitmap_bucket_number(key).alias("_block")
-    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("_bits"))
-    sold = blocks.groupBy("_category").agg(F.sum(F.bitmap_count("_bits")).alias("total_produtos_categoria"))
+    by_order = fact.join(products, "sk_produto").groupBy("categoria_produto", "numero_pedido").agg(
+        F.collect_set("sk_produto").alias("_sold"), *sums)
+    key, first = F.col("_product"), F.col("_at") == 0
+    blocks = by_order.select("*", F.posexplode("_sold").alias("_at", "_product")).groupBy(
+        "categoria_produto", F.bitmap_bucket_number(key).alias("_block")
+    ).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("_bits"), F.count(F.when(first, F.col("numero_pedido"))).alias("_orders"),
+        *[F.sum(F.when(first, F.col(a))).alias(a) for a in amounts],
+    )
     return (
-        groups.join(sold, F.col("categoria_produto").eqNullSafe(F.col("_category")))
+        blocks.groupBy("categoria_produto")
+        .agg(F.sum(F.bitmap_count("_bits")).alias("total_produtos_categoria"), F.sum("_orders").alias("_orders"), *sums)
         .select(
             "categoria_produto",
             "total_produtos_categoria",

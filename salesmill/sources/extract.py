@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+
+#: Predicates of one extract; each is one task and one string on the driver.
+MAX_SPLITS = 4096
 
 
 def extract(
@@ -51,3 +55,60 @@ def jdbc_options(
             numPartitions=str(parts),
         )
     return opts
+
+
+def split_points(keys: DataFrame, column: str, parts: int) -> list:
+    """Values that cut the rows of `keys` into `parts` of near-equal size: quantiles of a number, date or timestamp.
+
+    `keys` may be the table itself, an earlier staging of it, or an index table. Equal values are never
+    cut, so a value that makes up several parts gives fewer points. NULLs and empty tables give none.
+    """
+    kind = keys.schema[column].dataType
+    if not isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
+        raise ValueError(f"{column} is {kind.simpleString()}: split it by hash_predicates")
+    if not 1 <= parts <= MAX_SPLITS:
+        raise ValueError(f"{parts} parts, 1 to {MAX_SPLITS} are allowed")
+    shares = [i / parts for i in range(1, parts)]
+    if not shares:
+        return []
+    found = keys.agg(F.percentile_approx(column, shares, max(10_000, 20 * parts))).first()[0] or []
+    return sorted(set(found))
+
+
+def _literal(value) -> str:
+    """A value as the database reads it; dates and times in quotes."""
+    return f"'{value}'" if not isinstance(value, (int, float)) and not hasattr(value, "as_tuple") else str(value)
+
+
+def range_predicates(column: str, points: Sequence) -> list[str]:
+    """Conditions, one per part, that every row meets exactly one of; a NULL is in the first part."""
+    points = [_literal(p) for p in points]
+    if not points:
+        return ["1 = 1"]
+    middle = [f"{column} > {a} AND {column} <= {b}" for a, b in zip(points, points[1:])]
+    return [f"({column} <= {points[0]} OR {column} IS NULL)", *middle, f"{column} > {points[-1]}"]
+
+
+def hash_predicates(column: str, parts: int, bucket: str = "MOD(ABS(CHECKSUM({column})), {parts})") -> list[str]:
+    """Conditions, one per part, by a hash of a text key; `bucket` is the database's expression for 0 to parts - 1."""
+    if not 1 <= parts <= MAX_SPLITS:
+        raise ValueError(f"{parts} parts, 1 to {MAX_SPLITS} are allowed")
+    number = bucket.format(column=column, parts=parts)
+    first = f"({number} = 0 OR {column} IS NULL)"
+    return [first, *[f"({number} = {i} AND {column} IS NOT NULL)" for i in range(1, parts)]]
+
+
+def split_predicates(keys: DataFrame, column: str, parts: int, **hashed: str) -> list[str]:
+    """Conditions for an extract that `parts` tasks read at once, derived from the key's values or, for text, its hash."""
+    kind = keys.schema[column].dataType
+    if isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
+        return range_predicates(column, split_points(keys, column, parts))
+    return hash_predicates(column, parts, **hashed)
+
+
+def extract_jdbc(
+    spark: SparkSession, url: str, table: str, predicates: Sequence[str], columns: Iterable[str] | None = None, **properties: str
+) -> DataFrame:
+    """A database table by one task per predicate; `columns` prunes in the database."""
+    df = spark.read.jdbc(url, table, predicates=list(predicates), properties={"fetchsize": "10000", **properties})
+    return df.select(*columns) if columns else df

@@ -10,7 +10,7 @@ from salesmill.operators.lookup import look_up
 from salesmill.operators.quality import orphans
 from salesmill.operators.upsert import first_per_key
 from salesmill.plans.fact import build_fact
-from salesmill.plans.kpis import KPIS, kpi4_monthly_trend, kpi10_top_products
+from salesmill.plans.kpis import KPIS, kpi4_monthly_trend, kpi5_abc_all, kpi10_top_products, newest_months, product_revenue
 from salesmill.plans.pipeline import loaded_keys, read_dims, read_fact
 from salesmill.registry import warehouse
 from salesmill.sources.testdata import TestTables
@@ -188,3 +188,27 @@ def test_window_is_equal_to_first_per_key(spark):
     want = df.withColumn("n", F.row_number().over(w)).where("n = 1").drop("n")
     got = first_per_key(df, ["fk"], ["v"])
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["kpi4_monthly_trend", "kpi6_geography", "kpi7_category", "kpi8_customer_value"])
+def test_distinct_counts_copy_no_rows(spark, wh, name):
+    text = plan(KPIS[name](read_fact(wh), read_dims(wh)))
+    assert "Expand" not in text and "bitmap_construct_agg" in text
+
+
+def test_newest_months_come_from_the_folders(spark, wh):
+    fact = read_fact(wh)
+    months = sorted(r[0] for r in fact.select("ano_mes").distinct().collect())
+    assert newest_months(fact, 12) == months[-12] and newest_months(fact, 1000) == months[0]
+    assert newest_months(spark.createDataFrame([(202001,), (None,), (201905,)], "ano_mes int"), 1) == 202001
+    assert newest_months(fact.sparkSession.createDataFrame([], "ano_mes int"), 12) is None
+    trend = plan(kpi4_monthly_trend(fact, read_dims(wh)))
+    assert "Subquery" not in trend and "(ano_mes" in trend and f">= {months[-12]})" in trend
+
+
+def test_the_curve_reads_the_fact_once(spark, wh):
+    fact, dims = read_fact(wh), read_dims(wh)
+    scans = re.findall(r"ReadSchema: struct<[^>]*valor_liquido", kpi5_abc_all(fact, dims)._jdf.queryExecution().simpleString())
+    assert not scans  # the written revenues are all that is read later
+    once = product_revenue(fact, dims)._jdf.queryExecution().simpleString()
+    assert len(re.findall(r"ReadSchema: struct<[^>]*valor_liquido", once)) == 1
