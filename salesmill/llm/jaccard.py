@@ -42,6 +42,8 @@ HOT_TABLE = 1 << 21
 LEAST_HOT = 8
 #: Text whose shingles are counted together before they are sent on.
 PACKED_BYTES = 2 << 20
+#: Set keys a task remembers, some 8 MB.
+SEEN = 1 << 16
 #: Stands in for a missing doc_id inside the join.
 NO_ID = -(1 << 63)
 
@@ -141,8 +143,13 @@ def _frequent(docs: DataFrame, text: str, least_hot: int) -> tuple[np.ndarray, i
 
 
 def _prefixes(docs: DataFrame, text: str, hot: np.ndarray, bits: int, percent: int) -> DataFrame:
-    """(shingle, set_id, n, place, hot): the leading shingles of each set, frequent ones last."""
+    """(shingle, set_id, n, place, hot): the leading shingles of each set, frequent ones last.
+
+    A task gives each of its sets once (of more than SEEN sets some again), so copies of a text are one for
+    each task before anything is shuffled, however short the text is.
+    """
     frequent = docs.sparkSession.sparkContext.broadcast(hot)
+    seen: set[int] = set()  # every task has its own, empty at first
 
     def make(ids, sets):
         known = frequent.value
@@ -150,13 +157,19 @@ def _prefixes(docs: DataFrame, text: str, hot: np.ndarray, bits: int, percent: i
         for s in sets:
             if not len(s):
                 continue
+            key = class_key(s)
+            if key in seen:
+                continue
+            if len(seen) >= SEEN:
+                seen.clear()
+            seen.add(key)
             lead = s >> np.uint64(32 - bits)
             at = np.searchsorted(known, lead)
             at[at == len(known)] = 0
             often = known[at] == lead if len(known) else np.zeros(len(s), bool)
             length = len(s) - (percent * len(s) + 99) // 100 + 1
             chosen = np.argsort(often, kind="stable")[:length]
-            rows = (s[chosen], np.full(length, class_key(s)), np.full(length, len(s), np.int32),
+            rows = (s[chosen], np.full(length, key), np.full(length, len(s), np.int32),
                     np.arange(length, dtype=np.int32), often[chosen])
             for column, values in zip(out, rows):
                 column.append(values)

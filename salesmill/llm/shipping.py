@@ -10,10 +10,15 @@ from pyspark.sql import SparkSession
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _sent: set[str] = set()
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of an Arrow batch, unless the session has a number of its own: they hold whole texts.
+BATCH_ROWS = 1000
 
 
 def ship(spark: SparkSession) -> None:
-    """Add the package to the session's files, once, unless the workers' path already holds it."""
+    """Add the package to the session's files, once, unless the workers' path already holds it; keep batches small."""
+    if spark.conf.get(_BATCH) == "10000":  # Spark's default; a batch of so many texts is too much for a worker
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     path = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
     if app in _sent or _ROOT in path:

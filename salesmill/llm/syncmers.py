@@ -2,11 +2,12 @@
 
 A text is cut into tokens: runs of up to TOKEN characters that are not white space. In a run of more than
 WORD characters, or one of a script written without spaces, a token of TOKEN characters begins at every
-character instead, so that where the run begins does not matter. Its k-mers are runs of four tokens, their inner substrings pairs of tokens. A k-mer is an anchor if the smallest of its
-three pairs, by hash, lies at an edge. That depends on the k-mer alone, so a passage has the same
-anchors wherever it stands. Two texts are alike by the share of all their distinct anchors that both
-have, and aligned by the anchors that stand in both at one and the same shift of positions. The sketch,
-an extra, holds the smallest SKETCH anchor hashes only.
+character instead, so that where the run begins does not matter. Its k-mers are runs of four tokens, their
+inner substrings pairs of tokens. A k-mer is an anchor, a 32-bit hash, if the smallest of its three pairs,
+by hash, lies at an edge. That depends on the k-mer alone, so a passage has the same anchors wherever it
+stands. A fingerprint holds all distinct anchors of a text. Two texts are alike by the share of the
+anchors in their fingerprints that both have, and aligned by the anchors that stand in both at one and the
+same shift of positions.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from salesmill.operators.prefix import range_count, with_ranges
 
-TOKEN, WORD, SKETCH = 8, 16, 128
+TOKEN, WORD = 8, 16
 _SCRIPTS = "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Bopomofo", "Yi", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
 _UNSPACED = rf"\S{{{WORD + 1}}}|[{_SCRIPTS}]"
 
@@ -59,11 +60,14 @@ def _all_anchors(pairs: str, tokens: str) -> Column:
     p = F.col(pairs)
     n = F.size(tokens)
 
+    def short_hash(*parts: Column) -> Column:
+        return F.xxhash64(*parts).bitwiseAND(F.lit(0xFFFFFFFF))
+
     def kmer(first: Column, i: Column) -> Column:
         middle, last = F.get(p, i + 1), F.get(p, i + 2)
-        return F.when((i < n - 3) & ~((middle < first) & (middle < last)), F.xxhash64(first, last))
+        return F.when((i < n - 3) & ~((middle < first) & (middle < last)), short_hash(first, last))
 
-    short = F.when(n == 0, F.array().cast("array<bigint>")).otherwise(F.array(F.xxhash64(F.array_join(tokens, " "))))
+    short = F.when(n == 0, F.array().cast("array<bigint>")).otherwise(F.array(short_hash(F.array_join(tokens, " "))))
     return F.when(n < 4, short).otherwise(F.transform(p, kmer))
 
 
@@ -71,11 +75,9 @@ def _distinct(places: Column) -> Column:
     return F.array_distinct(F.array_compact(places))
 
 
-def _written_sketch(places: Column) -> Column:
-    """The smallest anchor hashes, distinct, as 32-bit numbers in order, in hexadecimal."""
-    kept = F.transform(F.array_compact(places), lambda a: a.bitwiseAND(F.lit(0xFFFFFFFF)))
-    sketch = F.slice(F.sort_array(F.array_distinct(kept)), 1, SKETCH)
-    return F.array_join(F.transform(sketch, lambda a: F.lpad(F.lower(F.hex(a)), 8, "0")), "")
+def _written(anchors: str) -> Column:
+    """All distinct anchors as numbers, in the order of the text."""
+    return F.array_join(F.col(anchors).cast("array<string>"), " ")
 
 
 def _likeness(x: str, y: str, common: str) -> Column:
@@ -119,9 +121,9 @@ def with_anchors(docs: DataFrame, text: str, out: str) -> DataFrame:
 
 
 def _with_next(docs: DataFrame) -> DataFrame:
-    """Add `places`, the anchors of the row, and `next_text` and `next_places`, those of the next row by
-    descending doc_id; the last row's next is the first. Rows without doc_id come last; rows that share one are in the order of their
-    texts.
+    """Add `places` and `anchors` of the row, and `next_text`, `next_places` and `next_anchors`, those of the
+    next row by descending doc_id; the last row's next is the first. Rows that share a doc_id are in the order
+    of their texts; rows without one come last, dealt into ranges by a hash of their texts.
 
     Rows are dealt into ranges of doc_id by value. The first row of every range also stands, as a
     guest, at the end of the range before, so each range finds all its neighbours by itself and each
@@ -131,12 +133,14 @@ def _with_next(docs: DataFrame) -> DataFrame:
     # Several ranges for each partition, so that chance evens out what a partition gets.
     ranges = range_count(docs, 8 * range_count(docs))
     ranged = with_ranges(docs.select("doc_id", "text"), "doc_id", ranges)
-    ranged = ranged.withColumn("range", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.col("_range"))).drop("_range")
+    unnamed = -1 - F.pmod(F.xxhash64("text"), F.lit(range_count(docs))).cast("int")
+    ranged = ranged.withColumn("range", F.when(F.col("doc_id").isNull(), unnamed).otherwise(F.col("_range"))).drop("_range")
     order = [F.desc_nulls_last("doc_id"), F.asc_nulls_first("text")]
     # The first row of each range: at most MAX_RANGES of them, found on ids and then on equal ids only.
     tops = ranged.groupBy("range").agg(F.max("doc_id").alias("top")).orderBy(F.desc("range")).collect()
     if not tops:
-        return ranged.withColumns({"next_text": F.col("text"), "places": F.array().cast("array<bigint>"), "next_places": F.array().cast("array<bigint>")})
+        nothing = F.array().cast("array<bigint>")
+        return ranged.withColumns({"next_text": F.col("text"), **dict.fromkeys(("places", "anchors", "next_places", "next_anchors"), nothing)})
     before = {tops[i]["range"]: tops[i - 1]["range"] for i in range(len(tops))}
     host = F.create_map(*[x for r, b in before.items() for x in (F.lit(r), F.lit(b))])
     heads = spark.createDataFrame([(r["range"], r["top"]) for r in tops], f"range int, top {docs.schema['doc_id'].dataType.simpleString()}")
@@ -146,11 +150,10 @@ def _with_next(docs: DataFrame) -> DataFrame:
         .select(F.element_at(host, F.col("range")).alias("range"), "first.doc_id", "first.text", F.lit(True).alias("guest"))
     )
     rows = ranged.select("range", "doc_id", "text", F.lit(False).alias("guest")).unionByName(firsts).repartition("range")
-    rows = with_anchors(rows, "text", "places")
+    rows = with_anchors(rows, "text", "places").withColumn("anchors", _distinct(F.col("places")))
     along = Window.partitionBy("range").orderBy("guest", *order)
-    return rows.withColumns({
-        "next_text": F.lead("text").over(along), "next_places": F.lead("places").over(along),
-    }).where("not guest").drop("guest", "range")
+    following = {f"next_{c}": F.lead(c).over(along) for c in ("text", "places", "anchors")}
+    return rows.withColumns(following).where("not guest").drop("guest", "range")
 
 
 def edited_text(text: Column, following: Column) -> Column:
@@ -162,34 +165,33 @@ def edited_text(text: Column, following: Column) -> Column:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """One row per row of `docs`: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next, aligned_edited, aligned_next, anchors, edited_anchors.
+    near_edited, near_next, aligned_edited, aligned_next.
 
-    `anchors` holds all distinct anchors, in the order of the text; near_* and aligned_* are computed from
-    all of them. `fingerprint` is their sketch. A null text is empty; an empty text has no anchors. A single
-    row is its own next. Other columns are ignored.
+    A fingerprint is the list of all distinct anchors of a text, written as numbers; near_* is the likeness of
+    two of these lists. `aligned_edited` counts the anchors that stand at the same place in the edited text,
+    which keeps the beginning; `aligned_next` those at any one shift in the next. A null text is empty; an
+    empty text has no anchors and ''. A single row is its own next. Other columns are ignored.
     """
     rows = _with_next(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     rows = rows.withColumn("edited", edited_text(F.col("text"), F.col("next_text")))
     rows = with_anchors(rows.drop("next_text"), "edited", "edited_places")
     rows = rows.select(
-        "doc_id", "places", "next_places", "edited_places",
+        "doc_id", "places", "next_places", "edited_places", "anchors", "next_anchors",
         F.char_length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        _distinct(F.col("places")).alias("anchors"),
-        _distinct(F.col("next_places")).alias("next_anchors"),
         _distinct(F.col("edited_places")).alias("edited_anchors"),
     )
     rows = rows.withColumns({
         "common_edited": F.array_intersect("anchors", "edited_anchors"),
         "common_next": F.array_intersect("anchors", "next_anchors"),
     })
-    rows = _with_match(rows, "places", "edited_places", "common_edited", "aligned_edited")
+    same_place = F.array_compact(F.zip_with("places", "edited_places", lambda a, b: F.when(a == b, True)))
     rows = _with_match(rows, "places", "next_places", "common_next", "aligned_next")
     return rows.select(
         "doc_id", "n_chars", "edited_sha256",
-        _written_sketch(F.col("places")).alias("fingerprint"),
-        _written_sketch(F.col("edited_places")).alias("edited_fingerprint"),
+        _written("anchors").alias("fingerprint"),
+        _written("edited_anchors").alias("edited_fingerprint"),
         _likeness("anchors", "edited_anchors", "common_edited").alias("near_edited"),
         _likeness("anchors", "next_anchors", "common_next").alias("near_next"),
-        "aligned_edited", "aligned_next", "anchors", "edited_anchors",
+        F.size(same_place).cast("long").alias("aligned_edited"), "aligned_next",
     )

@@ -124,3 +124,15 @@ def test_trees_miss_no_pair_and_a_forest_connects_as_much():
     apart = {tuple(sorted(p)) for p in candidates(bits, sizes, key, 75, groups=known)}
     assert {p for p in real if known[p[0]] != known[p[1]]} <= apart
     assert not any(known[i] == known[j] for i, j in apart)
+
+
+def test_copies_of_a_short_text_are_one_row_of_a_task(spark, documents):
+    from salesmill.llm import jaccard
+
+    rows = [(k, "ok") for k in range(5000)] + [(9000 + k, prose(k, 30)) for k in range(20)]
+    docs = documents(rows).repartition(4)
+    sent = jaccard._prefixes(docs, "text", np.zeros(0, np.uint64), 8, 75)
+    key = sent.groupBy("shingle").count().agg({"count": "max"}).first()[0]
+    assert key <= 4
+    found = {r.doc_id: r.component_id for r in jaccard.similar_documents(docs).collect()}
+    assert all(found[k] == 0 for k in range(5000)) and all(found[9000 + k] == 9000 + k for k in range(20))
