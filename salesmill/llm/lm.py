@@ -31,15 +31,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from salesmill.llm.shipping import ship
-from salesmill.llm.text import NOT_SPACE, SLICE_BYTES, byte_slices, find_words
+from salesmill.llm.text import NOT_SPACE, SLICE_BYTES, byte_slices, find_words, mix
 from salesmill.session import written
 
 #: The least number of classes; `class_count` has the number for a vocabulary.
 CLASSES = 128
 TABLE = 1 << 18
 WIDTH, NOISE, BATCH, STEPS, ROUNDS = 24, 64, 2048, 1200, 4
-#: Cells that a training task holds at once.
-HELD = 1 << 18
+#: Cells of a training block, near enough.
+HELD = 1 << 20
 END = np.uint64(0x5EED)
 END_SHAPE = 0
 
@@ -228,14 +228,14 @@ def _begin(frequency: np.ndarray, seed: int) -> list[np.ndarray]:
     n = len(frequency)
     params = [rng.normal(0, 0.1, (n + 1, WIDTH)), 0.5 * np.eye(WIDTH), np.eye(WIDTH), rng.normal(0, 0.1, (n, WIDTH)),
               np.log(frequency / frequency.sum())]
-    return params + [np.full(p.shape, 1e-8) for p in params]
+    return [p.astype(np.float32) for p in params] + [np.full(p.shape, 1e-8, np.float32) for p in params]
 
 
 def _sums(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """Sums of the rows of `values` by their place `at`, n places."""
     order = np.argsort(at, kind="stable")
     first = np.flatnonzero(np.r_[True, at[order][1:] != at[order][:-1]])
-    out = np.zeros((n, *values.shape[1:]))
+    out = np.zeros((n, *values.shape[1:]), values.dtype)
     out[at[order][first]] = np.add.reduceat(values[order], first, axis=0)
     return out
 
@@ -251,8 +251,8 @@ def _learn(state: list[np.ndarray], noise: np.ndarray, cells: np.ndarray, times:
     context, first, second, target, bias = params = state[:5]
     n = len(target)
     copies = np.ceil(times / mean).astype(np.int64)
-    entry, weight = np.repeat(cells, copies), np.repeat(times / copies / mean, copies)
-    offset = np.log(NOISE * noise)
+    entry, weight = np.repeat(cells, copies), np.repeat((times / copies / mean).astype(np.float32), copies)
+    offset = np.log(NOISE * noise).astype(np.float32)
     share = np.cumsum(noise)
     for _ in range(passes):
         order = rng.permutation(len(entry))
@@ -272,9 +272,9 @@ def _learn(state: list[np.ndarray], noise: np.ndarray, cells: np.ndarray, times:
             d_bias = _sums(np.r_[wanted, false], np.r_[good, bad.sum(axis=0)], n)
             d_context = _sums(np.r_[i, j], np.r_[d_predicted @ first.T, d_predicted @ second.T], n + 1)
             for p, s, d in zip(params, state[5:], (d_context, ri.T @ d_predicted, rj.T @ d_predicted, d_target, d_bias)):
-                d = d / len(drawn)
+                d = d / np.float32(len(drawn))
                 s += d * d
-                p += rate * d / np.sqrt(s)
+                p += np.float32(rate) * d / np.sqrt(s)
 
 
 def _passes(cells: int, steps: int) -> int:
@@ -298,61 +298,104 @@ def train(cells: np.ndarray, steps: int = STEPS, seed: int = 5) -> tuple[np.ndar
     return tuple(state[:5])
 
 
+def packed_cells(cells: DataFrame) -> tuple[DataFrame, int, int]:
+    """(block, cells, times): (cell, times) rows in blocks of about HELD cells, sorted, as 64-bit numbers; their number and sum.
+
+    A cell's block depends on its number and on how many cells there are, so training does not depend on the
+    cluster.
+    """
+    count, total = cells.agg(F.count(F.lit(1)), F.coalesce(F.sum("times"), F.lit(0))).first()
+    blocks = max(1, -(-count // HELD))
+
+    def pack(key, rows):
+        cell, times = rows["cell"].to_numpy(), rows["times"].to_numpy()
+        order = np.argsort(cell)
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "cells": [cell[order].tobytes()], "times": [times[order].tobytes()]})
+
+    block = F.pmod(F.xxhash64("cell"), F.lit(blocks)).cast("int").alias("block")
+    dealt = cells.select(block, "cell", "times").repartition(blocks, "block")  # a task for each block, more or less
+    return dealt.groupBy("block").applyInArrow(pack, "block int, cells binary, times binary"), count, total
+
+
 def train_in_tasks(cells: DataFrame, frequency: np.ndarray, steps: int = STEPS, seed: int = 5) -> tuple[np.ndarray, ...]:
-    """The same from (cell, times) rows of any number, in Spark tasks; `frequency` is that of the classes."""
+    """The same from (cell, times) rows of any number, in Spark tasks; `frequency` is that of the classes.
+
+    In each round every block learns from the round's parameters; the results are averaged by count.
+    """
     spark = cells.sparkSession
     frequency = frequency + 1.0
     state, noise = _begin(frequency, seed), frequency / frequency.sum()
-    count, total = cells.agg(F.count(F.lit(1)), F.sum("times")).first()
+    blocks, count, total = packed_cells(cells)
     if not count:
         return tuple(state[:5])
+    blocks = written(blocks, "blocks")
     mean, passes = total / count, _passes(count, steps)
-    groups = max(1, math.isqrt(cells.rdd.getNumPartitions()))
+    groups = max(1, math.isqrt(-(-count // HELD)))
     shapes = [p.shape for p in state]
 
     for k in range(ROUNDS):
         shared, rate = spark.sparkContext.broadcast(state), _rate(k)
 
         def run(batches, shared=shared, rate=rate, k=k):
-            task = TaskContext.get().partitionId()
-            rng = np.random.default_rng((seed, k, task))
-            own, seen, held = [p.copy() for p in shared.value], 0, []
-
-            def learn():
-                cell, times = (np.concatenate(c) for c in zip(*held))
-                _learn(own, noise, cell, times, mean, passes, rate, rng)
-                held.clear()
-                return int(times.sum())
-
             for batch in batches:
-                if batch.num_rows:
-                    held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
-                    if sum(len(c) for c, _ in held) >= HELD:
-                        seen += learn()
-            if held:
-                seen += learn()
-            if seen:
-                flat = np.concatenate([p.ravel() for p in own]) * seen
-                yield pa.record_batch({"part": pa.array([task % groups], pa.int32()), "seen": pa.array([seen], pa.int64()),
-                                       "state": pa.array([flat.tobytes()], pa.binary())})
+                for block, cell, times in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                    cell, times = np.frombuffer(cell.as_buffer(), np.int64), np.frombuffer(times.as_buffer(), np.int64)
+                    own = [p.copy() for p in shared.value]
+                    _learn(own, noise, cell, times, mean, passes, rate, np.random.default_rng((seed, k, block)))
+                    seen = int(times.sum())
+                    flat = np.concatenate([p.ravel() for p in own]).astype(np.float64) * seen
+                    yield pa.record_batch({"part": pa.array([block % groups], pa.int32()), "block": pa.array([block], pa.int32()),
+                                           "seen": pa.array([seen], pa.int64()), "state": pa.array([flat.tobytes()], pa.binary())})
 
         def add(batches):
-            seen, flat = 0, 0.0
+            part, seen, flat = None, 0, 0.0
             for batch in batches:
-                for n, one in zip(batch.column(1).to_pylist(), batch.column(2)):
-                    seen, flat = seen + n, flat + np.frombuffer(one.as_buffer(), np.float64)
+                for p, n, one in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+                    if p != part and seen:
+                        yield _state(part, seen, flat)
+                        seen, flat = 0, 0.0
+                    part, seen, flat = p, seen + n, flat + np.frombuffer(one.as_buffer(), np.float64)
             if seen:
-                yield pa.record_batch({"seen": pa.array([seen], pa.int64()), "state": pa.array([flat.tobytes()], pa.binary())})
+                yield _state(part, seen, flat)
 
-        found = cells.select("cell", "times").mapInArrow(run, "part int, seen long, state binary")
-        sums = found.repartition(groups, "part").mapInArrow(add, "seen long, state binary").collect()  # a row for each group at most
+        found = blocks.mapInArrow(run, "part int, block int, seen long, state binary").repartition(groups, "part").sortWithinPartitions("part", "block")
+        sums = found.mapInArrow(add, "part int, seen long, state binary").orderBy("part").collect()  # a row for each group
         flat = sum(np.frombuffer(r.state, np.float64) for r in sums) / sum(r.seen for r in sums)
         cuts = np.cumsum([math.prod(x) for x in shapes])[:-1]
-        state = [p.reshape(x).copy() for p, x in zip(np.split(flat, cuts), shapes)]
+        state = [p.reshape(x).astype(np.float32) for p, x in zip(np.split(flat, cuts), shapes)]
         shared.unpersist()
     return tuple(state[:5])
 
 
+def _state(part: int, seen: int, flat: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch({"part": pa.array([part], pa.int32()), "seen": pa.array([seen], pa.int64()), "state": pa.array([flat.tobytes()], pa.binary())})
+
+
+class Norms:
+    """log of the sum over classes by context, found when a context first comes; a bounded table keeps them."""
+
+    def __init__(self, model: Model, slots: int = 1 << 20):
+        self.size, self.slots = model.classes.size, np.uint64(slots - 1)
+        self.before, self.last = ((model.context @ x).astype(np.float32) for x in (model.first, model.second))
+        self.target, self.bias = model.target.astype(np.float32), model.bias.astype(np.float32)
+        self.key, self.value = np.full(slots, -1, np.int64), np.zeros(slots, np.float32)
+
+    def of(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        contexts, where = np.unique(i * (self.size + 1) + j, return_inverse=True)
+        slot = (mix(contexts.view(np.uint64)) & self.slots).astype(np.int64)
+        norms = self.value[slot]
+        new = np.flatnonzero(self.key[slot] != contexts)
+        step = max(1, (1 << 20) // self.size)  # contexts whose scores are held at once
+        for at in range(0, len(new), step):
+            own = new[at : at + step]
+            a, b = np.divmod(contexts[own], self.size + 1)
+            scores = (self.before[a] + self.last[b]) @ self.target.T + self.bias
+            top = scores.max(axis=1)
+            norms[own] = top + np.log(np.exp(scores - top[:, None]).sum(axis=1))
+        self.key[slot[new]], self.value[slot[new]] = contexts[new], norms[new]
+        return norms[where]
+
+
 def fit(training: DataFrame) -> tuple[Model, DataFrame]:
     """The model and the table of all word counts, from the `text` column (null: empty)."""
     ship(training.sparkSession)
@@ -380,15 +423,14 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     ship(spark)
-    shared, norms = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(model.log_norms())
+    shared = spark.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()
     each = float(np.log10(model.tokens + model.vocabulary + 1))
 
     def run(batches):
         m: Model = shared.value
-        size, each_norm = m.classes.size, norms.value
-        before, last = ((m.context @ x).astype(np.float32) for x in (m.first, m.second))
-        target, bias = m.target.astype(np.float32), m.bias
+        size, norms = m.classes.size, Norms(m)
+        before, last, target, bias = norms.before, norms.last, norms.target, norms.bias
         weight = np.log10(m.table_counts + 1.0)
         context = TaskContext.get()
         row = (context.partitionId() if context else 0) << 40
@@ -397,7 +439,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
                 hashes, shapes, ptr = _tokens(part.column(1))
                 own = m.classes.of(hashes, shapes)
                 i, j = _context_pairs(own, ptr, size)
-                fitted = np.einsum("ij,ij->i", before[i] + last[j], target[own]) + bias[own] - each_norm[i, j]
+                fitted = np.einsum("ij,ij->i", before[i] + last[j], target[own]) + bias[own] - norms.of(i, j)
                 modelled = fitted / math.log(10) - m.class_total[own]
                 at = np.searchsorted(m.table_words, hashes)
                 at[at == len(m.table_words)] = 0

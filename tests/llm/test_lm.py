@@ -126,3 +126,47 @@ def test_tasks_learn_what_one_process_learns(spark):
     log = lm.Model(None, *params, None, None, None, 0, 0).log_probabilities()
     frequency = cells.sum(axis=0) / cells.sum()
     assert (cells * log).sum() > 0.5 * (cells * np.log10(np.maximum(frequency, 1e-12))).sum()
+
+
+def test_scores_equal_brute_force(documents, monkeypatch):
+    """score is the sum over tokens of log10 of the class's normalised probability and the word's share in it."""
+    monkeypatch.setattr(lm, "TABLE", 20)
+    model, counts = lm.fit(documents(TRAINING))
+    kept = {r.word: r.times for r in counts.collect()}
+    n = model.classes.size
+
+    def text_score(text):
+        hashes, shapes, _ = lm._tokens(pa.array([text or ""]))
+        own = model.classes.of(hashes, shapes).tolist()
+        total, history = 0.0, [n, n]
+        for c, h in zip(own, hashes.view(np.int64).tolist()):
+            r = model.context[history[0]].astype(float) @ model.first + model.context[history[1]].astype(float) @ model.second
+            scores = model.target.astype(float) @ r + model.bias
+            total += (scores[c] - np.log(np.exp(scores).sum())) / math.log(10)
+            total += math.log10(kept.get(h, 0) + 1) - model.class_total[c]
+            history = [history[1], c]
+        return total
+
+    found = {r.doc_id: r.score for r in lm.score(documents(NEW), model, counts).collect()}
+    assert all(abs(found[d] - text_score(t)) < 1e-3 * max(1, abs(found[d])) for d, t in NEW)
+
+
+def test_norms_do_not_depend_on_the_table(documents):
+    model, _ = lm.fit(documents(TRAINING))
+    n = model.classes.size + 1
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(n), np.arange(n), indexing="ij"))
+    want = model.log_norms()[i, j]
+    small = lm.Norms(model, 16)
+    for _ in range(2):
+        np.testing.assert_allclose(lm.Norms(model).of(i, j), want, atol=1e-4)
+        np.testing.assert_allclose(small.of(i, j), want, atol=1e-4)
+
+
+def test_the_model_is_the_same_for_any_number_of_partitions(spark, documents, setting, monkeypatch):
+    monkeypatch.setattr(lm, "HELD", 500)
+    found = []
+    for parts in ("2", "7"):
+        setting("spark.sql.shuffle.partitions", parts)
+        model, counts = lm.fit(documents(TRAINING).repartition(int(parts)))
+        found.append({r.doc_id: r.score for r in lm.score(documents(NEW), model, counts).collect()})
+    assert found[0] == found[1]
