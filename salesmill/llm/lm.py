@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from salesmill.llm.shipping import ship
+from salesmill.llm.shipping import batches_of, ship
 from salesmill.llm.text import NOT_SPACE, SLICE_BYTES, byte_slices, find_words, mix
 from salesmill.session import written
 
@@ -39,7 +39,7 @@ CLASSES = 128
 TABLE = 1 << 18
 WIDTH, NOISE, BATCH, STEPS, ROUNDS = 24, 64, 2048, 1200, 4
 #: Cells of a training block, near enough.
-HELD = 1 << 20
+HELD = 1 << 19
 END = np.uint64(0x5EED)
 END_SHAPE = 0
 
@@ -359,7 +359,9 @@ def train_in_tasks(cells: DataFrame, frequency: np.ndarray, steps: int = STEPS,
                 yield _state(part, seen, flat)
 
         found = blocks.mapInArrow(run, "part int, block int, seen long, state binary").repartition(groups, "part").sortWithinPartitions("part", "block")
-        sums = found.mapInArrow(add, "part int, seen long, state binary").orderBy("part").collect()  # a row for each group
+        with batches_of(spark, 1):
+            sums = found.mapInArrow(add, "part int, seen long, state binary").collect()  # a row for each group
+        sums.sort(key=lambda r: r.part)
         flat = sum(np.frombuffer(r.state, np.float64) for r in sums) / sum(r.seen for r in sums)
         cuts = np.cumsum([math.prod(x) for x in shapes])[:-1]
         state = [p.reshape(x).astype(np.float32) for p, x in zip(np.split(flat, cuts), shapes)]

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -26,3 +28,14 @@ def ship(spark: SparkSession) -> None:
     folder = tempfile.mkdtemp(prefix="salesmill-package-")  # read by the driver, which serves it to executors
     spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/salesmill", "zip", _ROOT, "salesmill"))
     _sent.add(app)
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs that start inside send so many rows in an Arrow batch, for rows of several MB."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
