@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from salesmill.llm.shipping import ship
 from salesmill.llm.text import byte_slices
@@ -168,7 +169,7 @@ def pack_evenly(docs: DataFrame, capacity: int = CAPACITY, piece: int = PIECE, b
     """
     ship(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    arrow = to_arrow_type(docs.schema["doc_id"].dataType)
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches):
@@ -234,7 +235,7 @@ def pack_matrix(docs: DataFrame, capacity: int = CAPACITY, block_windows: int =
     """
     ship(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    arrow = to_arrow_type(docs.schema["doc_id"].dataType)
     schema = pa.schema([
         ("sequence_id", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(arrow)), ("starts", pa.list_(pa.int64())),
         ("cu_seqlens", pa.list_(pa.int32())), ("input_ids", pa.binary()), ("position_ids", pa.binary()),
