@@ -141,20 +141,14 @@ def test_any_type_of_doc_id(spark, kind):
     ids = ["2020-01-01", "2020-01-02", None] if kind == "date" else ["7", "8", None]
     docs = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id string, text string").selectExpr(f"cast(doc_id as {kind}) doc_id", "text")
     want = {r[0] for r in docs.select("doc_id").collect()}
-    assert {r.doc_id for r in pack_evenly(docs).collect()} == want
-    assert {d for r in pack_matrix(docs).collect() for d in r.doc_ids} == want
+    assert {r.doc_id for r in p.pack_evenly(docs).collect()} == want
+    assert {d for r in p.pack_matrix(docs).collect() for d in r.doc_ids} == want
 
 
 def test_ids_are_those_of_the_tokenizer_for_special_names(documents):
-    import zlib
-
-    import numpy as np
-    import public_tokenizers
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(VOCABULARY))
     texts = ["hello <|endoftext|> world", "<|endoftext|><|endoftext|>", "é<|endoftext|>'s", "<|endof", "plain"]
-    got = {r.doc_id: (r.ids_crc32, r.doc_tokens) for r in pack_evenly(documents(list(enumerate(texts)))).collect()}
+    got = {r.doc_id: (r.ids_crc32, r.doc_tokens) for r in p.pack_evenly(documents(list(enumerate(texts)))).collect()}
     for i, text in enumerate(texts):
         ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 1], "<u4")
         assert got[i] == (zlib.crc32(ids.tobytes()), len(ids))
