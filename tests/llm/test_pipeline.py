@@ -50,7 +50,7 @@ def test_queries_are_registered(spark):
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {"pipeline", *(f"op{n}" for n in range(1, 11))} <= {n.split("_")[0] for n in names}
+    assert {"pipeline", *(f"op{n}" for n in range(1, 14))} <= {n.split("_")[0] for n in names}
     assert set(entry.oracle_sql()) <= names
 
 
@@ -61,7 +61,7 @@ def test_sql_equals_the_query(spark):
     from salesmill.llm.oracle import ORACLE
 
     folder, con = "/root/testdata/sf0.001", duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     for name, sql in ORACLE.items():
         expected = con.execute(sql).fetchall()
