@@ -5,11 +5,14 @@ first: scripts, styles, heads, menus, footers, sidebars, notices, adverts, forms
 Every node left has a composite density: its characters per tag, raised where few of the characters
 lie in links and lowered where many do, against the page's own share of link text. A node's score is
 the sum of its children's densities, and the node of the highest score holds the main text. On the
-path from the body to that node the smallest density is the threshold: parts of the path's nodes
-beside the chosen subtree stay if they are text rather than links and reach it. An enclosing article or main element is
-taken whole.
-
-Text is the chosen subtree's blocks in page order.
+path from the body to that node the smallest density is the threshold. An article (the outermost) or a main
+element around the node is the range in which text is kept; elsewhere parts beside the path stay if they
+are text rather than links, and reach the threshold, end as a sentence does, or hold paragraphs and a
+tenth of the node's characters. In what is kept, lists of links below the threshold, runs of links and
+teasers of other articles go, with the headings right before them. Of equal scores the first in page
+order counts.
+
+Text is the chosen parts' blocks in page order.
 """
 
 from __future__ import annotations
@@ -63,7 +66,21 @@ _NAMES = frozenset(
     "respond cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login "
     "share sharing social related recommended recommendations widget widgets toolbar pagination pager copyright disclaimer".split()
 )
+#: Words that say where a named part stands or how it is laid out, not what it is about.
+_LAYOUT = frozenset(
+    "site page main global left right top bottom upper lower header body inner outer content primary secondary box bar block container "
+    "wrapper wrap holder area section panel row col column list links link item items slot unit group zone post posts article articles "
+    "stories entry form button buttons icon icons sticky fixed mobile desktop user reader readers recent latest popular more x".split()
+)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_HOLDERS = frozenset("body article main section div center td".split())
+_SENTENCE_END = re.compile(r"[.!?…。！？][\"'”’»)\]]*\Z")
+_COPYRIGHT = re.compile(r"\s*(?:©|\(c\)|copyright\b)", re.I)
+#: A list of links has this many at least.
+LEAST_LINKS = 3
 _KEPT = frozenset({"html", "body", "article", "main"})
+_PROSE = _HEADINGS | {"p", "pre", "code"}
+_ITEMS = frozenset("li dt dd tr td th".split())
 
 
 class Node:
@@ -180,19 +197,28 @@ def _boilerplate(node: Node) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I):
         return True
-    named = {w.lower() for key in ("class", "id") for w in _NAME.findall(attrs.get(key, ""))}
+    if node.tag in _HEADINGS or node.tag not in _BLOCK and node.parent.tag in _PROSE:
+        return False  # an id or a class there is about the text
+    names = attrs.get("class", "").split() + ([] if node.tag == "p" else attrs.get("id", "").split())
     if node.tag == "article":  # readers' comments are often articles of their own
-        return bool(named & {"comment", "comments", "reply"})
-    return bool(named & _NAMES)
+        return any(_says(name, {"comment", "comments", "reply"}) for name in names)
+    return any(_says(name, _NAMES) for name in names)
+
+
+def _says(name: str, known) -> bool:
+    """Whether a class or id is a known name, alone or among known names and words of layout: `related`,
+    `related-posts` and `site_footer` are, `related-work` and `has-sidebar` are not."""
+    words = {w.lower() for w in _NAME.findall(name)}
+    return bool(words & known) and all(w in known or w in _NAMES or w in _LAYOUT or w.isdigit() for w in words)
 
 
 def _order(root: Node) -> list[Node]:
-    """All nodes, parents before children."""
+    """All nodes in page order, parents before children."""
     found, stack = [], [root]
     while stack:
         node = stack.pop()
         found.append(node)
-        stack += [c for c in node.children if isinstance(c, Node)]
+        stack += [c for c in reversed(node.children) if isinstance(c, Node)]
     return found
 
 
@@ -259,31 +285,109 @@ def _chosen(body: Node) -> list[Node | str]:
     best = max(nodes, key=lambda n: n.score)
     if best.score <= 0:
         return [body]
-    around = best
-    while around is not None:
-        if around.tag in ("article", "main"):
-            return [around]
-        around = around.parent if around is not body else None
     path = [best]
     while path[-1] is not body:
         path.append(path[-1].parent)
+    articles = [n for n in path if n.tag == "article"] or [n for n in path if n.tag == "main"][:1]
+    if articles:
+        path = path[: path.index(articles[-1]) + 1]
     threshold = min(n.density for n in path)
+    _take_out_links(path, threshold)
+    return path[-1:] if articles else _beside(path, threshold)
+
+
+def _beside(path: list[Node], threshold: float) -> list[Node | str]:
+    """The first node of the path and the parts of the others that belong to its text."""
+    best = path[0]
 
-    def dense(part) -> bool:
+    def belongs(part) -> bool:
         if isinstance(part, str):
-            return not part.isspace() and len(part) >= threshold
-        heading = part.tag == "h1"
-        return 2 * part.link_chars <= part.chars and (heading or part.density >= threshold)
+            text = part.strip()
+            return bool(text) and (len(part) >= threshold or bool(_SENTENCE_END.search(text))) and not _COPYRIGHT.match(text)
+        if not part.chars or 2 * part.link_chars > part.chars:
+            return False
+        if part.tag == "h1" or part.density >= threshold:
+            return True
+        text = "".join(_blocks([part]))
+        if _COPYRIGHT.match(text):
+            return False
+        return bool(_SENTENCE_END.search(text)) or 10 * part.chars >= best.chars and any(n.tag == "p" for n in _order(part))
 
     chosen: list[Node | str] = [best]
     for node in path[1:]:
-        place = next(i for i, c in enumerate(node.children) if isinstance(c, Node) and _holds(c, best))
-        before = [c for c in node.children[:place] if dense(c)]
-        after = [c for c in node.children[place + 1 :] if dense(c)]
-        chosen = before + chosen + after
+        kept, follows = [], False  # from the last part to the first; a heading goes with what follows it
+        for part in reversed(node.children):
+            if isinstance(part, Node) and _holds(part, best):
+                kept += reversed(chosen)
+                follows = True
+            elif isinstance(part, Node) and part.tag in _HEADINGS and part.chars and (follows or part.tag == "h1"):
+                kept.append(part)
+            elif belongs(part):
+                kept.append(part)
+                follows = True
+            elif isinstance(part, Node) and part.chars:
+                follows = False
+        chosen = kept[::-1]
     return chosen
 
 
+def _teaser(article: Node) -> bool:
+    """Whether an article only leads to another page: it is a link, its heading is one, or it ends with one."""
+    if article.link_chars == article.chars:
+        return True
+    if any(n.tag in _HEADINGS and n.chars and n.link_chars == n.chars for n in _order(article)):
+        return True
+    last = next((c for c in reversed(article.children) if (c.strip() if isinstance(c, str) else c.chars)), "")
+    return isinstance(last, Node) and last.link_chars == last.chars
+
+
+def _take_out_links(path: list[Node], threshold: float) -> None:
+    """Take lists of links, runs of links and teasers out of the last node of the path, not nodes of the path."""
+    top, held = path[-1], {id(n) for n in path}
+    teasers, stack = [], [top]
+    while stack:  # the outermost ones
+        for child in stack.pop().children:
+            if isinstance(child, Node):
+                if child.tag == "article" and id(child) not in held and child.chars and _teaser(child):
+                    teasers.append(child)
+                else:
+                    stack.append(child)
+    rest = top.chars - sum(n.chars for n in teasers)
+    gone = {id(n) for n in teasers if n.chars < rest}
+    for node in _order(top):
+        run: list[Node] = []
+        begin = 0  # of the run, signs between links included
+        words = any(isinstance(c, str) and any(x.isalnum() for x in c) for c in node.children)  # links may be part of a sentence
+        for i, child in enumerate([*node.children, None] if node.tag in _HOLDERS else []):
+            if child is None:
+                linked = False
+            elif isinstance(child, str):
+                linked = not any(c.isalnum() for c in child)
+            else:
+                linked = child.link_chars == child.chars and id(child) not in held and not (words and child.tag not in _BLOCK)
+                run += [child] if child.chars and linked else []
+                if child.tag in _BLOCK - _PROSE - _ITEMS and id(child) not in held:
+                    if child.link_tags >= LEAST_LINKS and 2 * child.link_chars > child.chars and child.density < threshold:
+                        gone.add(id(child))
+            if not linked:
+                if len(run) >= LEAST_LINKS:
+                    gone |= {id(c) for c in run}
+                    node.children[begin:i] = [c if isinstance(c, Node) else " " for c in node.children[begin:i]]
+                run, begin = [], i + 1
+    for node in _order(top):
+        if any(id(c) in gone for c in node.children):
+            kept: list[Node | str] = []
+            for child in node.children:
+                if id(child) not in gone:
+                    kept.append(child)
+                    continue
+                while kept and isinstance(kept[-1], str) and kept[-1].isspace():
+                    kept.pop()
+                if kept and isinstance(kept[-1], Node) and kept[-1].tag in _HEADINGS - {"h1"} and id(kept[-1]) not in held:
+                    kept.pop()
+            node.children = kept
+
+
 def _holds(node: Node, other: Node | None) -> bool:
     while other is not None:
         if other is node:

@@ -1,7 +1,7 @@
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from salesmill.llm.html import extract, main_text
+from salesmill.llm.html import _densities, _order, extract, main_text, parse
 
 LONG = "A long paragraph of the article with many words in it, so that its density is high enough to matter. " * 2
 OTHER = "Another paragraph of the same article that says more about the subject and ends here after a while. " * 2
@@ -80,3 +80,67 @@ def test_given_pages(spark):
 ])
 def test_inline_svg_and_math(page, text):
     assert main_text(page) == text
+
+
+LINKS = "".join(f"<li><a href=/{k}>Read more of story {k}</a></li>" for k in range(30))
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<article><h2 id='related-work'>Work</h2><p>{LONG}</p><p id=share-prices>{OTHER}</p></article>", f"Work\n\n{ARTICLE}"),
+    (f"<article><p class='comment-on-law'>{LONG}</p><div class=promotion-chart><p>{OTHER}</p></div></article>", ARTICLE),
+    (f"<article><h2 id=comments>On comments</h2><p id=notice>{LONG}</p><p>{OTHER}<code class=comment># x</code></p></article>",
+     f"On comments\n\n{ARTICLE} # x"),
+    (f"<body><div><p>{LONG}</p><div class='related-posts'><p>{OTHER}</p></div><p>{OTHER}</p></div><div id=site_footer>{LONG}</div></body>", ARTICLE),
+    (f"<body><div>A short lead.</div><div><p>{LONG}</p><p>{OTHER}</p><p>{LONG}</p></div><div>So it ends.</div></body>",
+     f"A short lead.\n\n{ARTICLE}\n\n{LONG.strip()}\n\nSo it ends."),
+    (f"<body><div><section><h2>A</h2><p>{LONG}</p><p>{OTHER}</p></section><section><h2>B</h2><p>One.</p></section>"
+     f"<section><h2>C</h2><p>{LONG}</p><p>{OTHER}</p></section><section><h2>D</h2><p>Two words.</p></section></div></body>",
+     f"A\n\n{ARTICLE}\n\nB\n\nOne.\n\nC\n\n{ARTICLE}\n\nD\n\nTwo words."),
+    (f"<body><div><p>{LONG}</p><p>{OTHER}</p></div><div>© 2024 A site. All rights reserved.</div></body>", ARTICLE),
+    (f"<article><p>{LONG}</p><p>{OTHER}</p><h3>More</h3> <ul>{LINKS}</ul></article>", ARTICLE),
+    (f"<main><div><p>{LONG}</p><p>{OTHER}</p></div><div>" + "<p><a href=/x>Read more</a></p>" * 30 + "</div></main>", ARTICLE),
+    (f"<article><p>{LONG}</p><p>{OTHER}</p>" + "<a href=/x>Read more</a> | " * 30 + "</article>", ARTICLE),
+    (f"<article><p>{LONG}</p><article><h3><a href=/x>Other</a></h3><p>Short one.</p></article><p>{OTHER}</p></article>", ARTICLE),
+    (f"<main><p>{LONG}</p><p>{OTHER}</p><article><h3>Other</h3><p>Short one.</p><a href=/x>Read on</a></article></main>", ARTICLE),
+    (f"<article><p>{LONG}</p><p>See <a href=1>a</a>, <a href=2>b</a> and <a href=3>c</a>.</p><ul><li>one<li><a href=x>two</a></ul></article>",
+     f"{LONG.strip()}\n\nSee a, b and c.\n\none\n\ntwo"),
+    (f"<article><p>{LONG}</p><div>So say <a href=1>a</a>, <a href=2>b</a>, <a href=3>c</a> and d.</div><p>{OTHER}</p></article>",
+     f"{LONG.strip()}\n\nSo say a, b, c and d.\n\n{OTHER.strip()}"),
+])
+def test_density_and_whole_names_decide(page, text):
+    assert main_text(page) == text
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["<p>", "</p>", "<div>", "</div>", "<a>", "</a>", "<b>", "</b>", "some words ", "more ", "<ul><li>", "</ul>"]), max_size=40))
+def test_densities_are_those_of_the_definition(parts):
+    import math
+
+    body = parse("<body>" + "".join(parts))
+    nodes = _order(body)
+    _densities(nodes, body)
+
+    def below(node):
+        return [d for c in node.children if not isinstance(c, str) for d in [c, *below(c)]]
+
+    def chars(node):
+        return sum(len("".join(c.split())) if isinstance(c, str) else chars(c) for c in node.children)
+
+    def linked(node):
+        return chars(node) if node.tag == "a" else sum(linked(c) for c in node.children if not isinstance(c, str))
+
+    def link_tags(node):
+        return len(below(node)) + 1 if node.tag == "a" else sum(link_tags(c) for c in node.children if not isinstance(c, str))
+
+    def density(node):
+        n, links = chars(node), linked(node)
+        if not n:
+            return 0.0
+        tags = max(len(below(node)), 1)
+        base = math.log(n / max(n - links, 1) * links + linked(body) / chars(body) * n + math.e)
+        inner = max(n / max(links, 1) * tags / max(link_tags(node), 1), 1.0)
+        return max(n / tags * math.log(inner) / math.log(base + 1), 0.0)
+
+    for node in nodes:
+        assert math.isclose(node.density, density(node), rel_tol=1e-6, abs_tol=1e-6)
+        assert math.isclose(node.score, sum(density(c) for c in node.children if not isinstance(c, str)), rel_tol=1e-6, abs_tol=1e-5)
