@@ -5,7 +5,8 @@ every character of the result the source characters it came from:
 1. homoglyphs and invisible characters become the ASCII characters they imitate, or nothing;
 2. spelled digits next to another digit, spelled or not, become digits;
 3. "(at)", "[dot]", " at ", " dot " and their German, French and Spanish forms become @ and full stops,
-   " at " if a dotted domain follows it; after such an @, spaced full stops lose their spaces.
+   " at " before a plain dotted domain only where something shows that an address is meant (`_is_mailbox`);
+   after such an @, spaced full stops lose their spaces. White space between the parts may be of any length.
 The same detectors run on the result. A match that covers rewritten characters and does not lie
 inside a base match of its kind is added, at its source position. Only texts with a sign of a disguise are rewritten.
 """
@@ -15,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from array import array
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -88,41 +90,52 @@ _NUMBER = {name: str(d) for d, names in enumerate(_DIGITS) for name in names.spl
 _AT, _DOT = "at|ät|arobase|arroba|klammeraffe", "dot|punkt|point|punto"
 
 _NAME = "(?:" + "|".join(sorted(_NUMBER, key=len, reverse=True)) + ")"
-_OPEN, _CLOSE = r"\s{0,4}[(\[{<]\s{0,4}", r"\s{0,4}[)\]}>]\s{0,4}"
-_DOTTED = rf"[a-z0-9-]{{1,63}}(?:(?:\.|\s{{1,4}}(?:{_DOT})\s{{1,4}})[a-z0-9-]{{1,63}}){{0,8}}"
+_OPEN, _CLOSE = r"(?<!\s)\s*+[(\[{<]\s*+", r"\s*+[)\]}>]\s*+"
+_POINT = rf"(?:\.|\s++(?:{_DOT})\s++)"
+_DOTTED = rf"[a-z0-9-]{{1,63}}(?:{_POINT}[a-z0-9-]{{1,63}}){{0,8}}"
 _LAST = r"(?-i:[a-z]{2,24}|[A-Z]{2,24})(?![a-z0-9-])"
-# Fixed value: words that stand before " at " and a site's name in plain sentences.
-_BEFORE_AT = frozenset(
-    "a about account and are as at available be blog buy by check code come contact data demo details download email find follow for found "
-    "free from get go guide he help her here him home hosted in info information is it join located look looked looking looks me meet more "
-    "name news now of official on one online only or order out page people post posted project published read register released see she shop "
-    "sign site source started starting stay still store story team that the them there they this time today up us version video visit was "
-    "watch we web website were work worked working works writes you".split()
+# Words that announce an address; words between them and it; mailboxes named after their task;
+# words that are no mailbox.
+_CUES = frozenset(
+    "email e-mail mail contact write reach message ask address via schreib schreibe schreiben kontakt adresse courriel écrire écrivez "
+    "contacter contactez correo escribe escribir escriba contacta".split()
+)
+_LINKS = frozenset("to us me him her them at under is on an a our my the or and please by à al bei unter sous vous uns nous address".split())
+_ROLES = frozenset(
+    "abuse admin administrator billing careers contact contacto data editor feedback hello help helpdesk hostmaster info jobs kontakt mail "
+    "marketing news newsletter noreply office postmaster press privacy sales security service shop support team webmaster".split()
+)
+_NEVER = frozenset(
+    "a an the i me my you your he him his she her it its we us our they them their this that these those who what which here there now then "
+    "today is are was were be been am do does did has have had not no or and but for of in on to by as from with at so up out only just "
+    "online again home back stay".split()
 )
-_WORD_BEFORE = re.compile(r"[a-z]+\Z", re.I)
 _SPELLED = re.compile(
-    rf"(?P<at>{_OPEN}(?:{_AT}|@){_CLOSE}|(?<=[a-z0-9])\s{{1,4}}(?:{_AT})\s{{1,4}}(?=[a-z0-9-]{{1,63}}\s{{1,4}}(?:{_DOT})\s{{1,4}}[a-z])"
-    rf"|(?P<bare>(?<=[a-z0-9])\s{{1,4}}(?:{_AT})\s{{1,4}}(?={_DOTTED}(?:\.|\s{{1,4}}(?:{_DOT})\s{{1,4}}){_LAST}))"
-    rf"|(?<=[a-z0-9])\s{{1,4}}@\s{{1,4}}(?=[a-z0-9]))"
-    rf"|(?P<dot>{_OPEN}(?:{_DOT}|\.){_CLOSE}|(?<=[a-z0-9])\s{{1,4}}(?:{_DOT})\s{{1,4}}(?=[a-z0-9]))",
+    rf"(?P<at>{_OPEN}(?:{_AT}|@){_CLOSE}|(?<=[a-z0-9])\s++(?:{_AT})\s++(?=[a-z0-9-]{{1,63}}\s++(?:{_DOT})\s++[a-z])"
+    rf"|(?P<bare>(?<=[a-z0-9])\s++(?:{_AT})\s++(?=(?P<domain>{_DOTTED}{_POINT}{_LAST})))"
+    rf"|(?<=[a-z0-9])\s++@\s++(?=[a-z0-9]))"
+    rf"|(?P<dot>{_OPEN}(?:{_DOT}|\.){_CLOSE}|(?<=[a-z0-9])\s++(?:{_DOT})\s++(?=[a-z0-9]))",
     re.I,
 )
-_RUN = re.compile(rf"(?:\bplus\s{{1,4}})?\b{_NAME}(?:[\s,.·-]{{1,4}}(?:(?:{_DOT})[\s,.·-]{{1,4}})?{_NAME}\b)*(?![^\W_])", re.I)
-_PLUS = re.compile(rf"\bplus\s{{1,4}}(?=[0-9]{{1,3}}[\s-]{{1,4}}{_NAME}\b)", re.I)
-_DIGIT_BEFORE = re.compile(rf"[0-9](?:\)?[\s-]{{1,4}}|\.|\s{{1,4}}(?:{_DOT})\s{{1,4}})\Z", re.I)
-_DIGIT_AFTER = re.compile(rf"(?:[\s-]{{1,4}}\(?|\.|\s{{1,4}}(?:{_DOT})\s{{1,4}})[0-9]", re.I)
+_GAP = r"(?=[\s,.·-])\s*+(?:[,.·-]\s*+){0,4}+"
+_RUN = re.compile(rf"(?:\bplus\s++)?\b{_NAME}(?:{_GAP}(?:(?:{_DOT})(?=[\s,.·-]){_GAP})?{_NAME}\b)*(?![^\W_])", re.I)
+_PLUS = re.compile(rf"\bplus\s++(?=[0-9]{{1,3}}[\s-]++{_NAME}\b)", re.I)
+_DIGIT_AFTER = re.compile(rf"(?:[\s-]++\(?|{_POINT})[0-9]", re.I)
+_DOT_WORDS = frozenset(_DOT.split("|"))
 #: Names of digits that are words of every kind of text.
 _AMBIGUOUS = frozenset("one un uno oh null".split())
-_SPACED_DOMAIN = re.compile(rf"[a-z0-9-]{{1,63}}(?:\s{{1,4}}\.\s{{0,4}}[a-z0-9-]{{1,63}}){{0,8}}\s{{1,4}}\.\s{{0,4}}{_LAST}", re.I)
-_SPACED_DOT = re.compile(r"\s{1,4}\.\s{0,4}")
+_SPACED_DOMAIN = re.compile(rf"[a-z0-9-]{{1,63}}(?:\s++\.\s*+[a-z0-9-]{{1,63}}){{0,8}}\s++\.\s*+{_LAST}", re.I)
+_SPACED_DOT = re.compile(r"(?<!\s)\s++\.\s*+")
 _PART = re.compile(rf"(?P<plus>plus)|(?P<dot>{_DOT})|(?P<digit>{_NAME})", re.I)
 _LOOKS_DIGIT = re.compile(r"(?<=[0-9])[OoIl](?=[0-9])")
 _ODD = re.compile(
     "[­·Ͱ-ԯ٠-٩۰-۹०-९‐-―​-‏•․‧⁠-⁤"
     "−①-⑳➕。﹒﹫﻿！-～\U0001d400-\U0001d7ff]"
 )
-_SIGN = re.compile(rf"[(\[{{<]\s{{0,4}}(?:{_AT}|@|{_DOT}|\.)\s{{0,4}}[)\]}}>]|\s(?:{_DOT})\s|\s@\s|[0-9][oil][0-9]|\b{_NAME}[\s,.·-]{{1,4}}(?:{_NAME}\b|\(?[0-9])"
-                   rf"|[0-9](?:\)?[\s-]{{1,4}}|\.){_NAME}\b|\s(?:{_AT})\s{{1,4}}[a-z0-9-]{{1,63}}\.[a-z0-9]")
+_SIGN = re.compile(
+    rf"[(\[{{<]\s*+(?:{_AT}|@|{_DOT}|\.)\s*+[)\]}}>]|\s(?:{_DOT})\s|\s@\s|[0-9][oil][0-9]|\b{_NAME}(?:{_GAP}{_NAME}\b|(?:{_GAP}|\s*+)\(?[0-9])"
+    rf"|[0-9](?:\)?[\s-]++|\.){_NAME}\b|\s(?:{_AT})\s++[a-z0-9-]{{1,63}}\.[a-z0-9]"
+)
 
 
 class Traced:
@@ -130,24 +143,24 @@ class Traced:
 
     def __init__(self, text: str):
         self.text = text
-        self.start = list(range(len(text)))
-        self.end = list(range(1, len(text) + 1))
-        self.changed = [False] * len(text)
+        self.start = array("i", range(len(text)))
+        self.end = array("i", range(1, len(text) + 1))
+        self.changed = bytearray(len(text))
 
     def replace(self, edits: list[tuple[int, int, str]]) -> None:
         """Apply edits (start, end, new) of this text, in order and without overlap."""
         if not edits:
             return
-        text, start, end, changed, done = [], [], [], [], 0
+        text, start, end, changed, done = [], array("i"), array("i"), bytearray(), 0
         for a, b, new in edits:
             text.append(self.text[done:a])
             text.append(new)
-            start += self.start[done:a] + [self.start[a]] * len(new)
-            end += self.end[done:a] + [self.end[b - 1]] * len(new)
-            changed += self.changed[done:a] + [True] * len(new)
+            start += self.start[done:a] + array("i", [self.start[a]]) * len(new)
+            end += self.end[done:a] + array("i", [self.end[b - 1]]) * len(new)
+            changed += self.changed[done:a] + b"\1" * len(new)
             done = b
             if not new and done < len(self.text):  # what is taken out shows on the next character
-                self.changed[done] = True
+                self.changed[done] = 1
         self.text = "".join(text) + self.text[done:]
         self.start = start + self.start[done:]
         self.end = end + self.end[done:]
@@ -166,22 +179,85 @@ def _plain(c: str) -> str:
     return wide if wide.isascii() and wide else c
 
 
+def _digit_before(text: str, at: int) -> bool:
+    """Whether a digit comes before `at`, with spaces, hyphens, a bracket or a full stop between."""
+    i = at
+    while i and (text[i - 1].isspace() or text[i - 1] == "-"):
+        i -= 1
+    if i == at:
+        return i > 1 and text[i - 1] == "." and text[i - 2] in "0123456789"
+    if i and text[i - 1] in "0123456789":
+        return True
+    if i and text[i - 1] == ")":
+        return i > 1 and text[i - 2] in "0123456789"
+    word = i
+    while word and text[word - 1].isalpha():
+        word -= 1
+    if text[word:i].lower() not in _DOT_WORDS or not text[i].isspace():
+        return False
+    i = word
+    while i and text[i - 1].isspace():
+        i -= 1
+    return 0 < i < word and text[i - 1] in "0123456789"
+
+
+def _is_mailbox(text: str, end: int, domain: str, known: set[str]) -> bool:
+    """Whether the word that ends at `end` names a mailbox at the domain that follows " at ".
+
+    It does if the domain has a spelled full stop, the word is not made of letters only, the address
+    stands in the text as such, or a cue announces it ("write to", "e-mail:"). A mailbox named after
+    its task ("info") also does where a clause begins. Pronouns and other grammar words never do.
+    """
+    start = end
+    while start and text[start - 1] in _LOCAL:
+        start -= 1
+    word = text[start:end].lower()
+    if not word or word[-1] == "." or word in _NEVER:
+        return False
+    if any(c.isspace() for c in domain) or f"{word}@{domain.lower()}" in known:
+        return True
+    if not word.isalpha() and not word.isdigit() and word[0].isalnum():
+        return True
+    clause, announced, at = True, False, start
+    while not announced:
+        until = at
+        while until and text[until - 1].isspace():
+            until -= 1
+        if not until or "\n" in text[until:at]:
+            break
+        at = until
+        while at and not text[at - 1].isspace():
+            at -= 1
+        before = text[at:until].lower().lstrip("\"'([<¿¡")
+        colon = before.endswith(":")
+        if before.rstrip(":") in _CUES:
+            announced = colon or not word.endswith(("ed", "ing"))
+            break
+        if before[-1:] in ".,;:!?)(\"'–—" or not before:
+            break
+        clause = False
+        if before not in _LINKS:
+            break
+    return announced or clause and word in _ROLES and text[start].islower()
+
+
 def normalise(text: str) -> Traced:
     traced = Traced(text)
     traced.replace([(m.start(), m.end(), p) for m in _ODD.finditer(text) if (p := _plain(m[0])) != m[0]])
     runs = []
     for m in _RUN.finditer(traced.text):
         names = sum(bool(p["digit"]) for p in _PART.finditer(m[0]))
-        beside = _DIGIT_BEFORE.search(traced.text, max(0, m.start() - 16), m.start()) or _DIGIT_AFTER.match(traced.text, m.end())
+        beside = _digit_before(traced.text, m.start()) or _DIGIT_AFTER.match(traced.text, m.end())
         if names > 1 or beside:
             new = "".join("+" if p["plus"] else "." if p["dot"] else _NUMBER[p[0].lower()] for p in _PART.finditer(m[0]))
             runs.append((m.start(), m.end(), new))
     runs += [(m.start(), m.end(), "+") for m in _PLUS.finditer(traced.text)]
     traced.replace(sorted(runs))
-    edits = []
+    edits, known = [], None
     for m in _SPELLED.finditer(traced.text):
-        before = _WORD_BEFORE.search(traced.text, max(0, m.start() - 64), m.start()) if m["bare"] else None
-        if not before or before[0].lower() not in _BEFORE_AT:
+        if m["bare"] and known is None:
+            known = {traced.text[a:b].lower() for a, b in _emails(traced.text)}
+        if not m["bare"] or _is_mailbox(traced.text, m.start(), m["domain"], known):
             edits.append((m.start(), m.end(), "@" if m["at"] else "."))
     traced.replace(edits)
     spaced = []

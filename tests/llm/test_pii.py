@@ -131,3 +131,51 @@ def test_more_clean_texts_stay(text):
 def test_a_word_after_a_number_is_no_digit():
     text = "+1 415 555 2671 one of us answers"
     assert find_spans(text) == ([("phone", 0, 15)], [("phone", 0, 15)])
+
+
+@pytest.mark.parametrize("text, found", [
+    ("info at example.com", "info at example.com"), ("For help, contact at example.com answers", "contact at example.com"),
+    ("Questions? news at example.com", "news at example.com"), ("please write to help at example.com now", "help at example.com"),
+    ("E-mail: jane at example.com", "jane at example.com"), ("reach us under jane at example.com", "jane at example.com"),
+    ("see jane.doe at example.com", "jane.doe at example.com"), ("so jane at mail.example dot com it is", "jane at mail.example dot com"),
+    ("jane@example.com, or jane at example.com", "jane at example.com"), ("e-mail: arrived at example.com", "arrived at example.com"),
+    ("write jane     at     example.com", "jane     at     example.com"), ("or jane (at)     example [dot] com", "jane (at)     example [dot] com"),
+    ("jane      @      example     .     com", "jane      @      example     .     com"),
+    ("jane" + " " * 5000 + "(at)" + "\t" * 5000 + "example [dot] com", "jane" + " " * 5000 + "(at)" + "\t" * 5000 + "example [dot] com"),
+])
+def test_addresses_with_evidence_are_found(text, found):
+    start = text.index(found)
+    assert ("email", start, start + len(found)) in find_spans(text)[1]
+
+
+@pytest.mark.parametrize("text", [
+    "we sat at example.com", "sat at example.com", "dinner at noma.dk", "Then dinner at noma.dk", "they arrived at booking.com", "look at github.com",
+    "e-mail arrived at example.com", "contact him at example.com", "more info at example.com", "write us at example.com", "the end. at example.com",
+    "News at bbc.com says so", "we met at example.com: it was fine",
+])
+def test_places_on_the_web_are_no_addresses(text):
+    assert find_spans(text) == ([], [])
+
+
+@pytest.mark.parametrize("text, kind, found", [
+    ("call +1     four     one  -   five      555      2671 now", "phone", "+1     four     one  -   five      555      2671"),
+    ("ip one nine two      dot      168     dot   0 dot      one.", "ip", "one nine two      dot      168     dot   0 dot      one"),
+])
+def test_spelled_digits_any_space_apart(text, kind, found):
+    start = text.index(found)
+    assert (kind, start, start + len(found)) in find_spans(text)[1]
+
+
+def test_long_space_takes_linear_time_and_little_memory():
+    import time
+    import tracemalloc
+
+    for unit in (" ", "a ", " at ", "one  ", "a   at   b", "( ", "1 ", "x at y.com ", " dot ", "a  .", "to at ", "@ .", "one -", "plus "):
+        text = "a" + unit * (200_000 // len(unit))
+        begin = time.process_time()
+        find_spans(text)
+        assert time.process_time() - begin < 8, unit
+    text = "write jane at example.com " * 20_000
+    tracemalloc.start()
+    normalise(text)
+    assert tracemalloc.get_traced_memory()[1] < 80 * len(text)
