@@ -42,10 +42,8 @@ def op2_syncmers(spark, base):
 
 def op3_toxicity(spark, base):
     docs = _table(spark, base, "documents")
-    labels = _table(spark, base, "labels").select("doc_id", F.col("toxic").alias("grade"))
-    model = toxicity.fit(docs, labels, split=True)
-    found = toxicity.predict(docs, model)
-    return found.select("doc_id", "severity", F.get("chances", F.lit(1)).alias("chance_severe"), "toxic")
+    labels = _table(spark, base, "labels").select("doc_id", F.col("toxic").alias("grade"))  # two grades: one threshold
+    return toxicity.predict(docs, toxicity.fit(docs, labels)).select("doc_id", "severity", "toxic")
 
 
 def op4_language_id(spark, base):

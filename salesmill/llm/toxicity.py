@@ -2,11 +2,13 @@
 
 A text's features are its distinct words and their first LEADS letters, hashed. One weight vector is
 shared by all thresholds: P(grade > j) = sigmoid(x . w - t_j) with t_0 < t_1 < ..., and the expected
-severity is the sum of these chances. Only features that go with graded texts in the fitting sample
-take part, so words that prove nothing, however many a long text has, add nothing.
+severity is the sum of these chances. Features that go with graded texts, or with texts of grade 0, in
+the fitting sample take part, so words that prove nothing, however many a long text has, add nothing.
 
-Features are counted by Spark over the sample; the chosen ones (MOST_FEATURES at most) and the sparse
-rows of the sample (FIT_ROWS at most, expected) go to the driver, which fits in numpy.
+Features are counted by Spark over the sample. All that pass LEAST_SHARE, LEAST_RATIO and LEAST_EVIDENCE
+are chosen: each is in a hundredth of the graded or of the clean texts, so there are at most 100 times as
+many as a text of that kind has on average. They and the sparse rows of the sample (FIT_ROWS at most,
+expected) go to the driver, which fits in numpy.
 """
 
 from __future__ import annotations
@@ -23,9 +25,8 @@ from salesmill.session import written
 
 LEADS = (3, 4, 5, 6, 7, 8)
 FIT_ROWS = 20_000
-MOST_FEATURES = 1 << 14
 #: A feature must be in this share of the graded texts of the sample, this many times as often as in
-#: texts of grade 0, and its log-likelihood ratio against chance must reach this value.
+#: texts of grade 0, or the other way round, and its log-likelihood ratio against chance must reach this value.
 LEAST_SHARE, LEAST_RATIO, LEAST_EVIDENCE = 0.01, 8.0, 16.0
 STEPS, RATE, DECAY = 400, 0.1, 1e-3
 #: A text is called toxic from this chance of a grade above 0 on.
@@ -104,28 +105,29 @@ def _select(sample: DataFrame) -> np.ndarray:
         return np.zeros(0, np.uint64)
     share = graded / (graded + clean)
     bad, good = F.col("bad"), F.col("all") - F.col("bad")
-    evidence = 2 * (
-        bad * F.log(bad / (F.col("all") * share))
-        + F.when(good > 0, good * F.log(good / (F.col("all") * (1 - share) + 1e-9))).otherwise(0.0)
-    )
+
+    def part(n, expected):
+        return F.when(n > 0, n * F.log(n / (F.col("all") * expected))).otherwise(0.0)
+
+    def goes_with(n, total, other, others):
+        return (n >= LEAST_SHARE * total) & (n * max(others, 1) >= LEAST_RATIO * total * other)
+
     counted = (
         rows.select((F.col("grade") > 0).cast("int").alias("bad"), F.explode("features").alias("feature"))
         .groupBy("feature").agg(F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("all"))
-        .where((bad > 0) & (bad >= LEAST_SHARE * graded) & (bad * max(clean, 1) >= LEAST_RATIO * graded * good))
-        .where(evidence >= LEAST_EVIDENCE)
-        .orderBy(F.desc("bad"), "feature").limit(MOST_FEATURES)
+        .where(goes_with(bad, graded, good, clean) & (bad > 0) | goes_with(good, clean, bad, graded) & (good > 0))
+        .where(2 * (part(bad, share) + part(good, 1 - share + 1e-9)) >= LEAST_EVIDENCE)
     )
     return np.sort(counted.select("feature").toArrow()["feature"].to_numpy().view(np.uint64))
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, split: bool = False) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """Train on the texts of `docs` (doc_id, text) that `labels` (doc_id, grade) names.
 
     Grades are whole numbers from 0. More labels than `fit_rows` give a sample by the hash of doc_id,
     of about that size, which is small enough to broadcast; its texts are whole. Null labels are left
-    out, labels that repeat a doc_id count by their largest grade. With `split`, labels of 0 and 1 give
-    three grades: a text of grade 1 is severe, grade 2, if the share of its features that go with
-    graded texts is above the median of such texts. Without texts above grade 0 nothing is toxic.
+    out, labels that repeat a doc_id count by their largest grade. Without texts above grade 0 nothing
+    is toxic. A grade that no text has moves no weight.
     """
     ship(docs.sparkSession)
     named = labels.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.max("grade").alias("grade"))
@@ -140,10 +142,6 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, split: boo
     if not len(chosen) or not top:
         return Model(chosen[:0], np.zeros(0), np.full(max(top, 1), 20.0))
     sizes = np.array([len(f) for f in found["features"]])
-    if split and top == 1:
-        share = sizes / np.maximum(found["size"].to_numpy(), 1)
-        severe = (grades == 1) & (share > np.median(share[grades == 1]))
-        grades, top = grades + severe, 1 + int(severe.any())
     columns = np.concatenate([np.asarray(f, np.int64) for f in found["features"]])
     owner = np.repeat(np.arange(len(grades)), sizes)
     weights, thresholds = _train(owner, columns, grades, len(chosen), top)

@@ -1,3 +1,6 @@
+import math
+import re
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -51,10 +54,38 @@ def test_slopes_are_those_of_the_likelihood():
         assert loss(weights, np.sort(thresholds + rng.normal(0, 0.2, 2))) > best - 1e-4
 
 
-def test_two_labels_split_by_share(documents, labels):
+def strings(text):
+    words = {w.lower() for w in re.findall(r"[^\W_]+", text or "")}
+    return words | {(n, w[:n]) for w in words for n in t.LEADS if len(w) > n}
+
+
+def test_features_and_severity_by_brute_force(documents, labels):
     rows, grades = examples()
-    model = t.fit(documents(rows), labels([(d, min(g, 1)) for d, g in grades]), split=True)
-    assert len(model.thresholds) == 2
+    rows = [(d, x + (" kindly" if g == 0 and d % 2 else "")) for (d, x), (_, g) in zip(rows, grades)]
+    model = t.fit(documents(rows), labels(grades))
+    graded, clean = sum(g > 0 for _, g in grades), sum(g == 0 for _, g in grades)
+    counts = {}
+    for (_, text), (_, g) in zip(rows, grades):
+        for f in strings(text):
+            counts.setdefault(f, [0, 0])[g > 0] += 1
+    chosen, share = set(), graded / (graded + clean)
+    for f, (good, bad) in counts.items():
+        toxic = bad >= t.LEAST_SHARE * graded and bad * clean >= t.LEAST_RATIO * graded * good
+        kind = good >= t.LEAST_SHARE * clean and good * graded >= t.LEAST_RATIO * clean * bad
+        each = [n * math.log(n / ((good + bad) * p)) for n, p in ((bad, share), (good, 1 - share)) if n]
+        if (toxic or kind) and 2 * sum(each) >= t.LEAST_EVIDENCE:
+            chosen.add(f)
+    assert len(model.features) == len(chosen) and {"nasty", "vileness", "kindly"} <= chosen and "dog" not in chosen
+    (kind, *_), _ = t.features(pa.array(["kin"]))  # the word alone; "kindly" has it as a beginning, another feature
+    assert kind not in model.features
+    both, _ = t.features(pa.array(["kindly"]))
+    assert (model.weights[np.isin(model.features, both)] < 0).all() and np.isin(both, model.features).sum() == len(strings("kindly"))
+    for text in ("nasty dog", "vilely nasty", "kindly", "", prose(3, 200)):
+        owner, at = t.known_features(pa.array([text]), model.features)
+        assert len(at) == len(strings(text) & chosen)
+        (r,) = t.predict(documents([(1, text)]), model).collect()
+        chances = [1 / (1 + math.exp(-(model.weights[at].sum() - x))) for x in model.thresholds]
+        assert np.allclose(r.chances, chances) and math.isclose(r.severity, sum(chances), abs_tol=1e-9)
 
 
 def test_nothing_to_learn(documents, labels, odd, none):
@@ -76,6 +107,7 @@ def test_held_out_documents(spark):
     docs, labels_ = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
     known = labels_.selectExpr("doc_id", "toxic AS grade")
     model = t.fit(docs, known.where("doc_id % 4 <> 0"))
+    assert len(model.thresholds) == 1
     found = t.predict(docs.where("doc_id % 4 = 0"), model).join(known, "doc_id").groupBy("grade", "toxic").count().collect()
     n = {(r.grade, r.toxic): r["count"] for r in found}
     assert n[1, True] >= 0.88 * (n[1, True] + n.get((1, False), 0))
