@@ -61,3 +61,32 @@ def test_grams_stay_inside_a_text():
     one, owner, _ = grams(pa.array(["ab", "cd"]))
     alone = [set(grams(pa.array([t]))[0].tolist()) for t in ("ab", "cd")]
     assert [set(one[owner == i].tolist()) for i in (0, 1)] == alone
+
+
+def test_predictions_by_brute_force(documents):
+    """Naive Bayes over hashed n-grams, counted and scored text by text."""
+    import math
+    from collections import Counter
+
+    from salesmill.llm.langid import BUCKETS, SMOOTHING
+
+    def buckets(text):
+        return Counter(grams(pa.array([text]))[0].tolist())
+
+    train = rows()[:-12]  # the languages are not equally frequent
+    counts, texts = {}, Counter()
+    for _, text, lang in train:
+        counts.setdefault(lang, Counter()).update(buckets(text))
+        texts[lang] += 1
+    asked = [(k, text[: 3 + k % 20]) for k, text, _ in rows()] + [(500, "la dem of"), (501, "x")]
+    model = fit(documents(train).select("doc_id", "text", "lang"))
+    found = {r.doc_id: r for r in identify(documents(asked), model).collect()}
+    for k, text in asked:
+        logs = {
+            lang: math.log(texts[lang] / len(train))
+            + sum(n * math.log((c[b] + SMOOTHING) / (c.total() + SMOOTHING * BUCKETS)) for b, n in buckets(text).items())
+            for lang, c in counts.items()
+        }
+        top = max(logs.values())
+        assert logs[found[k].lang_pred] > top - 1e-3
+        assert math.isclose(found[k].score, 1 / sum(math.exp(x - top) for x in logs.values()), abs_tol=1e-3)
