@@ -28,6 +28,34 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM d LEFT JOIN items USING (r) LEFT JOIN covered USING (r)
 """
 
+#: Texts of equal sets are one class; classes meet by each shingle they share, so sets of any size are compared whole.
+OP7 = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingle AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT r, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)
+), class AS (
+  SELECT r, min(r) OVER (PARTITION BY k) AS c, n
+  FROM (SELECT r, count(*) AS n, sha256(string_agg(s, chr(10) ORDER BY s)) AS k FROM shingle GROUP BY r)
+), member AS (
+  SELECT c, s, n FROM shingle JOIN class USING (r) WHERE r = c
+), link AS (
+  SELECT a.c AS a, b.c AS b FROM member a JOIN member b ON a.s = b.s AND a.c <> b.c
+  WHERE 100 * a.n >= 75 * b.n AND 100 * b.n >= 75 * a.n
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT DISTINCT c AS a, c AS b FROM class
+  UNION
+  SELECT reached.a, link.b FROM reached JOIN link ON reached.b = link.a
+), least AS (
+  SELECT reached.a AS c, min(d.doc_id) AS component_id
+  FROM reached JOIN class ON class.c = reached.b JOIN d ON d.r = class.r GROUP BY reached.a
+)
+SELECT d.doc_id, coalesce(class.n, 0) AS n_shingles, coalesce(least.component_id, d.doc_id) AS component_id
+FROM d LEFT JOIN class USING (r) LEFT JOIN least USING (c)
+"""
+
 #: CRC-32 of a list of bytes: a table of 256 entries, made by the polynomial's rule, and one step a byte.
 _CRC_TABLE = """crc AS (
   SELECT list_transform(range(256), lambda i: list_reduce(range(8),
@@ -97,4 +125,9 @@ SELECT node.conv_id, CAST(node.d AS BIGINT) AS depth, p.conv_id AS parent_conv_i
 FROM node JOIN sums USING (d, k) LEFT JOIN up USING (d, k) LEFT JOIN node p ON p.d = node.d - 1 AND p.k = up.pk
 """
 
-ORACLE: dict[str, str] = {"op6_decontaminate": OP6, "op11_rendezvous_shards": OP11, "op13_prefix_trie": OP13}
+ORACLE: dict[str, str] = {
+    "op6_decontaminate": OP6,
+    "op7_jaccard_join": OP7,
+    "op11_rendezvous_shards": OP11,
+    "op13_prefix_trie": OP13,
+}

@@ -1,10 +1,12 @@
 import random
 import re
 
+import duckdb
 import numpy as np
 import pytest
 
 from salesmill.llm.jaccard import keep_one, similar_documents
+from salesmill.llm.oracle import ORACLE
 from salesmill.llm.sigtree import alike, bitmap, candidates, few_candidates
 from tests.llm.conftest import prose
 
@@ -78,6 +80,14 @@ def test_odd_rows(odd):
     assert sorted(got, key=str) == sorted(expected, key=str)
 
 
+def test_sql_equals_comparing_all_pairs(documents):
+    rows = corpus() + [(7, prose(500, 30)), (None, prose(500, 30)), (None, prose(501, 30)), (8, " \t"), (9, "\u00e9 \u3000")]
+    con = duckdb.connect()
+    con.register("documents", documents(rows).toArrow())
+    found = con.sql(ORACLE["op7_jaccard_join"]).fetchall()
+    assert sorted(found, key=str) == sorted(components(rows), key=str)
+
+
 def test_empty_table(none):
     assert similar_documents(none).collect() == []
 
