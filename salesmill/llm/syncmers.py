@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from salesmill.operators.prefix import range_count, with_ranges
+from salesmill.operators.prefix import cut_points, range_count, with_ranges
 
 TOKEN, WORD = 8, 16
 _SCRIPTS = "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Bopomofo", "Yi", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
@@ -132,7 +132,8 @@ def _with_next(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     # Several ranges for each partition, so that chance evens out what a partition gets.
     ranges = range_count(docs, 8 * range_count(docs))
-    ranged = with_ranges(docs.select("doc_id", "text"), "doc_id", ranges)
+    # The first rows below are found by a query of their own, so both must cut at the same ids.
+    ranged = with_ranges(docs.select("doc_id", "text"), "doc_id", ranges, cut_points(docs, "doc_id", ranges))
     unnamed = -1 - F.pmod(F.xxhash64("text"), F.lit(range_count(docs))).cast("int")
     ranged = ranged.withColumn("range", F.when(F.col("doc_id").isNull(), unnamed).otherwise(F.col("_range"))).drop("_range")
     order = [F.desc_nulls_last("doc_id"), F.asc_nulls_first("text")]

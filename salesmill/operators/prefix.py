@@ -29,12 +29,23 @@ def range_of(value: Column, points: Column, n: int) -> Column:
     return F.coalesce(found, F.lit(0))
 
 
-def with_ranges(df: DataFrame, order: str, n: int) -> DataFrame:
-    """Add `_range`; the cut points are a one-row subquery, so nothing runs until the result is used."""
+def _cuts(df: DataFrame, order: str, n: int) -> DataFrame:
+    return df.agg(F.percentile_approx(order, [i / n for i in range(1, n)], max(10_000, 20 * n)))
+
+
+def cut_points(df: DataFrame, order: str, n: int) -> Column:
+    """Cut points found now, as a constant, for ranges that several queries must share: found twice they may
+    differ, because approximate quantiles depend on the order in which rows and partial results come.
+    """
+    found = (_cuts(df, order, n).first()[0] if n > 1 else None) or []
+    return F.array(*[F.lit(c) for c in found]).cast(f"array<{df.schema[order].dataType.simpleString()}>")
+
+
+def with_ranges(df: DataFrame, order: str, n: int, cuts: Column | None = None) -> DataFrame:
+    """Add `_range`; without `cuts` the cut points are a one-row subquery, so nothing runs until the result is used."""
     if n == 1:
         return df.withColumn("_range", F.lit(0))
-    shares = [i / n for i in range(1, n)]
-    cuts = df.agg(F.percentile_approx(order, shares, max(10_000, 20 * n))).scalar()
+    cuts = _cuts(df, order, n).scalar() if cuts is None else cuts
     return df.withColumn("_cuts", cuts).withColumn("_range", range_of(F.col(order), F.col("_cuts"), n)).drop("_cuts")
 
 

@@ -149,3 +149,20 @@ def test_rows_without_id_are_dealt_over_tasks(spark, documents, setting):
     assert len(sizes) > 1 and max(r[1] for r in sizes) < len(texts)
     order = {r.text: r.next_text for r in dealt.collect()}
     assert len(order) == len(rows) and sorted(order.values()) == sorted(order)  # one ring through all rows
+
+
+def test_neighbours_do_not_depend_on_the_order_of_rows(spark, setting):
+    """Rows come in another order whenever the table is read, as from several machines; enough for inexact quantiles."""
+
+    def in_another_order(frames):
+        import os
+
+        for f in frames:
+            yield f.sample(frac=1, random_state=int.from_bytes(os.urandom(4), "big"))
+
+    setting("spark.sql.shuffle.partitions", 8)
+    setting("spark.sql.execution.arrow.maxRecordsPerBatch", 1_000_000)
+    made = spark.range(0, 240_000, 1, 2).select(F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("doc_id"), F.concat(F.lit("abc def "), "id").alias("text"))
+    rows = [tuple(r) for r in made.collect()]
+    docs = made.mapInPandas(in_another_order, made.schema)
+    assert got(fingerprints(docs).select("doc_id", "n_chars", "edited_sha256").collect()) == edited(rows)
