@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from salesmill.functions.columns import date_key
 from salesmill.operators.lookup import look_up
 from salesmill.operators.upsert import first_per_key, insert_if_absent
+from salesmill.schemas import FACT_PARTITION
 
 LINE_KEY = ("SalesOrderID", "SalesOrderDetailID")
 
@@ -25,6 +26,10 @@ _AMOUNT, _PERCENT = "decimal(18,4)", "decimal(5,2)"
 Dims = Mapping[str, DataFrame]
 
 
+def month_of_sale() -> Column:
+    return F.expr("sk_tempo div 100").cast("int")
+
+
 def known_lines(detail: DataFrame) -> DataFrame:
     """Lines that name their order and their number in it, both as BIGINT like the stored keys."""
     named = detail.where("SalesOrderID is not null and SalesOrderDetailID is not null")
@@ -91,8 +96,13 @@ def build_fact(
     existing: DataFrame | None = None,
     order: Sequence[str] | None = None,
     price_type: str = PRICE,
+    months: bool = False,
 ) -> DataFrame:
-    """The fact rows to add: one per (order, line), none that `existing` already holds."""
+    """The fact rows to add: one per (order, line), none that `existing` already holds.
+
+    With `months` rows are rebalanced by month, before the measures are computed: what they are computed from
+    is half as wide.
+    """
     lines = known_lines(detail)
     loaded = None
     if existing is not None:
@@ -101,6 +111,11 @@ def build_fact(
         )
     fresh = insert_if_absent(loaded, lines, LINE_KEY, order)
     joined = header_detail(line_keys(fresh, dims), order_keys(header, dims))
+    if months:
+        joined = joined.select(
+            "sk_tempo", "sk_cliente", "sk_produto", "sk_regiao", "sk_vendedor", "sk_oferta", *LINE_KEY,
+            "OrderQty", "UnitPrice", "UnitPriceDiscount", "custo_unitario", month_of_sale().alias(FACT_PARTITION),
+        ).hint("rebalance", F.col(FACT_PARTITION))
     return joined.select(
         "sk_tempo", "sk_cliente", "sk_produto", "sk_regiao", "sk_vendedor", "sk_oferta",
         F.col("SalesOrderID").cast("bigint").alias("numero_pedido"),

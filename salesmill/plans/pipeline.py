@@ -19,7 +19,7 @@ from salesmill.operators.staging import stage_all
 from salesmill.operators.upsert import insert_if_empty, part_of, reject_duplicates, type1_upsert, upsert_changes
 from salesmill.plans import dimensions as dim
 from salesmill.plans.calendar import build_dim_tempo
-from salesmill.plans.fact import build_fact, fact_load_stats
+from salesmill.plans.fact import build_fact, fact_load_stats, month_of_sale
 from salesmill.plans.store import PART, LoadedKeys, Warehouse
 from salesmill.schemas import DIM_TEMPO, FACT_PARTITION, FATO_VENDAS, TABLES, Table, conform, with_stored_types
 from salesmill.session import in_parallel, written
@@ -122,7 +122,7 @@ def load_dimensions(wh: Warehouse, src: Mapping[str, DataFrame], load_date: str
 
 
 def with_partition(fact: DataFrame) -> DataFrame:
-    return fact.withColumn(FACT_PARTITION, F.expr("sk_tempo div 100").cast("int"))
+    return fact.withColumn(FACT_PARTITION, month_of_sale())
 
 
 def load_fact(
@@ -137,9 +137,9 @@ def load_fact(
     now = wh.pointer(FATO_VENDAS.name)
     keys = loaded_keys(wh)
     loaded = keys.read(now.folders) if now.folders else None
-    fresh = with_partition(build_fact(detail, header, read_dims(wh), loaded, order))
+    fresh = build_fact(detail, header, read_dims(wh), loaded, order, months=True)
     last = now.notes.get("last", 0)
-    numbered = fresh.hint("rebalance", F.col(FACT_PARTITION)).withColumn(
+    numbered = fresh.withColumn(
         "sk_venda", F.lit(last + 1).cast("bigint") + F.monotonically_increasing_id()
     )
     rows = with_partition(conform(numbered, FATO_VENDAS))

@@ -232,6 +232,41 @@ def test_keys_and_references_are_checked_in_one_pass(spark, wh):
     assert found[0] == found[1] == (1, 0) and found[7][1] == 1
 
 
+def test_sound_keys_are_checked_without_moving_them_one_by_one(spark, wh, tmp_path):
+    """64 neighbouring keys move as one row; every single fault is still found."""
+    from salesmill.operators.quality import doubtful_keys, enforce_keys
+    from salesmill.schemas import FATO_VENDAS
+
+    fact, dims = read_fact(wh), read_dims(wh)
+    doubtful = lambda df: doubtful_keys(df, FATO_VENDAS, dims).first()["doubtful"]
+    assert doubtful(fact) == 0 and enforce_keys(fact, FATO_VENDAS, dims) is None
+    last = fact.agg(F.max("sk_venda"), F.max("numero_linha")).first()
+    assert doubtful(fact.unionByName(fact.where("numero_linha = 2"))) == 2
+    assert doubtful(fact.unionByName(fact.where("numero_linha = 2").withColumn("sk_venda", F.lit(last[0] + 1)))) == 1
+    assert doubtful(fact.unionByName(fact.where("numero_linha = 2").withColumn("numero_linha", F.lit(last[1] + 64)))) == 1
+    for column in FATO_VENDAS.references:
+        bad = F.when(F.col("numero_linha") == 2, F.lit(-70)).otherwise(F.col(column)).cast(fact.schema[column].dataType)
+        assert doubtful(fact.withColumn(column, bad)) == 1
+        with pytest.raises(QualityError, match=f"{column}: 1 rows"):
+            enforce_keys(fact.withColumn(column, bad), FATO_VENDAS, dims)
+    many = spark.range(1, 64_001, 1, 1).select(*[
+        (F.col("id") if f.name in ("sk_venda", "numero_linha") else F.lit(1) if f.name == "numero_pedido" else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in fact.schema])
+    many.write.parquet(str(tmp_path / "many"))
+    many = spark.read.parquet(str(tmp_path / "many"))
+    faults = doubtful_keys(many, FATO_VENDAS, dims)
+    text = faults._jdf.queryExecution().optimizedPlan().toString()
+    assert "bit_or" in text and faults.first()["doubtful"] == 0
+
+
+def test_measures_are_computed_after_rows_are_spread_by_month(spark, wh):
+    from salesmill.plans.fact import build_fact
+
+    src = staged(spark)
+    text = plan(build_fact(src["stage_pedidos_detalhe"], src["stage_pedidos_header"], read_dims(wh), months=True))
+    assert "REBALANCE" in text and "lucro_bruto" not in text[text.index("REBALANCE"):]
+
+
 def test_a_seller_added_later_takes_the_defaults(spark, wh):
     assert set(values(wh.read("dim_vendedor"), "status_ativo")) == {True}
     more = [*ROWS["stage_vendedores"], (202, 1, dec(5), None)]
