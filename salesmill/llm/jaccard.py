@@ -229,7 +229,8 @@ def _blocks(prefixes: DataFrame, percent: int) -> DataFrame:
 
     schema = "low long, high long, set_id long"
     rare = prefixes.where("not hot").select("shingle", "set_id", "n", "place").repartition("shingle")
-    often = prefixes.where("hot").select("shingle", "set_id").distinct()
+    # Used twice below; unwritten, every text would be cut into shingles once more.
+    often = written(prefixes.where("hot").select("shingle", "set_id").distinct(), "often")
     named = often.groupBy("shingle").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low < high")
     common = often.join(named, "shingle").select("low", "high", "set_id")
     return rare.mapInArrow(group, schema).union(common).distinct()

@@ -146,3 +146,12 @@ def test_copies_of_a_short_text_are_one_row_of_a_task(spark, documents):
     assert key <= 4
     found = {r.doc_id: r.component_id for r in jaccard.similar_documents(docs).collect()}
     assert all(found[k] == 0 for k in range(5000)) and all(found[9000 + k] == 9000 + k for k in range(20))
+
+
+def test_frequent_shingles_are_cut_from_the_texts_once(documents):
+    """Left in the plan are the pass over the texts for rare shingles and the grouping of these."""
+    from salesmill.llm import jaccard
+
+    docs = documents([(k, prose(k // 2, 40)) for k in range(20)])
+    blocks = jaccard._blocks(jaccard._prefixes(docs, "text", np.zeros(0, np.uint64), 8, 75), 75)
+    assert blocks._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2
