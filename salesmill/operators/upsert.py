@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from salesmill.operators.prefix import dense_rank_by
 
@@ -125,20 +125,38 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | Non
     return df.join(twice, same, "left_anti").unionByName(copies)
 
 
+def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None) -> DataFrame:
+    """Add `_nth`: the place of each row among those of its key, as `first_per_key` orders them."""
+    order = list(order or [])
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    return df.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order, *rest)))
+
+
 def insert_if_absent(
-    existing: DataFrame | None, incoming: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None
+    existing: DataFrame | None, incoming: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None, complete: bool = False
 ) -> DataFrame:
     """The rows of `incoming` to add: one per key, and none whose key is already present.
 
     Keys that lie in buckets of their own are joined where they lie: only the batch is shuffled. The join is
     an outer one, because Spark would push an anti-join below the union of first rows and read `existing` twice.
+
+    With `complete`, no key of `incoming` has a NULL. Rows then move once, instead of three times: each task keeps
+    the first row of a key before the shuffle, so a key with very many copies still reaches its task as one row per
+    map task.
     """
+    same = [F.col(k) == F.col(f"_{k}") for k in keys]
+    if complete:
+        firsts = _numbered(incoming, keys, order).where("_nth = 1")
+        if existing is not None:
+            known = existing.select(*[F.col(k).alias(f"_{k}") for k in keys])
+            # The condition on `_nth` keeps the join above the window: below it every copy would be moved.
+            firsts = firsts.join(known, reduce(lambda a, b: a & b, [*same, F.col("_nth") == 1]), "left_anti")
+        return firsts.select(*incoming.columns)
     firsts = first_per_key(incoming, keys, order)
     if existing is None:
         return firsts
     known = existing.select(*[F.col(k).alias(f"_{k}") for k in keys], F.lit(True).alias("_known"))
-    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_{k}") for k in keys])
-    return firsts.join(known, same, "left").where("_known is null").select(*firsts.columns)
+    return firsts.join(known, reduce(lambda a, b: a & b, same), "left").where("_known is null").select(*firsts.columns)
 
 
 def insert_if_empty(existing: DataFrame | None, rows: DataFrame) -> DataFrame:

@@ -109,7 +109,7 @@ def build_fact(
         loaded = existing.select(
             F.col("numero_pedido").alias("SalesOrderID"), F.col("numero_linha").alias("SalesOrderDetailID")
         )
-    fresh = insert_if_absent(loaded, lines, LINE_KEY, order)
+    fresh = insert_if_absent(loaded, lines, LINE_KEY, order, complete=True)
     joined = header_detail(line_keys(fresh, dims), order_keys(header, dims))
     if months:
         joined = joined.select(

@@ -17,6 +17,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+#: Published tables are written once and kept: a fifth smaller than with Spark's default.
+CODEC = "zstd"
 #: Folder level of a table whose rows are dealt by a hash of their natural key.
 PART = "parte"
 
@@ -90,7 +92,7 @@ class Warehouse:
         writer = watched.write
         if partition_by:
             writer = writer.partitionBy(partition_by)
-        writer.parquet(path)
+        writer.parquet(path, compression=CODEC)
         return Prepared(table, name, path), counted.get
 
     def read_prepared(self, prepared: Prepared, schema: StructType) -> DataFrame:
@@ -141,7 +143,7 @@ class LoadedKeys:
     def add(self, folder: str, rows: DataFrame) -> None:
         """One file per bucket for each load."""
         keys = rows.select(*self.columns).repartition(self.buckets, *self.columns).withColumn("v", F.lit(folder))
-        keys.write.format("parquet").mode("append").bucketBy(self.buckets, *self.columns).saveAsTable(self.name)
+        keys.write.format("parquet").option("compression", CODEC).mode("append").bucketBy(self.buckets, *self.columns).saveAsTable(self.name)
 
     def read(self, folders: Sequence[str]) -> DataFrame:
         return self.spark.table(self.name).where(F.col("v").isin(list(folders))).select(*self.columns)

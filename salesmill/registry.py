@@ -25,7 +25,7 @@ from salesmill.plans.fact import build_fact, build_fact_sales_v1, fact_load_stat
 from salesmill.plans.headlines import HEADLINES
 from salesmill.plans.kpis import KPIS
 from salesmill.plans.pipeline import DIMENSIONS, load_dimension, read_dims, read_fact, run_pipeline
-from salesmill.plans.store import Warehouse
+from salesmill.plans.store import CODEC, Warehouse
 from salesmill.schemas import DIM_TEMPO, FATO_VENDAS, TABLES, V1_UPDATES
 from salesmill.session import scratch_path, written
 from salesmill.sources.testdata import LINE_ORDER, TestTables
@@ -241,10 +241,13 @@ def dim_promotion_v1(spark, base):
 # Loading again
 
 def _sold_before(spark, base, day: str) -> tuple[DataFrame, DataFrame]:
-    """Headers before `day`, and their lines."""
+    """Headers before `day`, and their lines.
+
+    Lines meet distinct order numbers: to tell these, Spark need not look up what the headers say of customers.
+    """
     src = _source(spark, base)
     early = src["stage_pedidos_header"].where(F.col("OrderDate") < F.lit(day).cast("timestamp_ntz"))
-    lines = src["stage_pedidos_detalhe"].join(early.select("SalesOrderID"), "SalesOrderID", "left_semi")
+    lines = src["stage_pedidos_detalhe"].join(early.select("SalesOrderID").distinct(), "SalesOrderID", "left_semi")
     return early, lines
 
 
@@ -439,7 +442,7 @@ def fact_load(spark, base):
     dims = read_dims(warehouse(spark, base))
     header, detail = _orders_and_lines(spark, base)
     early, early_lines = _sold_before(spark, base, FIRST_YEARS)
-    before = written(build_fact(early_lines, early, _old_costs(dims), order=LINE_ORDER), "fact-before")
+    before = written(build_fact(early_lines, early, _old_costs(dims), order=LINE_ORDER), "fact-before", CODEC)
     added = build_fact(detail, header, dims, existing=before, order=LINE_ORDER)
     return before.unionByName(added).select(
         "numero_pedido", "numero_linha", "sk_produto", "valor_liquido", "custo_total", "lucro_bruto", "margem_contribuicao"

@@ -54,14 +54,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/salesmill/{app}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` once to the shared folder and read it back.
+def written(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """Write `df` once to the shared folder and read it back; `codec` is Parquet's, by default the session's.
 
     For a result used several times in one plan: its lineage is cut, a lost executor costs one
     re-read, and the file sizes let Spark check its size before broadcasting it.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

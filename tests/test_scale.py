@@ -8,7 +8,7 @@ from pyspark.sql import Window, functions as F
 
 from salesmill.operators.lookup import look_up
 from salesmill.operators.quality import orphans
-from salesmill.operators.upsert import first_per_key
+from salesmill.operators.upsert import first_per_key, insert_if_absent
 from salesmill.plans.fact import build_fact
 from salesmill.plans.kpis import KPIS, kpi4_monthly_trend, kpi5_abc_all, kpi10_top_products, newest_months, product_revenue
 from salesmill.plans.pipeline import loaded_keys, read_dims, read_fact
@@ -182,6 +182,34 @@ def test_only_incoming_lines_are_shuffled_to_the_loaded_keys(spark, wh, no_broad
     assert again.count() == 0
 
 
+def test_lines_move_once_to_meet_their_copies(spark, no_broadcast):
+    detail, header, dims, _ = hot_source(spark, 4_000)
+    fact = build_fact(detail.unionByName(detail.withColumn("OrderQty", F.lit(1))), header, dims)
+    text = plan(fact)
+    assert len(re.findall(r"Exchange hashpartitioning\(SalesOrderID#\d+L, SalesOrderDetailID", text)) == 1
+    assert text.count("WindowGroupLimit") == 2  # before and after the shuffle
+    assert fact.count() == 4_000 and fact.agg(F.max("quantidade_vendida")).first()[0] == 1
+
+
+def test_complete_keys_give_the_same_first_rows(spark):
+    new = spark.range(0, 3_000, 1, 5).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 700).alias("o"), (F.col("id") % 4).alias("l"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 6).alias("v"), F.col("id").alias("w"))
+    old = new.where("o % 2 = 1").select("o", "l")
+    for known in (None, old, old.limit(0)):
+        want, got = (insert_if_absent(known, new, ["o", "l"], ["v"], complete=c) for c in (False, True))
+        assert got.columns == want.columns and got.count() == want.count() > 0
+        assert got.exceptAll(want).isEmpty()
+
+
+def test_early_lines_need_no_customers(spark):
+    from salesmill.registry import FIRST_YEARS, _sold_before
+
+    early, lines = _sold_before(spark, SMALL, FIRST_YEARS)
+    assert "c_custkey" not in plan(lines) and lines.count() == TestTables(spark, SMALL)["stage_pedidos_detalhe"].join(
+        early, "SalesOrderID", "left_semi").count() > 0
+
+
 def test_window_is_equal_to_first_per_key(spark):
     df = third_hot(spark, 5_000).withColumn("v", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(50)))
     w = Window.partitionBy("fk").orderBy("v", "id", "pad")
