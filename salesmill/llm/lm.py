@@ -49,6 +49,24 @@ def class_count(vocabulary: int) -> int:
     return max(CLASSES, 2 * math.ceil(2 * vocabulary**0.4))
 
 
+class Places:
+    """Where values belong among sorted hashes, as np.searchsorted tells; the first bits of a hash nearly tell its place."""
+
+    def __init__(self, hashes: np.ndarray):
+        bits = min(max(2, len(hashes).bit_length()), 24)
+        self.shift = np.uint64(64 - bits)
+        self.hashes = np.append(hashes, np.uint64(2**64 - 1))
+        self.first = np.searchsorted(hashes, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+
+    def of(self, wanted: np.ndarray) -> np.ndarray:
+        at = self.first[(wanted >> self.shift).view(np.int64)]
+        below = np.flatnonzero(self.hashes[at] < wanted)
+        while len(below):
+            at[below] += 1
+            below = below[self.hashes[at[below]] < wanted[below]]
+        return at
+
+
 @dataclass
 class Classes:
     words: np.ndarray  # sorted hashes of the words that are classes of their own
@@ -59,7 +77,7 @@ class Classes:
     def of(self, hashes: np.ndarray, shapes: np.ndarray) -> np.ndarray:
         found = self.of_shape[shapes]
         if len(self.words):
-            at = np.searchsorted(self.words, hashes)
+            at = Places(self.words).of(hashes)
             at[at == len(self.words)] = 0
             found = np.where(self.words[at] == hashes, self.of_word[at], found)
         return found
@@ -185,17 +203,26 @@ def _with_class(counts: DataFrame, classes: Classes) -> DataFrame:
     return rows.withColumn("class", F.coalesce("single", "shaped", F.lit(classes.size - 1))).drop("single", "shaped")
 
 
+def _cells(part: pa.RecordBatch, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
+    """The (context, class) cells of the texts, sorted, and their counts. Words are found slice by slice: it takes
+    many times the bytes of the texts to find them.
+    """
+    cells = []
+    for few in byte_slices(part, "text"):
+        hashes, shapes, ptr = _tokens(few.column(0))
+        own = classes.of(hashes, shapes)
+        cells.append(_contexts(own, ptr, classes.size) * classes.size + own)
+    return np.unique(np.concatenate(cells), return_counts=True)
+
+
 def _triples(training: DataFrame, classes: Classes) -> DataFrame:
     """(cell, times): counts of all (context, class) cells over the training texts, those that occur."""
     shared = training.sparkSession.sparkContext.broadcast(classes)
-    size = classes.size
 
     def run(batches):
         for batch in batches:
             for part in byte_slices(batch, "text", 8 * SLICE_BYTES):
-                hashes, shapes, ptr = _tokens(part.column(0))
-                own = shared.value.of(hashes, shapes)
-                found, times = np.unique(_contexts(own, ptr, size) * size + own, return_counts=True)
+                found, times = _cells(part, shared.value)
                 yield pa.record_batch({"cell": found, "times": times})
 
     rows = training.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "cell long, times long")
@@ -233,15 +260,20 @@ def _begin(frequency: np.ndarray, seed: int) -> list[np.ndarray]:
 
 def _sums(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """Sums of the rows of `values` by their place `at`, n places."""
-    order = np.argsort(at, kind="stable")
-    first = np.flatnonzero(np.r_[True, at[order][1:] != at[order][:-1]])
+    order = np.argsort(at.astype(np.uint16) if n <= 1 << 16 else at, kind="stable")  # short numbers are sorted by radix
+    at = at[order]
+    first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
     out = np.zeros((n, *values.shape[1:]), values.dtype)
-    out[at[order][first]] = np.add.reduceat(values[order], first, axis=0)
+    out[at[first]] = np.add.reduceat(values.take(order, 0), first, axis=0)
     return out
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    """In the place of `x`."""
+    np.clip(x, -30, 30, out=x)
+    np.exp(np.negative(x, out=x), out=x)
+    x += 1
+    return np.divide(1, x, out=x)
 
 
 def _learn(state: list[np.ndarray], noise: np.ndarray, cells: np.ndarray, times: np.ndarray, mean: float, passes: int, rate: float, rng) -> None:
@@ -254,6 +286,7 @@ def _learn(state: list[np.ndarray], noise: np.ndarray, cells: np.ndarray, times:
     entry, weight = np.repeat(cells, copies), np.repeat((times / copies / mean).astype(np.float32), copies)
     offset = np.log(NOISE * noise).astype(np.float32)
     share = np.cumsum(noise)
+    scores = np.empty((BATCH, NOISE), np.float32)
     for _ in range(passes):
         order = rng.permutation(len(entry))
         for begin in range(0, len(order), BATCH):
@@ -261,16 +294,24 @@ def _learn(state: list[np.ndarray], noise: np.ndarray, cells: np.ndarray, times:
             w = weight[drawn][:, None]
             row, wanted = entry[drawn] // n, entry[drawn] % n
             i, j = row // (n + 1), row % (n + 1)
-            ri, rj = context[i], context[j]
-            predicted = ri @ first + rj @ second
+            ri, rj = context.take(i, 0), context.take(j, 0)
+            predicted = ri @ first
+            predicted += rj @ second
             false = np.minimum(np.searchsorted(share, rng.random(NOISE)), n - 1)
+            true_target, false_target = target.take(wanted, 0), target[false]
             # Gradients of the log-likelihood that true triples are true and noise is noise.
-            good = w[:, 0] * (1 - _sigmoid((predicted * target[wanted]).sum(axis=1) + bias[wanted] - offset[wanted]))
-            bad = -w * _sigmoid(predicted @ target[false].T + bias[false] - offset[false])
-            d_predicted = good[:, None] * target[wanted] + bad @ target[false]
-            d_target = _sums(np.r_[wanted, false], np.r_[good[:, None] * predicted, bad.T @ predicted], n)
-            d_bias = _sums(np.r_[wanted, false], np.r_[good, bad.sum(axis=0)], n)
-            d_context = _sums(np.r_[i, j], np.r_[d_predicted @ first.T, d_predicted @ second.T], n + 1)
+            good = w[:, 0] * (1 - _sigmoid((predicted * true_target).sum(axis=1) + bias[wanted] - offset[wanted]))
+            bad = np.matmul(predicted, false_target.T, out=scores[: len(drawn)])
+            bad += bias[false]
+            bad -= offset[false]
+            _sigmoid(bad)
+            bad *= -w
+            d_predicted = good[:, None] * true_target
+            d_predicted += bad @ false_target
+            at = np.concatenate((wanted, false))
+            d_target = _sums(at, np.concatenate((good[:, None] * predicted, bad.T @ predicted)), n)
+            d_bias = _sums(at, np.concatenate((good, bad.sum(axis=0))), n)
+            d_context = _sums(np.concatenate((i, j)), np.concatenate((d_predicted @ first.T, d_predicted @ second.T)), n + 1)
             for p, s, d in zip(params, state[5:], (d_context, ri.T @ d_predicted, rj.T @ d_predicted, d_target, d_bias)):
                 d = d / np.float32(len(drawn))
                 s += d * d
@@ -383,19 +424,29 @@ class Norms:
         self.key, self.value = np.full(slots, -1, np.int64), np.zeros(slots, np.float32)
 
     def of(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        contexts, where = np.unique(i * (self.size + 1) + j, return_inverse=True)
-        slot = (mix(contexts.view(np.uint64)) & self.slots).astype(np.int64)
+        contexts = i * (self.size + 1) + j
+        slot = self._slots(contexts)
         norms = self.value[slot]
-        new = np.flatnonzero(self.key[slot] != contexts)
+        missed = np.flatnonzero(self.key[slot] != contexts)
+        if not len(missed):
+            return norms
+        new, where = np.unique(contexts[missed], return_inverse=True)
+        found = np.empty(len(new), np.float32)
         step = max(1, (1 << 20) // self.size)  # contexts whose scores are held at once
         for at in range(0, len(new), step):
-            own = new[at : at + step]
-            a, b = np.divmod(contexts[own], self.size + 1)
-            scores = (self.before[a] + self.last[b]) @ self.target.T + self.bias
+            a, b = np.divmod(new[at : at + step], self.size + 1)
+            scores = (self.before[a] + self.last[b]) @ self.target.T
+            scores += self.bias
             top = scores.max(axis=1)
-            norms[own] = top + np.log(np.exp(scores - top[:, None]).sum(axis=1))
-        self.key[slot[new]], self.value[slot[new]] = contexts[new], norms[new]
-        return norms[where]
+            scores -= top[:, None]
+            found[at : at + step] = top + np.log(np.exp(scores, out=scores).sum(axis=1))
+        slot = self._slots(new)
+        self.key[slot], self.value[slot] = new, found
+        norms[missed] = found[where]
+        return norms
+
+    def _slots(self, contexts: np.ndarray) -> np.ndarray:
+        return (mix(contexts.view(np.uint64)) & self.slots).view(np.int64)
 
 
 def fit(training: DataFrame) -> tuple[Model, DataFrame]:
@@ -433,7 +484,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
         m: Model = shared.value
         size, norms = m.classes.size, Norms(m)
         before, last, target, bias = norms.before, norms.last, norms.target, norms.bias
-        weight = np.log10(m.table_counts + 1.0)
+        weight, places = np.log10(m.table_counts + 1.0), Places(m.table_words)
         context = TaskContext.get()
         row = (context.partitionId() if context else 0) << 40
         for batch in batches:
@@ -441,9 +492,9 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
                 hashes, shapes, ptr = _tokens(part.column(1))
                 own = m.classes.of(hashes, shapes)
                 i, j = _context_pairs(own, ptr, size)
-                fitted = np.einsum("ij,ij->i", before[i] + last[j], target[own]) + bias[own] - norms.of(i, j)
+                fitted = np.einsum("ij,ij->i", before.take(i, 0) + last.take(j, 0), target.take(own, 0)) + bias[own] - norms.of(i, j)
                 modelled = fitted / math.log(10) - m.class_total[own]
-                at = np.searchsorted(m.table_words, hashes)
+                at = places.of(hashes)
                 at[at == len(m.table_words)] = 0
                 known = m.table_words[at] == hashes if len(m.table_words) else np.zeros(len(hashes), bool)
                 seen = np.where(known, weight[at] if len(weight) else 0.0, 0.0)

@@ -170,3 +170,48 @@ def test_the_model_is_the_same_for_any_number_of_partitions(spark, documents, se
         model, counts = lm.fit(documents(TRAINING).repartition(int(parts)))
         found.append({r.doc_id: r.score for r in lm.score(documents(NEW), model, counts).collect()})
     assert found[0] == found[1]
+
+
+def test_places_are_those_of_a_binary_search():
+    from salesmill.llm.lm import Places
+
+    rng = np.random.default_rng(4)
+    top = np.uint64(2**64 - 1)
+    for n in (0, 1, 2, 5_000):
+        hashes = np.unique(np.r_[rng.integers(0, 1 << 63, n, np.uint64) << np.uint64(1), rng.integers(0, 300, n // 2, np.uint64)])
+        for table in (hashes, np.append(hashes, top)):
+            wanted = np.r_[table, rng.integers(0, 1 << 63, 999, np.uint64), np.uint64(0), np.uint64(7), top]
+            assert (Places(table).of(wanted) == np.searchsorted(table, wanted)).all()
+
+
+def test_norms_are_kept_and_found_again():
+    from salesmill.llm.lm import Norms
+
+    rng = np.random.default_rng(6)
+    n = 30
+    state = lm._begin(np.full(n, 5.0), 1)
+    model = lm.Model(lm.Classes(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(1 << 16, np.int64), n), *state[:5],
+                     np.zeros(n), np.zeros(0, np.uint64), np.zeros(0, np.int64), 1, 1)
+    few, want = Norms(model, slots=64), model.log_norms()
+    for _ in range(4):
+        i, j = rng.integers(0, n + 1, 500), rng.integers(0, n + 1, 500)
+        assert np.allclose(few.of(i, j), want[i, j], atol=1e-4)
+    held = np.flatnonzero(few.key >= 0)
+    i, j = np.divmod(few.key[held], n + 1)
+    few.target = None  # what is kept is not computed again
+    assert np.allclose(few.of(i, j), want[i, j], atol=1e-4)
+
+
+def test_words_of_large_batches_are_found_in_slices(monkeypatch):
+    from salesmill.llm import text
+
+    monkeypatch.setattr(text, "_powers", {})
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(words[i % 7 :: 1 + i % 5]) for i in range(2_500)]
+    classes = lm.Classes(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.arange(1 << 16) % 40, 40)
+    found, times = lm._cells(pa.record_batch({"text": texts}), classes)
+    assert sum(map(len, texts)) > 3 * text.SLICE_BYTES and len(text._powers["up"]) <= text.SLICE_BYTES + 1
+    hashes, shapes, ptr = lm._tokens(pa.array(texts))
+    own = classes.of(hashes, shapes)
+    want = np.unique(lm._contexts(own, ptr, 40) * 40 + own, return_counts=True)
+    assert (found == want[0]).all() and (times == want[1]).all() and times.sum() == len(hashes)
